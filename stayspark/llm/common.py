@@ -110,3 +110,66 @@ def with_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, type=schema.field(k).type) for k, x in columns.items()], schema=schema)
+
+
+class ChunkValues:
+    """A bounded cache of `width` numbers for each chunk; `learn` computes them for many new chunks at a time.
+
+    It is only a cache: when it is full, all but the chunks met first are forgotten and learned again when they come back.
+    """
+
+    def __init__(self, learn, width: int, dtype=np.float64, most: int = 600_000) -> None:
+        self.learn, self.width, self.most = learn, width, most
+        self.at, self.values = Interner(), np.zeros((1 << 14, width), dtype)
+
+    def lookup(self, chunks: list[bytes]) -> np.ndarray:
+        if len(self.at) > self.most:
+            first = list(self.at)[: self.most // 3]
+            self.at.clear()
+            self.at.index(first)
+            self.at.new = []
+        at = self.at.index(chunks)
+        if self.at.new:
+            new, n = self.at.new, len(self.at)
+            self.at.new = []
+            if n > len(self.values):
+                self.values = np.concatenate([self.values, np.zeros((max(n, 2 * len(self.values)) - len(self.values), self.width), self.values.dtype)])
+            for k in range(0, len(new), 100_000):
+                part = new[k : k + 100_000]
+                begin = n - len(new) + k
+                self.values[begin : begin + len(part)] = self.learn(part)
+        return self.values[at]
+
+
+_caches: dict[str, tuple[object, ChunkValues]] = {}
+
+
+def cached(kind: str, key: object, make) -> ChunkValues:
+    """The cache of this kind in this worker process, made anew when its key (a model's fingerprint) changes."""
+    if _caches.get(kind, (None,))[0] != key:
+        _caches[kind] = (key, make())
+    return _caches[kind][1]
+
+
+def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> list[tuple[bytes, int]]:
+    """Texts and labels of at most `most` documents that are labelled and not held out, chosen by a hash of the id.
+
+    A document labelled more than once counts with its largest label; null labels, ids and texts are no training rows."""
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & (crc_fold("doc_id") != 0))
+    chosen = rows.groupBy("doc_id").agg(F.max(column).cast("int").alias("label")).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    found = with_bytes(docs).join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
+    return sorted((bytes(t), y) for _, t, y in found.select("doc_id", "text", "label").collect())
+
+
+def scored(docs: DataFrame, score, threshold: float) -> DataFrame:
+    """(doc_id, held_out, score, predicted); `score` turns a list of texts into numbers from 0 to 1."""
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                yield arrow_rows(schema, doc_id=batch.column("doc_id"), score=score(texts(batch)))
+
+    made = with_bytes(docs).mapInArrow(run, "doc_id long, score double")
+    return made.select("doc_id", F.coalesce(crc_fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
