@@ -28,7 +28,7 @@ from stayspark.llm.common import arrow_rows, table
 OPEN, CLOSE = "### ", " </turn>\n"
 CONTROL = re.compile(r"\\|###|</turn>")
 ROLE_CONTROL = re.compile(r"\\|###|</turn>|:|\n")
-TURN = re.compile(r"### ((?:[^\\:]|\\.)*?): ((?:[^\\<]++|\\.|<(?!/turn>))*) </turn>\n", re.DOTALL)
+HEAD = re.compile(r"### ((?:[^\\:]|\\.)*): ", re.DOTALL)
 UNESCAPE = re.compile(r"\\(.)", re.DOTALL)
 REPLY = "assistant"
 EXAMPLES = "conv_id long, example int, turns int, text string, loss_start long, loss_end long, last boolean"
@@ -98,11 +98,13 @@ def read_back(text: str) -> list[tuple[str, str]]:
     """Role and text of every turn of a formatted text."""
     out, at = [], 0
     while at < len(text):
-        m = TURN.match(text, at)
-        if m is None:
+        head = HEAD.match(text, at)
+        # Inside a body every close mark has a backslash before it, so the first one after a blank ends the turn.
+        end = text.find(CLOSE, head.end()) if head else -1
+        if end < 0:
             raise ValueError(f"no turn at {at}")
-        out.append((unescape(m[1]), unescape(m[2])))
-        at = m.end()
+        out.append((unescape(head[1]), unescape(text[head.end() : end])))
+        at = end + len(CLOSE)
     return out
 
 
