@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,7 +95,7 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about `most` bytes of one binary column."""
-    sizes = np.array([len(x.as_buffer()) if x.is_valid else 0 for x in batch.column(column)], dtype=np.int64) if batch.num_rows else np.zeros(0, np.int64)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     group = np.cumsum(sizes) // most
     start = 0
     for i in range(1, batch.num_rows + 1):
@@ -173,3 +174,15 @@ def scored(docs: DataFrame, score, threshold: float) -> DataFrame:
 
     made = with_bytes(docs).mapInArrow(run, "doc_id long, score double")
     return made.select("doc_id", F.coalesce(crc_fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def kept_rows(docs: DataFrame, score, threshold: float, above: bool, text_col: str = "text") -> DataFrame:
+    """Rows of docs, with all their columns, whose score is at least the threshold (`above`) or below it; nothing is moved."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, text_col):
+                own = [x or b"" for x in batch.column(text_col).cast(pa.binary()).to_pylist()]
+                yield batch.filter(pa.array((score(own) >= threshold) == above))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -19,7 +19,7 @@ from itertools import chain
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from stayspark.llm.common import ChunkValues, cached, labelled, scored, table
+from stayspark.llm.common import ChunkValues, cached, kept_rows, labelled, scored, table
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
@@ -126,5 +126,10 @@ def classify(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINING, thre
     return scored(docs, fit(labelled(docs, labels, "quality", most)).score, threshold)
 
 
+def drop_low(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINING, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that `classify` would predict label 1 for."""
+    return kept_rows(docs, fit(labelled(docs, labels, "quality", most)).score, threshold, above=True)
+
+
 def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -28,7 +28,7 @@ from itertools import chain, combinations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from stayspark.llm.common import ChunkValues, cached, labelled, scored, table
+from stayspark.llm.common import ChunkValues, cached, kept_rows, labelled, scored, table
 
 ORDER = 3
 DECAY = 0.6
@@ -267,5 +267,10 @@ def classify(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINING, thre
     return scored(docs, fit(labelled(docs, labels, "toxic", most)).score, threshold)
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINING, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that `classify` would not call toxic."""
+    return kept_rows(docs, fit(labelled(docs, labels, "toxic", most)).score, threshold, above=False)
+
+
 def op6_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
