@@ -1,8 +1,67 @@
-"""Corpus pipeline; stages are filled in as their operators are built."""
+"""Corpus pipeline: toxicity, quality, near duplicates, benchmark decontamination, packing.
+
+Every stage is a function of (spark, docs, sf_dir) and works on all documents that the one before kept; all but the last
+return the columns of documents. Rows with a null doc_id are judged by the classifiers and kept by the other filters. Repeated rows stay repeated until the near-duplicate stage, which keeps one row of each group.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from stayspark.llm import decontamination, jaccard, packing, quality, toxicity
+from stayspark.llm.common import materialise, table
 
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the string-kernel machine does not call toxic."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the subword classifier does not reject."""
+    return quality.drop_low(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near duplicates: that of the least id; documents without shingles have no group and stay."""
+    groups = jaccard.near_duplicates(docs)
+    copies = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_copy")).distinct()
+    kept = docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    # Rows that share an id and have words are one group too.
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc(F.length("text")), "text", "source", "lang"))
+    several = kept.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    if several.limit(1).count() == 0:
+        return kept
+    repeated = kept.join(several, "doc_id", "left_semi").withColumn("_n", first).where("_n = 1").drop("_n")
+    return kept.join(several, "doc_id", "left_anti").unionByName(repeated.select(*kept.columns))
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_found")).distinct()
+    return docs.join(found, docs["doc_id"] == found["_found"], "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Placed pieces of the documents that are left."""
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", drop_low_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written as Parquet into the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
