@@ -45,11 +45,12 @@ class Files:
         stream = fs.create(temporary, True)
         stream.write(bytearray(text.encode()))
         stream.close()
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri() if "://" in path else self.spark._jvm.java.net.URI.create("file:///"), self.spark._jsc.hadoopConfiguration())
-        rename = getattr(self.spark._jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
-        options = self.spark.sparkContext._gateway.new_array(rename.getClass(), 1)
-        options[0] = rename
-        context.rename(temporary, p, options)
+        jvm = self.spark._jvm
+        context = self.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        kind = jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+        options = jvm.java.lang.reflect.Array.newInstance(kind, 1)
+        options[0] = next(x for x in kind.getEnumConstants() if x.toString() == "OVERWRITE")
+        context.rename(fs.makeQualified(temporary), fs.makeQualified(p), options)
 
     def delete(self, path: str) -> None:
         fs, p = self._at(path)
