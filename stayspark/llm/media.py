@@ -85,7 +85,9 @@ def pack_bits(data: bytes) -> bytes:
 
 
 def lzw_decode(data: bytes) -> bytes:
-    """TIFF's LZW: codes from the high bit on, 9 to 12 bits, widths change one code early; 256 clears, 257 ends."""
+    """TIFF's LZW: codes from the high bit on, 9 to 12 bits, widths change one code early; 256 clears, 257 ends.
+
+    A reader knows one word fewer than the writer, so its widths change at 511 words where the writer's do at 512."""
     out, names = bytearray(), []
     last, width, held, bits = None, 9, 0, 0
     for byte in data:
@@ -132,7 +134,7 @@ def lzw_encode(data: bytes) -> bytes:
         put(codes[word], width)
         codes[longer] = size
         size += 1
-        width = 9 if size < 511 else 10 if size < 1023 else 11 if size < 2047 else 12
+        width = 9 if size < 512 else 10 if size < 1024 else 11 if size < 2048 else 12
         word = data[k : k + 1]
         if size == 4093:
             put(codes[word], width)
@@ -141,7 +143,7 @@ def lzw_encode(data: bytes) -> bytes:
     if word:
         put(codes[word], width)
         size += 1
-        width = 9 if size < 511 else 10 if size < 1023 else 11 if size < 2047 else 12
+        width = 9 if size < 512 else 10 if size < 1024 else 11 if size < 2048 else 12
     put(257, width)
     if bits:
         out.append((held << (8 - bits)) & 255)

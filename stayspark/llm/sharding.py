@@ -39,7 +39,7 @@ def records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.col(id_col).alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("h"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"),
         F.monotonically_increasing_id().alias("mark"),
     )
 
