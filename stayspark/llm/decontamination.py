@@ -68,7 +68,7 @@ def hashes(df: DataFrame, of: str, n: int, to: str) -> DataFrame:
     while size < n:
         step = min(size, n - size)
         new = f"{to}_{size + step}"
-        df = df.withColumn(new, F.zip_with(F.col(at), F.slice(F.col(at), step + 1, F.greatest(F.size(at), F.lit(0))), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b))))
+        df = df.withColumn(new, F.zip_with(F.col(at), F.slice(F.col(at), step + 1, 1 << 30), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b))))
         size, at = size + step, new
         parts.append(new)
     return df.withColumnRenamed(at, to).drop(*[p for p in parts if p != at])
@@ -82,7 +82,8 @@ def items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text")
 
 def windows(df: DataFrame, keys: list[str], of: str, n: int) -> DataFrame:
     """One row for each whole window of n places: keys, hash and place."""
-    made = hashes(df, of, n, "hash").select(*keys, F.posexplode("hash").alias("at", "hash"))
+    # The outer form, since Spark infers a filter for the other one, and pushing it down would compute the hashes many times.
+    made = hashes(df, of, n, "hash").select(*keys, F.posexplode_outer("hash").alias("at", "hash"))
     return made.where(F.col("hash").isNotNull())
 
 
