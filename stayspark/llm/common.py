@@ -49,9 +49,16 @@ def materialise(df: DataFrame, note: str = "part") -> DataFrame:
     path = f"{shared_dir(spark)}/{note}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _made.append((spark, path))
+    spark._jvm.System.gc()  # shuffle files that nothing refers to any more may go
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialised table that nothing reads any more."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        remove(df.sparkSession, path)
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _made:

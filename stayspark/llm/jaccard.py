@@ -27,20 +27,22 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayspark.llm.common import ChunkValues, arrow_rows, cached, materialise, slices, table, texts, with_bytes
+from stayspark.llm.common import ChunkValues, arrow_rows, cached, discard, materialise, slices, table, texts, with_bytes
 from stayspark.llm.components import components
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 SLACK = 0.08
 HOT = 48
-SKETCH = 1024
+SKETCH = 512  # bits of the smallest sketch
 SEEDS = 8
-SIGNATURES_A_TASK = 3_000_000
+CHARS_A_TASK = 24_000_000
+BROADCAST_SETS = 500_000  # 16 bytes each
 U = np.uint64
 _MIX = [U(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)]
 
@@ -82,14 +84,30 @@ def shingle_sets(batch: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def set_key(s: np.ndarray) -> tuple[int, int]:
-    """Two independent 64-bit hashes of a set."""
-    return tuple(int(mix(s, 11 + k).sum(dtype=np.uint64).astype(np.int64)) for k in (0, 1))
+def set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each set; 0 for empty ones."""
+    size = np.array([len(s) for s in sets], np.int64)
+    full = np.flatnonzero(size)
+    out = np.zeros((2, len(sets)), np.int64)
+    if len(full):
+        flat, at = np.concatenate(sets), (np.cumsum(size) - size)[full]
+        for k in (0, 1):
+            out[k, full] = np.add.reduceat(mix(flat, 11 + k), at).view(np.int64)
+    return out[0], out[1]
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Bit i says whether an odd number of shingles has hash i; two sets differ in at least as many shingles as bits."""
-    return np.packbits(np.bincount((s >> U(20)).astype(np.int64) % SKETCH, minlength=SKETCH).astype(np.uint8) & 1).tobytes()
+    """Bit i says whether an odd number of shingles has hash i; sets differ in at least as many shingles as bits. There are as
+    many bits as shingles, about, so that sets of any size tell apart; longer sketches fold into shorter ones."""
+    bits = max(SKETCH, 1 << (len(s) - 1).bit_length()) if len(s) else SKETCH
+    return np.packbits(np.bincount((s >> U(20)).astype(np.int64) & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    n = min(len(a), len(b))
+    fold = lambda v: np.bitwise_xor.reduce(v.reshape(-1, n), axis=0)
+    return int(np.bitwise_count(fold(a) ^ fold(b)).sum())
 
 
 def linked(common: int, a: int, b: int) -> bool:
@@ -164,22 +182,6 @@ def signatures(sets: list[np.ndarray], seed: int = 0) -> tuple[np.ndarray, np.nd
     return np.append(owner[row[chosen]], np.array(more[0], np.int64)), np.append(sig[chosen], np.array(more[1], np.uint64)), np.unique(owner[short])
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("check", pa.int64()), ("sketch", pa.binary())])
-
-
-def sets_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, set_id, check, sketch) of every row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole):
-                sets = shingle_sets(texts(batch))
-                keys = [set_key(s) for s in sets]
-                yield arrow_rows(_SETS, doc_id=batch.column("doc_id"), n=[len(s) for s in sets], set_id=[k for k, _ in keys], check=[c for _, c in keys], sketch=[sketch(s) for s in sets])
-
-    return with_bytes(docs).mapInArrow(run, "doc_id long, n long, set_id long, check long, sketch binary")
-
-
 def _blob(sig: np.ndarray, ids: np.ndarray) -> bytes:
     return sig.astype("<u4").tobytes() + ids.astype("<i8").tobytes()
 
@@ -189,49 +191,65 @@ def _unblob(data: bytes, width: int = 4) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, f"<u{width}" if width == 4 else "<i8", n), np.frombuffer(data, "<i8", n, n * width)
 
 
-_BLOBS = pa.schema([("bucket", pa.int32()), ("data", pa.binary())])
+_OWN = [("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("check", pa.int64()), ("sketch", pa.binary())]
+_BLOBS = pa.schema([("bucket", pa.int32()), ("data", pa.binary()), *_OWN])
+_OWN_DDL = "doc_id long, n long, set_id long, check long, sketch binary"
 
 
 def indexed(docs: DataFrame, buckets: int, seed: int = 0) -> DataFrame:
     """Signatures of all sets as blobs (32 bits of the signature beside the bucket, and the set), one for each bucket and some
-    MB of input. A task indexes equal sets that it meets again and again once. Bucket -1 has sets that are short of segments."""
+    MB of input, and a row without blob for every document. A task indexes equal sets that it meets again and again once.
+    Bucket -1 has sets that are short of segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         seen: set[int] = set()
 
+        def rows(bucket, data) -> pa.RecordBatch:
+            none = pa.nulls(len(bucket), pa.int64())
+            return arrow_rows(_BLOBS, bucket=bucket, data=data, doc_id=none, n=none, set_id=none, check=none, sketch=pa.nulls(len(bucket), pa.binary()))
+
         def out() -> pa.RecordBatch:
             sig, ids = (np.concatenate(x) for x in zip(*kept, strict=True))
             bucket = (sig % U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows = [(b, _blob(sig[at] >> U(32), ids[at])) for b in range(buckets) if len(at := order[ends[b] : ends[b + 1]])]
-            return arrow_rows(_BLOBS, bucket=[b for b, _ in rows], data=[x for _, x in rows])
+            filled = [b for b in range(buckets) if ends[b] < ends[b + 1]]
+            return rows(filled, [_blob(sig[at] >> U(32), ids[at]) for at in (order[ends[b] : ends[b + 1]] for b in filled)])
 
         for whole in batches:
             for batch in slices(whole):
+                sets = shingle_sets(texts(batch))
+                keys, checks = set_keys(sets)
+                size = np.array([len(s) for s in sets], np.int64)
+                yield arrow_rows(_BLOBS, bucket=(keys % buckets).astype(np.int32), data=pa.nulls(len(sets), pa.binary()), doc_id=batch.column("doc_id"), n=size, set_id=keys, check=checks, sketch=[sketch(s) for s in sets])
                 own = []
-                for s in shingle_sets(texts(batch)):
-                    if len(s) and (key := set_key(s)[0]) not in seen:
+                for k, key in enumerate(keys.tolist()):
+                    if size[k] and key not in seen:
                         seen.add(key)
-                        own.append((key, s))
+                        own.append(k)
                 if len(seen) > 1_000_000:
                     seen.clear()
-                of, sig, short = signatures([s for _, s in own], seed)
+                of, sig, short = signatures([sets[k] for k in own], seed)
                 if len(short):
-                    yield arrow_rows(_BLOBS, bucket=[-1], data=[_blob(np.zeros(len(short)), np.array([own[k][0] for k in short]))])
+                    yield rows([-1], [b""])
                 if len(sig):
-                    kept.append((sig, np.array([k for k, _ in own], np.int64)[of]))
+                    kept.append((sig, keys[own][of]))
                 if sum(len(x) for x, _ in kept) > 1_500_000:
                     yield out()
                     kept.clear()
         if kept:
             yield out()
 
-    return with_bytes(docs).mapInArrow(run, "bucket int, data binary")
+    return with_bytes(docs).mapInArrow(run, f"bucket int, data binary, {_OWN_DDL}")
 
 
-_PAIRS = pa.schema([("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+_PAIRS = pa.schema([("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), *_OWN])
+
+
+def _row(kind: str, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
+    none = pa.nulls(len(a), pa.int64())
+    return arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar(kind), len(a)), a=a, b=b, doc_id=none, n=none if n is None else n, set_id=none, check=none, sketch=pa.nulls(len(a), pa.binary()))
 
 
 def _pairs_within(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,12 +272,12 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gathered(blobs: DataFrame, partitions: int, hot: int = HOT) -> DataFrame:
-    """Rows (kind, a, b, n) from the signatures' groups of sets: `pair` for pairs of groups of at most `hot` sets, `hot`
-    (signature, set, sets in the group) of the larger groups."""
+    """Rows of kind `pair` (a, b) for pairs of a signature's group of at most `hot` sets, `hot` (a signature, b set, n sets of
+    the group) for larger groups, `set` for every document, and `short`."""
 
     def groups(bucket: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         if bucket < 0:
-            yield arrow_rows(_PAIRS, kind=["short"], a=[0], b=[0], n=[0])
+            yield _row("short", np.zeros(1, np.int64), np.zeros(1, np.int64))
             return
         sig, ids = (np.concatenate(x) for x in zip(*map(_unblob, parts), strict=True))
         order = np.lexsort((ids, sig))
@@ -272,15 +290,19 @@ def gathered(blobs: DataFrame, partitions: int, hot: int = HOT) -> DataFrame:
         some = (sizes > 1) & (sizes <= hot)
         a, b = _distinct(*_pairs_within(ids, starts[some], sizes[some]))
         for k in range(0, len(a), 100_000):
-            yield arrow_rows(_PAIRS, kind=["pair"] * len(a[k : k + 100_000]), a=a[k : k + 100_000], b=b[k : k + 100_000], n=np.zeros(len(a[k : k + 100_000]), np.int64))
+            yield _row("pair", a[k : k + 100_000], b[k : k + 100_000])
         for at in np.flatnonzero(sizes > hot):
             members = ids[starts[at] : starts[at] + sizes[at]]
             name = (bucket << 32) | int(sig[starts[at]])
-            yield arrow_rows(_PAIRS, kind=["hot"] * len(members), a=np.full(len(members), name), b=members, n=np.full(len(members), len(members)))
+            yield _row("hot", np.full(len(members), name), members, np.full(len(members), len(members)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
-        for batch in batches:
+        for whole in batches:
+            own = whole.filter(pc.is_null(whole.column("data")))
+            if own.num_rows:
+                yield arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar("set"), own.num_rows), a=pa.nulls(own.num_rows, pa.int64()), b=pa.nulls(own.num_rows, pa.int64()), **{k: own.column(k) for k, _ in _OWN})
+            batch = whole.filter(pc.is_valid(whole.column("data")))
             for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 if bucket != now and parts:
                     yield from groups(now, parts)
@@ -290,7 +312,7 @@ def gathered(blobs: DataFrame, partitions: int, hot: int = HOT) -> DataFrame:
         if parts:
             yield from groups(now, parts)
 
-    return blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "kind string, a long, b long, n long")
+    return blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, f"kind string, a long, b long, {_OWN_DDL}")
 
 
 def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -300,10 +322,11 @@ def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                bits = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in ("sa", "sb")]
                 na, nb = (batch.column(k).to_numpy() for k in ("na", "nb"))
-                apart = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1)
-                near = pa.array((apart <= most_different(na, nb)) & (DENOMINATOR * np.minimum(na, nb) >= NUMERATOR * np.maximum(na, nb)))
+                fits = DENOMINATOR * np.minimum(na, nb) >= NUMERATOR * np.maximum(na, nb)
+                most = most_different(na, nb)
+                sa, sb = batch.column("sa"), batch.column("sb")
+                near = pa.array([bool(f) and bits_apart(sa[k].as_py(), sb[k].as_py()) <= m for k, (f, m) in enumerate(zip(fits, most, strict=True))], pa.bool_())
                 yield arrow_rows(schema, a=batch.column("a").filter(near), b=batch.column("b").filter(near))
 
     of = lambda x: sets.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
@@ -332,62 +355,64 @@ def verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_id, shingles) of the wanted (doc_id, set_id)."""
+def shingles_of(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set_id, shingles) of all sets in pairs; once for every row of the document that stands for a set."""
     schema = pa.schema([("set_id", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                sets, ids = shingle_sets(texts(batch)), batch.column("set_id").to_pylist()
+                made, ids = shingle_sets(texts(batch)), batch.column("set_id").to_pylist()
                 # Rows with equal ids may have other texts; only that of the set counts.
-                rows = [(k, s.tobytes()) for k, s in zip(ids, sets, strict=True) if set_key(s)[0] == k]
+                rows = [(k, s.tobytes()) for k, own, s in zip(ids, set_keys(made)[0].tolist(), made, strict=True) if own == k]
                 if rows:
                     yield arrow_rows(schema, set_id=[k for k, _ in rows], shingles=[s for _, s in rows])
 
-    joined = with_bytes(docs).join(wanted, "doc_id").select("set_id", "text")
-    return joined.mapInArrow(run, "set_id long, shingles binary").groupBy("set_id").agg(F.first("shingles").alias("shingles"))
-
-
-def _released(df: DataFrame, note: str) -> DataFrame:
-    """df in the shared folder; shuffle files that nothing refers to any more may go."""
-    out = materialise(df, note)
-    df.sparkSession._jvm.System.gc()
-    return out
+    ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
+    wanted = materialise(ids.join(sets, "set_id").select("set_id", "doc_id"), "wanted")
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_SETS else wanted
+    return with_bytes(docs).join(side, "doc_id").select("set_id", "text").mapInArrow(run, "set_id long, shingles binary")
 
 
-def links(docs: DataFrame, sets: DataFrame, hot: int = HOT) -> DataFrame:
-    """(a, b): links between different sets, enough to connect what is connected. sets: one row (set_id, doc_id, n, sketch) each."""
+def scanned(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """The result of one pass over docs: rows of `gathered`. The number of partitions follows the amount of text."""
     spark = docs.sparkSession
-    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SIGNATURES_A_TASK))
+    chars = docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // CHARS_A_TASK))
     for seed in range(SEEDS):
-        groups = _released(gathered(indexed(docs, 4 * partitions, seed), partitions, hot), "groups")
+        groups = materialise(gathered(indexed(docs, 4 * partitions, seed), partitions, hot), "groups")
         if groups.where("kind = 'short'").limit(1).count() == 0:
-            break
-    else:
-        raise ArithmeticError("sets stay short of segments under every seed")
+            return groups
+        discard(groups)
+    raise ArithmeticError("sets stay short of segments under every seed")
+
+
+def links(docs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between different sets, enough to connect what is connected. sets: one row (set_id, doc_id, n, sketch) each."""
     large = groups.where("kind = 'hot'").select(F.col("a").alias("signature"), F.col("b").alias("set_id"), "n")
     least = large.groupBy("signature").agg(F.min("set_id").alias("a"))
     spokes = large.join(least, "signature").where("set_id != a").select("a", F.col("set_id").alias("b"))
     pairs = groups.where("kind = 'pair'").select("a", "b").unionByName(spokes).distinct()
-    near = _released(plausible(pairs, sets), "near")
+    near = materialise(plausible(pairs, sets), "near")
     # First one partner for each set; pairs that are connected by then need no look.
-    wanted = near.select(F.col("a").alias("set_id")).unionByName(near.select(F.col("b").alias("set_id"))).distinct().join(sets, "set_id").select("set_id", "doc_id")
-    members = _released(shingles_of(docs, wanted), "shingles")
-    found = _released(verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), members), "links")
-    for again in (1, 2):
-        at = materialise(components(found), "components")
-        rest = unconnected(near, at)
-        if again == 2:
-            rest = unconnected(plausible(apart(large, at, sets), sets), at)
-            more = rest.select(F.col("a").alias("set_id")).unionByName(rest.select(F.col("b").alias("set_id"))).distinct().join(sets, "set_id").select("set_id", "doc_id")
-            rest = materialise(rest, "rest")
-            if rest.limit(1).count() == 0:
-                break
-            members = shingles_of(docs, more)
-        found = _released(found.unionByName(verified(rest, members)), "links")
-    return found
+    first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    found = checked(docs, first, sets)
+    at = components(found)
+    found = materialise(found.unionByName(checked(docs, unconnected(near, at), sets)), "links")
+    at = materialise(components(found), "components")
+    rest = unconnected(plausible(apart(large, at, sets), sets), at)
+    return found.unionByName(checked(docs, rest, sets))
+
+
+def checked(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The linked ones of pairs, in the shared folder."""
+    pairs = materialise(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
+    members = materialise(shingles_of(docs, pairs, sets), "shingles")
+    out = materialise(verified(pairs, members), "links")
+    discard(members)
+    return out
 
 
 def unconnected(pairs: DataFrame, at: DataFrame) -> DataFrame:
@@ -402,8 +427,6 @@ def apart(large: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
     A set needs its large signatures but for the SLACK most common ones; in these, sets of the same component as the rest of
     the group are done, so pairs are made between a set and those of other components.
     """
-    from pyspark.sql import Window
-
     room = F.lit(2) + (F.lit(SLACK) * F.col("size")).cast("long")
     ranked = large.join(sets.select("set_id", F.col("n").alias("size")), "set_id").withColumn("rank", F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("n"), "signature")))
     needing = ranked.where(F.col("rank") > room).select("signature", "set_id")
@@ -416,13 +439,14 @@ def apart(large: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    rows = materialise(sets_of(docs), "sets")
+    groups = scanned(docs, hot)
+    rows = groups.where("kind = 'set'").select("doc_id", "n", "set_id", "check", "sketch")
     full = rows.where("n > 0 and doc_id is not null")
     sets = full.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.min("check").alias("low"), F.max("check").alias("high"))
     sets = materialise(sets, "distinct")
     if sets.where("low != high").limit(1).count():
         raise ArithmeticError("two different sets have one 64-bit key")
-    at = components(links(docs, sets.drop("low", "high"), hot))
+    at = components(links(docs, groups, sets.drop("low", "high")))
     # Equal sets and repeated ids connect documents too: ids and sets are the two sides of one graph, its links are few.
     named = sets.select("set_id").join(at, sets["set_id"] == at["node"], "left").select("set_id", F.coalesce("component", "set_id").alias("group"))
     by = full.select("doc_id", "set_id").distinct().join(named, "set_id").select("doc_id", "group").distinct()
