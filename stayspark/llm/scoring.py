@@ -4,7 +4,7 @@ A small network reads the RADIUS words on both sides of a position and predicts
 the sum, over every word, of the logarithm of its probability given its neighbours. The vocabulary comes from counts over all
 documents; words outside it go to hashed buckets. Output is a two-level softmax: a word's class, then the word in its class.
 
-Training goes over all documents. Each round, every task of a round's share of the documents (a hash decides) takes steps of
+Training goes over all documents, and every word of each is a target once. Each round, every task of a round's share of the documents (a hash decides) takes steps of
 numpy gradient descent from the same weights, and the weights are averaged, by the number of positions, over the tasks.
 What is gathered (word counts and tasks' weights) grows with the corpus; sums over both are made by Spark, in a shuffle.
 
@@ -34,10 +34,9 @@ WORDS = CLASSES * A_CLASS
 EDGE = WORDS  # the input mark beyond the ends
 WIDTH, HIDDEN = 12, 24
 ROUNDS = 3
-EVERY = 8  # one in so many positions is trained on, each round at another offset
 STEP = 512
 RATE = 1.0
-BLOCK = 16_384
+BLOCK = 4096
 COUNTED = 300_000  # words that a task counts before it hands them on
 SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
 
@@ -68,6 +67,22 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
     return {bytes(w): OTHER + k for k, (w, _) in enumerate(rows)}
 
 
+def less_top(z: np.ndarray) -> np.ndarray:
+    """z less the largest of its last axis, whose length is a power of two: halves are compared, which is faster than max()."""
+    top = z
+    while top.shape[-1] > 1:
+        half = top.shape[-1] // 2
+        top = np.maximum(top[..., :half], top[..., half:])
+    return z - top
+
+
+def shares(z: np.ndarray) -> np.ndarray:
+    """Softmax over the last axis."""
+    e = np.exp(less_top(z))
+    e /= (e @ np.ones(z.shape[-1], np.float32))[..., None]
+    return e
+
+
 class Network:
     def __init__(self, parts: list[np.ndarray] | None = None, seed: int = 3) -> None:
         if parts is None:
@@ -100,16 +115,15 @@ class Network:
         _, h = self.hidden(around)
         kind, inside = target % CLASSES, target // CLASSES
         z = h @ self.classes + self.class_bias
-        z -= z.max(axis=1, keepdims=True)
-        out = z[np.arange(len(z)), kind] - np.log(np.exp(z).sum(axis=1))
+        z = less_top(z)
+        out = z[np.arange(len(z)), kind] - np.log(np.exp(z) @ np.ones(CLASSES, np.float32))
         order = np.argsort(kind, kind="stable")
         ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             at = order[ends[c] : ends[c + 1]]
             if len(at):
-                z = h[at] @ self.inner[c] + self.inner_bias[c]
-                z -= z.max(axis=1, keepdims=True)
-                out[at] += z[np.arange(len(at)), inside[at]] - np.log(np.exp(z).sum(axis=1))
+                z = less_top(h[at] @ self.inner[c] + self.inner_bias[c])
+                out[at] += z[np.arange(len(at)), inside[at]] - np.log(np.exp(z) @ np.ones(A_CLASS, np.float32))
         return out
 
     def learn(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -118,32 +132,32 @@ class Network:
         x, h = self.hidden(around)
         kind, inside = target % CLASSES, target // CLASSES
         z = h @ self.classes + self.class_bias
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
+        p = shares(z)
         p[np.arange(n), kind] -= 1
         back = p @ self.classes.T
         d_classes, d_bias = h.T @ p, p.sum(axis=0)
+        # One padded block of rows a class, so that all classes are multiplied at once.
+        size = np.bincount(kind, minlength=CLASSES)
         order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            at = order[ends[c] : ends[c + 1]]
-            if len(at):
-                z = h[at] @ self.inner[c] + self.inner_bias[c]
-                q = np.exp(z - z.max(axis=1, keepdims=True))
-                q /= q.sum(axis=1, keepdims=True)
-                q[np.arange(len(at)), inside[at]] -= 1
-                back[at] += q @ self.inner[c].T
-                self.inner[c] -= rate / n * (h[at].T @ q)
-                self.inner_bias[c] -= rate / n * q.sum(axis=0)
+        most = int(size.max())
+        row = np.empty(n, np.int64)
+        row[order] = np.arange(n) + np.repeat(np.arange(CLASSES) * most - (np.cumsum(size) - size), size)
+        own = np.zeros((CLASSES, most, HIDDEN), np.float32)
+        own.reshape(-1, HIDDEN)[row] = h
+        q = shares(own @ self.inner + self.inner_bias[:, None])
+        q.reshape(-1, A_CLASS)[row, inside] -= 1
+        q *= (np.arange(most) < size[:, None])[:, :, None]
+        back += (q @ self.inner.transpose(0, 2, 1)).reshape(-1, HIDDEN)[row]
+        self.inner -= rate / n * (own.transpose(0, 2, 1) @ q)
+        self.inner_bias -= rate / n * (np.ones(most, np.float32) @ q)
         back *= 1 - h * h
         d_x = (back @ self.into.T).reshape(n * 2 * RADIUS, WIDTH)
         self.classes -= rate / n * d_classes
         self.class_bias -= rate / n * d_bias
         self.into -= rate / n * (x.T @ back)
         self.into_bias -= rate / n * back.sum(axis=0)
-        ids = around.ravel()
-        for k in range(WIDTH):
-            self.embed[:, k] -= rate / n * np.bincount(ids, d_x[:, k], EDGE + 1).astype(np.float32)
+        into = (around.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+        self.embed -= rate / n * np.bincount(into, d_x.ravel(), self.embed.size).reshape(-1, WIDTH).astype(np.float32)
 
 
 def word_ids(words: dict[bytes, int], key: int, batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -175,7 +189,7 @@ def train(docs: DataFrame, words: dict[bytes, int], rounds: int = ROUNDS) -> np.
             for whole in batches:
                 for batch in slices(whole):
                     ids, _ = word_ids(words, key, texts(batch))
-                    at = np.flatnonzero(ids != EDGE)[r::EVERY]
+                    at = np.flatnonzero(ids != EDGE)
                     at = at[np.random.default_rng(len(at)).permutation(len(at))]
                     for k in range(0, len(at), STEP):
                         part = at[k : k + STEP]

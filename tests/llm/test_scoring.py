@@ -50,3 +50,15 @@ def test_learns_and_scores_like_a_plain_loop(spark):
     assert sum(x["log_prob"] for x in got) > start
     assert scoring.score(docs.limit(0), words, flat).count() == 0
     assert len(scoring.train(docs.limit(0), {}, 1)) == len(flat)
+
+
+def test_every_position_is_a_target(spark):
+    # Documents of eight words each: a stride over positions would leave some of the words without a step.
+    texts = [" ".join(f"w{k}" for k in range(8))] * 60
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = scoring.vocabulary(docs)
+    own = [words[f"w{k}".encode()] for k in range(8)]
+    padded = [scoring.EDGE] * 2 + own + [scoring.EDGE] * 2
+    around, target = np.array([[padded[k + j] for j in (0, 1, 3, 4)] for k in range(8)]), np.array(own)
+    gain = scoring.Network.of(scoring.train(docs, words)).log_prob(around, target) - scoring.Network().log_prob(around, target)
+    assert (gain > 0).all(), gain
