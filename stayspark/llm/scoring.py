@@ -3,6 +3,8 @@
 A small network reads the RADIUS words on both sides of a position and predicts the word in the middle; a document's score is
 the sum, over every word, of the logarithm of its probability given its neighbours. The vocabulary comes from counts over all
 documents; words outside it go to hashed buckets. Output is a two-level softmax: a word's class, then the word in its class.
+A word outside the vocabulary has its bucket's probability times its share of the bucket's words, by the counts of all words:
+that share does not depend on its neighbours. Shares of at most NEAR of the most frequent such words are broadcast, others are joined.
 
 Training goes over all documents, and every word of each is a target once. Each round, every task of a round's share of the documents (a hash decides) takes steps of
 numpy gradient descent from the same weights, and the weights are averaged, by the number of positions, over the tasks.
@@ -30,6 +32,7 @@ from stayspark.llm.common import ChunkValues, arrow_rows, cached, materialise, s
 RADIUS = 2
 CLASSES, A_CLASS = 32, 32
 OTHER = 64  # buckets for words outside the vocabulary
+NEAR = 100_000  # words outside the vocabulary whose shares every task holds
 WORDS = CLASSES * A_CLASS
 EDGE = WORDS  # the input mark beyond the ends
 WIDTH, HIDDEN = 12, 24
@@ -38,7 +41,6 @@ STEP = 512
 RATE = 1.0
 BLOCK = 4096
 COUNTED = 300_000  # words that a task counts before it hands them on
-SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -60,13 +62,33 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return with_bytes(docs).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame) -> dict[bytes, int]:
+def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> dict[bytes, int]:
     """The most frequent words, ties by the word; bounded by WORDS - OTHER."""
-    rows = word_counts(docs).orderBy(F.desc("n"), "word").limit(WORDS - OTHER).collect()
+    rows = (word_counts(docs) if counts is None else counts).orderBy(F.desc("n"), "word").limit(WORDS - OTHER).collect()
     # Dealt to classes in turn, so that no class has all frequent words.
     return {bytes(w): OTHER + k for k, (w, _) in enumerate(rows)}
 
 
+def shares_in_buckets(counts: DataFrame, words: dict[bytes, int]) -> tuple[DataFrame, dict[bytes, float]]:
+    """(word, log) of every word outside the vocabulary, log being that of its share of its bucket; and at most NEAR of the most frequent."""
+    bucket = F.crc32("word") % OTHER
+    rest = counts.where(~F.col("word").isin(list(words))) if words else counts
+    total = dict(rest.groupBy(bucket.alias("bucket")).agg(F.sum("n")).collect())
+    # Words of one count are taken together, so that no task sends more than are kept.
+    left, least = NEAR, None
+    for n, of in sorted(rest.groupBy("n").count().collect(), reverse=True):
+        left -= of
+        if left < 0:
+            break
+        least = n
+    near = {}
+    if least is not None:
+        rows = rest.where(F.col("n") >= least).select("word", "n").collect()
+        near = {bytes(w): float(np.log(n / total[zlib.crc32(w) % OTHER])) for w, n in sorted(rows)}
+    totals = F.array(*[F.lit(float(total.get(b, 1))) for b in range(OTHER)])
+    return rest.select("word", F.log(F.col("n") / F.get(totals, bucket.cast("int"))).alias("log")), near
+
+
 def less_top(z: np.ndarray) -> np.ndarray:
     """z less the largest of its last axis, whose length is a power of two: halves are compared, which is faster than max()."""
     top = z
@@ -160,16 +182,22 @@ class Network:
         self.embed -= rate / n * np.bincount(into, d_x.ravel(), self.embed.size).reshape(-1, WIDTH).astype(np.float32)
 
 
-def word_ids(words: dict[bytes, int], key: int, batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words of some texts, with RADIUS marks before, between and after texts, and each word's text."""
-    cache = cached("scoring", key, lambda: ChunkValues(lambda c: np.array([words.get(w, zlib.crc32(w) % OTHER) for w in c], np.int64)[:, None], 1, np.int64))
+def word_ids(words: dict[bytes, int], key: object, batch: list[bytes], near: dict[bytes, float]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Ids of all words of some texts, with RADIUS marks before, between and after texts; each word's text; the words; and
+    the log of each one's share of its bucket: 0 in the vocabulary, NaN for words that `near` lacks."""
+
+    def learn(chunks: list[bytes]) -> np.ndarray:
+        return np.array([(words[w], 0.0) if w in words else (zlib.crc32(w) % OTHER, near.get(w, np.nan)) for w in chunks], np.float64).reshape(-1, 2)
+
+    cache = cached("scoring", key, lambda: ChunkValues(learn, 2))
     split = [t.lower().split() for t in batch]
-    ids = cache.lookup(list(chain.from_iterable(split)))[:, 0]
+    chunks = list(chain.from_iterable(split))
+    values = cache.lookup(chunks)
     size = np.array([len(x) for x in split], np.int64)
     of = np.repeat(np.arange(len(batch)), size)
-    out = np.full(len(ids) + RADIUS * (len(batch) + 1), EDGE, np.int64)
-    out[np.arange(len(ids)) + RADIUS * (of + 1)] = ids
-    return out, of
+    out = np.full(len(chunks) + RADIUS * (len(batch) + 1), EDGE, np.int64)
+    out[np.arange(len(chunks)) + RADIUS * (of + 1)] = values[:, 0]
+    return out, of, chunks, values[:, 1]
 
 
 def windows(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -188,7 +216,7 @@ def train(docs: DataFrame, words: dict[bytes, int], rounds: int = ROUNDS) -> np.
             net, n = Network.of(start.value), 0
             for whole in batches:
                 for batch in slices(whole):
-                    ids, _ = word_ids(words, key, texts(batch))
+                    ids, _, _, _ = word_ids(words, key, texts(batch), {})
                     at = np.flatnonzero(ids != EDGE)
                     at = at[np.random.default_rng(len(at)).permutation(len(at))]
                     for k in range(0, len(at), STEP):
@@ -232,30 +260,41 @@ def averaged(made: DataFrame, size: int, before: np.ndarray) -> np.ndarray:
     return sum(np.frombuffer(w, np.float32).astype(np.float64) * (n / total) for _, w, n in rows)
 
 
-def score(docs: DataFrame, words: dict[bytes, int], flat: np.ndarray) -> DataFrame:
-    """(doc_id, n_words, log_prob, mean_log_prob) of every row."""
-    key = zlib.crc32(repr(words).encode())
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_prob", pa.float64()), ("mean_log_prob", pa.float64())])
-    held = docs.sparkSession.sparkContext.broadcast(flat)
+def score(docs: DataFrame, words: dict[bytes, int], flat: np.ndarray, counts: DataFrame | None = None) -> DataFrame:
+    """(doc_id, n_words, log_prob, mean_log_prob) of every row; `counts` are the word counts of all docs."""
+    rest, near = shares_in_buckets(materialise(word_counts(docs), "counts") if counts is None else counts, words)
+    key = ("score", zlib.crc32(repr((words, near)).encode()))
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_prob", pa.float64()), ("far", pa.list_(pa.binary()))])
+    held = docs.sparkSession.sparkContext.broadcast((flat, words, near))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network.of(held.value)
+        flat, words, near = held.value
+        net, row = Network.of(flat), TaskContext.get().partitionId() << 40
         for whole in batches:
             for batch in slices(whole):
-                ids, of = word_ids(words, key, texts(batch))
+                ids, of, chunks, logs = word_ids(words, key, texts(batch), near)
                 at = np.flatnonzero(ids != EDGE)
                 each = np.concatenate([np.zeros(0), *[net.log_prob(windows(ids, at[k : k + BLOCK]), ids[at[k : k + BLOCK]]) for k in range(0, len(at), BLOCK)]])
                 n = np.bincount(of, minlength=batch.num_rows)
-                total = np.bincount(of, each, batch.num_rows)
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-                yield arrow_rows(schema, doc_id=batch.column("doc_id"), n_words=n, log_prob=total, mean_log_prob=mean)
+                total = np.bincount(of, each + np.nan_to_num(logs), batch.num_rows)
+                far: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
+                for k in np.flatnonzero(np.isnan(logs)).tolist():
+                    far[of[k]].append(chunks[k])
+                yield arrow_rows(schema, row=np.arange(row, row + batch.num_rows), doc_id=batch.column("doc_id"), n_words=n, log_prob=total, far=far)
+                row += batch.num_rows
 
-    return with_bytes(docs).mapInArrow(run, SCORES)
+    # Written once, so that row numbers stay what they are.
+    made = materialise(with_bytes(docs).mapInArrow(run, "row long, doc_id long, n_words long, log_prob double, far array<binary>"), "scored")
+    more = made.select("row", F.explode("far").alias("word")).join(rest, "word").groupBy("row").agg(F.sum("log").alias("more"))
+    total = F.col("log_prob") + F.coalesce("more", F.lit(0.0))
+    both = made.drop("far").join(more, "row", "left").select("doc_id", "n_words", total.alias("log_prob"))
+    return both.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
 
 
 def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    words = vocabulary(docs)
-    return score(docs, words, train(docs, words, rounds))
+    counts = materialise(word_counts(docs), "counts")
+    words = vocabulary(docs, counts)
+    return score(docs, words, train(docs, words, rounds), counts)
 
 
 def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

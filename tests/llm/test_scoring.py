@@ -1,3 +1,6 @@
+import zlib
+from collections import Counter
+
 import numpy as np
 
 from stayspark.llm import scoring
@@ -62,3 +65,29 @@ def test_every_position_is_a_target(spark):
     around, target = np.array([[padded[k + j] for j in (0, 1, 3, 4)] for k in range(8)]), np.array(own)
     gain = scoring.Network.of(scoring.train(docs, words)).log_prob(around, target) - scoring.Network().log_prob(around, target)
     assert (gain > 0).all(), gain
+
+
+def test_words_outside_the_vocabulary_have_their_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "NEAR", 40)  # shares of some are broadcast, of others joined
+    words = {b"the": scoring.OTHER, b"of": scoring.OTHER + 1}
+    rows = [(k, " ".join(f"w{j}" for j in range(k % 300 + 1)) + " the of the") for k in range(0, 300, 7)] + [(None, "W3 w250"), (4, None), (5, "the")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    flat = scoring.Network(seed=6).flat()
+    counts = Counter(w for _, t in rows for w in (t or "").lower().encode().split())
+    bucket = lambda w: zlib.crc32(w) % scoring.OTHER
+    total = Counter()
+    for w, n in counts.items():
+        if w not in words:
+            total[bucket(w)] += n
+    net = scoring.Network.of(flat)
+    got = {(r["doc_id"], r["n_words"]): r for r in scoring.score(docs, words, flat).collect()}
+    assert len(got) == len(rows)
+    for d, t in rows:
+        own = (t or "").lower().encode().split()
+        ids = [words.get(w, bucket(w)) for w in own]
+        padded = [scoring.EDGE] * 2 + ids + [scoring.EDGE] * 2
+        want = sum(float(net.log_prob(np.array([[padded[k + j] for j in (0, 1, 3, 4)]]), np.array([ids[k]]))[0]) for k in range(len(own)))
+        want += sum(np.log(counts[w] / total[bucket(w)]) for w in own if w not in words)
+        r = got[d, len(own)]
+        assert abs(r["log_prob"] - want) < 1e-3 * max(1, abs(want))
+        assert r["mean_log_prob"] is None if not own else abs(r["mean_log_prob"] - want / len(own)) < 1e-2
