@@ -5,7 +5,9 @@ anchors is kept, and the gaps between kept anchors are aligned in the same way.
 it begins and ends with on both sides. Coverage is the share of the template's words that are aligned.
 
 Regions: a template is looked for only where its words are dense; a text is cut where more than GAP words in a row are foreign
-to the template, and long regions are looked at in overlapping windows. A text that lacks the words for the least coverage of
+to the template. Within a region, windows of the template's length are aligned wherever their words could reach the least
+coverage, so that copies side by side are told apart; each such finding is then aligned again with all words up to its
+neighbours. What is left between them is aligned as a whole, or in overlapping windows if it is long. A text that lacks the words for the least coverage of
 a template is not aligned with it at all: that can't change a result.
 
 Defined results: null, empty and blank texts give no row; every finding is a row, so repeated licenses and repeated rows give
@@ -112,16 +114,70 @@ def prepared(templates: tuple[tuple[str, str], ...]) -> tuple[dict[bytes, int],
     return ids, own, share
 
 
-def regions(places: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
-    """(first, last + 1) word of every run in which template words are never more than GAP apart, long runs in windows."""
-    breaks = np.flatnonzero(np.diff(places) > GAP) + 1
-    for part in np.split(places, breaks):
-        first, end = int(part[0]), int(part[-1]) + 1
-        if end - first <= 2 * length + GAP:
-            yield first, end
+def regions(places: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, last + 1) word of every run in which template words are never more than GAP apart."""
+    for part in np.split(places, np.flatnonzero(np.diff(places) > GAP) + 1):
+        yield int(part[0]), int(part[-1]) + 1
+
+
+def tight(w: list[int], template: list[int], needed: int) -> list[tuple[int, int, int]]:
+    """(aligned, first, last + 1) of windows of the template's length that hold a copy; they may overlap."""
+    want, have, bound, end = Counter(template), Counter(), 0, 0
+    out, skip = [], 0
+    for k in range(len(w) - needed + 1):
+        while end < min(k + len(template), len(w)):
+            have[w[end]] += 1
+            bound += have[w[end]] <= want[w[end]]
+            end += 1
+        if k >= skip and bound >= needed and want[w[k]]:
+            pairs = align(w[k:end], template)
+            if len(pairs) >= needed:
+                out.append((len(pairs), k + pairs[0][0], k + pairs[-1][0] + 1))
+                if len(pairs) == len(template):
+                    skip = end  # a whole copy without other words: nothing in it can do better
+        bound -= have[w[k]] <= want[w[k]]
+        have[w[k]] -= 1
+    return out
+
+
+def apart(hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Hits that don't overlap, in order of their places; of overlapping ones the one with more aligned words, then the earlier."""
+    taken: list[tuple[int, int, int]] = []
+    for n, a, b in sorted(hits, key=lambda h: (-h[0], h[1], h[2])):
+        if all(b <= x or a >= y for _, x, y in taken):
+            taken.append((n, a, b))
+    return sorted(taken, key=lambda h: h[1])
+
+
+def copies(w: list[int], template: list[int], needed: int) -> list[tuple[int, int, int]]:
+    """(aligned, first, last + 1) of every copy of a template in the words of a region."""
+    size, own = len(template), set(template)
+    found = apart(tight(w, template, needed))
+    for k, (n, a, b) in enumerate(found):
+        low = max(found[k - 1][2] if k else 0, a - size)
+        high = min(found[k + 1][1] if k + 1 < len(found) else len(w), b + size)
+        pairs = align(w[low:high], template)
+        if len(pairs) > n:
+            found[k] = len(pairs), low + pairs[0][0], low + pairs[-1][0] + 1
+    edges = [0, *chain.from_iterable((a, b) for _, a, b in found), len(w)]
+    todo = list(zip(edges[::2], edges[1::2], strict=True))
+    while todo:
+        low, high = todo.pop()
+        if high - low <= 2 * size + GAP:
+            parts = [(low, high)]
         else:
-            for k in range(first, end - length // 2, max(1, length // 2)):
-                yield k, min(end, k + 2 * length)
+            parts = [(k, min(high, k + 2 * size)) for k in range(low, high - size // 2, max(1, size // 2))]
+        hits = []
+        for a, b in parts:
+            if sum(x in own for x in w[a:b]) >= needed:
+                pairs = align(w[a:b], template)
+                if len(pairs) >= needed:
+                    hits.append((len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1))
+        if hits := apart(hits):
+            found += hits
+            edges = [low, *chain.from_iterable((a, b) for _, a, b in hits), high]
+            todo += zip(edges[::2], edges[1::2], strict=True)
+    return found
 
 
 def scan(text: bytes, templates: tuple[tuple[str, str], ...], coverage: float) -> list[tuple]:
@@ -135,17 +191,9 @@ def scan(text: bytes, templates: tuple[tuple[str, str], ...], coverage: float) -
     for t in np.flatnonzero(share @ present >= coverage - 1e-9):
         name, template = own[t]
         needed = int(np.ceil(coverage * len(template) - 1e-9))
-        hits = []
-        for a, b in regions(np.flatnonzero((words >= 0) & (share[t][words] > 0)), len(template)):
+        for a, b in regions(np.flatnonzero((words >= 0) & (share[t][words] > 0))):
             if int((share[t][words[a:b]] * (words[a:b] >= 0) > 0).sum()) >= needed:
-                pairs = align(words[a:b].tolist(), template)
-                if len(pairs) >= needed:
-                    hits.append((len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1))
-        taken: list[tuple[int, int]] = []
-        for n, a, b in sorted(hits, key=lambda h: (-h[0], h[1], h[2])):
-            if all(b <= x or a >= y for x, y in taken):
-                taken.append((a, b))
-                out.append((name, n / len(template), n, len(template), a, b))
+                out += [(name, n / len(template), n, len(template), a + x, a + y) for n, x, y in copies(words[a:b].tolist(), template, needed)]
     best = [f for f in out if not any((g[2], g[1]) > (f[2], f[1]) and g[4] < f[5] and f[4] < g[5] for g in out)]
     return [(name, round(c, 4), n, size, found[a][0], found[b - 1][1]) for name, c, n, size, a, b in sorted(best, key=lambda f: (f[4], f[5], f[0]))]
 

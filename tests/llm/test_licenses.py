@@ -57,3 +57,16 @@ def test_prefilter_changes_nothing(spark):
     rows = [(k, " ".join(r.choices(words, k=r.randint(1, 60)))) for k in range(150)]
     got = sorted(map(tuple, licenses.findings(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
     assert got == sorted((d, *f) for d, t in rows for f in licenses.scan(t.encode(), tuple(licenses.TEMPLATES.items()), licenses.COVERAGE))
+
+
+def test_copies_side_by_side_are_all_found():
+    every = tuple(licenses.TEMPLATES.items())
+    for name, text in every:
+        for copies in (2, 3, 7):
+            for before, between, after in (("", " ", ""), ("the ", " ", " the"), ("to the ", " and of ", " the license"), ("x ", " zq " * 9, " x")):
+                found = licenses.scan((before + between.join([text] * copies) + after).encode(), every, licenses.COVERAGE)
+                assert [f[:2] for f in found] == [(name, 1.0)] * copies, (name, copies, before, found)
+    line = "Released under the MIT License."
+    changed = "Released under the very same MIT License."
+    found = licenses.scan(f"the {line} {changed} {line} the".encode(), every, licenses.COVERAGE)
+    assert [f[:2] for f in found] == [("MIT-line", 1.0)] * 3
