@@ -26,8 +26,8 @@ from stayspark.llm.common import Interner, arrow_rows, materialise, slices, tabl
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 ROOM = 4096
-OPEN_BINS = 1024
 PIECES_A_TASK = 50_000
+OPEN_BINS = PIECES_A_TASK  # long pieces come first and share no bin: fewer open bins would close before short pieces come
 CACHE = 900_000
 #: Lower-case Latin words that normalisation leaves as they are, and marks of which a run after such a word is a word of its own.
 ENDINGS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'

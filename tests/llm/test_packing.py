@@ -86,3 +86,10 @@ def test_whole_documents_and_gapless_sequences(spark, tokenizer):
     assert len(by) <= 1.1 * total / 64 + 2
     assert packing.packed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert len(list(chain.from_iterable(by.values()))) == len(got)
+
+
+def test_bins_of_long_pieces_stay_open_for_short_ones(spark):
+    sizes = [40] * 3000 + [24] * 3000
+    rows = [(k, 0, 0, n, k) for k, n in enumerate(sizes)]
+    got = packing.pack(spark.createDataFrame(rows, packing.PIECES), room=64)
+    assert got.select("sequence_id").distinct().count() == 3000
