@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayspark.llm.common import materialise
+from stayspark.llm.common import discard, materialise
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -35,6 +35,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # A forest of stars: every node has one smaller neighbour, which is no one's larger one.
         roots = new.select(F.col("a").alias("b")).distinct()
         done = new.groupBy("b").count().where("count > 1").limit(1).count() == 0 and new.join(roots, "b", "left_semi").limit(1).count() == 0
+        discard(edges)
         edges = new
         if done:
             break

@@ -1,29 +1,35 @@
 """Jaccard join of 5-word shingle sets by universe-partition pigeonholes.
 
 A set's shingles are hashed into the segments of its size band, and into those of the band below if a partner may lie there.
-Two sets with J >= 75/100 differ in at most H = (|r| + |s|) / 7 shingles. A set indexes the first H + 1 + SLACK of its segments
-that have shingles, each as a signature of all shingles in it: at most H segments differ, so at least one indexed segment is
-the same in both (the set whose indexed segments end first shows it), and after SLACK ones were skipped still one.
-
-Skipping is the cost-based allocation: signatures that more than HOT sets share (a passage of many documents) cost pairs in
-the square of their number, and are skipped by every set that has SLACK of them or fewer. A set with more of them (one of
-thousands of near copies) skips its SLACK most common ones, and the others are allocated as follows: all sets of the signature
-are compared with the least one; what is connected through it needs no more comparing; what is not is compared pair by pair.
+All shingles in a segment are one signature. Two sets with J >= 75/100 differ in at most H = (|r| + |s|) / 7 shingles, so in at
+most H segments: of f segments with shingles at least f - H are the same in both. Hence, under any one order of all signatures,
+the first H + 1 of each set have one in common.
+
+The order is the cost-based allocation. A signature that up to HOT sets have is cheap: its pairs are made. A dearer one (a
+passage of many documents, a segment that thousands of near copies share) comes last, dearer ones later, and is looked at only
+by sets that lack H + 1 cheap ones: these skip f - H - 1 of their signatures, the dearest, and need the others. All sets
+of a dear signature are compared with a few of them (pivots); what is connected through these needs no more comparing; sets that
+need the same dear signature and are still apart are joined on it, with sizes and folded sketches in the join's condition.
 One-deletion neighbourhoods serve small sets, of two to seven shingles: they also index the whole set, and it without each one
-of its shingles. Should a set have too few segments with shingles to guarantee its pairs, all is indexed anew with other hashes.
+of its shingles. Should a set have H or fewer segments with shingles, all is indexed anew with other hashes and more segments.
 
 Candidates pass a lower bound on their difference (parity sketches) and are then verified exactly on the shingles. Equal sets
-are one set from the beginning; components need no pairs inside what is connected already.
+are one set from the beginning; components need no pairs inside what is connected already. Sets are named by 64-bit keys; where
+two different sets have one key (a second hash shows it) both get names of their own and are a candidate pair.
+
+Members of one signature meet in one task, at 12 bytes each and at most `hot` + 1 from each 1,500,000 signatures that a task has
+made: those beyond go their own way and are tied to the least of their kind there.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing, equal ones included; rows with equal
 doc_id are each a row of the result, in the component of all their texts' links; null ids give rows with their own shingle
-count and a null component; an empty table gives no row; other columns are ignored.
+count and a null component; an empty table gives no row; other columns are ignored; a text of any length is one set.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from functools import reduce
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +43,10 @@ from stayspark.llm.components import components
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
-SLACK = 0.08
 HOT = 48
 SKETCH = 512  # bits of the smallest sketch
-SEEDS = 8
+FLUSH = 1_500_000  # signatures that a task holds before it hands them on
+KEY_BITS = 64
 CHARS_A_TASK = 24_000_000
 BROADCAST_SETS = 500_000  # 16 bytes each
 U = np.uint64
@@ -84,8 +90,8 @@ def shingle_sets(batch: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of each set; 0 for empty ones."""
+def set_keys(sets: list[np.ndarray], bits: int = KEY_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each set; 0 for empty ones. The first keeps so many bits."""
     size = np.array([len(s) for s in sets], np.int64)
     full = np.flatnonzero(size)
     out = np.zeros((2, len(sets)), np.int64)
@@ -93,7 +99,7 @@ def set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         flat, at = np.concatenate(sets), (np.cumsum(size) - size)[full]
         for k in (0, 1):
             out[k, full] = np.add.reduceat(mix(flat, 11 + k), at).view(np.int64)
-    return out[0], out[1]
+    return out[0] if bits == 64 else out[0] & ((1 << bits) - 1), out[1]
 
 
 def sketch(s: np.ndarray) -> bytes:
@@ -133,10 +139,6 @@ def schemes(n: int) -> list[tuple[int, int]]:
     return out
 
 
-def slack(n: int) -> int:
-    return 2 + int(SLACK * n)
-
-
 def neighbourhoods(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
     """(index of set, signature) of small sets and of each of them without one shingle."""
     owner, sig = [], []
@@ -150,8 +152,9 @@ def neighbourhoods(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
     return owner, sig
 
 
-def signatures(sets: list[np.ndarray], seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of set, signature) of all indexed segments, and the sets that are short of segments."""
+def signatures(sets: list[np.ndarray], seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(index of set, signature) of all segments with shingles; (even, odd) of each set: how many signatures of its even and of
+    its odd band it may skip, -1 for none; and the sets that are short of segments. A signature's highest bit is its band's lowest."""
     owner, band, most = [], [], []
     for k, s in enumerate(sets):
         if len(s):
@@ -159,87 +162,123 @@ def signatures(sets: list[np.ndarray], seed: int = 0) -> tuple[np.ndarray, np.nd
                 owner.append(k)
                 band.append(b)
                 most.append(h)
+    room = np.full((len(sets), 2), -1, np.int64)
     if not owner:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), room, np.zeros(0, np.int64)
     owner, band, most = np.array(owner), np.array(band), np.array(most)
     size = np.array([len(sets[k]) for k in owner])
     row = np.repeat(np.arange(len(owner)), size)
     h = np.concatenate([sets[k] for k in owner])
-    segment = (mix(h, 30 + seed) % np.array([band_segments(b) for b in band], np.uint64)[row]).astype(np.int64)
-    key = row.astype(np.int64) << 32 | segment
+    segment = (mix(h, 30 + seed) % np.array([band_segments(b) << min(seed, 20) for b in band], np.uint64)[row]).astype(np.int64)
+    key = row.astype(np.int64) << 40 | segment
     order = np.argsort(key)
     key, h = key[order], mix(h[order], 5)
     first = np.flatnonzero(np.diff(key, prepend=-1))
     total = np.add.reduceat(h, first)
     key = key[first]
-    row = key >> 32
-    rank = np.arange(len(key)) - np.searchsorted(row, np.arange(len(owner)))[row]
-    limit = most + 1 + np.array([slack(n) for n in size])
-    chosen = rank < limit[row]
-    sig = mix(total + mix(((band[row] << 32) | (key & 0xFFFFFFFF)).astype(np.uint64), 9), 4)
-    short = np.bincount(row, minlength=len(owner)) <= most
+    row = key >> 40
+    sig = mix(total + mix(((band[row] << 40) | (key & 0xFFFFFFFFFF)).astype(np.uint64), 9), 4)
+    sig = sig & U(0x7FFFFFFFFFFFFFFF) | (band[row] & 1).astype(np.uint64) << U(63)
+    filled = np.bincount(row, minlength=len(owner))
+    room[owner, band & 1] = filled - most - 1
     more = neighbourhoods(sets)
-    return np.append(owner[row[chosen]], np.array(more[0], np.int64)), np.append(sig[chosen], np.array(more[1], np.uint64)), np.unique(owner[short])
+    return np.append(owner[row], np.array(more[0], np.int64)), np.append(sig, np.array(more[1], np.uint64)), room, np.unique(owner[filled <= most])
 
 
-def _blob(sig: np.ndarray, ids: np.ndarray) -> bytes:
-    return sig.astype("<u4").tobytes() + ids.astype("<i8").tobytes()
+def _blob(sig: np.ndarray, ids: np.ndarray, width: int = 4) -> bytes:
+    return sig.astype(f"<u{width}").tobytes() + ids.astype("<i8").tobytes()
 
 
 def _unblob(data: bytes, width: int = 4) -> tuple[np.ndarray, np.ndarray]:
     n = len(data) // (width + 8)
-    return np.frombuffer(data, f"<u{width}" if width == 4 else "<i8", n), np.frombuffer(data, "<i8", n, n * width)
+    return np.frombuffer(data, f"<u{width}", n), np.frombuffer(data, "<i8", n, n * width)
 
 
-_OWN = [("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("check", pa.int64()), ("sketch", pa.binary())]
+_OWN = [("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("check", pa.int64()), ("even", pa.int64()), ("odd", pa.int64()), ("sketch", pa.binary())]
 _BLOBS = pa.schema([("bucket", pa.int32()), ("data", pa.binary()), *_OWN])
-_OWN_DDL = "doc_id long, n long, set_id long, check long, sketch binary"
+_OWN_DDL = "doc_id long, n long, set_id long, check long, even long, odd long, sketch binary"
+SHORT, CROWD = -1, -2  # buckets of sets short of segments, and of members beyond what a task hands on to a signature's bucket
+
+
+def _lacking(rows: int, names: list[tuple[str, pa.DataType]]) -> dict[str, pa.Array]:
+    return {k: pa.nulls(rows, t) for k, t in names}
 
 
-def indexed(docs: DataFrame, buckets: int, seed: int = 0) -> DataFrame:
+def crowded(sig: np.ndarray, ids: np.ndarray, most: int) -> np.ndarray:
+    """Whether an entry is beyond the `most` least ids of its signature."""
+    out = np.zeros(len(sig), bool)
+    place = ((sig >> U(12)) & U((1 << 20) - 1)).astype(np.int64)
+    maybe = np.flatnonzero(np.bincount(place, minlength=1 << 20)[place] > most)
+    if len(maybe):
+        maybe = maybe[np.lexsort((ids[maybe], sig[maybe]))]
+        own = sig[maybe]
+        start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        rank = np.arange(len(own)) - np.repeat(start, np.diff(np.append(start, len(own))))
+        out[maybe[rank >= most]] = True
+    return out
+
+
+def indexed(docs: DataFrame, buckets: int, hot: int, seed: int = 0, bits: int = KEY_BITS) -> DataFrame:
     """Signatures of all sets as blobs (32 bits of the signature beside the bucket, and the set), one for each bucket and some
-    MB of input, and a row without blob for every document. A task indexes equal sets that it meets again and again once.
-    Bucket -1 has sets that are short of segments."""
+    MB of input, and a row without blob for every document. A task indexes equal sets that it meets again and again once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
+        met = 0
 
         def rows(bucket, data) -> pa.RecordBatch:
-            none = pa.nulls(len(bucket), pa.int64())
-            return arrow_rows(_BLOBS, bucket=bucket, data=data, doc_id=none, n=none, set_id=none, check=none, sketch=pa.nulls(len(bucket), pa.binary()))
+            return arrow_rows(_BLOBS, bucket=bucket, data=data, **_lacking(len(bucket), _OWN))
 
-        def out() -> pa.RecordBatch:
+        def out() -> Iterator[pa.RecordBatch]:
             sig, ids = (np.concatenate(x) for x in zip(*kept, strict=True))
             bucket = (sig % U(buckets)).astype(np.int64)
+            beyond = crowded(sig, ids, hot + 1)
+            if beyond.any():
+                # Members beyond, each with the least one of its signature here.
+                here = np.isin(sig, np.unique(sig[beyond]))
+                own, member = sig[here], ids[here]
+                order = np.lexsort((member, own))
+                own, member = own[order], member[order]
+                start = np.append(True, own[1:] != own[:-1])
+                least = member[start][np.cumsum(start) - 1]
+                rank = np.arange(len(own)) - np.flatnonzero(start)[np.cumsum(start) - 1]
+                far = rank > hot
+                name = (own[far] % U(buckets)) << U(32) | own[far] >> U(32)
+                yield rows([CROWD - met % buckets], [_blob(name, member[far], 8) + least[far].astype("<i8").tobytes()])
+                sig, ids, bucket = sig[~beyond], ids[~beyond], bucket[~beyond]
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             filled = [b for b in range(buckets) if ends[b] < ends[b + 1]]
-            return rows(filled, [_blob(sig[at] >> U(32), ids[at]) for at in (order[ends[b] : ends[b + 1]] for b in filled)])
+            yield rows(filled, [_blob(sig[at] >> U(32), ids[at]) for at in (order[ends[b] : ends[b + 1]] for b in filled)])
 
         for whole in batches:
             for batch in slices(whole):
                 sets = shingle_sets(texts(batch))
-                keys, checks = set_keys(sets)
+                keys, checks = set_keys(sets, bits)
                 size = np.array([len(s) for s in sets], np.int64)
-                yield arrow_rows(_BLOBS, bucket=(keys % buckets).astype(np.int32), data=pa.nulls(len(sets), pa.binary()), doc_id=batch.column("doc_id"), n=size, set_id=keys, check=checks, sketch=[sketch(s) for s in sets])
                 own = []
-                for k, key in enumerate(keys.tolist()):
+                for k, key in enumerate(zip(keys.tolist(), checks.tolist(), strict=True)):
                     if size[k] and key not in seen:
                         seen.add(key)
                         own.append(k)
                 if len(seen) > 1_000_000:
                     seen.clear()
-                of, sig, short = signatures([sets[k] for k in own], seed)
+                of, sig, room, short = signatures([sets[k] for k in own], seed)
+                rooms = np.full((len(sets), 2), -1, np.int64)
+                rooms[own] = room
+                # Rows without blob go to buckets in turn: copies of one text don't meet in one task.
+                yield arrow_rows(_BLOBS, bucket=((met + np.arange(len(sets))) % buckets).astype(np.int32), data=pa.nulls(len(sets), pa.binary()), doc_id=batch.column("doc_id"), n=size, set_id=keys, check=checks, even=rooms[:, 0], odd=rooms[:, 1], sketch=[sketch(s) for s in sets])
+                met += len(sets)
                 if len(short):
-                    yield rows([-1], [b""])
+                    yield rows([SHORT], [b""])
                 if len(sig):
                     kept.append((sig, keys[own][of]))
-                if sum(len(x) for x, _ in kept) > 1_500_000:
-                    yield out()
+                if sum(len(x) for x, _ in kept) > FLUSH:
+                    yield from out()
                     kept.clear()
         if kept:
-            yield out()
+            yield from out()
 
     return with_bytes(docs).mapInArrow(run, f"bucket int, data binary, {_OWN_DDL}")
 
@@ -247,9 +286,10 @@ def indexed(docs: DataFrame, buckets: int, seed: int = 0) -> DataFrame:
 _PAIRS = pa.schema([("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), *_OWN])
 
 
-def _row(kind: str, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
-    none = pa.nulls(len(a), pa.int64())
-    return arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar(kind), len(a)), a=a, b=b, doc_id=none, n=none if n is None else n, set_id=none, check=none, sketch=pa.nulls(len(a), pa.binary()))
+def _rows(kind: str, a: np.ndarray, b: np.ndarray, most: int = 100_000) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(a), most):
+        n = len(a[k : k + most])
+        yield arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar(kind), n), a=a[k : k + most], b=b[k : k + most], **_lacking(n, _OWN))
 
 
 def _pairs_within(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -271,14 +311,16 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
+def pivots(members: np.ndarray) -> list[int]:
+    """The least of some ids in three different orders."""
+    return [int(members[np.argmin(members if k < 0 else mix(members.view(np.uint64), k))]) for k in (-1, 60, 61)]
+
+
 def gathered(blobs: DataFrame, partitions: int, hot: int = HOT) -> DataFrame:
-    """Rows of kind `pair` (a, b) for pairs of a signature's group of at most `hot` sets, `hot` (a signature, b set, n sets of
-    the group) for larger groups, `set` for every document, and `short`."""
+    """Rows of kind `pair` (a, b) for pairs of a signature's group of at most `hot` sets, and for pairs of a larger group's
+    sets with its pivots; `hot` (a signature, b set) for larger groups, `set` for every document, and `short`."""
 
-    def groups(bucket: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        if bucket < 0:
-            yield _row("short", np.zeros(1, np.int64), np.zeros(1, np.int64))
-            return
+    def groups(parts: list[bytes], bucket: int) -> Iterator[pa.RecordBatch]:
         sig, ids = (np.concatenate(x) for x in zip(*map(_unblob, parts), strict=True))
         order = np.lexsort((ids, sig))
         sig, ids = sig[order], ids[order]
@@ -288,35 +330,44 @@ def gathered(blobs: DataFrame, partitions: int, hot: int = HOT) -> DataFrame:
         starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         sizes = np.diff(np.append(starts, len(sig)))
         some = (sizes > 1) & (sizes <= hot)
-        a, b = _distinct(*_pairs_within(ids, starts[some], sizes[some]))
-        for k in range(0, len(a), 100_000):
-            yield _row("pair", a[k : k + 100_000], b[k : k + 100_000])
+        pairs = [_pairs_within(ids, starts[some], sizes[some])]
         for at in np.flatnonzero(sizes > hot):
             members = ids[starts[at] : starts[at] + sizes[at]]
             name = (bucket << 32) | int(sig[starts[at]])
-            yield _row("hot", np.full(len(members), name), members, np.full(len(members), len(members)))
+            yield from _rows("hot", np.full(len(members), name), members)
+            for p in pivots(members):
+                other = members[members != p]
+                pairs.append((np.minimum(other, p), np.maximum(other, p)))
+        yield from _rows("pair", *_distinct(*(np.concatenate(x) for x in zip(*pairs, strict=True))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
         for whole in batches:
             own = whole.filter(pc.is_null(whole.column("data")))
             if own.num_rows:
-                yield arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar("set"), own.num_rows), a=pa.nulls(own.num_rows, pa.int64()), b=pa.nulls(own.num_rows, pa.int64()), **{k: own.column(k) for k, _ in _OWN})
+                yield arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar("set"), own.num_rows), **_lacking(own.num_rows, [("a", pa.int64()), ("b", pa.int64())]), **{k: own.column(k) for k, _ in _OWN})
             batch = whole.filter(pc.is_valid(whole.column("data")))
             for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                if bucket != now and parts:
-                    yield from groups(now, parts)
-                    parts = []
-                now = bucket
-                parts.append(data)
+                if bucket == SHORT:
+                    yield from _rows("short", np.zeros(1, np.int64), np.zeros(1, np.int64))
+                elif bucket <= CROWD:
+                    name, member, least = np.frombuffer(data, "<i8").reshape(3, -1)
+                    yield from _rows("hot", name, member)
+                    yield from _rows("pair", *_distinct(least, member))
+                else:
+                    if bucket != now and parts:
+                        yield from groups(parts, now)
+                        parts = []
+                    now = bucket
+                    parts.append(data)
         if parts:
-            yield from groups(now, parts)
+            yield from groups(parts, now)
 
     return blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, f"kind string, a long, b long, {_OWN_DDL}")
 
 
-def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sizes and sketches allow a link."""
+def plausible(pairs: DataFrame, sets: DataFrame, by: str = "node") -> DataFrame:
+    """Pairs (a, b) of nodes whose sizes and sketches allow a link; the pairs given are of nodes, or `by` keys (set_id)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,12 +380,13 @@ def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 near = pa.array([bool(f) and bits_apart(sa[k].as_py(), sb[k].as_py()) <= m for k, (f, m) in enumerate(zip(fits, most, strict=True))], pa.bool_())
                 yield arrow_rows(schema, a=batch.column("a").filter(near), b=batch.column("b").filter(near))
 
-    of = lambda x: sets.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    of = lambda x: sets.select(F.col(by).alias(x), F.col("node").alias(f"k{x}"), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    return both.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"), "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs that are linked, by exact comparison of shingles; members: (set_id, shingles)."""
+    """The pairs that are linked, by exact comparison of shingles; members: (node, shingles)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,67 +403,87 @@ def verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield arrow_rows(schema, a=batch.column("a").filter(keep), b=batch.column("b").filter(keep))
 
-    x, y = members.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), members.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
+    x, y = members.select(F.col("node").alias("a"), F.col("shingles").alias("x")), members.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def shingles_of(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(set_id, shingles) of all sets in pairs; once for every row of the document that stands for a set."""
-    schema = pa.schema([("set_id", pa.int64()), ("shingles", pa.binary())])
+def shingles_of(docs: DataFrame, pairs: DataFrame, sets: DataFrame, bits: int = KEY_BITS) -> DataFrame:
+    """(node, shingles) of all sets in pairs; once for every row of the document that stands for a set."""
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                made, ids = shingle_sets(texts(batch)), batch.column("set_id").to_pylist()
+                made = shingle_sets(texts(batch))
+                keys, checks = set_keys(made, bits)
                 # Rows with equal ids may have other texts; only that of the set counts.
-                rows = [(k, s.tobytes()) for k, own, s in zip(ids, set_keys(made)[0].tolist(), made, strict=True) if own == k]
-                if rows:
-                    yield arrow_rows(schema, set_id=[k for k, _ in rows], shingles=[s for _, s in rows])
+                own = np.flatnonzero((keys == batch.column("set_id").to_numpy()) & (checks == batch.column("check").to_numpy()))
+                if len(own):
+                    yield arrow_rows(schema, node=batch.column("node").take(pa.array(own)), shingles=[made[k].tobytes() for k in own])
 
-    ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
-    wanted = materialise(ids.join(sets, "set_id").select("set_id", "doc_id"), "wanted")
+    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = materialise(ids.join(sets, "node").select("node", "set_id", "check", "doc_id"), "wanted")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_SETS else wanted
-    return with_bytes(docs).join(side, "doc_id").select("set_id", "text").mapInArrow(run, "set_id long, shingles binary")
+    return with_bytes(docs).join(side, "doc_id").select("node", "set_id", "check", "text").mapInArrow(run, "node long, shingles binary")
 
 
-def scanned(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def scanned(docs: DataFrame, hot: int = HOT, bits: int = KEY_BITS) -> DataFrame:
     """The result of one pass over docs: rows of `gathered`. The number of partitions follows the amount of text."""
     spark = docs.sparkSession
     chars = docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // CHARS_A_TASK))
-    for seed in range(SEEDS):
-        groups = materialise(gathered(indexed(docs, 4 * partitions, seed), partitions, hot), "groups")
+    for seed in count():
+        groups = materialise(gathered(indexed(docs, 4 * partitions, hot, seed, bits), partitions, hot), "groups")
         if groups.where("kind = 'short'").limit(1).count() == 0:
             return groups
         discard(groups)
-    raise ArithmeticError("sets stay short of segments under every seed")
 
 
-def links(docs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): links between different sets, enough to connect what is connected. sets: one row (set_id, doc_id, n, sketch) each."""
-    large = groups.where("kind = 'hot'").select(F.col("a").alias("signature"), F.col("b").alias("set_id"), "n")
-    least = large.groupBy("signature").agg(F.min("set_id").alias("a"))
-    spokes = large.join(least, "signature").where("set_id != a").select("a", F.col("set_id").alias("b"))
-    pairs = groups.where("kind = 'pair'").select("a", "b").unionByName(spokes).distinct()
-    near = materialise(plausible(pairs, sets), "near")
+def distinct_sets(full: DataFrame) -> DataFrame:
+    """One row (set_id, check, node, doc_id, n, even, odd, sketch) for each set; sets with one key get nodes of their own."""
+    facts = [F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("even").alias("even"), F.max("odd").alias("odd"), F.first("sketch").alias("sketch")]
+    by_key = materialise(full.groupBy("set_id").agg(F.min("check").alias("check"), F.max("check").alias("high"), *facts), "distinct")
+    sets = by_key.where(F.col("check") == F.col("high")).withColumn("node", F.col("set_id"))
+    odd = by_key.where(F.col("check") != F.col("high")).select("set_id")
+    if not odd.isEmpty():
+        own = full.join(odd, "set_id", "left_semi").groupBy("set_id", "check").agg(*facts).withColumn("node", F.xxhash64("set_id", "check"))
+        sets = materialise(sets.drop("high").unionByName(own), "distinct")
+    return sets.select("set_id", "check", "node", "doc_id", "n", "even", "odd", "sketch")
+
+
+def links(docs: DataFrame, groups: DataFrame, sets: DataFrame, bits: int = KEY_BITS) -> DataFrame:
+    """(a, b): links between different sets, enough to connect what is connected."""
+    pairs = groups.where("kind = 'pair'").select("a", "b").distinct()
+    near = plausible(pairs, sets, "set_id")
+    own = sets.where("node != set_id").select("set_id", "node")
+    if not own.isEmpty():
+        same = own.select("set_id", F.col("node").alias("a")).join(own.select("set_id", F.col("node").alias("b")), "set_id").where("a < b").select("a", "b")
+        near = near.unionByName(same).distinct()
+    near = materialise(near, "near")
+    large = materialise(groups.where("kind = 'hot'").select(F.col("a").alias("signature"), F.col("b").alias("set_id")).distinct(), "hot")
     # First one partner for each set; pairs that are connected by then need no look.
     first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    found = checked(docs, first, sets)
+    found = checked(docs, first, sets, bits)
     at = components(found)
-    found = materialise(found.unionByName(checked(docs, unconnected(near, at), sets)), "links")
-    at = materialise(components(found), "components")
-    rest = unconnected(plausible(apart(large, at, sets), sets), at)
-    return found.unionByName(checked(docs, rest, sets))
+    found = materialise(found.unionByName(checked(docs, unconnected(near, at), sets, bits)), "links")
+    discard(near)
+    if large.isEmpty():
+        return found
+    rest = materialise(plausible(apart(large, components(found), sets), sets), "apart")
+    first = rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    found = materialise(found.unionByName(checked(docs, first, sets, bits)), "links")
+    return found.unionByName(checked(docs, unconnected(rest, components(found)), sets, bits))
 
 
-def checked(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def checked(docs: DataFrame, pairs: DataFrame, sets: DataFrame, bits: int = KEY_BITS) -> DataFrame:
     """The linked ones of pairs, in the shared folder."""
     pairs = materialise(pairs, "pairs")
     if pairs.isEmpty():
         return pairs
-    members = materialise(shingles_of(docs, pairs, sets), "shingles")
+    members = materialise(shingles_of(docs, pairs, sets, bits), "shingles")
     out = materialise(verified(pairs, members), "links")
     discard(members)
+    discard(pairs)
     return out
 
 
@@ -421,39 +493,58 @@ def unconnected(pairs: DataFrame, at: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(ca != cb).select("a", "b")
 
 
-def apart(large: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of sets that only signatures of large groups can show, and that are not connected yet.
+def folded(sets: DataFrame) -> DataFrame:
+    """sets with their sketches as longs f0, f1 and so on, of SKETCH bits in all."""
+    names = [f"f{k}" for k in range(SKETCH // 64)]
+    schema = pa.schema([(k, pa.int64()) for k in ("signature", "node", "n", "component", *names)])
 
-    A set needs its large signatures but for the SLACK most common ones; in these, sets of the same component as the rest of
-    the group are done, so pairs are made between a set and those of other components.
-    """
-    room = F.lit(2) + (F.lit(SLACK) * F.col("size")).cast("long")
-    ranked = large.join(sets.select("set_id", F.col("n").alias("size")), "set_id").withColumn("rank", F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("n"), "signature")))
-    needing = ranked.where(F.col("rank") > room).select("signature", "set_id")
-    labelled = large.join(at, large["set_id"] == at["node"], "left").select("signature", "set_id", F.coalesce("component", "set_id").alias("component"))
-    mixed = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("signature")
-    need = needing.join(mixed, "signature").join(at, needing["set_id"] == at["node"], "left").select("signature", F.col("set_id").alias("x"), F.coalesce("component", "set_id").alias("cx"))
-    other = labelled.join(need.select("signature").distinct(), "signature", "left_semi").select("signature", F.col("set_id").alias("y"), F.col("component").alias("cy"))
-    return need.join(other, "signature").where("cx != cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            f = np.array([np.bitwise_xor.reduce(np.frombuffer(x, np.int64).reshape(-1, len(names)), axis=0) for x in batch.column("sketch").to_pylist()], np.int64).reshape(-1, len(names))
+            yield arrow_rows(schema, **{k: batch.column(k) for k in ("signature", "node", "n", "component")}, **{k: f[:, i] for i, k in enumerate(names)})
 
+    return sets.select("signature", "node", "n", "component", "sketch").mapInArrow(run, ", ".join(f"{k} long" for k in schema.names))
 
-def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
+
+def apart(large: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of nodes that only signatures of large groups can show, and that are not connected yet.
+
+    Of a band's signatures a set may skip as many as its room says, the dearest; it needs the other large ones, and so does any
+    partner for which no cheaper signature is the same. So what needs a signature is joined with what needs it, nothing else.
+    """
+    odd = (F.shiftrightunsigned("signature", 31) % 2).alias("parity")
+    mine = large.groupBy("set_id", odd).agg(F.count("*").alias("k"))
+    room = F.when(F.col("parity") == 1, F.col("odd")).otherwise(F.col("even"))
+    needy = mine.join(sets, (mine["set_id"] == sets["set_id"]) & (F.col("k") > room)).select(mine["set_id"].alias("key"), F.col("parity").alias("side"), (F.col("k") - room).alias("needs"), "node", "n", "sketch")
+    needy = needy.join(at.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").withColumn("component", F.coalesce("component", "node")).drop("own")
+    needy = materialise(needy, "needy")
+    rows = large.select("signature", "set_id", odd).join(needy, (F.col("set_id") == F.col("key")) & (F.col("parity") == F.col("side")))
+    size = large.groupBy("signature").agg(F.count("*").alias("members"))
+    rank = F.row_number().over(Window.partitionBy("node", "side").orderBy("members", "signature"))
+    need = rows.join(size, "signature").withColumn("rank", rank).where("rank <= needs")
+    need = materialise(folded(need), "need")
+    x, y = (need.select("signature", *[F.col(k).alias(f"{k}_{s}") for k in need.columns if k != "signature"]) for s in ("x", "y"))
+    bits = reduce(lambda p, q: p + q, [F.bit_count(F.col(f"f{k}_x").bitwiseXOR(F.col(f"f{k}_y"))) for k in range(SKETCH // 64)])
+    fits = (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y")) & (DENOMINATOR * F.least("n_x", "n_y") >= NUMERATOR * F.greatest("n_x", "n_y")) & (bits * (DENOMINATOR + NUMERATOR) <= (F.col("n_x") + F.col("n_y")) * (DENOMINATOR - NUMERATOR))
+    both = x.join(y.withColumnRenamed("signature", "other"), (F.col("signature") == F.col("other")) & fits)
+    return both.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+
+
+def near_duplicates(docs: DataFrame, hot: int = HOT, bits: int = KEY_BITS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    groups = scanned(docs, hot)
-    rows = groups.where("kind = 'set'").select("doc_id", "n", "set_id", "check", "sketch")
-    full = rows.where("n > 0 and doc_id is not null")
-    sets = full.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.min("check").alias("low"), F.max("check").alias("high"))
-    sets = materialise(sets, "distinct")
-    if sets.where("low != high").limit(1).count():
-        raise ArithmeticError("two different sets have one 64-bit key")
-    at = components(links(docs, groups, sets.drop("low", "high")))
+    groups = scanned(docs, hot, bits)
+    full = groups.where("kind = 'set' and n > 0 and doc_id is not null")
+    sets = distinct_sets(full.select("doc_id", "n", "set_id", "check", "even", "odd", "sketch"))
+    rows = materialise(groups.where("kind = 'set'").select("doc_id", "n", "set_id", "check"), "rows")
+    at = materialise(components(links(docs, groups, sets, bits)), "components")
+    discard(groups)
     # Equal sets and repeated ids connect documents too: ids and sets are the two sides of one graph, its links are few.
-    named = sets.select("set_id").join(at, sets["set_id"] == at["node"], "left").select("set_id", F.coalesce("component", "set_id").alias("group"))
-    by = full.select("doc_id", "set_id").distinct().join(named, "set_id").select("doc_id", "group").distinct()
-    several = by.groupBy("doc_id").agg(F.min("group").alias("a"), F.max("group").alias("b"), F.count("*").alias("k"))
+    named = sets.select("set_id", "check", "node").join(at, "node", "left").select("set_id", "check", F.coalesce("component", "node").alias("group"))
+    by = rows.where("n > 0 and doc_id is not null").select("doc_id", "set_id", "check").distinct().join(named, ["set_id", "check"]).select("doc_id", "group").distinct()
     by = materialise(by, "groups")
-    if several.where("k > 1").limit(1).count():  # ids with several texts connect these texts' groups
-        pairs = by.join(several.where("k > 1").select("doc_id", "a"), "doc_id").select("a", F.col("group").alias("b"))
+    several = by.groupBy("doc_id").agg(F.min("group").alias("a"), F.count("*").alias("k")).where("k > 1")
+    if not several.isEmpty():  # ids with several texts connect these texts' groups
+        pairs = by.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("group").alias("b"))
         joined = components(pairs)
         by = by.join(joined, by["group"] == joined["node"], "left").select("doc_id", F.coalesce("component", "group").alias("group")).distinct()
     least = by.groupBy("group").agg(F.min("doc_id").alias("component_id"))

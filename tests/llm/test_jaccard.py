@@ -2,6 +2,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from stayspark.llm import jaccard
@@ -66,6 +67,16 @@ def test_empty(spark):
     assert got(spark, []) == []
 
 
+def test_keys_that_collide(spark):
+    rows = [*corpus(6, 6), *[(5000 + k, f"one{k} two three four five six") for k in range(30)]]
+    assert got(spark, rows, hot=3, bits=4) == brute(rows)
+
+
+def test_members_beyond_what_a_task_hands_on():
+    sig = np.array([7 << 12] * 5 + [9 << 12] * 2, np.uint64)
+    assert jaccard.crowded(sig, np.array([5, 3, 4, 1, 2, 8, 9]), 3).tolist() == [True, False, True, False, False, False, False]
+
+
 def test_every_linked_pair_shares_a_signature():
     r = random.Random(9)
     words = [f"w{k}".encode() for k in range(5000)]
@@ -78,9 +89,16 @@ def test_every_linked_pair_shares_a_signature():
                 other[at : at + r.choice([0, 1])] = r.choices(words, k=r.choice([0, 1, 1]))
             a, b = jaccard.shingle_sets([b" ".join(base), b" ".join(other)])
             if len(a) and len(b) and jaccard.linked(len(set(a.tolist()) & set(b.tolist())), len(a), len(b)):
-                of, sig, short = jaccard.signatures([a, b])
+                of, sig, room, short = jaccard.signatures([a, b])
                 assert not len(short)
-                assert set(sig[of == 0].tolist()) & set(sig[of == 1].tolist())
+                for seed in range(4):
+                    first = [set(), set()]
+                    for k in (0, 1):
+                        for parity in (0, 1):
+                            own = [x for x in sig[of == k].tolist() if x >> 63 == parity]
+                            own.sort(key=lambda x: random.Random(f"{x} {seed}").random())
+                            first[k] |= set(own[: max(0, len(own) - int(room[k, parity]))] if room[k, parity] >= 0 else [])
+                    assert first[0] & first[1]
 
 
 def test_components(spark):
