@@ -17,7 +17,7 @@ Candidates pass a lower bound on their difference (parity sketches) and are then
 are one set from the beginning; components need no pairs inside what is connected already. Sets are named by 64-bit keys; where
 two different sets have one key (a second hash shows it) both get names of their own and are a candidate pair.
 
-Members of one signature meet in one task, at 12 bytes each and at most `hot` + 1 from each 1,500,000 signatures that a task has
+Members of one signature meet in one task, at 12 bytes each and at most `hot` + 1 from each FLUSH signatures that a task has
 made: those beyond go their own way and are tied to the least of their kind there.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing, equal ones included; rows with equal
@@ -38,14 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayspark.llm.common import ChunkValues, arrow_rows, cached, discard, materialise, slices, table, texts, with_bytes
+from stayspark.llm.common import arrow_rows, discard, materialise, slices, table, texts, with_bytes
 from stayspark.llm.components import components
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 HOT = 48
 SKETCH = 512  # bits of the smallest sketch
-FLUSH = 1_500_000  # signatures that a task holds before it hands them on
+FLUSH = 500_000  # signatures that a task holds before it hands them on
+SLICE = 1 << 20  # bytes of text that are worked on at once
 KEY_BITS = 64
 CHARS_A_TASK = 24_000_000
 BROADCAST_SETS = 500_000  # 16 bytes each
@@ -60,16 +61,11 @@ def mix(x: np.ndarray, k: int = 0) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _hashes(chunks: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, chunks), np.uint64, len(chunks))[:, None]
-
-
 def shingle_sets(batch: list[bytes]) -> list[np.ndarray]:
     """The distinct shingle hashes of each text, in order."""
-    cache = cached("words", 0, lambda: ChunkValues(_hashes, 1, np.uint64))
     split = [t.lower().split() for t in batch]
     size = [len(x) for x in split]
-    words = cache.lookup(list(chain.from_iterable(split)))[:, 0]
+    words = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(split)), np.uint64, sum(size))
     h = words[: max(0, len(words) - SHINGLE + 1)].copy()
     for k in range(1, SHINGLE):
         h = h * _MIX[3] + words[k : k + len(h)]
@@ -253,7 +249,7 @@ def indexed(docs: DataFrame, buckets: int, hot: int, seed: int = 0, bits: int =
             yield rows(filled, [_blob(sig[at] >> U(32), ids[at]) for at in (order[ends[b] : ends[b + 1]] for b in filled)])
 
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, most=SLICE):
                 sets = shingle_sets(texts(batch))
                 keys, checks = set_keys(sets, bits)
                 size = np.array([len(s) for s in sets], np.int64)
@@ -413,7 +409,7 @@ def shingles_of(docs: DataFrame, pairs: DataFrame, sets: DataFrame, bits: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, most=SLICE):
                 made = shingle_sets(texts(batch))
                 keys, checks = set_keys(made, bits)
                 # Rows with equal ids may have other texts; only that of the set counts.
