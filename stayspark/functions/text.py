@@ -57,27 +57,38 @@ def snippet(x: Column | str, length: int = 800) -> Column:
     return F.substring(compact_text(x), 1, length)
 
 
+WIDE = ((0xA0, 0x24F), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x2100, 0x214F), (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
+
+
 @lru_cache(1)
-def folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Characters that compatibility decomposition turns into one or several others, marks left out."""
+def folds() -> tuple[str, str, tuple[tuple[str, str], ...], str]:
+    """Characters of the basic plane that compatibility decomposition turns into one, marks left out; those of WIDE that it
+    turns into several; and a character class of combining marks. Hangul syllables stay whole."""
     one: dict[str, str] = {"đ": "d", "Đ": "D"}
     several: list[tuple[str, str]] = []
-    spans = ((0xA0, 0x24F), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x2100, 0x214F), (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
-    for code in (c for a, b in spans for c in range(a, b + 1)):
+    marks: list[list[int]] = []
+    for code in (c for c in range(0xA0, 0x10000) if not 0xAC00 <= c <= 0xDFFF):
         char = chr(code)
+        if unicodedata.combining(char):
+            if marks and marks[-1][1] == code - 1:
+                marks[-1][1] = code
+            else:
+                marks.append([code, code])
+            continue
         plain = "".join(x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x))
         if plain != char and char not in one:
             if len(plain) == 1:
                 one[char] = plain
-            else:
+            elif any(a <= code <= b for a, b in WIDE):
                 several.append((char, plain))
-    return "".join(one), "".join(one.values()), tuple(several)
+    return "".join(one), "".join(one.values()), tuple(several), "[" + "".join(rf"\u{a:04X}-\u{b:04X}" for a, b in marks) + "]+"
 
 
 def ascii_fold(x: Column | str, wide: bool = False) -> Column:
     """Letters without their accents. `wide` also expands characters that stand for several (ligatures, fractions)."""
-    of, to, several = folds()
-    text = F.regexp_replace(F.translate(_c(x), of, to), r"\p{Mn}+", "")
+    of, to, several, marks = folds()
+    plain = F.translate(_c(x), of, to)
+    text = F.when(plain.rlike(r"\p{M}"), F.regexp_replace(plain, marks, "")).otherwise(plain)
     return reduce(lambda c, s: F.replace(c, F.lit(s[0]), F.lit(s[1])), several, text) if wide else text
 
 
@@ -94,21 +105,32 @@ def review_score(x: Column | str) -> Column:
 def parse_review_score(x: Column | str) -> Column:
     """The first rating out of ten that is in range, else one that stands near a rating word."""
     text = _c(x)
+    return _review_score(text, lambda: ascii_fold(text))
+
+
+def _review_score(text: Column, folded: Callable[[], Column]) -> Column:
     out_of_ten = F.regexp_extract_all(text, F.lit(rf"{FLAGS}\b(\d{{1,2}}(?:[.,]\d)?)\s*/\s*10\b"), F.lit(1))
     first = F.try_element_at(F.filter(F.transform(out_of_ten, review_score), lambda s: s.isNotNull()), F.lit(1))
-    folded = ascii_fold(text)
-    after = review_score(F.regexp_extract(folded, rf"(?i){FLAGS}(?:{RATING_WORDS}).{{0,80}}?\b(\d{{1,2}}[.,]\d)\b", 1))
-    before = review_score(F.regexp_extract(folded, rf"(?i){FLAGS}\b(\d{{1,2}}[.,]\d)\b.{{0,80}}?(?:{RATING_WORDS})", 1))
-    return F.coalesce(first, after, before)
+    after = lambda f: review_score(F.regexp_extract(f, rf"(?i){FLAGS}(?:{RATING_WORDS}).{{0,80}}?\b(\d{{1,2}}[.,]\d)\b", 1))
+    before = lambda f: review_score(F.regexp_extract(f, rf"(?i){FLAGS}\b(\d{{1,2}}[.,]\d)\b.{{0,80}}?(?:{RATING_WORDS})", 1))
+    return F.coalesce(first, let(folded(), lambda f: F.coalesce(after(f), before(f))))
 
 
 def parse_review_count(x: Column | str) -> Column:
     """The number, as it is written, before a word for reviews."""
-    return none_if_empty(F.trim(F.regexp_extract(ascii_fold(x), rf"(?i){FLAGS}\b([\d.,]+)\s*(?:bai\s+)?(?:{REVIEW_WORDS})\b", 1)))
+    return _review_count(ascii_fold(x))
+
+
+def _review_count(folded: Column) -> Column:
+    return none_if_empty(F.trim(F.regexp_extract(folded, rf"(?i){FLAGS}\b([\d.,]+)\s*(?:bai\s+)?(?:{REVIEW_WORDS})\b", 1)))
 
 
 def parse_star_rating(x: Column | str) -> Column:
-    found = F.regexp_extract(ascii_fold(x), rf"(?i){FLAGS}\b(\d(?:[.,]\d)?)\s*(?:sao|stars?)\s*(?:tren|out\s+of)\s*5\b", 1)
+    return _star_rating(ascii_fold(x))
+
+
+def _star_rating(folded: Column) -> Column:
+    found = F.regexp_extract(folded, rf"(?i){FLAGS}\b(\d(?:[.,]\d)?)\s*(?:sao|stars?)\s*(?:tren|out\s+of)\s*5\b", 1)
     return F.when(found != "", F.concat(F.replace(found, F.lit(","), F.lit(".")), F.lit(" stars")))
 
 
@@ -130,7 +152,9 @@ def _candidate(sources: tuple[Column, Column]) -> Column:
     signed = rf"(?:{_RUN})\s*(?:{codes}|₫|đ\b)|(?:{codes}|₫)\s*{_RUN}"
     patterns = (rf"{_CODE}\s*{_RUN}", rf"{_RUN}\s*{_CODE}", rf"{_RUN}\s*(?:₫|đ\b)", rf"₫\s*{_RUN}", rf"(?:{PRICE_WORDS}).{{0,80}}?(?:{signed})")
     plainly = [compact_text(F.regexp_extract(text, rf"(?iu){FLAGS}{p}", 0)) for text in sources for p in patterns]
-    return F.coalesce(*nearest, *plainly)
+    # Every pattern asks for a currency: without one none is tried.
+    named = reduce(lambda a, b: a | b, [t.rlike(rf"(?iu){FLAGS}(?:{codes}|₫|đ\b)") for t in sources])
+    return F.when(named, F.coalesce(*nearest, *plainly))
 
 
 def canonical_price(x: Column | str) -> Column:
@@ -156,12 +180,16 @@ def textual_fallback(x: Column | str) -> Column:
 
 
 def _fallback(text: Column) -> Column:
+    return let(ascii_fold(text), lambda folded: _parsed(text, folded))
+
+
+def _parsed(text: Column, folded: Column) -> Column:
     english = F.regexp_extract(text, rf"(?i){FLAGS}\b(\d(?:\.\d)?)\s+stars?\s+out\s+of\s+5\b", 1)
     return F.struct(
-        price_value(text).alias("price_value"),
-        parse_review_score(text).alias("rating_text"),
-        parse_review_count(text).alias("review_count_text"),
-        F.coalesce(F.when(english != "", F.concat(english, F.lit(" stars"))), parse_star_rating(text)).alias("star_rating_text"),
+        canonical_price(_candidate((text, folded))).alias("price_value"),
+        _review_score(text, lambda: folded).alias("rating_text"),
+        _review_count(folded).alias("review_count_text"),
+        F.coalesce(F.when(english != "", F.concat(english, F.lit(" stars"))), _star_rating(folded)).alias("star_rating_text"),
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,13 +72,19 @@ def property_url(raw: Column | str, base: Column | str) -> Column:
     return F.when(none_if_empty(raw).isNotNull() & F.lower(path).contains(PATH_MARK), whole)
 
 
+def title_case(x: Column | str) -> Column:
+    """The first letter after anything that is no cased letter as a capital, other letters small."""
+    parts = F.split(_c(x), r"(?<![\p{Lu}\p{Ll}\p{Lt}])(?=[\p{Lu}\p{Ll}\p{Lt}])")
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 1 << 30)))), "")
+
+
 def name_from_url(url: Column | str) -> Column:
     """The path's part before `hotel`, else its last, as a title."""
     parts = F.filter(F.split(url_part(url, "path"), "/"), lambda p: p != "")
     at = F.array_position(parts, "hotel")
     slug = F.when(at > 1, F.try_element_at(parts, (at - 1).cast("int"))).otherwise(F.try_element_at(parts, F.lit(-1)))
     name = F.trim(F.regexp_replace(slug, "[-_]+", " "))
-    return F.coalesce(none_if_empty(F.initcap(name)), F.lit("Unknown hotel"))
+    return F.coalesce(none_if_empty(title_case(name)), F.lit("Unknown hotel"))
 
 
 def with_stay(url: Column | str, check_in: Column | str, check_out: Column | str, adults: int = 2, rooms: int = 1, children: int = 0) -> Column:
@@ -88,11 +97,39 @@ def with_stay(url: Column | str, check_in: Column | str, check_out: Column | str
     return F.concat(F.regexp_extract(_c(url), "^[^?#]*", 0), F.lit("?"), query_text(last))
 
 
+# The named character entities that URLs and their names carry.
+ENTITIES = (("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+_ESCAPE = r"\\u[0-9a-fA-F]{4}|\\x[0-9a-fA-F]{2}"
+_NUMBER = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def _characters(text: Column, pattern: str, code: Callable[[Column], Column]) -> Column:
+    """text with every match of pattern as the character of its code. Pieces between matches and matches alternate."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    between = F.split(text, pattern, -1)
+    made = F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.decode(code(F.get(found, i)), "UTF-16BE"), F.lit(""))))
+    return F.when(text.rlike(pattern), F.array_join(made, "")).otherwise(text)
+
+
+def _utf16(number: Column) -> Column:
+    """UTF-16 bytes of a code point."""
+    over = number - 0x10000
+    pair = F.concat(F.lpad(F.hex(F.lit(0xD800) + F.floor(over / 1024)), 4, "0"), F.lpad(F.hex(F.lit(0xDC00) + over % 1024), 4, "0"))
+    return F.unhex(F.when(number < 0x10000, F.lpad(F.hex(number), 4, "0")).otherwise(pair))
+
+
+def unescaped(x: Column | str) -> Column:
+    """Character entities, numbered and common named ones, as characters."""
+    digits = lambda m: F.regexp_extract(m, "[0-9a-fA-F]+", 0)
+    number = lambda m: F.when(F.lower(m).startswith("&#x"), F.conv(digits(m), 16, 10)).otherwise(digits(m)).cast("bigint")
+    text = _characters(_c(x), _NUMBER, lambda m: _utf16(number(m)))
+    return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+
+
 def decoded_js_url(x: Column | str) -> Column:
-    """A URL out of a script: escaped ampersands, slashes and quotes undone."""
-    out = F.regexp_replace(_c(x), r"\\u0026|&amp;|&#38;", "&")
-    out = F.regexp_replace(out, r"\\/|\\u002[fF]|&#x2[fF];", "/")
-    return F.regexp_replace(F.regexp_replace(out, r"\\u003[dD]|&#61;", "="), r"\\u003[fF]|&#63;", "?")
+    """A URL out of a script: escaped ampersands and slashes, character entities, then all remaining \\u and \\x escapes."""
+    plain = unescaped(F.replace(F.replace(_c(x), F.lit("\\u0026"), F.lit("&")), F.lit("\\/"), F.lit("/")))
+    return _characters(plain, _ESCAPE, lambda m: F.unhex(F.lpad(F.substring(m, 3, 4), 4, "0")))
 
 
 def safe_name(x: Column | str) -> Column:

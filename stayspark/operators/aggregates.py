@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayspark.functions.text import present
 
-BUCKETS = ((9, "Exceptional"), (8, "Excellent"), (7, "Very Good"), (6, "Good"))
-LOWEST = "Below Average"
-EXACT = 1_000_000  # accuracy of approximate percentiles: exact up to as many different values
+# The least rating of each bucket, and its label.
+BUCKETS = ((9, "Excellent (9.0+)"), (8, "Very Good (8.0-8.9)"), (7, "Good (7.0-7.9)"), (6, "Satisfactory (6.0-6.9)"))
+LOWEST = "Below Average (<6.0)"
+DETAIL_TRIED = ("attempted", "success", "failed")
+EXACT = 10_000  # accuracy of approximate percentiles: the rank is off by 1/EXACT of a group at most, in bounded memory
 PRICE, RATING = "decimal(18,0)", "decimal(3,1)"
 
 
@@ -78,13 +82,17 @@ def coverage_gate(df: DataFrame, fields: list[str], threshold: float = 90.0) ->
     return coverage(df, fields).agg(F.when(F.bool_and(F.col("coverage_pct") > threshold), "ok").otherwise("warning").alias("status"))
 
 
-def verification(df: DataFrame, status: str, round_number: str, fields: list[str]) -> DataFrame:
-    """Counts by status, the last scroll round and missing fields, in one pass."""
+def verification(df: DataFrame, status: str, round_number: str, fields: list[str], url: str = "hotel_url", price: str = "price_value") -> DataFrame:
+    """Of detail pages how many were tried, went well and failed; the last scroll round; rows with a URL and a price; missing
+    fields. One pass."""
     s = F.col(status)
     return df.agg(
         F.count("*").alias("records"),
-        *[F.count_if(s == k).alias(f"{k}_records") for k in ("success", "partial", "failed", "skipped")],
+        F.count_if(s.isin(*DETAIL_TRIED)).alias("detail_attempted"),
+        *[F.count_if(s == k).alias(f"detail_{k}") for k in DETAIL_TRIED[1:]],
         F.coalesce(F.max(round_number), F.lit(0)).cast("long").alias("max_scroll_rounds"),
+        F.count_if(present(url)).alias("records_with_url"),
+        F.count_if(present(price)).alias("price_present"),
         *[F.count_if(~present(f)).alias(f"missing_{f}") for f in fields],
     )
 
@@ -96,10 +104,11 @@ def bottleneck(search: Column, listing: Column, detail: Column) -> Column:
 
 
 def timing_rollup(df: DataFrame, keys: tuple[str, ...] = ("destination", "check_in", "total_seconds")) -> DataFrame:
-    """Sums over distinct jobs, and the stage that took most."""
+    """Sums over distinct jobs, their total too, and the stage that took most. A job whose rows differ counts with its largest."""
     names = ("search_seconds", "listing_seconds", "detail_seconds")
-    sums = df.dropDuplicates(list(keys)).agg(F.count("*").alias("jobs"), *[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names])
-    return sums.withColumn("bottleneck", bottleneck(*[F.col(n) for n in names]))
+    jobs = df.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names])
+    sums = jobs.agg(F.count("*").alias("jobs"), *[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in (*names, "total_seconds")])
+    return sums.withColumn("bottleneck", bottleneck(*[F.col(n) for n in names])).withColumnRenamed("total_seconds", "job_total_seconds")
 
 
 def average(c: Column | str) -> Column:
@@ -112,38 +121,76 @@ def nearest_rank(values: Column, p: int) -> Column:
     return F.when(n > 0, F.try_element_at(F.array_sort(values), (F.bround((n - 1) * p / F.lit(100.0)) + 1).cast("int"))).otherwise(0.0)
 
 
+RANGES = 64
+
+
 def percentiles(df: DataFrame, keys: list[str], value: str, ranks: tuple[int, ...] = (50, 95)) -> DataFrame:
-    """Mean and nearest-rank percentiles by keys, by exact ranks: rows are numbered and only those at a rank are kept, so
-    no group is gathered in one place."""
+    """Mean and nearest-rank percentiles by keys, exact. Distinct values of a key are cut into ranges; a first sum over ranges
+    says in which one a rank lies, and only values of such ranges are numbered, so no task holds all values of a large key."""
     from pyspark.sql import Window
 
-    sizes = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"), average(value).alias("mean"))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_k"))
-    through = F.sum("_k").over(Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    placed = counts.withColumn("_to", through).join(sizes, keys)
+    some = df.where(F.col(value).isNotNull())
+    sizes = some.groupBy(*keys).agg(F.count("*").alias("n"), average(value).alias("mean"), F.min(value).cast("double").alias("_low"), F.max(value).cast("double").alias("_high"))
+    counts = some.groupBy(*keys, value).agg(F.count("*").alias("_k"))
+    width = (F.col("_high") - F.col("_low")) / RANGES
+    ranged = counts.join(sizes, keys).withColumn("_range", F.when(width > 0, F.least(F.floor((F.col(value).cast("double") - F.col("_low")) / width), F.lit(RANGES - 1))).otherwise(0).cast("int"))
+    sums = ranged.groupBy(*keys, "_range").agg(F.sum("_k").alias("_in"))
+    before = F.sum("_in").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_in")
+    starts = sums.select(*keys, "_range", "_in", before.alias("_before"))
     at = lambda p: F.bround((F.col("n") - 1) * p / F.lit(100.0)) + 1
+    holds = [(at(p) > F.col("_before")) & (at(p) <= F.col("_before") + F.col("_in")) for p in ranks]
+    inside = ranged.join(starts, [*keys, "_range"]).where(reduce(lambda a, b: a | b, holds))
+    through = F.col("_before") + F.sum("_k").over(Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    placed = inside.withColumn("_to", through)
     return placed.groupBy(*keys, "n", "mean").agg(*[F.min(F.when(F.col("_to") >= at(p), F.col(value))).alias(f"p{p}") for p in ranks])
 
 
-def progress(df: DataFrame, elapsed: str, status: str, retries: str) -> DataFrame:
-    """Throughput of detail pages: completed, failed, seconds each, retries."""
-    done = F.count_if(F.col(status).isin("success", "partial", "failed"))
-    return df.agg(
-        done.alias("completed"),
+def progress(df: DataFrame, elapsed: str, status: str, retries: str, load: str, extract: str, total: str) -> DataFrame:
+    """Detail pages that were worked on (those with a status other than skipped): how many, failed ones, seconds each over all
+    candidates so far, mean load and extraction, nearest-rank percentiles of the total, retries."""
+    done = df.where(F.col(status).isNotNull() & (F.col(status) != "skipped"))
+    sums = done.agg(
+        F.count("*").alias("completed"),
         F.count_if(F.col(status) == "failed").alias("failed"),
-        F.when(done > 0, F.max(elapsed) / done).otherwise(0.0).alias("seconds_each"),
+        (F.coalesce(F.max(elapsed), F.lit(0.0)) / F.greatest(F.count("*"), F.lit(1))).alias("seconds_each"),
+        average(load).alias("load_avg"),
+        average(extract).alias("extract_avg"),
         F.coalesce(F.sum(retries), F.lit(0)).cast("long").alias("retries"),
     )
+    ranks = percentiles(done.select(F.lit(0).alias("_all"), F.col(total).cast("double").alias("_total")), ["_all"], "_total").select("_all", "p50", "p95")
+    both = sums.withColumn("_all", F.lit(0)).join(ranks, "_all", "left")
+    return both.select("completed", "failed", "seconds_each", "load_avg", "extract_avg", F.coalesce("p50", F.lit(0.0)).alias("total_p50"), F.coalesce("p95", F.lit(0.0)).alias("total_p95"), "retries")
+
+
+def snapshot_metrics(cards: DataFrame, key: str) -> DataFrame:
+    """Counters of a snapshot's cards by key. cards: `embedded`, `invalid` (boolean), candidate_urls and valid_urls (arrays),
+    anchor_hrefs (array), explicit_name, record_key. Valid URLs are as found: repeated ones count as duplicates."""
+    from stayspark.functions.urls import url_key
+
+    valid = F.coalesce(F.size("valid_urls"), F.lit(0))
+    own_url = F.try_element_at("valid_urls", F.lit(1))
+    out = cards.groupBy(key).agg(
+        F.count_if(~F.col("embedded")).alias("dom_card_count"),
+        F.count("*").alias("candidate_records"),
+        F.count_if("embedded").alias("embedded_url_count"),
+        F.sum(F.coalesce(F.size("candidate_urls"), F.lit(0))).alias("candidate_url_count"),
+        F.sum(valid).alias("valid_url_count"),
+        F.count_distinct(url_key(own_url)).alias("unique_canonical_url_count"),
+        F.count_distinct(F.when(~F.col("invalid"), F.col("record_key"))).alias("unique_hotel_count"),
+        F.count_if("invalid").alias("invalid_card_count"),
+        F.count_if(F.coalesce(F.size("anchor_hrefs"), F.lit(0)) == 0).alias("anchorless_card_count"),
+        F.count_if(valid == 0).alias("cards_without_url_count"),
+        F.count_if(~present("explicit_name")).alias("cards_without_name_count"),
+    )
+    return out.withColumn("duplicate_url_count", F.greatest(F.col("valid_url_count") - F.col("unique_canonical_url_count"), F.lit(0)))
 
 
-def snapshot_metrics(df: DataFrame, key: str, url: str) -> DataFrame:
-    """Of candidate URLs by page: all, valid, distinct and duplicate ones."""
-    return df.groupBy(key).agg(
-        F.count("*").alias("candidate_urls"),
-        F.count(url).alias("valid_urls"),
-        F.count_distinct(url).alias("unique_urls"),
-        F.greatest(F.count(url) - F.count_distinct(url), F.lit(0)).alias("duplicate_urls"),
-    )
+def invalid_samples(cards: DataFrame, key: str, order: str, columns: list[str], most: int = 25) -> DataFrame:
+    """At most `most` invalid cards of each key, the first in order; the limit is the feature. A task keeps no more either."""
+    row = F.struct(order, *columns)
+    pages = cards.where("invalid").withColumn("_part", F.pmod(F.xxhash64(order), F.lit(16)))
+    first = pages.groupBy(key, "_part").agg(F.slice(F.array_sort(F.collect_list(row)), 1, most).alias("_rows"))
+    return first.groupBy(key).agg(F.slice(F.array_sort(F.flatten(F.collect_list("_rows"))), 1, most).alias("_rows")).select(key, F.inline("_rows"))
 
 
 def page_rollup(df: DataFrame, key: str, page: str, cards: str, unique: str, target: str) -> DataFrame:

@@ -12,8 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayspark.functions.text import FLAGS, ascii_fold, collect_status, compact_text, let, none_if_empty, present, property_id, snippet, textual_fallback
-from stayspark.functions.urls import property_url
+from stayspark.functions.text import FLAGS, ascii_fold, collect_status, compact_text, let, none_if_empty, parse_review_count, parse_review_score, parse_star_rating, present, price_value, property_id, snippet, textual_fallback
+from stayspark.functions.urls import PATH_MARK, name_from_url, property_url, resolved, unescaped, url_key
 from stayspark.operators.identity import first_value, partial_key
 
 # Marks of cards and of what isn't one, in folded lower case.
@@ -132,15 +132,101 @@ def assembled(cards: DataFrame, base_url: str) -> DataFrame:
     return merged.withColumn("collect_status", collect_status("hotel_url", "hotel_name")).withColumn("record_kind", F.when(present("hotel_url"), "full_record").otherwise("partial_record"))
 
 
-def link_scan(pages: DataFrame, html: str, pattern: str = r'<a href="([^"]*)"') -> DataFrame:
-    """(page's columns, position, url): every link of a page, in order."""
-    return pages.select("*", F.posexplode(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))).alias("position", "url")).drop(html)
+# -- markup
 
+_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_ANCHOR = rf"(?is)<a(?=[\s/])({_ATTRIBUTES})>(.*?)</a\s*>"
+_UNSEEN = r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>"
+_BREAK = r"(?i)<(?:br|/?(?:p|div|li|ul|ol|h[1-6]|tr|td|th|table|section|article|header|footer|nav))\b[^>]*>"
 
-EMBEDDED = (r'"(?:url|href)"\s*:\s*"([^"]*?/hotel/[^"]*?)"', r'(https?://[^\s"\'<>]*?/hotel/[^\s"\'<>]*)', r'href="([^"]*?/hotel/[^"]*?)"')
 
+def attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute of a tag, quoted in either way or not at all, entities decoded; null if it is absent."""
+    found = lambda p: none_if_empty(F.regexp_extract(tag, rf"(?is)(?:^|[\s\"'/]){name}\s*=\s*{p}", 1))
+    return unescaped(F.coalesce(found('"([^"]*)"'), found("'([^']*)'"), found("([^\\s\"'>]+)")))
 
-def embedded_urls(html: Column | str) -> Column:
-    """Property URLs anywhere in a document: in data, in text, in links; each once."""
+
+def visible_text(html: Column) -> Column:
+    """Text of markup as it is read: no comments and scripts, blocks apart, entities decoded, white space compact."""
+    return compact_text(unescaped(F.regexp_replace(F.regexp_replace(F.regexp_replace(html, _UNSEEN, ""), _BREAK, " "), "<[^>]*>", "")))
+
+
+def anchors(html: Column | str, mark: str = "") -> Column:
+    """(href, text) of every link whose href holds `mark`, in order; the text is what is seen, else aria-label, else title."""
+    page = F.regexp_replace(F.col(html) if isinstance(html, str) else html, r"(?s)<!--.*?-->", "")
+    heads, bodies = (F.regexp_extract_all(page, F.lit(_ANCHOR), F.lit(k)) for k in (1, 2))
+    rows = F.zip_with(heads, bodies, lambda h, b: F.struct(attribute(h, "href").alias("href"), F.coalesce(visible_text(b), compact_text(attribute(h, "aria-label")), compact_text(attribute(h, "title"))).alias("text")))
+    return F.filter(rows, lambda r: r["href"].isNotNull() & F.contains(r["href"], F.lit(mark)))
+
+
+def link_scan(pages: DataFrame, html: str, mark: str = "") -> DataFrame:
+    """(page's columns, position, url, text): every link of a page, in order."""
+    found = pages.select("*", F.posexplode(anchors(html, mark)).alias("position", "_link")).drop(html)
+    return found.select("*", F.col("_link.href").alias("url"), F.col("_link.text").alias("text")).drop("_link")
+
+
+def property_links(pages: DataFrame, html: str, base: str, keys: list[str]) -> DataFrame:
+    """(keys, position, hotel_url, hotel_name): a page's links to properties, each URL key once, the first link's. A link without text
+    is named after its URL. base: the column with the page's own URL."""
+    links = link_scan(pages.select(*keys, F.col(base).alias("_base"), F.col(html).alias("_html")), "_html", PATH_MARK)
+    named = links.withColumn("hotel_url", resolved("url", "_base")).withColumn("_key", url_key("hotel_url"))
+    first = F.min_by(F.struct("position", "hotel_url", F.coalesce("text", name_from_url("hotel_url")).alias("hotel_name")), "position")
+    return named.groupBy(*keys, "_key").agg(first.alias("_first")).select(*keys, "_first.*")
+
+
+_EMBEDDED_TAIL = r"""[^"'<>\s]+?/hotel/[^"'<>\s]+?\.html(?:\?[^"'<>\s]*)?"""
+
+
+def embedded_urls(html: Column | str, host: str = r"""[^/"'<>\s]+""") -> Column:
+    """Property pages named anywhere in a document, each once: whole URLs of the host (a pattern), then paths with a locale, then
+    any paths; escaped slashes and ampersands are decoded before. Only pages that end in .html count."""
     text = F.col(html) if isinstance(html, str) else html
-    return F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in EMBEDDED]))
+    text = F.replace(F.replace(F.replace(text, F.lit("\\u002F"), F.lit("/")), F.lit("\\/"), F.lit("/")), F.lit("&amp;"), F.lit("&"))
+    patterns = (rf"https?://(?:www\.)?{host}/{_EMBEDDED_TAIL}", rf"/[a-z]{{2}}-[a-z]{{2}}/{_EMBEDDED_TAIL}", rf"/{_EMBEDDED_TAIL}")
+    return let(text, lambda t: F.array_distinct(F.concat(*[F.regexp_extract_all(t, F.lit(f"(?i){p}"), F.lit(0)) for p in patterns])))
+
+
+EMBEDDED = "embedded-state"
+
+
+def embedded_cards(pages: DataFrame, html: str, page: str = "page", host: str | None = None) -> DataFrame:
+    """One card for each URL of embedded_urls, with no name or text of its own."""
+    found = embedded_urls(html, host) if host else embedded_urls(html)
+    return pages.select(F.col(page).alias("page"), F.posexplode(found).alias("card_index", "_url")).select("page", "card_index", F.array("_url").alias("urls"), F.lit("").alias("name"), F.lit("").alias("text"), F.lit(EMBEDDED).alias("data_selenium"), F.lit(EMBEDDED).alias("data_test_id"))
+
+
+def with_embedded(cards: DataFrame, pages: DataFrame, html: str, page: str = "page", host: str | None = None) -> DataFrame:
+    """A snapshot's cards and after them those of embedded URLs: indices go on, columns that these lack are null."""
+    last = cards.groupBy("page").agg((F.max("card_index") + 1).alias("_next"))
+    more = embedded_cards(pages, html, page, host).join(last, "page", "left").withColumn("card_index", (F.col("card_index") + F.coalesce("_next", F.lit(0))).cast("int")).drop("_next")
+    return cards.unionByName(more, allowMissingColumns=True)
+
+
+def detail_fields(name: Column | str, review: Column | str, stars: Column | str, price: Column | str, body: Column | str) -> Column:
+    """Fields of a property's own page: what was selected goes before the whole text. A selected review text replaces the
+    whole text even where nothing is found in it; a selected price that does not parse does not."""
+    pick = lambda x: none_if_empty(F.col(x) if isinstance(x, str) else x)
+    whole = F.col(body) if isinstance(body, str) else body
+    reviews = F.coalesce(pick(review), whole)
+    return F.struct(
+        pick(name).alias("hotel_name"),
+        F.coalesce(price_value(pick(price)), price_value(whole)).alias("price_value"),
+        parse_review_score(reviews).alias("rating_text"),
+        parse_review_count(reviews).alias("review_count_text"),
+        parse_star_rating(F.coalesce(pick(stars), whole)).alias("star_rating_text"),
+    )
+
+
+def detail_page(html: Column | str) -> Column:
+    """detail_fields of a page's markup."""
+    page = F.col(html) if isinstance(html, str) else html
+
+    def element(mark: str) -> Column:
+        return visible_text(none_if_empty(F.regexp_extract(page, rf"(?is)<(\w+)\b[^>]*\b{mark}[^>]*>(.*?)</\1\s*>", 2)))
+
+    name = F.coalesce(visible_text(none_if_empty(F.regexp_extract(page, r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1))), element('data-selenium="hotel-name"'))
+    review = F.coalesce(element('data-testid="[^"]*review-score'), element('data-selenium="review-score"'), element('class="[^"]*ReviewScore'))
+    stars = F.coalesce(*[none_if_empty(F.regexp_extract(page, rf'(?is)<\w+\b[^>]*\baria-label="([^"]*{w}[^"]*)"', 1)) for w in ("sao", "star")])
+    price = F.coalesce(element('data-selenium="display-price"'), element('data-element-name="final-price"'), element('data-testid="[^"]*price'), element('class="[^"]*price'))
+    body = visible_text(F.coalesce(none_if_empty(F.regexp_extract(page, r"(?is)<body\b[^>]*>(.*)</body\s*>", 1)), page))
+    return detail_fields(name, review, stars, price, body)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayspark.functions.text import _c, compact_text, none_if_empty, present
@@ -10,14 +10,17 @@ from stayspark.functions.urls import url_key
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The first row of every key."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_n", n).where("_n = 1").drop("_n")
+    """The first row of every key: an aggregate that combines in every task before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
+    return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
 
 
 def latest_state(df: DataFrame, keys: list[str], at: str, tiebreak: list[str]) -> DataFrame:
-    """The row of every key that was seen last; ties go to the least tiebreak."""
-    return first_wins(df, keys, [F.desc(at), *tiebreak])
+    """The row of every key that was seen last; ties go to the least tiebreak. at: a time, a date or a number; nulls are oldest."""
+    kind = df.schema[at].dataType.simpleString()
+    value = F.unix_micros(F.col(at).cast("timestamp")) if kind.startswith("timestamp") else F.unix_date(at) if kind == "date" else F.col(at)
+    return first_wins(df, keys, [F.col(at).isNull(), -value, *tiebreak])
 
 
 def first_value(value: Column | str, order: Column | str) -> Column:
@@ -73,9 +76,25 @@ def merged_identities(df: DataFrame, key: str, property_id: str, name: str, fiel
     return fill_missing(promoted(df, key, property_id, name).withColumn("_order", ranked), ["identity"], fields, "_order")
 
 
-def new_records(before: DataFrame, page: DataFrame, key: str) -> DataFrame:
-    """(new_records): keys of a page that were not there before."""
-    return page.select(key).distinct().join(before.select(key), key, "left_anti").agg(F.count("*").alias("new_records"))
+def live_keys(df: DataFrame, key: str, property_id: str, name: str, order: str) -> DataFrame:
+    """(key): record keys that are there after all arrivals. A URL record that is new takes the records of its name and of
+    its property away; one that comes after it is a record again. Two aggregates and a join."""
+    named, prop = none_if_empty(F.lower(F.trim(name))), none_if_empty(F.trim(property_id))
+    urls = df.where(F.col(key).startswith("url:")).groupBy(key).agg(F.min(order).alias("_at"), F.min_by(F.struct(named.alias("n"), prop.alias("p")), order).alias("_own"))
+    taken = urls.select("_at", F.explode(F.array(F.concat(F.lit("partial:"), "_own.n"), F.concat(F.lit("property:"), "_own.p"))).alias(key)).where(F.col(key).isNotNull())
+    taken = taken.groupBy(key).agg(F.max("_at").alias("_at"))
+    others = df.where(~F.col(key).startswith("url:")).groupBy(key).agg(F.max(order).alias("_last"))
+    left = others.join(taken, key, "left").where(F.col("_at").isNull() | (F.col("_last") > F.col("_at")))
+    return urls.select(key).unionByName(left.select(key))
+
+
+def new_records(before: DataFrame, page: DataFrame, key: str, property_id: str, name: str, order: str) -> DataFrame:
+    """(new_records): by how many a page changes the number of records; negative where its URL records absorb more than come."""
+    early = before.select(key, property_id, name, F.struct(F.lit(0).alias("page"), F.col(order).alias("at")).alias("_order"))
+    late = page.select(key, property_id, name, F.struct(F.lit(1).alias("page"), F.col(order).alias("at")).alias("_order"))
+    count = lambda d: live_keys(d, key, property_id, name, "_order").agg(F.count("*").alias("k"))
+    both = count(early.unionByName(late)).select(F.lit(1).alias("sign"), "k").unionByName(count(early).select(F.lit(-1).alias("sign"), "k"))
+    return both.agg(F.sum(F.col("sign") * F.col("k")).alias("new_records"))
 
 
 def page_records(df: DataFrame, page_keys: DataFrame, key: str, order: str) -> DataFrame:

@@ -30,14 +30,27 @@ def enrichment_candidates(df: DataFrame, limit: int, name: str, url: str, fields
     return ordered.limit(limit) if limit > 0 else ordered
 
 
-def budgeted(df: DataFrame, order: str, budget: int, used: int, status: str = "enrich_status") -> DataFrame:
-    """Arrival order within a budget: the first `budget - used` records are taken, others have no status; with nothing left
-    every record is skipped. The k-th order value is found by a top-k, so no window runs over all rows."""
+def budgeted(df: DataFrame, order: list[str], budget: int, used: int, needs: Column, status: str = "enrich_status") -> DataFrame:
+    """Records within a budget of detail pages. Pending are those without a status that need one. A budget of 0 takes them all;
+    else the first `budget - used` in order are taken, and with none left they are all skipped, with the reason. Others stay as
+    they are. The last one taken is found by a top-k; rows that tie with it are numbered, so that no more are taken."""
+    pending = ~present(status) & needs
+    error = F.col("enrich_error") if "enrich_error" in df.columns else F.lit(None).cast("string")
+    out = lambda taken, skipped: {"taken": taken, status: F.when(skipped, F.lit("skipped")).otherwise(F.col(status)), "enrich_error": F.when(skipped, F.lit("max_detail_pages_reached")).otherwise(error)}
+    if budget <= 0:
+        return df.withColumns(out(F.coalesce(pending, F.lit(False)), F.lit(False)))
     left = budget - used
     if left <= 0:
-        return df.withColumns({"taken": F.lit(False), status: F.lit("skipped"), "enrich_error": F.lit("max_detail_pages_reached")})
-    last = df.select(order).orderBy(order).limit(left).agg(F.max(order).alias("_last"))
-    return df.join(F.broadcast(last), how="cross").withColumns({"taken": F.col(order) <= F.col("_last"), status: F.lit(None).cast("string"), "enrich_error": F.lit(None).cast("string")}).drop("_last")
+        return df.withColumns(out(F.lit(False), F.coalesce(pending, F.lit(False))))
+    key = F.struct(*order)
+    top = df.where(pending).select(key.alias("_key")).orderBy("_key").limit(left)
+    last = top.groupBy("_key").count().agg(F.max("_key").alias("_last"), F.max_by("count", "_key").alias("_ties"))
+    both = df.withColumn("_pending", F.coalesce(pending, F.lit(False))).join(F.broadcast(last))  # one row
+    at = F.col("_pending") & (key == F.col("_last"))
+    tied = both.where(at).withColumn("_n", F.row_number().over(Window.partitionBy("_last").orderBy(*order)))
+    rest = both.where(~F.coalesce(at, F.lit(False))).withColumn("_n", F.lit(0))
+    taken = F.col("_pending") & F.coalesce(F.when(F.col("_n") > 0, F.col("_n") <= F.col("_ties")).otherwise(key < F.col("_last")), F.lit(False))
+    return rest.unionByName(tied).withColumns(out(taken, F.lit(False))).drop("_pending", "_last", "_ties", "_n")
 
 
 def job_matrix(stays: DataFrame, destinations: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayspark.functions.text import present
+from stayspark.operators.ranking import in_plan_order
 from stayspark.sources.contract import Contract, load_contract
 
 REQUIRED = ("hotel_name", "hotel_url", "price_value")
@@ -39,6 +41,25 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     json_lines(df).write.mode("errorifexists").text(path)
 
 
+def append_json_lines(df: DataFrame, folder: str) -> str:
+    """Add records to a folder of JSON lines; any number of writers may do so at once, since each call writes a new folder
+    of its own inside it. Returns that folder."""
+    own = f"{folder.rstrip('/')}/append-{uuid.uuid4().hex}"
+    write_json_lines(df, own)
+    return own
+
+
+def read_json_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(value): all lines that have been appended to a folder."""
+    return spark.read.option("recursiveFileLookup", True).text(folder)
+
+
+def collected(results: list[DataFrame], plan: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
+    """The records of all workers in the order of their jobs in the plan; columns that a worker lacks are null."""
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
+    return in_plan_order(both, plan, keys, ordinal)
+
+
 def _some(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
 

@@ -46,59 +46,95 @@ def outside(value: Column, low: int, high: int) -> Column:
     return value.isNull() | (value < low) | (value > high)
 
 
-#: format -> (what its failed rule is called, when a filled value is invalid)
-FORMAT_RULES: dict[str, tuple[str, Callable[[Column], Column]]] = {
-    "uri": ("invalid_{}", lambda c: ~c.rlike("^https?://")),
-    "positive_price": ("invalid_{}", lambda c: price_of(c).isNull() | (price_of(c) <= 0)),
-    "timestamp": ("invalid_{}", lambda c: F.try_to_timestamp(c).isNull()),
-    "date": ("invalid_{}", lambda c: F.try_to_date(c).isNull()),
-    "rating_0_10": ("invalid_{}", lambda c: outside(rating_of(c), 0, 10)),
-    "non_negative_integer": ("invalid_{}", lambda c: count_of(c).isNull() | (count_of(c) < 0)),
-    "star_rating_0_5": ("invalid_{}", lambda c: outside(star_of(c), 0, 5)),
+#: format -> (how a value is parsed, when a filled one is invalid, by its parsed form)
+FORMATS: dict[str, tuple[Callable[[Column], Column], Callable[[Column], Column]]] = {
+    "uri": (lambda c: c.rlike("^https?://"), lambda v: ~v),
+    "positive_price": (price_of, lambda v: v.isNull() | (v <= 0)),
+    "timestamp": (F.try_to_timestamp, lambda v: v.isNull()),
+    "date": (F.try_to_date, lambda v: v.isNull()),
+    "rating_0_10": (rating_of, lambda v: outside(v, 0, 10)),
+    "non_negative_integer": (count_of, lambda v: v.isNull() | (v < 0)),
+    "star_rating_0_5": (star_of, lambda v: outside(v, 0, 5)),
 }
+#: cross-field rule -> (the name of its failure, its check over two parsed dates)
+CROSS = {"check_out_after_check_in": ("check_out_not_after_check_in", "check_out", "check_in")}
+PARSED = "_parsed_"
+
+
+def parsed_name(field: str) -> str:
+    return f"{PARSED}{field}"
+
+
+def with_parsed(df: DataFrame, contract: Contract) -> DataFrame:
+    """df plus the parsed form of every field with a format, each in a column of its own: what follows tests these columns,
+    and no text is parsed twice in one projection."""
+    if unknown := [f.format for f in contract.fields if f.format and f.format not in FORMATS]:
+        raise ValueError(f"unknown format {unknown[0]}")
+    return df.withColumns({parsed_name(f.name): FORMATS[f.format][0](F.col(f.name)) for f in contract.fields if f.format})
+
+
+def without_parsed(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(PARSED)])
+
+
+def malformed(field: Field) -> Column:
+    """A filled value that is invalid, on top of with_parsed."""
+    return filled(F.col(field.name)) & FORMATS[field.format][1](F.col(parsed_name(field.name)))
+
+
+def is_defaulted(field: Field) -> bool:
+    return not field.required and field.format in NEUTRAL
 
 
 def field_rules(field: Field) -> list[Column]:
-    c, out = F.col(field.name), []
+    out = []
     if field.required:
-        out.append(F.when(~filled(c), F.lit(f"required_{field.name}")))
+        out.append(F.when(~filled(F.col(field.name)), F.lit(f"required_{field.name}")))
     if field.format:
-        if field.format not in FORMAT_RULES:
-            raise ValueError(f"unknown format {field.format}")
-        name, invalid = FORMAT_RULES[field.format]
-        out.append(F.when(filled(c) & invalid(c), F.lit(name.format(field.name))))
+        out.append(F.when(malformed(field), F.lit(f"invalid_{field.name}")))
     return out
 
 
 def cross_rules(names: tuple[str, ...]) -> list[Column]:
-    known = {"check_out_after_check_in": F.try_to_date("check_out") <= F.try_to_date("check_in")}
-    if unknown := [n for n in names if n not in known]:
+    if unknown := [n for n in names if n not in CROSS]:
         raise ValueError(f"unknown cross-field rules {unknown}")
-    return [F.when(known[n], F.lit(n)) for n in names]
+    return [F.when(F.col(parsed_name(later)) <= F.col(parsed_name(earlier)), F.lit(name)) for name, later, earlier in map(CROSS.get, names)]
 
 
-def failed_rules(contract: Contract) -> Column:
-    """Names of failed rules: fields in the contract's order, required before format, cross-field rules last."""
-    return F.array_compact(F.array(*[r for f in contract.fields for r in field_rules(f)], *cross_rules(contract.cross_rules)))
+def failed_rules(contract: Contract, defaults: bool = False) -> Column:
+    """Names of failed rules: fields in the contract's order, required before format, cross-field rules last; on top of
+    with_parsed. With `defaults`, malformed metrics count as replaced by neutral ones, which fail nothing."""
+    fields = [f for f in contract.fields if not (defaults and is_defaulted(f))]
+    return F.array_compact(F.array(*[r for f in fields for r in field_rules(f)], *cross_rules(contract.cross_rules)))
 
 
 #: format -> what a malformed optional value becomes
 NEUTRAL = {"rating_0_10": "0", "non_negative_integer": "0", "star_rating_0_5": "0 stars"}
+METRICS = {"rating_0_10": "decimal(3,1)", "non_negative_integer": "bigint", "star_rating_0_5": "decimal(2,1)"}
+
+
+def _defaulted(df: DataFrame, contract: Contract) -> DataFrame:
+    """Metrics and their parsed forms, malformed ones neutral; on top of with_parsed."""
+    out = {}
+    for f in filter(is_defaulted, contract.fields):
+        value = F.col(parsed_name(f.name))
+        out[f.name] = F.when(malformed(f), F.lit(NEUTRAL[f.format])).otherwise(F.col(f.name))
+        out[parsed_name(f.name)] = F.when(malformed(f), F.lit(0).cast(METRICS[f.format])).otherwise(value)
+    return df.withColumns(out) if out else df
 
 
 def defaulted(df: DataFrame, contract: Contract) -> DataFrame:
     """Malformed optional metrics become neutral; blank and missing ones stay."""
-    columns = {f.name: F.when(filled(F.col(f.name)) & FORMAT_RULES[f.format][1](F.col(f.name)), F.lit(NEUTRAL[f.format])).otherwise(F.col(f.name)) for f in contract.fields if not f.required and f.format in NEUTRAL}
-    return df.withColumns(columns) if columns else df
+    return without_parsed(_defaulted(with_parsed(df, contract), contract))
 
 
 def validated(df: DataFrame, contract: Contract) -> DataFrame:
-    """df, metrics defaulted, plus failed_rules."""
-    return defaulted(df, contract).withColumn("failed_rules", failed_rules(contract))
+    """df, metrics defaulted, plus failed_rules and the parsed form of every field with a format."""
+    return _defaulted(with_parsed(df, contract).withColumn("failed_rules", failed_rules(contract, defaults=True)), contract)
 
 
 def quarantine_reason(df: DataFrame) -> DataFrame:
-    return df.where(F.size("failed_rules") > 0).withColumn("failure_reason", F.concat_ws(";", "failed_rules"))
+    return without_parsed(df).where(F.size("failed_rules") > 0).withColumn("failure_reason", F.concat_ws(";", "failed_rules"))
 
 
 def valid_rows(df: DataFrame) -> DataFrame:
@@ -106,17 +142,9 @@ def valid_rows(df: DataFrame) -> DataFrame:
 
 
 def typed(df: DataFrame) -> DataFrame:
-    """Business columns with their types; check_out is checked, not kept."""
-    return df.withColumns(
-        {
-            "check_in_date": F.try_to_date("check_in"),
-            "price_amount": price_of(F.col("price_value")),
-            "rating": rating_of(F.col("rating_text")),
-            "review_count": count_of(F.col("review_count_text")),
-            "star_rating": star_of(F.col("star_rating_text")),
-            "crawled_at": F.try_to_timestamp("crawled_at"),
-        }
-    )
+    """Business columns with their types, from what `validated` has parsed; check_out is checked, not kept."""
+    of = {"check_in_date": "check_in", "price_amount": "price_value", "rating": "rating_text", "review_count": "review_count_text", "star_rating": "star_rating_text", "crawled_at": "crawled_at"}
+    return without_parsed(df.withColumns({k: F.col(parsed_name(v)) for k, v in of.items()}))
 
 
 def parsed_lines(df: DataFrame, contract: Contract, line: str = "raw_record_json") -> DataFrame:

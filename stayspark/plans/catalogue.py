@@ -5,6 +5,7 @@ QUERIES maps a name to (builder, SQL or None). A builder takes (spark, folder of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 from stayspark.functions import text, urls
 from stayspark.operators import aggregates, cards, identity, ranking, records, rules
+from stayspark.plans.lakehouse import LEDGER, Lakehouse
+from stayspark.plans.store import TableStore
+from stayspark.session import shared_dir
 from stayspark.sources.contract import load_contract
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +34,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def store(spark: SparkSession) -> TableStore:
+    """A new store in the shared folder; it goes with that folder."""
+    return TableStore(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+
+
 # -- observations: line items as offers
 
 OBS = """(SELECT cast(date_trunc('month', l_shipdate) AS date) AS check_in_date, l_returnflag AS destination, concat('h-', l_partkey) AS hotel_url, concat('Hotel ', l_partkey) AS hotel_name,
@@ -56,7 +65,7 @@ def destination_daily_summary(spark, d):
     return aggregates.destination_daily(obs(spark, d))
 
 
-@query(f"""SELECT check_in_date, destination, CASE WHEN rating >= 9 THEN 'Exceptional' WHEN rating >= 8 THEN 'Excellent' WHEN rating >= 7 THEN 'Very Good' WHEN rating >= 6 THEN 'Good' ELSE 'Below Average' END AS rating_bucket,
+@query(f"""SELECT check_in_date, destination, CASE WHEN rating >= 9 THEN 'Excellent (9.0+)' WHEN rating >= 8 THEN 'Very Good (8.0-8.9)' WHEN rating >= 7 THEN 'Good (7.0-7.9)' WHEN rating >= 6 THEN 'Satisfactory (6.0-6.9)' ELSE 'Below Average (<6.0)' END AS rating_bucket,
  count(*) AS observations, cast(avg(price_amount) AS decimal(18,0)) AS avg_price_amount FROM {OBS} WHERE rating IS NOT NULL GROUP BY ALL""")
 def rating_distribution(spark, d):
     return aggregates.rating_distribution(obs(spark, d))
@@ -126,16 +135,16 @@ def diagnostic_splits(spark, d):
     return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).agg(*[F.count_if(F.col("k") == i).alias(n) for i, n in enumerate(("missing_url", "missing_price", "discarded"))])
 
 
-EV = "(SELECT event_id, user_id, event_type, value, ts, CASE event_id % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'partial' WHEN 2 THEN 'skipped' ELSE 'success' END AS status, event_id % 83 AS round, CASE WHEN event_id % 7 <> 0 THEN event_type END AS rating FROM events)"
+EV = "(SELECT event_id, user_id, event_type, value, ts, CASE event_id % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'attempted' WHEN 2 THEN 'skipped' WHEN 3 THEN 'success' END AS status, event_id % 83 AS round, CASE WHEN event_id % 7 <> 0 THEN event_type END AS rating, CASE WHEN event_id % 11 <> 0 THEN 'u' END AS hotel_url, CASE WHEN event_id % 13 <> 0 THEN 'p' END AS price_value, CASE WHEN event_id % 3 <> 0 THEN cast(event_id % 40 AS double) END AS load FROM events)"
 
 
 def events(spark, d):
     k = F.col("event_id")
-    return table(spark, d, "events").select("event_id", "user_id", "event_type", "value", "ts", F.when(k % 5 == 0, "failed").when(k % 5 == 1, "partial").when(k % 5 == 2, "skipped").otherwise("success").alias("status"), (k % 83).alias("round"), F.when(k % 7 != 0, F.col("event_type")).alias("rating"))
+    return table(spark, d, "events").select("event_id", "user_id", "event_type", "value", "ts", F.when(k % 5 == 0, "failed").when(k % 5 == 1, "attempted").when(k % 5 == 2, "skipped").when(k % 5 == 3, "success").alias("status"), (k % 83).alias("round"), F.when(k % 7 != 0, F.col("event_type")).alias("rating"), F.when(k % 11 != 0, "u").alias("hotel_url"), F.when(k % 13 != 0, "p").alias("price_value"), F.when(k % 3 != 0, (k % 40).cast("double")).alias("load"))
 
 
-@query(f"""SELECT count(*) AS records, count(*) FILTER (WHERE status = 'success') AS success_records, count(*) FILTER (WHERE status = 'partial') AS partial_records, count(*) FILTER (WHERE status = 'failed') AS failed_records,
- count(*) FILTER (WHERE status = 'skipped') AS skipped_records, max(round) AS max_scroll_rounds, count(*) FILTER (WHERE rating IS NULL) AS missing_rating FROM {EV}""")
+@query(f"""SELECT count(*) AS records, count(*) FILTER (WHERE status IN ('attempted', 'success', 'failed')) AS detail_attempted, count(*) FILTER (WHERE status = 'success') AS detail_success, count(*) FILTER (WHERE status = 'failed') AS detail_failed,
+ max(round) AS max_scroll_rounds, count(hotel_url) AS records_with_url, count(price_value) AS price_present, count(*) FILTER (WHERE rating IS NULL) AS missing_rating FROM {EV}""")
 def verification_counts(spark, d):
     return aggregates.verification(events(spark, d), "status", "round", ["rating"])
 
@@ -144,7 +153,7 @@ TIMES = "(SELECT DISTINCT event_type AS destination, cast(user_id % 50 AS bigint
 
 
 @query(f"""SELECT *, CASE WHEN search_seconds >= listing_seconds AND search_seconds >= detail_seconds THEN 'search' WHEN listing_seconds >= detail_seconds THEN 'listing' ELSE 'detail' END AS bottleneck
- FROM (SELECT count(*) AS jobs, sum(search_seconds) AS search_seconds, sum(listing_seconds) AS listing_seconds, sum(detail_seconds) AS detail_seconds FROM {TIMES})""")
+ FROM (SELECT count(*) AS jobs, sum(search_seconds) AS search_seconds, sum(listing_seconds) AS listing_seconds, sum(detail_seconds) AS detail_seconds, sum(total_seconds) AS job_total_seconds FROM {TIMES})""")
 def timing_rollup(spark, d):
     k = F.col("user_id") % 50
     df = table(spark, d, "events").select(F.col("event_type").alias("destination"), k.alias("check_in"), (k.cast("double") * 3).alias("total_seconds"), k.cast("double").alias("search_seconds"), (k * 7 % 31).cast("double").alias("listing_seconds"), (k * 5 % 17).cast("double").alias("detail_seconds"))
@@ -156,27 +165,77 @@ def nearest_rank_percentiles(spark, d):
     return aggregates.percentiles(table(spark, d, "events"), ["event_type"], "value").withColumn("mean", F.round("mean", 6))
 
 
-@query(f"SELECT count(*) FILTER (WHERE status <> 'skipped') AS completed, count(*) FILTER (WHERE status = 'failed') AS failed, max(value) / count(*) FILTER (WHERE status <> 'skipped') AS seconds_each, cast(sum(round) AS bigint) AS retries FROM {EV}")
+@query(f"""SELECT count(*) AS completed, count(*) FILTER (WHERE status = 'failed') AS failed, max(value) / count(*) AS seconds_each, round(avg(load), 9) AS load_avg, round(avg(round), 9) AS extract_avg,
+ list_sort(list(value))[1 + cast(round_even((count(value) - 1) * 50 / 100, 0) AS int)] AS total_p50, list_sort(list(value))[1 + cast(round_even((count(value) - 1) * 95 / 100, 0) AS int)] AS total_p95, cast(sum(round) AS bigint) AS retries FROM {EV} WHERE status <> 'skipped'""")
 def detail_progress(spark, d):
-    return aggregates.progress(events(spark, d), "value", "status", "round")
+    return aggregates.progress(events(spark, d), "value", "status", "round", "load", "round", "value").withColumns({"load_avg": F.round("load_avg", 9), "extract_avg": F.round("extract_avg", 9)})
 
 
-@query("""SELECT page_id, count(*) AS candidate_urls, count(u) AS valid_urls, count(DISTINCT u) AS unique_urls, greatest(count(u) - count(DISTINCT u), 0) AS duplicate_urls
- FROM (SELECT page_id, CASE WHEN x LIKE 'http%' OR x LIKE '/%' THEN regexp_replace(x, '[?#].*$', '') END AS u FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS x FROM pages)) GROUP BY page_id""")
-def snapshot_metrics(spark, d):
-    links = cards.link_scan(table(spark, d, "pages").select("page_id", "html"), "html")
-    return aggregates.snapshot_metrics(links.withColumn("u", F.when(F.col("url").rlike("^(http|/)"), F.regexp_replace("url", "[?#].*$", ""))), "page_id", "u")
+# Links of the test pages are plain: one attribute in double quotes, no markup inside.
+LINKS = """(SELECT page_id, page_url, unnest(range(len(l))) AS position, unnest(l) AS url, unnest(t) AS text FROM (SELECT page_id, url AS page_url, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS l, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages))"""
+_PLAIN = "nullif(trim(regexp_replace(replace(text, '&amp;', '&'), '\\s+', ' ', 'g')), '')"
 
 
-@query("""SELECT page_id, position, url FROM (SELECT page_id, unnest(range(len(l))) AS position, unnest(l) AS url FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages))""")
-def link_scan(spark, d):
+def links(spark, d):
     return cards.link_scan(table(spark, d, "pages").select("page_id", "html"), "html").withColumn("position", F.col("position").cast("bigint"))
 
 
+@query(f"SELECT page_id, position, replace(url, '&amp;', '&') AS url, {_PLAIN} AS text FROM {LINKS} WHERE url <> ''")
+def link_scan(spark, d):
+    return links(spark, d)
+
+
+@query(f"""SELECT page_id, count(*) FILTER (WHERE NOT embedded) AS dom_card_count, count(*) AS candidate_records, count(*) FILTER (WHERE embedded) AS embedded_url_count, count(*) AS candidate_url_count, count(valid) AS valid_url_count,
+ count(DISTINCT lower(valid)) AS unique_canonical_url_count, count(DISTINCT CASE WHEN NOT invalid THEN url END) AS unique_hotel_count, count(*) FILTER (WHERE invalid) AS invalid_card_count, count(*) FILTER (WHERE position % 4 = 1) AS anchorless_card_count,
+ count(*) FILTER (WHERE valid IS NULL) AS cards_without_url_count, count(*) FILTER (WHERE name IS NULL) AS cards_without_name_count, greatest(count(valid) - count(DISTINCT lower(valid)), 0) AS duplicate_url_count
+ FROM (SELECT page_id, position, url, position % 5 = 0 AS embedded, position % 7 = 3 AS invalid, CASE WHEN position % 3 <> 0 THEN 'https://x' || rtrim(url, '/') END AS valid, CASE WHEN position % 2 = 0 THEN {_PLAIN} END AS name FROM {LINKS}) GROUP BY page_id""")
+def snapshot_metrics(spark, d):
+    p = F.col("position")
+    valid = F.when(p % 3 != 0, F.array(F.concat(F.lit("https://x"), "url"))).otherwise(F.array().cast("array<string>"))
+    df = links(spark, d).select("page_id", (p % 5 == 0).alias("embedded"), (p % 7 == 3).alias("invalid"), F.array("url").alias("candidate_urls"), valid.alias("valid_urls"), F.when(p % 4 != 1, F.array("url")).alias("anchor_hrefs"), F.when(p % 2 == 0, F.col("text")).alias("explicit_name"), F.col("url").alias("record_key"))
+    return aggregates.snapshot_metrics(df, "page_id")
+
+
+@query(f"SELECT page_id, position, url FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY position) AS n FROM {LINKS} WHERE position % 2 = 1) WHERE n <= 3")
+def invalid_samples(spark, d):
+    return aggregates.invalid_samples(links(spark, d).withColumn("invalid", F.col("position") % 2 == 1), "page_id", "position", ["url"], 3)
+
+
 @query("""SELECT page_id, len(list_distinct(regexp_extract_all(html, '<a href="([^"]*)"', 1)))::bigint AS links, array_to_string(list_sort(list_distinct(regexp_extract_all(html, '<a href="([^"]*)"', 1))), ' ') AS url_set FROM pages""")
 def url_sets(spark, d):
-    links = cards.link_scan(table(spark, d, "pages").select("page_id", "html"), "html").groupBy("page_id").agg(F.array_sort(F.collect_set("url")).alias("s"))
-    return table(spark, d, "pages").select("page_id").join(links, "page_id", "left").select("page_id", F.coalesce(F.size("s"), F.lit(0)).cast("bigint").alias("links"), F.coalesce(F.array_join("s", " "), F.lit("")).alias("url_set"))
+    found = F.array_sort(F.array_distinct(F.transform(cards.anchors("html"), lambda a: a["href"])))
+    return table(spark, d, "pages").select("page_id", found.alias("s")).select("page_id", F.size("s").cast("bigint").alias("links"), F.array_join("s", " ").alias("url_set"))
+
+
+# A property page's link for every link of the test pages; the first link of a URL, whatever its case, names it.
+@query(f"""SELECT page_id, position, hotel_url, hotel_name FROM (SELECT page_id, position, regexp_extract(page_url, '^[a-z]+://[^/]*') || '/hotel' || replace(url, '&amp;', '&') AS hotel_url, {_PLAIN} AS hotel_name,
+ row_number() OVER (PARTITION BY page_id, lower(rtrim(regexp_extract(replace(url, '&amp;', '&'), '^[^?#]*'), '/')) ORDER BY position) AS n FROM {LINKS} WHERE url <> '') WHERE n = 1""")
+def property_links(spark, d):
+    df = table(spark, d, "pages").select("page_id", "url", F.replace(F.col("html"), F.lit('<a href="/'), F.lit('<a href="/hotel/')).alias("html"))
+    return cards.property_links(df, "html", "url", ["page_id"]).withColumn("position", F.col("position").cast("bigint"))
+
+
+def stateful_pages(spark, d):
+    """Pages with a script that names properties, escaped in several ways."""
+    k = F.col("page_id").cast("string")
+    state = F.concat(F.lit('<script>{"a":"https:\\/\\/www.stay.example\\/x\\/hotel\\/p'), k, F.lit('.html?r=1&amp;s=2","b":"\\u002Fen-us\\u002Fq\\u002Fhotel\\u002Fp'), k, F.lit('.html","c":"/z/hotel/none","d":"/z/hotel/p'), k, F.lit('.HTML"}</script>'))
+    return table(spark, d, "pages").select("page_id", F.concat("html", state).alias("html"))
+
+
+_EMBEDDED_SQL = "['https://www.stay.example/x/hotel/p' || page_id || '.html?r=1&s=2', '/en-us/q/hotel/p' || page_id || '.html', '//www.stay.example/x/hotel/p' || page_id || '.html?r=1&s=2', '/z/hotel/p' || page_id || '.HTML']"
+
+
+@query(f"SELECT page_id, array_to_string({_EMBEDDED_SQL}, ' ') AS urls FROM pages")
+def embedded_urls(spark, d):
+    return stateful_pages(spark, d).select("page_id", F.array_join(cards.embedded_urls("html"), " ").alias("urls"))
+
+
+@query(f"""SELECT page_id AS page, position AS card_index, url, {_PLAIN} AS name, 'dom' AS data_selenium FROM {LINKS} UNION ALL
+ SELECT page_id AS page, i + len(regexp_extract_all(html, '<a href="', 0)) AS card_index, u AS url, '' AS name, 'embedded-state' AS data_selenium FROM (SELECT page_id, html, unnest(range(4)) AS i, unnest({_EMBEDDED_SQL}) AS u FROM pages)""")
+def cards_with_embedded(spark, d):
+    dom = links(spark, d).select(F.col("page_id").alias("page"), F.col("position").cast("int").alias("card_index"), F.array("url").alias("urls"), F.col("text").alias("name"), F.lit("dom").alias("data_selenium"))
+    both = cards.with_embedded(dom, stateful_pages(spark, d), "html", "page_id")
+    return both.select("page", F.col("card_index").cast("bigint").alias("card_index"), F.col("urls")[0].alias("url"), "name", "data_selenium")
 
 
 @query("""SELECT lang, cast(max(cards) AS bigint) AS max_visible_cards, cast(max(uniq) AS bigint) AS max_total_unique, array_to_string(list_sort(list(DISTINCT source)), ',') AS targets, array_to_string(list_transform(list_sort(list(DISTINCT (page, c))), lambda x: x[1] || '=' || x[2]), ',') AS cards_by_page
@@ -228,7 +287,7 @@ _SQL_RULES = [
     f"CASE WHEN {_SQL_PRICE} IS NULL OR {_SQL_PRICE} <= 0 THEN 'invalid_price_value' END",
     "CASE WHEN try_cast(crawled_at AS timestamptz) IS NULL THEN 'invalid_crawled_at' END",
     "CASE WHEN try_cast(check_in AS date) IS NULL THEN 'invalid_check_in' END",
-    "CASE WHEN try_cast(check_out AS date) <= try_cast(check_in AS date) THEN 'check_out_after_check_in' END",
+    "CASE WHEN try_cast(check_out AS date) <= try_cast(check_in AS date) THEN 'check_out_not_after_check_in' END",
 ]
 _SQL_FAILED = f"array_to_string(list_filter([{', '.join(_SQL_RULES)}], lambda x: x IS NOT NULL), ';')"
 _BAD_RATING = f"trim(rating_text) <> '' AND ({_SQL_RATING} IS NULL OR {_SQL_RATING} < 0 OR {_SQL_RATING} > 10)"
@@ -286,7 +345,10 @@ def record_ids(spark, d):
 
 @query("SELECT l_returnflag, l_linestatus, l_quantity, count(*) AS copies FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount FROM lineitem) GROUP BY ALL")
 def duplicate_lines(spark, d):
-    return table(spark, d, "lineitem").dropDuplicates(["l_returnflag", "l_linestatus", "l_quantity", "l_discount"]).groupBy("l_returnflag", "l_linestatus", "l_quantity").agg(F.count("*").alias("copies"))
+    s = store(spark)
+    s.create("lines", "l_returnflag string, l_linestatus string, l_quantity double, l_discount double")
+    s.insert_only("lines", table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus", "l_quantity", "l_discount"])
+    return s.read("lines").groupBy("l_returnflag", "l_linestatus", "l_quantity").agg(F.count("*").alias("copies"))
 
 
 # -- joins and merges
@@ -295,28 +357,55 @@ def duplicate_lines(spark, d):
 @query("""SELECT o_orderkey, o_orderstatus, 'old' AS origin FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT o_orderkey, o_orderstatus, 'new' AS origin FROM (SELECT DISTINCT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0) s WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderkey % 3 <> 0 AND t.o_orderkey = s.o_orderkey)""")
 def merge_insert_only(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    target, source = orders.where("o_orderkey % 3 <> 0"), orders.where("o_orderkey % 2 = 0").dropDuplicates(["o_orderkey"])
-    return target.withColumn("origin", F.lit("old")).unionByName(source.join(target.select("o_orderkey"), "o_orderkey", "left_anti").withColumn("origin", F.lit("new")))
+    s = store(spark)
+    s.create("orders", "o_orderkey bigint, o_orderstatus string, origin string")
+    s.insert_only("orders", orders.where("o_orderkey % 3 <> 0").withColumn("origin", F.lit("old")), ["o_orderkey"])
+    s.insert_only("orders", orders.where("o_orderkey % 2 = 0").withColumn("origin", F.lit("new")), ["o_orderkey"])
+    return s.read("orders")
 
 
 @query("""SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 5 <> 0 AND NOT (c_custkey % 2 = 0) UNION ALL SELECT c_custkey, c_name || ' v2' AS c_name, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_custkey % 2 = 0""")
 def merge_upsert(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
-    source = c.where("c_custkey % 2 = 0").select("c_custkey", F.concat("c_name", F.lit(" v2")).alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal"))
-    return c.where("c_custkey % 5 <> 0").join(source.select("c_custkey"), "c_custkey", "left_anti").unionByName(source)
+    s = store(spark)
+    s.overwrite("customer", c.where("c_custkey % 5 <> 0"))
+    s.upsert("customer", c.where("c_custkey % 2 = 0").select("c_custkey", F.concat("c_name", F.lit(" v2")).alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal")), ["c_custkey"])
+    return s.read("customer")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus IN ('F', 'O') AND l_suppkey IN (1, 2, 3, 5, 8)")
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey IN (1, 2, 3, 5, 8)")
 def batch_slice(spark, d):
-    df = table(spark, d, "lineitem")
-    return df.where((F.col("l_returnflag") == "R") & F.col("l_linestatus").isin("F", "O") & F.col("l_suppkey").isin(1, 2, 3, 5, 8)).select("l_orderkey", "l_linenumber", "l_quantity")
+    s = store(spark)
+    s.create("bronze", "record_id string, batch_id string, source_file_path string, l_orderkey bigint, l_linenumber int, l_quantity double")
+    lines = table(spark, d, "lineitem").withColumn("source_file_path", F.col("l_suppkey").cast("string"))
+    lines = lines.withColumn("record_id", text.digest(*[F.col(c).cast("string") for c in lines.columns]))
+    for flag in ("A", "N", "R"):
+        s.insert_only("bronze", lines.where(F.col("l_returnflag") == flag).withColumn("batch_id", F.lit(flag)), ["record_id"], scope={"batch_id": flag})
+    return Lakehouse(s, load_contract()).batch({"batch_id": "R"}, ["1", "2", "3", "5", "8"]).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
-@query("SELECT o_custkey AS file_path, count(*) AS declared FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders l WHERE l.o_orderstatus = 'F' AND l.o_custkey = o.o_custkey) GROUP BY o_custkey")
+@query("SELECT cast(o_custkey AS varchar) AS file_path, count(*) AS declared FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders l WHERE l.o_orderstatus = 'F' AND l.o_custkey = o.o_custkey) GROUP BY o_custkey")
 def pending_files(spark, d):
-    orders = table(spark, d, "orders")
-    loaded = orders.where("o_orderstatus = 'F'").select("o_custkey").distinct()
-    return orders.groupBy("o_custkey").agg(F.count("*").alias("declared")).join(loaded, "o_custkey", "left_anti").withColumnRenamed("o_custkey", "file_path")
+    orders = table(spark, d, "orders").withColumn("file_path", F.col("o_custkey").cast("string"))
+    s = store(spark)
+    s.create("ledger", LEDGER)
+    status = F.when(F.col("o_orderstatus") == "F", "loaded").otherwise("failed")
+    s.insert_only("ledger", orders.select(F.lit("b").alias("batch_id"), "file_path", status.alias("status")).unionByName(orders.select(F.lit("other").alias("batch_id"), "file_path", F.lit("loaded").alias("status"))), ["batch_id", "file_path", "status"])
+    return Lakehouse(s, load_contract()).pending(orders.groupBy("file_path").agg(F.count("*").alias("declared")), "b")
+
+
+@query("SELECT user_id, array_to_string(list_transform(list_sort(list({'a': pos, 'u': u})), lambda x: x.u), ' ') AS urls FROM (SELECT user_id, u, min((event_id * 2 + i)) AS pos FROM (SELECT user_id, event_id, i, CASE i WHEN 0 THEN event_type ELSE props END AS u FROM events, (SELECT unnest([0, 1]) AS i)) GROUP BY 1, 2) GROUP BY user_id")
+def url_union(spark, d):
+    df = table(spark, d, "events").select("user_id", "event_id", F.array("event_type", "props").alias("urls"))
+    return identity.url_union(df, ["user_id"], "urls", "event_id").select("user_id", F.array_join("urls", " ").alias("urls"))
+
+
+@query("SELECT n_name AS stay, r_name AS destination, n_nationkey * 5 + r_regionkey AS ordinal, n_nationkey % 3 AS worker FROM nation JOIN region ON n_nationkey % 2 = r_regionkey % 2")
+def collected_results(spark, d):
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    plan = n.join(r, F.col("n_nationkey") % 2 == F.col("r_regionkey") % 2).select(F.col("n_name").alias("stay"), F.col("r_name").alias("destination"), (F.col("n_nationkey") * 5 + F.col("r_regionkey")).alias("ordinal"), (F.col("n_nationkey") % 3).alias("worker"))
+    done = [plan.where(F.col("worker") == w).select("stay", "destination", "worker") for w in (2, 0, 1)]
+    return records.collected(done, plan, ["stay", "destination"], "ordinal").select("stay", "destination", "ordinal", "worker")
 
 
 @query("SELECT l_orderkey, declared, found FROM (SELECT coalesce(o_orderkey, l_orderkey) AS l_orderkey, coalesce(declared, 0)::bigint AS declared, coalesce(found, 0)::bigint AS found FROM (SELECT o_orderkey, o_orderkey % 4 + 2 AS declared FROM orders) FULL JOIN (SELECT l_orderkey, count(*) AS found FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey) WHERE declared <> found")
@@ -368,22 +457,32 @@ def record_key(spark, d):
     return page_cards(spark, d).select("page_id", identity.record_key("canonical_url", "hotel_url", "property_id", "name", "page_id", F.lit(7), F.lit(" Text ")).alias("record_key"))
 
 
-PROMOTE = "(SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'url:' || (c_custkey % 40) WHEN c_custkey % 3 = 1 THEN 'property:' || (c_custkey % 40) ELSE 'partial:' || c_mktsegment END AS k, CASE WHEN c_custkey % 3 <> 2 THEN cast(c_custkey % 40 AS varchar) END AS property_id, CASE WHEN c_custkey % 3 <> 1 THEN c_mktsegment || CASE WHEN c_custkey % 6 < 2 THEN '' ELSE 'x' END END AS name FROM customer)"
+def promotions(spark, d):
+    c = F.col("c_custkey")
+    key = F.when(c % 3 == 0, F.concat(F.lit("url:"), c % 40)).when(c % 3 == 1, F.concat(F.lit("property:"), c % 40)).otherwise(F.concat(F.lit("partial:"), F.lower("c_mktsegment")))
+    return table(spark, d, "customer").select("c_custkey", key.alias("k"), F.when(c % 3 != 2, (c % 40).cast("string")).alias("property_id"), F.when(c % 3 != 1, F.concat("c_mktsegment", F.when(c % 6 < 2, "").otherwise("x"))).alias("name"))
+
+
+PROMOTE = "(SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'url:' || (c_custkey % 40) WHEN c_custkey % 3 = 1 THEN 'property:' || (c_custkey % 40) ELSE 'partial:' || lower(c_mktsegment) END AS k, CASE WHEN c_custkey % 3 <> 2 THEN cast(c_custkey % 40 AS varchar) END AS property_id, CASE WHEN c_custkey % 3 <> 1 THEN c_mktsegment || CASE WHEN c_custkey % 6 < 2 THEN '' ELSE 'x' END END AS name FROM customer)"
 
 
 @query(f"""SELECT c_custkey, k, CASE WHEN k LIKE 'url:%' THEN k ELSE coalesce(p.m, n.m, k) END AS identity FROM {PROMOTE} r
  LEFT JOIN (SELECT property_id, min(k) AS m FROM {PROMOTE} WHERE k LIKE 'url:%' GROUP BY 1) p ON r.property_id = p.property_id LEFT JOIN (SELECT lower(trim(name)) AS name, min(k) AS m FROM {PROMOTE} WHERE k LIKE 'url:%' AND name IS NOT NULL GROUP BY 1) n ON lower(trim(r.name)) = n.name""")
 def identity_promotion(spark, d):
-    c = F.col("c_custkey")
-    key = F.when(c % 3 == 0, F.concat(F.lit("url:"), c % 40)).when(c % 3 == 1, F.concat(F.lit("property:"), c % 40)).otherwise(F.concat(F.lit("partial:"), "c_mktsegment"))
-    df = table(spark, d, "customer").select("c_custkey", key.alias("k"), F.when(c % 3 != 2, (c % 40).cast("string")).alias("property_id"), F.when(c % 3 != 1, F.concat("c_mktsegment", F.when(c % 6 < 2, "").otherwise("x"))).alias("name"))
-    return identity.promoted(df, "k", "property_id", "name").select("c_custkey", "k", "identity")
+    return identity.promoted(promotions(spark, d), "k", "property_id", "name").select("c_custkey", "k", "identity")
 
 
-@query("SELECT count(*) AS new_records FROM (SELECT DISTINCT user_id FROM events WHERE event_id % 2 = 0) WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id % 2 = 1 AND event_id % 3 = 0)")
+# Keys before: every odd customer; on the page: even ones. URL records of the page take partial ones of before away.
+@query(f"""WITH r AS (SELECT k, nullif(lower(trim(name)), '') AS n, property_id AS p, (1 - c_custkey % 2) * 1000000 + c_custkey AS t FROM {PROMOTE}),
+ a AS (SELECT 1 AS sign, * FROM r UNION ALL SELECT -1, * FROM r WHERE t < 1000000),
+ u AS (SELECT sign, k, min(t) AS t, arg_min(n, t) FILTER (WHERE true) AS n, arg_min(p, t) AS p FROM (SELECT sign, k, t, coalesce(n, '?') AS n, coalesce(p, '?') AS p FROM a WHERE k LIKE 'url:%') GROUP BY 1, 2),
+ o AS (SELECT sign, k, max(t) AS t FROM a WHERE k NOT LIKE 'url:%' GROUP BY 1, 2),
+ g AS (SELECT sign, k, max(t) AS t FROM (SELECT sign, 'partial:' || n AS k, t FROM u UNION ALL SELECT sign, 'property:' || p, t FROM u) GROUP BY 1, 2)
+ SELECT cast(sum(sign) AS bigint) AS new_records FROM (SELECT sign FROM u UNION ALL SELECT o.sign FROM o LEFT JOIN g ON o.sign = g.sign AND o.k = g.k WHERE g.t IS NULL OR o.t > g.t)""")
 def new_record_count(spark, d):
-    e = table(spark, d, "events")
-    return identity.new_records(e.where("event_id % 2 = 1 AND event_id % 3 = 0"), e.where("event_id % 2 = 0"), "user_id")
+    df = promotions(spark, d)
+    odd = F.col("c_custkey") % 2 == 1
+    return identity.new_records(df.where(odd), df.where(~odd), "k", "property_id", "name", "c_custkey")
 
 
 # -- ranking and pages
@@ -410,9 +509,22 @@ def needs_enrichment(spark, d):
     return parts(spark, d).select("p_partkey", ranking.needs_enrichment("hotel_url").alias("needs"))
 
 
-@query("SELECT p_partkey, p_partkey <= (SELECT max(p_partkey) FROM (SELECT p_partkey FROM part ORDER BY p_partkey LIMIT 30)) AS taken, NULL::varchar AS enrich_status FROM part")
+# Thirty are taken of those that need a page and have no status, in an order with many ties.
+_PENDING = f"(SELECT p_partkey, p_size, hotel_url, CASE WHEN p_partkey % 7 = 0 THEN 'success' END AS s, coalesce(hotel_url <> '' AND ({_MISS}) > 0 AND p_partkey % 7 <> 0, false) AS pending FROM (SELECT q.*, p_size FROM {PART} q JOIN part USING (p_partkey)))"
+
+
+@query(f"SELECT p_size, count(*) AS records, count(*) FILTER (WHERE pending AND n <= 30) AS taken, count(s) AS with_status FROM (SELECT *, row_number() OVER (PARTITION BY pending ORDER BY p_size, p_partkey) AS n FROM {_PENDING}) GROUP BY p_size")
 def enrichment_budget(spark, d):
-    return ranking.budgeted(parts(spark, d), "p_partkey", 42, 12).select("p_partkey", "taken", "enrich_status")
+    df = parts(spark, d).join(table(spark, d, "part").select("p_partkey", "p_size"), "p_partkey").withColumn("enrich_status", F.when(F.col("p_partkey") % 7 == 0, "success"))
+    out = ranking.budgeted(df, ["p_size"], 42, 12, ranking.needs_enrichment("hotel_url"))
+    return out.groupBy("p_size").agg(F.count("*").alias("records"), F.count_if("taken").alias("taken"), F.count("enrich_status").alias("with_status"))
+
+
+@query(f"SELECT p_partkey, NOT pending AND s IS NULL AS untouched, CASE WHEN pending THEN 'skipped' ELSE s END AS enrich_status, CASE WHEN pending THEN 'max_detail_pages_reached' END AS enrich_error FROM {_PENDING}")
+def enrichment_spent(spark, d):
+    df = parts(spark, d).withColumn("enrich_status", F.when(F.col("p_partkey") % 7 == 0, "success"))
+    out = ranking.budgeted(df, ["p_partkey"], 12, 12, ranking.needs_enrichment("hotel_url"))
+    return out.select("p_partkey", (F.col("enrich_status").isNull()).alias("untouched"), "enrich_status", "enrich_error")
 
 
 DAYS = "(SELECT cast(ts AS date) AS day, event_type AS kind, count(*) AS n, min(user_id) AS first_user, list_sort(list(DISTINCT user_id % 40)) AS users FROM events GROUP BY 1, 2)"
@@ -455,6 +567,12 @@ def ascii_fold(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(text.ascii_fold("text")).alias("folded_md5"))
 
 
+@query("SELECT c_custkey, 'Vung ' || c_mktsegment || ' Da' AS normalized_destination, 'V\u0169ng  ' || c_mktsegment || '  \u0110a ' AS destination, DATE '2026-06-10' AS check_in, DATE '2026-06-11' AS check_out FROM customer")
+def annotated_records(spark, d):
+    place = F.concat(F.lit("V\u0169ng  "), "c_mktsegment", F.lit("  \u0110a "))
+    return table(spark, d, "customer").select(*text.annotated(["c_custkey"], place, F.lit("2026-06-10").cast("date"), F.lit("2026-06-11").cast("date")))
+
+
 SCORES = "(SELECT l_orderkey, l_linenumber, l_partkey, CASE l_suppkey % 5 WHEN 0 THEN '1/10 images, rated ' || (l_quantity::int % 11) || ',' || (l_linenumber % 10) || ' / 10' WHEN 1 THEN 'Tuyệt vời ' || (l_quantity::int % 10) || ',' || (l_linenumber % 10) || ' với ' || l_partkey || ' bài đánh giá' WHEN 2 THEN (l_quantity::int % 6) || ' sao trên 5, ' || l_partkey || ' nhận xét' WHEN 3 THEN (l_quantity::int % 6) || '.5 stars out of 5 and ' || l_partkey || ' reviews' ELSE 'nothing here' END AS t FROM lineitem)"
 
 
@@ -511,6 +629,29 @@ def textual_fallback(spark, d):
     return offers(spark, d).select("p_partkey", text.textual_fallback(t).alias("f")).select("p_partkey", "f.*")
 
 
+_DETAIL = "(SELECT p_partkey, p_partkey % 3 = 0 AS r, p_partkey % 5 = 0 AS q, p_partkey % 2 = 0 AS s FROM part)"
+
+
+@query(f"""SELECT p_partkey, 'Inn ' || p_partkey AS hotel_name, CASE WHEN q THEN '120000' ELSE '990000' END AS price_value, CASE WHEN r THEN NULL ELSE '8.1' END AS rating_text, CASE WHEN r THEN p_partkey::varchar ELSE '77' END AS review_count_text, CASE WHEN s THEN '3 stars' ELSE '4 stars' END AS star_rating_text FROM {_DETAIL}""")
+def detail_precedence(spark, d):
+    k = F.col("p_partkey")
+    review, price = F.when(k % 3 == 0, F.concat(k, F.lit(" reviews"))).otherwise(""), F.when(k % 5 == 0, "120.000 \u20ab").otherwise("ask us")
+    body = F.lit("990.000 VND | 8,1/10 | 77 reviews | 4 sao tren 5")
+    fields = cards.detail_fields(F.concat(F.lit("Inn "), k), review, F.when(k % 2 == 0, "3 stars out of 5"), price, body)
+    return table(spark, d, "part").select("p_partkey", fields.alias("f")).select("p_partkey", "f.*")
+
+
+@query("SELECT page_id, nullif(trim(regexp_replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')), '') AS hotel_name FROM pages")
+def detail_page_names(spark, d):
+    return table(spark, d, "pages").select("page_id", cards.detail_page("html")["hotel_name"].alias("hotel_name"))
+
+
+@query("SELECT page_id, 'https://x/a/' || page_id || '?b=1&c=\u00e9&d=\u20ac\U0001f600\"' AS url FROM pages")
+def script_urls(spark, d):
+    escaped = F.concat(F.lit("https:\\/\\/x\\u002fa/"), "page_id", F.lit("?b=1\\u0026c=\\u00e9&amp;d=&#8364;&#x1F600;&quot;"))
+    return table(spark, d, "pages").select("page_id", urls.decoded_js_url(escaped).alias("url"))
+
+
 @query("SELECT page_id, regexp_replace(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*')) || regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '/+$', '') || coalesce('?' || nullif(array_to_string(list_filter(string_split(regexp_extract(url, '[?]([^#]*)', 1), '&'), lambda p: NOT starts_with(p, 'utm_') AND NOT starts_with(p, 'cid=') AND p <> ''), '&'), ''), ''), '^$', '') AS url_normalized FROM (SELECT page_id, regexp_replace(url, '^([a-z]+://[^/?#]*)', '\\1/hotel') AS url FROM pages)")
 def url_normalize(spark, d):
     return table(spark, d, "pages").select("page_id", urls.property_url(F.regexp_replace("url", "^([a-z]+://[^/?#]*)", "$1/hotel"), F.lit("https://base.example/")).alias("url_normalized"))
@@ -521,10 +662,10 @@ def url_key(spark, d):
     return table(spark, d, "pages").select("page_id", urls.url_key("url").alias("url_key"))
 
 
-@query("SELECT p_partkey, string_agg(upper(left(w, 1)) || lower(substr(w, 2)), ' ' ORDER BY i) AS name FROM (SELECT p_partkey, unnest(string_split(p_brand || ' ' || replace(p_type, ' ', ' '), ' ')) AS w, unnest(range(len(string_split(p_brand || ' ' || p_type, ' ')))) AS i FROM (SELECT p_partkey, replace(p_brand, '#', ' ') AS p_brand, p_type FROM part)) GROUP BY p_partkey")
+@query("SELECT p_partkey, 'O''Neil ' || string_agg(upper(left(w, 1)) || lower(substr(w, 2)), ' ' ORDER BY i) AS name FROM (SELECT p_partkey, unnest(string_split(p_brand || ' ' || replace(p_type, ' ', ' '), ' ')) AS w, unnest(range(len(string_split(p_brand || ' ' || p_type, ' ')))) AS i FROM (SELECT p_partkey, replace(p_brand, '#', ' ') AS p_brand, p_type FROM part)) GROUP BY p_partkey")
 def url_name(spark, d):
     slug = F.concat(F.replace(F.col("p_brand"), F.lit("#"), F.lit("-")), F.lit("-"), F.translate("p_type", " ", "-"))
-    return table(spark, d, "part").select("p_partkey", urls.name_from_url(F.concat(F.lit("https://x/"), slug, F.lit("/hotel/city.html?a=1"))).alias("name"))
+    return table(spark, d, "part").select("p_partkey", urls.name_from_url(F.concat(F.lit("https://x/o'neil-"), slug, F.lit("/hotel/city.html?a=1"))).alias("name"))
 
 
 @query("SELECT o_orderkey, 'https://x/h?a=1&checkIn=' || strftime(o_orderdate::date, '%Y-%m-%d') || '&checkOut=' || strftime(o_orderdate::date + 2, '%Y-%m-%d') || '&los=2&rooms=1&adults=2&children=0' AS url FROM orders")

@@ -94,11 +94,12 @@ class Lakehouse:
 
         self.store.upsert("ledger", self.spark.createDataFrame(rows, LEDGER), ["batch_id", "file_path"], keep=first_start)
 
-    def _quarantine(self, df: DataFrame, layer: str) -> int:
+    def _quarantine(self, df: DataFrame, layer: str, batch: str) -> int:
+        """Quarantined rows of a batch; a new run replaces that batch's rows and touches no other."""
         rows = df.withColumns({"quarantine_layer": F.lit(layer), "quarantined_at": F.lit(self.clock())}).dropDuplicates(["record_id"])
         n = rows.count()
         if n:
-            self.store.upsert("quarantine", rows, ["record_id"])
+            self.store.upsert("quarantine", rows, ["record_id"], scope={"batch_id": batch})
         return n
 
     # -- layers
@@ -110,6 +111,11 @@ class Lakehouse:
         known = {k: F.lit(manifest[k]) for k in ("batch_id", "airflow_dag_id", "airflow_run_id")}
         return rules.parsed_lines(raw, self.contract).withColumns({**known, "airflow_try_number": F.lit(manifest["airflow_try_number"]).cast("long"), "manifest_path": F.lit(path), "ingested_at": F.lit(self.clock()), "record_id": digest(F.lit(manifest["batch_id"]), "source_file_path", "raw_record_json")})
 
+    def pending(self, plan: DataFrame, batch: str) -> DataFrame:
+        """Declared files (file_path, declared) that the ledger has not as loaded for this batch."""
+        loaded = self.store.read("ledger").where((F.col("batch_id") == batch) & (F.col("status") == "loaded")).select("file_path")
+        return plan.join(loaded, "file_path", "left_anti")
+
     def bronze(self, path: str, root: str = "/") -> dict[str, int]:
         manifest = read_manifest(self.spark, str(safe_manifest_path(path, root)))
         declared = declared_counts(manifest, path)
@@ -117,8 +123,7 @@ class Lakehouse:
         pending: dict[str, int] = {}
         try:
             plan = self.spark.createDataFrame(list(declared.items()), "file_path string, declared long")
-            loaded = self.store.read("ledger").where((F.col("batch_id") == manifest["batch_id"]) & (F.col("status") == "loaded")).select("file_path")
-            pending = {r[0]: r[1] for r in plan.join(loaded, "file_path", "left_anti").collect()}
+            pending = {r[0]: r[1] for r in self.pending(plan, manifest["batch_id"]).collect()}
             skipped = len(declared) - len(pending)
             if not pending:
                 return {"input_records": 0, "output_records": 0, "quarantined_records": 0, "skipped_files": skipped}
@@ -129,7 +134,7 @@ class Lakehouse:
                 if wrong := {f: (n, found.get(f, 0)) for f, n in pending.items() if found.get(f, 0) != n}:
                     raise ValueError(f"declared and found records differ: {wrong}")
                 bad = lines.where(~F.col("is_object")).withColumns({"failed_rules": F.array(F.lit("malformed_json")), "failure_reason": F.lit("malformed_json")})
-                quarantined = self._quarantine(bad, "bronze")
+                quarantined = self._quarantine(bad, "bronze", manifest["batch_id"])
                 rows, invalid = sum(found.values()), sum(r["bad"] for r in counts)
                 if rows == 0:
                     raise ValueError("no records")
@@ -137,7 +142,7 @@ class Lakehouse:
                     raise ValueError(f"too many malformed records: {invalid} of {rows}")
                 self._ledger(manifest, path, dict.fromkeys(pending, None), "loading")
                 good = lines.where("is_object")
-                written = self.store.insert_only("bronze", good, ["record_id"])
+                written = self.store.insert_only("bronze", good, ["record_id"], scope={"batch_id": manifest["batch_id"]})
                 each = {r[0]: r[1] for r in good.groupBy("source_file_path").agg(F.countDistinct("record_id")).collect()}
                 self._ledger(manifest, path, {f: each.get(f, 0) for f in pending}, "loaded")
             finally:
@@ -150,8 +155,8 @@ class Lakehouse:
         return {"input_records": rows, "output_records": written, "quarantined_records": quarantined, "skipped_files": skipped}
 
     def batch(self, manifest: dict[str, Any], files: list[str]) -> DataFrame:
-        """The batch's bronze rows; both conditions reach the Parquet scan."""
-        return self.store.read("bronze").where((F.col("batch_id") == manifest["batch_id"]) & F.col("source_file_path").isin(files))
+        """The batch's bronze rows: folders of other batches are not opened, and both conditions reach the Parquet scan."""
+        return self.store.read("bronze", {"batch_id": manifest["batch_id"]}).where((F.col("batch_id") == manifest["batch_id"]) & F.col("source_file_path").isin(files))
 
     def silver(self, path: str, root: str = "/") -> dict[str, int]:
         manifest = read_manifest(self.spark, str(safe_manifest_path(path, root)))
@@ -164,11 +169,11 @@ class Lakehouse:
                 rows, bad = checked.agg(F.count("*"), F.count_if(F.size("failed_rules") > 0)).first()
                 if rows == 0:
                     raise ValueError("no bronze records for this manifest")
-                self._quarantine(rules.quarantine_reason(checked), "silver")
+                self._quarantine(rules.quarantine_reason(checked), "silver", manifest["batch_id"])
                 if rules.too_many_invalid(rows, bad):
                     raise ValueError(f"too many invalid records: {bad} of {rows}")
                 typed = rules.typed(rules.valid_rows(checked)).withColumns({"bronze_ingested_at": F.col("ingested_at"), "transformed_at": F.lit(self.clock())})
-                written = self.store.insert_only("history", typed, ["record_id"])
+                written = self.store.insert_only("history", typed, ["record_id"], scope={"batch_id": manifest["batch_id"]})
             finally:
                 checked.unpersist()
         except Exception as e:
@@ -177,17 +182,21 @@ class Lakehouse:
         self._audit(manifest, "silver", "success", (rows, rows - bad, bad))
         return {"input_records": rows, "output_records": written, "quarantined_records": bad}
 
-    def gold(self, manifest: dict[str, Any]) -> dict[str, int]:
-        self.store.require("history", "audit")
+    def gold(self, path: str, root: str = "/") -> dict[str, int]:
+        """Rebuild the summaries from all history, once the manifest has been validated; an empty history is refused."""
+        manifest = read_manifest(self.spark, str(safe_manifest_path(path, root)))
+        declared_counts(manifest, path)
+        self.store.require("history", "audit", *SUMMARIES)
+        rows = 0
         try:
-            history = self.store.read("history").persist()
-            try:
-                rows = history.count()
-                out = {name: self.store.overwrite(name, summary(history)) for name, summary in SUMMARIES.items()}
-            finally:
-                history.unpersist()
+            history = self.store.read("history")
+            rows = history.count()
+            if rows == 0:
+                raise ValueError("history is empty: silver comes first")
+            # Each summary scans the few columns that it needs; nothing of the history is kept in memory.
+            out = {name: self.store.overwrite(name, summary(history)) for name, summary in SUMMARIES.items()}
         except Exception as e:
-            self._audit(manifest, "gold", "failed", (0, 0, 0), str(e))
+            self._audit(manifest, "gold", "failed", (rows, 0, 0), str(e))
             raise
         self._audit(manifest, "gold", "success", (rows, sum(out.values()), 0))
         return out
@@ -195,4 +204,4 @@ class Lakehouse:
     def run(self, path: str, root: str = "/") -> dict[str, dict[str, int]]:
         """All three layers for one manifest."""
         self.setup()
-        return {"bronze": self.bronze(path, root), "silver": self.silver(path, root), "gold": self.gold(read_manifest(self.spark, path))}
+        return {"bronze": self.bronze(path, root), "silver": self.silver(path, root), "gold": self.gold(path, root)}

@@ -3,6 +3,10 @@
 A table is a folder of versions and a pointer file that names the current one; the pointer is renamed into place when a
 version is complete, so a crash between leaves the old version. A version lists its data folders in a manifest, so an append
 adds files and copies none. One writer at a time is assumed. Paths go through Hadoop's file system: any store that Spark knows.
+
+A folder may have a scope: values of some columns that all its rows share (a batch). A merge with a scope looks for keys only in
+folders of that scope and in those without one, and an upsert with a scope rewrites no other folder: its cost follows the batch,
+not the table. The caller vouches that equal keys lie in one scope, as they do where the key is a digest of the batch.
 """
 
 from __future__ import annotations
@@ -73,8 +77,9 @@ class TableStore:
             raise ValueError(f"table {name} does not exist")
         return json.loads(self.files.read(self._pointer(name)))
 
-    def _publish(self, name: str, schema: StructType, folders: list[str], version: int) -> None:
-        self.files.write(self._pointer(name), json.dumps({"version": version, "schema": schema.jsonValue(), "folders": folders}))
+    def _publish(self, name: str, schema: StructType, folders: list[str], version: int, scopes: dict[str, dict[str, str]] | None = None) -> None:
+        kept = {f: s for f, s in (scopes or {}).items() if f in folders}
+        self.files.write(self._pointer(name), json.dumps({"version": version, "schema": schema.jsonValue(), "folders": folders, "scopes": kept}))
 
     def exists(self, name: str) -> bool:
         return self.files.exists(self._pointer(name))
@@ -94,12 +99,19 @@ class TableStore:
     def schema(self, name: str) -> StructType:
         return StructType.fromJson(self._state(name)["schema"])
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, scope: dict[str, str] | None = None) -> DataFrame:
+        """The table, or with a scope the folders that may hold its rows."""
         state = self._state(name)
         schema = StructType.fromJson(state["schema"])
-        if not state["folders"]:
+        folders = self._inside(state, scope)
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{name}/{f}" for f in state["folders"]])
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{name}/{f}" for f in folders])
+
+    @staticmethod
+    def _inside(state: dict, scope: dict[str, str] | None) -> list[str]:
+        scopes = state.get("scopes", {})
+        return [f for f in state["folders"] if not scope or f not in scopes or scopes[f] == scope]
 
     def _write(self, name: str, df: DataFrame) -> tuple[str, int]:
         """A new data folder and its number of rows, counted as they are written."""
@@ -111,29 +123,37 @@ class TableStore:
         have = set(df.columns)
         return df.select(*[(F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in self.schema(name)])
 
-    def insert_only(self, name: str, df: DataFrame, keys: list[str]) -> int:
-        """Append the rows whose key is not there; of equal keys in df one. Existing files are neither read whole nor copied."""
+    def insert_only(self, name: str, df: DataFrame, keys: list[str], scope: dict[str, str] | None = None) -> int:
+        """Append the rows whose key is not there; of equal keys in df one. Of existing files only key columns are read, of the
+        scope only, and nothing is copied."""
         state = self._state(name)
-        new = self._fitted(name, df).dropDuplicates(keys).join(self.read(name).select(*keys), keys, "left_anti")
+        new = self._fitted(name, df).dropDuplicates(keys).join(self.read(name, scope).select(*keys), keys, "left_anti")
         folder, rows = self._write(name, new.select(*self.schema(name).names))
         if rows:
-            self._publish(name, self.schema(name), [*state["folders"], folder], state["version"] + 1)
+            self._publish(name, self.schema(name), [*state["folders"], folder], state["version"] + 1, {**state.get("scopes", {}), **({folder: scope} if scope else {})})
         else:
             self.files.delete(f"{self.root}/{name}/{folder}")
         return rows
 
-    def upsert(self, name: str, df: DataFrame, keys: list[str], keep: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> int:
+    def upsert(self, name: str, df: DataFrame, keys: list[str], keep: Callable[[DataFrame, DataFrame], DataFrame] | None = None, scope: dict[str, str] | None = None) -> int:
         """Replace the rows whose key df has and add the others. A key that df has twice is ambiguous: ValueError.
-        `keep` may carry values of old rows over: it gets (df, old rows)."""
+        `keep` may carry values of old rows over: it gets (df, old rows). Rows are rewritten, with a scope only its own."""
         source = self._fitted(name, df)
         if source.groupBy(*keys).count().where("count > 1").limit(1).count():
             raise ValueError(f"several source rows for one key of {name}")
-        old, state = self.read(name), self._state(name)
+        old, state = self.read(name, scope), self._state(name)
         if keep:
             source = self._fitted(name, keep(source, old))
+        inside, scopes = self._inside(state, scope), state.get("scopes", {})
+        if scope:  # folders without a scope hold other batches' rows too: they stay, less what is replaced
+            loose = [f for f in inside if f not in scopes]
+            inside = [f for f in inside if f in scopes]
+            if loose:
+                return self.upsert(name, df, keys, keep)
         whole = old.join(source.select(*keys), keys, "left_anti").select(*old.columns).unionByName(source)
         folder, rows = self._write(name, whole)
-        self._publish(name, self.schema(name), [folder], state["version"] + 1)
+        left = [f for f in state["folders"] if f not in inside]
+        self._publish(name, self.schema(name), [*left, folder], state["version"] + 1, {**scopes, **({folder: scope} if scope else {})})
         return rows
 
     def overwrite(self, name: str, df: DataFrame) -> int:
@@ -148,7 +168,7 @@ class TableStore:
         state, schema = self._state(name), self.schema(name)
         new = [f for f in fields if f.name not in schema.names]
         if new:
-            self._publish(name, StructType([*schema.fields, *new]), state["folders"], state["version"] + 1)
+            self._publish(name, StructType([*schema.fields, *new]), state["folders"], state["version"] + 1, state.get("scopes"))
         return [f.name for f in new]
 
     def rename_column(self, name: str, old: str, new: str) -> bool:

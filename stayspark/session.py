@@ -27,6 +27,20 @@ def local_session(cpus: int = 8, partitions: int = 8, name: str = "stayspark", m
     )
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as spark.checkpoint.dir names it. Where it is unset, a local session gets
+    a temporary one; on a cluster that would be another folder on every machine, so there it is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        own = tempfile.mkdtemp(prefix="shared-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(own)
+        found = spark.sparkContext.getCheckpointDir()
+    return found.rstrip("/")
+
+
 def ship(spark: SparkSession) -> None:
     """Give executors this package, once an application; Spark's own file server carries it."""
     app = spark.sparkContext.applicationId

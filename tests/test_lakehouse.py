@@ -74,7 +74,7 @@ def test_invalid_rows_are_quarantined_with_reasons(spark, tmp_path):
     rows = [line(hotel_name=f"H{k}") for k in range(19)] + [line(price_value="free", check_out="2026-06-01")]
     assert lake.run(batch(tmp_path / "in", {"a.jsonl": rows}))["silver"] == {"input_records": 20, "output_records": 19, "quarantined_records": 1}
     bad = lake.store.read("quarantine").first()
-    assert bad["failure_reason"] == "invalid_price_value;check_out_after_check_in"
+    assert bad["failure_reason"] == "invalid_price_value;check_out_not_after_check_in"
     assert bad["quarantine_layer"] == "silver"
 
 

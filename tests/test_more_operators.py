@@ -1,14 +1,15 @@
 from pyspark.sql import functions as F
 
 from stayspark.functions import text
-from stayspark.operators import aggregates, cards, identity, ranking, rules
+from stayspark.operators import aggregates, cards, identity, ranking, records, rules
 from stayspark.streaming import bronze as streams
 
 
 def test_embedded_urls_and_shells(spark):
-    html = '<a href="/x/hotel/a.html">A</a> {"url": "/y/hotel/b.html"} see https://z.com/hotel/c <a href="/x/hotel/a.html">again</a> <a href="/city">no</a>'
+    html = '<a href="/x/hotel/a.html">A</a> {"url": "\\/y\\/hotel\\/b.html?a=1&amp;b=2"} see https://z.com/vn/hotel/c.html <a href="/x/hotel/a.html">again</a> <a href="/x/hotel/d">no</a> /en-us/q\\u002Fhotel/e.HTML'
     df = spark.createDataFrame([(html,)], "html string")
-    assert sorted(df.select(cards.embedded_urls("html").alias("u")).first()["u"]) == ["/x/hotel/a.html", "/y/hotel/b.html", "https://z.com/hotel/c"]
+    assert df.select(cards.embedded_urls("html").alias("u")).first()["u"] == ["https://z.com/vn/hotel/c.html", "/en-us/q/hotel/e.HTML", "/x/hotel/a.html", "/y/hotel/b.html?a=1&b=2", "//z.com/vn/hotel/c.html"]
+    assert df.select(cards.embedded_urls("html", "other.com").alias("u")).first()["u"][0] == "/en-us/q/hotel/e.HTML"
     shells = spark.createDataFrame([(2, 21), (3, 21), (2, 20)], "c int, l int")
     assert [r[0] for r in shells.select(cards.is_landing_shell(F.col("c"), F.col("l"))).collect()] == [True, False, False]
 
@@ -23,7 +24,46 @@ def test_keys_and_joins(spark):
     rows = spark.createDataFrame([("k1", 2), ("k1", 1), ("k2", 1)], "key string, at int")
     got = identity.page_records(rows, spark.createDataFrame([("k1",)], "key string"), "key", "at").collect()
     assert [tuple(r) for r in got] == [("k1", 1)]
-    assert identity.new_records(rows.where("key = 'k1'"), rows, "key").first()[0] == 1
+
+
+def test_record_counts_follow_absorption(spark):
+    schema = "key string, name string, prop string, at int"
+    before = spark.createDataFrame([("partial:a", "A", None, 1), ("property:7", "B", "7", 2), ("url:x", "X", None, 3)], schema)
+    count = lambda rows: identity.new_records(before, spark.createDataFrame(rows, schema), "key", "prop", "name", "at").first()[0]
+    assert count([("url:y", "a ", "7", 1)]) == -1
+    assert count([("url:y", "a", "7", 1), ("partial:a", "A", None, 2)]) == 0
+    assert count([("url:x", "a", "7", 1)]) == 0
+    assert count([("partial:c", "C", None, 1), ("partial:c", "C", None, 2)]) == 1
+
+
+def test_links_of_all_kinds(spark):
+    html = """<!-- <a href="/no/hotel/x">n</a> --><A class='c > d' HREF='/a/hotel/the-song.html?x=1&amp;y=2'><b>The</b> <i>Song</i></A><a href=/a/hotel/b title="From title"><img></a>
+    <a aria-label="Label" title="T" href="/a/hotel/c"> </a><a href="/a/hotel/o'neil-house/"></a><a data-x="1" href="/city">City</a><a href="/A/hotel/the-song.html">again</a>"""
+    df = spark.createDataFrame([(1, "https://h.com/p/q", html)], "page int, url string, html string")
+    got = [tuple(r) for r in cards.property_links(df, "html", "url", ["page"]).orderBy("position").select("hotel_url", "hotel_name").collect()]
+    assert got == [("https://h.com/a/hotel/the-song.html?x=1&y=2", "The Song"), ("https://h.com/a/hotel/b", "From title"), ("https://h.com/a/hotel/c", "Label"), ("https://h.com/a/hotel/o'neil-house/", "A")]
+
+
+def test_detail_pages(spark):
+    html = '<html><body><h1>Sea <i>Inn</i></h1><div data-testid="x-review-score">9,1/10 of 12 reviews</div><span aria-label="4 stars out of 5"></span><b data-selenium="display-price">ask</b><p>VND 1.200.000 per night 8/10</p></body></html>'
+    bare = "<p>7,5/10 | 3 reviews | 2 sao tren 5 | 900.000 VND</p>"
+    df = spark.createDataFrame([(html,), (bare,)], "html string").select(cards.detail_page("html").alias("d")).select("d.*")
+    assert [tuple(r) for r in df.collect()] == [("Sea Inn", "1200000", "9.1", "12", "4 stars"), (None, "900000", "7.5", "3", "2 stars")]
+
+
+def test_appends_by_several_writers(spark, tmp_path):
+    a, b = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(2,), (3,)], "k int")
+    folders = {records.append_json_lines(x, f"{tmp_path}/log") for x in (a, b)}
+    assert len(folders) == 2
+    assert sorted(r[0] for r in records.read_json_lines(spark, f"{tmp_path}/log").collect()) == ['{"k":1}', '{"k":2}', '{"k":3}']
+
+
+def test_folds_of_other_scripts(spark):
+    got = spark.createDataFrame([("Й é e\u0301 ｱ がｶﾞ Ǆ Đà",)], "t string").select(text.ascii_fold("t")).first()[0]
+    assert got.startswith("И e e ")
+    assert got.endswith(" Da")
+
+
 
 
 def test_card_field_precedence(spark):

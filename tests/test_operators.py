@@ -24,7 +24,7 @@ def offers(spark, *changes):
         ({"price_value": "9" * 19}, ["invalid_price_value"]),
         ({"crawled_at": "yesterday"}, ["invalid_crawled_at"]),
         ({"check_in": "soon"}, ["invalid_check_in"]),
-        ({"check_out": "2026-06-10"}, ["check_out_after_check_in"]),
+        ({"check_out": "2026-06-10"}, ["check_out_not_after_check_in"]),
         ({"check_out": None}, ["required_check_out"]),
         ({"hotel_url": None, "check_in": "", "rating_text": "bad"}, ["required_hotel_url", "required_check_in"]),
     ],
@@ -88,8 +88,13 @@ def test_jobs_and_stops(spark):
     assert [r["stop"] for r in ranking.low_yield_stop(pages, "page", "new").orderBy("page").collect()] == [False, False, False, False, True, True]
     cases = spark.createDataFrame([(60, 0, 0, 240.0), (59, 0, 0, 240.0), (100, 3, 0, 1.0), (10, 3, 3, 1.0), (10, 3, 2, 1.0), (100, 2, 9, 1.0)], "n int, u int, s int, t double")
     assert [r[0] for r in cases.select(ranking.scroll_stops("n", "u", "s", "t")).collect()] == [True, False, True, True, False, False]
-    spent = ranking.budgeted(spark.createDataFrame([(1,), (2,)], "k int"), "k", 3, 3).collect()
-    assert {(r["taken"], r["enrich_status"]) for r in spent} == {(False, "skipped")}
+    rows = spark.createDataFrame([(1, None, True), (1, None, True), (1, None, True), (2, None, True), (0, "success", True), (0, None, False)], "k int, enrich_status string, needs boolean")
+    taken = lambda budget, used: sorted((r["k"], r["enrich_status"], r["taken"]) for r in ranking.budgeted(rows, ["k"], budget, used, F.col("needs")).where("needs and coalesce(enrich_status, '') != 'success'").collect())
+    assert [t for _, _, t in taken(1, 0)].count(True) == 1
+    assert [t for _, _, t in taken(5, 2)] == [True, True, True, False] or [t for _, _, t in taken(5, 2)].count(True) == 3
+    assert [t for _, _, t in taken(0, 9)] == [True] * 4
+    assert {(s, t) for _, s, t in taken(3, 3)} == {("skipped", False)}
+    assert [t for _, _, t in taken(9, 0)] == [True] * 4
 
 
 def test_cards_are_assembled(spark):
