@@ -12,6 +12,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+ARROW_BYTES = 4 << 20
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def local_session(cpus: int = 8, partitions: int = 8, name: str = "stayspark", memory: str = "8g") -> SparkSession:
@@ -41,6 +43,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def bounded(spark: SparkSession) -> None:
+    """Batches that go to Python hold ARROW_BYTES, however long their rows, unless the session has a smaller bound."""
+    if int(spark.conf.get(_ARROW, None) or 0) not in range(1, ARROW_BYTES + 1):
+        spark.conf.set(_ARROW, str(ARROW_BYTES))
+
+
 def ship(spark: SparkSession) -> None:
     """Give executors this package, once an application; Spark's own file server carries it."""
     app = spark.sparkContext.applicationId
