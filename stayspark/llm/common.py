@@ -6,7 +6,6 @@ Chunks are what stands between ASCII white space (0x20 and 0x09 to 0x0D) in the
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -16,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayspark.session import ship
+from stayspark.session import bounded, shared_dir, ship
 
 MASK53 = (1 << 53) - 1
 
@@ -26,15 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one is set only where none is configured."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shared-"))
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
-
-
 def remove(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
@@ -112,7 +102,8 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) ->
 
 
 def with_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id and the UTF-8 bytes of the text, under names that clash with nothing."""
+    """Only the id and the UTF-8 bytes of the text, under names that clash with nothing; Python gets them in bounded batches."""
+    bounded(df.sparkSession)
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
 
@@ -126,7 +117,7 @@ class ChunkValues:
     It is only a cache: when it is full, all but the chunks met first are forgotten and learned again when they come back.
     """
 
-    def __init__(self, learn, width: int, dtype=np.float64, most: int = 600_000) -> None:
+    def __init__(self, learn, width: int, dtype=np.float64, most: int = 250_000) -> None:
         self.learn, self.width, self.most = learn, width, most
         self.at, self.values = Interner(), np.zeros((1 << 14, width), dtype)
 
@@ -184,12 +175,15 @@ def scored(docs: DataFrame, score, threshold: float) -> DataFrame:
 
 
 def kept_rows(docs: DataFrame, score, threshold: float, above: bool, text_col: str = "text") -> DataFrame:
-    """Rows of docs, with all their columns, whose score is at least the threshold (`above`) or below it; nothing is moved."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, text_col):
-                own = [x or b"" for x in batch.column(text_col).cast(pa.binary()).to_pylist()]
-                yield batch.filter(pa.array((score(own) >= threshold) == above))
-
-    return docs.mapInArrow(run, docs.schema)
+    """Rows of docs, with all their columns, whose score is at least the threshold (`above`) or below it. Only the text goes to
+    Python, and only a truth value comes back: the other columns stay in the JVM, and nothing is shuffled."""
+
+    @F.arrow_udf("boolean")
+    def keep(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            whole = pa.RecordBatch.from_arrays([part], names=["text"])
+            made = [score(texts(batch)) for batch in slices(whole, most=1 << 20)]
+            yield pa.array((np.concatenate([np.zeros(0), *made]) >= threshold) == above)
+
+    bounded(docs.sparkSession)
+    return docs.where(keep(F.col(text_col).cast("binary")))

@@ -19,7 +19,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayspark.llm.common import ChunkValues, arrow_rows, cached, materialise, slices, table, texts, unit_hash, with_bytes
+from stayspark.llm.common import arrow_rows, materialise, slices, table, texts, unit_hash, with_bytes
 
 RADIUS = 2
 CLASSES, A_CLASS = 32, 32
@@ -182,22 +182,23 @@ class Network:
         self.embed -= rate / n * np.bincount(into, d_x.ravel(), self.embed.size).reshape(-1, WIDTH).astype(np.float32)
 
 
-def word_ids(words: dict[bytes, int], key: object, batch: list[bytes], near: dict[bytes, float]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+def word_ids(words: dict[bytes, int], batch: list[bytes], near: dict[bytes, float] | None = None) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
     """Ids of all words of some texts, with RADIUS marks before, between and after texts; each word's text; the words; and
-    the log of each one's share of its bucket: 0 in the vocabulary, NaN for words that `near` lacks."""
-
-    def learn(chunks: list[bytes]) -> np.ndarray:
-        return np.array([(words[w], 0.0) if w in words else (zlib.crc32(w) % OTHER, near.get(w, np.nan)) for w in chunks], np.float64).reshape(-1, 2)
-
-    cache = cached("scoring", key, lambda: ChunkValues(learn, 2))
+    the log of each word's share of its bucket: 0 in the vocabulary, NaN for words that `near` lacks."""
     split = [t.lower().split() for t in batch]
     chunks = list(chain.from_iterable(split))
-    values = cache.lookup(chunks)
     size = np.array([len(x) for x in split], np.int64)
     of = np.repeat(np.arange(len(batch)), size)
+    ids = np.fromiter(map(words.get, chunks, repeat(-1)), np.int64, len(chunks))
+    rare = np.flatnonzero(ids < 0)
+    others = [chunks[k] for k in rare.tolist()]
+    ids[rare] = np.fromiter(map(zlib.crc32, others), np.int64, len(others)) % OTHER
+    logs = np.zeros(len(chunks))
+    if near is not None:
+        logs[rare] = np.fromiter(map(near.get, others, repeat(np.nan)), np.float64, len(others))
     out = np.full(len(chunks) + RADIUS * (len(batch) + 1), EDGE, np.int64)
-    out[np.arange(len(chunks)) + RADIUS * (of + 1)] = values[:, 0]
-    return out, of, chunks, values[:, 1]
+    out[np.arange(len(chunks)) + RADIUS * (of + 1)] = ids
+    return out, of, chunks, logs
 
 
 def windows(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -206,7 +207,6 @@ def windows(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, words: dict[bytes, int], rounds: int = ROUNDS) -> np.ndarray:
     """Weights after `rounds` of averaged local descent; every document is in the share of one round."""
-    key = zlib.crc32(repr(words).encode())
     schema = pa.schema([("part", pa.int32()), ("weights", pa.binary()), ("n", pa.int64())])
     spark, flat = docs.sparkSession, Network().flat()
     for r in range(rounds):
@@ -216,7 +216,7 @@ def train(docs: DataFrame, words: dict[bytes, int], rounds: int = ROUNDS) -> np.
             net, n = Network.of(start.value), 0
             for whole in batches:
                 for batch in slices(whole):
-                    ids, _, _, _ = word_ids(words, key, texts(batch), {})
+                    ids, _, _, _ = word_ids(words, texts(batch))
                     at = np.flatnonzero(ids != EDGE)
                     at = at[np.random.default_rng(len(at)).permutation(len(at))]
                     for k in range(0, len(at), STEP):
@@ -263,7 +263,6 @@ def averaged(made: DataFrame, size: int, before: np.ndarray) -> np.ndarray:
 def score(docs: DataFrame, words: dict[bytes, int], flat: np.ndarray, counts: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_words, log_prob, mean_log_prob) of every row; `counts` are the word counts of all docs."""
     rest, near = shares_in_buckets(materialise(word_counts(docs), "counts") if counts is None else counts, words)
-    key = ("score", zlib.crc32(repr((words, near)).encode()))
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_prob", pa.float64()), ("far", pa.list_(pa.binary()))])
     held = docs.sparkSession.sparkContext.broadcast((flat, words, near))
 
@@ -272,7 +271,7 @@ def score(docs: DataFrame, words: dict[bytes, int], flat: np.ndarray, counts: Da
         net, row = Network.of(flat), TaskContext.get().partitionId() << 40
         for whole in batches:
             for batch in slices(whole):
-                ids, of, chunks, logs = word_ids(words, key, texts(batch), near)
+                ids, of, chunks, logs = word_ids(words, texts(batch), near)
                 at = np.flatnonzero(ids != EDGE)
                 each = np.concatenate([np.zeros(0), *[net.log_prob(windows(ids, at[k : k + BLOCK]), ids[at[k : k + BLOCK]]) for k in range(0, len(at), BLOCK)]])
                 n = np.bincount(of, minlength=batch.num_rows)
