@@ -44,8 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def bounded(spark: SparkSession) -> None:
-    """Batches that go to Python hold ARROW_BYTES, however long their rows, unless the session has a smaller bound."""
-    if int(spark.conf.get(_ARROW, None) or 0) not in range(1, ARROW_BYTES + 1):
+    """Batches that go to Python hold ARROW_BYTES, however long their rows, unless the session has a bound of its own."""
+    if spark.conf.get(_ARROW, None) is None:
         spark.conf.set(_ARROW, str(ARROW_BYTES))
 
 
