@@ -4,15 +4,15 @@ Words of a template and of a text region that occur once on either side are anch
 anchors is kept, and the gaps between kept anchors are aligned in the same way. A gap without anchors gives the words that
 it begins and ends with on both sides. Coverage is the share of the template's words that are aligned.
 
-Regions: a template is looked for only where its words are dense; a text is cut where more than GAP words in a row are foreign
-to the template. Within a region, windows of the template's length are aligned wherever their words could reach the least
+Regions: words foreign to a template are left out, since nothing aligns with them; a text is cut only where more of them stand
+in a row than twice the template's length (GAP at least). So an insertion of any shorter length leaves a copy whole. Within a region, windows of the template's length are aligned wherever their words could reach the least
 coverage, so that copies side by side are told apart; each such finding is then aligned again with all words up to its
 neighbours. What is left between them is aligned as a whole, or in overlapping windows if it is long. A text that lacks the words for the least coverage of
 a template is not aligned with it at all: that can't change a result.
 
 Defined results: null, empty and blank texts give no row; every finding is a row, so repeated licenses and repeated rows give
 as many; findings of one template don't overlap, ties go to the earlier one; of templates that overlap only the one
-with more aligned words (then the larger coverage) counts; an empty table gives no row; other columns are ignored; whole texts are scanned.
+with more aligned words (then the larger coverage) counts, and all that tie in both; an empty table gives no row; other columns are ignored; whole texts are scanned.
 """
 
 from __future__ import annotations
@@ -114,10 +114,9 @@ def prepared(templates: tuple[tuple[str, str], ...]) -> tuple[dict[bytes, int],
     return ids, own, share
 
 
-def regions(places: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(first, last + 1) word of every run in which template words are never more than GAP apart."""
-    for part in np.split(places, np.flatnonzero(np.diff(places) > GAP) + 1):
-        yield int(part[0]), int(part[-1]) + 1
+def regions(places: np.ndarray, size: int) -> list[np.ndarray]:
+    """Places of template words, cut where more foreign words than a template of this size may hold stand between two."""
+    return np.split(places, np.flatnonzero(np.diff(places) > max(GAP, 2 * size)) + 1)
 
 
 def tight(w: list[int], template: list[int], needed: int) -> list[tuple[int, int, int]]:
@@ -163,7 +162,7 @@ def copies(w: list[int], template: list[int], needed: int) -> list[tuple[int, in
     todo = list(zip(edges[::2], edges[1::2], strict=True))
     while todo:
         low, high = todo.pop()
-        if high - low <= 2 * size + GAP:
+        if high - low <= 2 * size:
             parts = [(low, high)]
         else:
             parts = [(k, min(high, k + 2 * size)) for k in range(low, high - size // 2, max(1, size // 2))]
@@ -191,9 +190,9 @@ def scan(text: bytes, templates: tuple[tuple[str, str], ...], coverage: float) -
     for t in np.flatnonzero(share @ present >= coverage - 1e-9):
         name, template = own[t]
         needed = int(np.ceil(coverage * len(template) - 1e-9))
-        for a, b in regions(np.flatnonzero((words >= 0) & (share[t][words] > 0))):
-            if int((share[t][words[a:b]] * (words[a:b] >= 0) > 0).sum()) >= needed:
-                out += [(name, n / len(template), n, len(template), a + x, a + y) for n, x, y in copies(words[a:b].tolist(), template, needed)]
+        for at in regions(np.flatnonzero((words >= 0) & (share[t][words] > 0)), len(template)):
+            if len(at) >= needed:
+                out += [(name, n / len(template), n, len(template), int(at[x]), int(at[y - 1]) + 1) for n, x, y in copies(words[at].tolist(), template, needed)]
     best = [f for f in out if not any((g[2], g[1]) > (f[2], f[1]) and g[4] < f[5] and f[4] < g[5] for g in out)]
     return [(name, round(c, 4), n, size, found[a][0], found[b - 1][1]) for name, c, n, size, a, b in sorted(best, key=lambda f: (f[4], f[5], f[0]))]
 

@@ -70,3 +70,41 @@ def test_copies_side_by_side_are_all_found():
     changed = "Released under the very same MIT License."
     found = licenses.scan(f"the {line} {changed} {line} the".encode(), every, licenses.COVERAGE)
     assert [f[:2] for f in found] == [("MIT-line", 1.0)] * 3
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for k, y in enumerate(b, 1):
+            last, row[k] = row[k], last + 1 if x == y else max(row[k], row[k - 1])
+    return row[-1]
+
+
+def test_long_insertions_leave_a_copy_whole():
+    every = tuple(licenses.TEMPLATES.items())
+    r = random.Random(8)
+    for name in ("MIT", "ISC", "BSD-2-Clause", "Apache-2.0", "GPL-3.0", "LGPL-3.0", "Unlicense"):
+        words = licenses.TEMPLATES[name].split()
+        for foreign in (12, 30, 60):
+            own = [*words[: len(words) // 2], *[f"zq{r.randrange(99)}" for _ in range(foreign)], *words[len(words) // 2 :]]
+            found = licenses.scan(" ".join(own).encode(), every, licenses.COVERAGE)
+            assert [f[:2] for f in found] == [(name, 1.0)], (name, foreign, found)
+
+
+def test_coverage_against_a_plain_alignment_of_the_whole_text():
+    r = random.Random(9)
+    for name, text in licenses.TEMPLATES.items():
+        want = licenses.WORD.findall(text.lower().encode())
+        if len(want) < 12:
+            continue
+        for _ in range(6):
+            own = list(want)
+            for _ in range(r.randint(1, len(own) // 8)):
+                at = r.randrange(len(own))
+                own[at : at + r.choice([0, 1])] = [b"zq"] * r.choice([0, 1, 8, 20])
+            best = longest_common(own, want)
+            found = [f for f in licenses.scan(b" ".join(own), ((name, text),), licenses.COVERAGE)]
+            if best >= 0.8 * len(want):
+                assert len(found) == 1
+                assert best - 2 <= found[0][2] <= best
