@@ -3,7 +3,8 @@
 `read_pages` yields one page for each directory of a file, of either byte order, in strips or tiles, stored plain or under
 PackBits, LZW or deflate, with no predictor or horizontal differencing. `pages` does that to a binary column, one row a page.
 
-Defined results: a null file has no page; a file that can't be read gives one row with page -1 and the reason in `error`;
+Defined results: a null file has no page; a file or page that can't be read (damage, a size of zero, parts that lack or run over, more
+than MOST_SAMPLES) gives one row with page -1 and the reason in `error`, and the file's other pages stay;
 null and empty texts are stored as one block of 64 zero bytes; repeated rows give repeated pages; other columns are dropped,
 but for the id; an empty table gives no page.
 """
@@ -25,6 +26,8 @@ from stayspark.llm.common import arrow_rows, slices, table, texts
 
 BLOCK = 64
 STRIP_ROWS = 1024
+MOST_SAMPLES = 1 << 28  # of one page
+HELD = 32 << 20  # bytes of pages that a task holds before it hands them on
 # TIFF 6.0 fixed values: bytes of each field type, and the tags used here.
 TYPE_SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, DESCRIPTION, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_BYTES, PLANAR, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_BYTES = (
@@ -101,6 +104,8 @@ def lzw_decode(data: bytes) -> bytes:
             continue
         if code == 257:
             break
+        if code > len(names) or (last is None and code > 255):
+            raise ValueError("an LZW code that is not known yet")
         if last is None:
             word = names[code]
         else:
@@ -156,11 +161,12 @@ def stored(data: bytes, compression: int) -> bytes:
     return {LZW: lzw_encode, PACKBITS: pack_bits}.get(compression, lambda x: zlib.compress(x, 1))(data)
 
 
-def restored(data: bytes, compression: int) -> bytes:
+def restored(data: bytes, compression: int, most: int | None = None) -> bytes:
+    """The bytes of a part; of a deflated one no more than `most` are made."""
     if compression == PLAIN:
         return data
     if compression in (DEFLATE, OLD_DEFLATE):
-        return zlib.decompress(data)
+        return zlib.decompressobj().decompress(data, most or 0)
     if compression in (LZW, PACKBITS):
         return (lzw_decode if compression == LZW else unpack_bits)(data)
     raise ValueError(f"compression {compression}")
@@ -229,55 +235,112 @@ def _fields(data: bytes, at: int, order: str) -> tuple[dict[int, list], int]:
     return out, following
 
 
-def read_pages(data: bytes) -> Iterator[Page]:
-    order = {b"II": "<", b"MM": ">"}.get(data[:2])
-    if order is None or len(data) < 8 or struct.unpack_from(f"{order}H", data, 2)[0] != 42:
-        raise ValueError("not a TIFF")
-    (at,) = struct.unpack_from(f"{order}I", data, 4)
+def _page(data: bytes, tags: dict[int, list], number: int, most: int) -> Page:
+    """One page's pixels. What its directory says is checked before anything of that size is made: ValueError."""
+
+    def one(tag: int, default: int | None = None) -> int:
+        value = (tags.get(tag) or [default])[0]
+        if not isinstance(value, int):
+            raise ValueError(f"no tag {tag}")
+        return value
+
+    width, height, samples, compression, predictor = one(WIDTH), one(LENGTH), one(SAMPLES, 1), one(COMPRESSION, 1), one(PREDICTOR, 1)
+    if set(tags.get(BITS, [1])) != {8} or one(PLANAR, 1) != 1 or predictor not in (1, 2):
+        raise ValueError("only interleaved 8-bit samples, with no predictor or differences")
+    tiled = TILE_OFFSETS in tags
+    rows, columns = (one(TILE_LENGTH), one(TILE_WIDTH)) if tiled else (min(one(ROWS_PER_STRIP, height), height), width)
+    if min(width, height, samples, rows, columns) < 1:
+        raise ValueError("a size of zero")
+    across, down = -(-width // columns), -(-height // rows)
+    if width * height * samples > most or across * columns * down * rows * samples > 4 * most:
+        raise ValueError(f"more than {most} samples")
+    offsets, counts = (tags.get(k, []) for k in ((TILE_OFFSETS, TILE_BYTES) if tiled else (STRIP_OFFSETS, STRIP_BYTES)))
+    if len(offsets) != across * down or len(counts) != len(offsets):
+        raise ValueError(f"{len(offsets)} parts and {len(counts)} sizes in place of {across * down}")
+    image = np.zeros((height, width, samples), np.uint8)
+    for k, (offset, count) in enumerate(zip(offsets, counts, strict=True)):
+        y, x = k // across * rows, k % across * columns
+        here = rows if tiled else min(rows, height - y)
+        if offset + count > len(data):
+            raise ValueError("a part lies beyond the end")
+        raw = restored(data[offset : offset + count], compression, here * columns * samples)
+        if len(raw) < here * columns * samples:
+            raise ValueError("a part is too short")
+        block = np.frombuffer(raw, np.uint8, here * columns * samples).reshape(here, columns, samples)
+        if predictor == 2:
+            block = np.cumsum(block, axis=1, dtype=np.uint8)
+        image[y : y + rows, x : x + columns] = block[: height - y, : width - x]
+    return Page(number, width, height, samples, compression, predictor, tiled, image.tobytes(), tags.get(DESCRIPTION, [None])[0])
+
+
+def walked(data: bytes, most: int = MOST_SAMPLES) -> Iterator[Page | str]:
+    """Each page, or what is wrong with it. A page that can't be read doesn't end the walk: its directory still names the next
+    one. A directory that can't be read does. Directories in a loop are read once."""
+    try:
+        order = {b"II": "<", b"MM": ">"}.get(data[:2])
+        if order is None or len(data) < 8 or struct.unpack_from(f"{order}H", data, 2)[0] != 42:
+            raise ValueError("not a TIFF")
+        (at,) = struct.unpack_from(f"{order}I", data, 4)
+        if not at:
+            raise ValueError("no page")
+    except (ValueError, struct.error) as e:
+        yield str(e)
+        return
     seen: set[int] = set()
     while at and at not in seen:
         seen.add(at)
-        tags, following = _fields(data, at, order)
-        width, height, samples = tags[WIDTH][0], tags[LENGTH][0], tags.get(SAMPLES, [1])[0]
-        compression, predictor = tags.get(COMPRESSION, [1])[0], tags.get(PREDICTOR, [1])[0]
-        if set(tags.get(BITS, [1])) != {8} or tags.get(PLANAR, [1])[0] != 1 or predictor not in (1, 2):
-            raise ValueError("only interleaved 8-bit samples, with no predictor or differences")
-        tiled = TILE_OFFSETS in tags
-        rows, columns = (tags[TILE_LENGTH][0], tags[TILE_WIDTH][0]) if tiled else (min(tags.get(ROWS_PER_STRIP, [height])[0], height), width)
-        offsets, counts = (tags[TILE_OFFSETS], tags[TILE_BYTES]) if tiled else (tags[STRIP_OFFSETS], tags[STRIP_BYTES])
-        image = np.zeros((height, width, samples), np.uint8)
-        across = -(-width // columns)
-        for k, (offset, count) in enumerate(zip(offsets, counts, strict=True)):
-            y, x = k // across * rows, k % across * columns
-            here = rows if tiled else min(rows, height - y)
-            block = np.frombuffer(restored(data[offset : offset + count], compression), np.uint8, here * columns * samples).reshape(here, columns, samples)
-            if predictor == 2:
-                block = np.cumsum(block, axis=1, dtype=np.uint8)
-            image[y : y + rows, x : x + columns] = block[: height - y, : width - x]
-        yield Page(len(seen) - 1, width, height, samples, compression, predictor, tiled, image.tobytes(), tags.get(DESCRIPTION, [None])[0])
+        try:
+            tags, following = _fields(data, at, order)
+        except (ValueError, KeyError, IndexError, OverflowError, struct.error) as e:
+            yield f"directory at {at}: {e}"
+            return
+        try:
+            yield _page(data, tags, len(seen) - 1, most)
+        except (ValueError, KeyError, IndexError, TypeError, ArithmeticError, MemoryError, struct.error, zlib.error) as e:
+            yield f"page {len(seen) - 1}: {e or type(e).__name__}"
         at = following
 
 
+def read_pages(data: bytes, most: int = MOST_SAMPLES) -> Iterator[Page]:
+    """All pages; ValueError at the first thing that is wrong."""
+    for page in walked(data, most):
+        if isinstance(page, str):
+            raise ValueError(page)
+        yield page
+
+
 _PAGES = pa.schema([("doc_id", pa.int64()), ("page", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("samples", pa.int32()), ("compression", pa.int32()), ("predictor", pa.int32()), ("tiled", pa.bool_()), ("pixels", pa.binary()), ("media", pa.binary()), ("description", pa.string()), ("error", pa.string())])
 PAGES = "doc_id long, page int, width int, height int, samples int, compression int, predictor int, tiled boolean, pixels binary, media binary, description string, error string"
 
 
-def pages(files: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """One row for each page of each file; `media` is the file itself, on its first page only."""
+def pages(files: DataFrame, id_col: str = "doc_id", media_col: str = "media", most: int = MOST_SAMPLES) -> DataFrame:
+    """One row for each page of each file; `media` is the file itself, on its first row only. What can't be read is a row with
+    page -1 and an error: a damaged page, a page of more than `most` samples (the bound of a task's memory), a file that is no TIFF."""
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return arrow_rows(_PAGES, **dict(zip(_PAGES.names, zip(*rows, strict=True), strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "media"):
                 rows: list[tuple] = []
+                held = 0
                 for doc, data in zip(batch.column("doc_id").to_pylist(), batch.column("media").to_pylist(), strict=True):
                     if data is None:
                         continue
-                    try:
-                        rows += [(doc, p.page, p.width, p.height, p.samples, p.compression, p.predictor, p.tiled, p.pixels, None if p.page else data, p.description, None) for p in read_pages(data)]
-                    except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
-                        rows.append((doc, -1, *[None] * 7, data, None, str(e) or type(e).__name__))
+                    media = data  # only once, on the file's first row
+                    for p in walked(data, most):
+                        if isinstance(p, str):
+                            rows.append((doc, -1, *[None] * 7, media, None, p))
+                        else:
+                            rows.append((doc, p.page, p.width, p.height, p.samples, p.compression, p.predictor, p.tiled, p.pixels, media, p.description, None))
+                        held += len(rows[-1][8] or b"") + len(media or b"")
+                        media = None
+                        if held > HELD:
+                            yield made(rows)
+                            rows, held = [], 0
                 if rows:
-                    yield arrow_rows(_PAGES, **dict(zip(_PAGES.names, zip(*rows, strict=True), strict=True)))
+                    yield made(rows)
 
     return files.select(F.col(id_col).alias("doc_id"), F.col(media_col).alias("media")).mapInArrow(run, PAGES)
 
@@ -317,7 +380,7 @@ def text_digests(read: DataFrame) -> DataFrame:
             if rows:
                 yield arrow_rows(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
 
-    return read.select("doc_id", "pixels", "media", "height", "description").mapInArrow(run, DIGEST)
+    return read.where("page >= 0").select("doc_id", "pixels", "media", "height", "description").mapInArrow(run, DIGEST)
 
 
 def op7_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,6 +43,51 @@ def test_loops_and_damage():
             list(media.read_pages(bad))
 
 
+def packed(codes):
+    bits = "".join(f"{c:09b}" for c in codes)
+    bits += "0" * (-len(bits) % 8)
+    return bytes(int(bits[k : k + 8], 2) for k in range(0, len(bits), 8))
+
+
+def test_lzw_codes_of_the_format():
+    assert media.lzw_decode(packed([256, 7, 258, 8, 8, 258, 6, 6, 257])) == bytes([7, 7, 7, 8, 8, 7, 7, 6, 6])
+    assert media.lzw_decode(packed([256, 65, 66, 258, 260, 259, 257])) == b"ABABABABA"
+    for bad in ([256, 300, 257], [256, 65, 400, 257], [65, 66]):
+        with pytest.raises((ValueError, IndexError)):
+            media.lzw_decode(packed(bad))
+
+
+def test_damage_never_ends_a_walk():
+    r = random.Random(5)
+    images = [np.arange(35, dtype=np.uint8).reshape(5, 7), np.full((9, 4, 3), 7, np.uint8), np.zeros((20, 20), np.uint8)]
+    for kind in KINDS:
+        for tile in (None, (16, 16)):
+            whole = media.write_tiff(images, kind, 2, tile, strip_rows=4)
+            for _ in range(150):
+                data = bytearray(whole)
+                for _ in range(r.choice([1, 1, 3])):
+                    data[r.randrange(8 if r.random() < 0.5 else 0, len(data))] = r.choice([0, 255, r.randrange(256)])
+                got = list(media.walked(bytes(data[: r.choice([len(data), len(data), r.randrange(len(data))])]), 1 << 20))
+                assert all(isinstance(p, str) or len(p.pixels) == p.width * p.height * p.samples for p in got)
+
+
+def test_other_pages_stay_and_sizes_are_checked():
+    images = [np.full((4, 4), 1, np.uint8), np.full((4, 4), 2, np.uint8), np.full((4, 4), 3, np.uint8)]
+    whole = media.write_tiff(images, media.PLAIN, 1)
+    first = struct.unpack_from("<I", whole, 4)[0]
+    second = struct.unpack_from("<I", whole, first + 2 + 12 * struct.unpack_from("<H", whole, first)[0])[0]
+    for tag, value in ((media.WIDTH, 0), (media.LENGTH, 0), (media.LENGTH, 0xFFFFFFF0), (media.SAMPLES, 0), (media.ROWS_PER_STRIP, 0), (media.COMPRESSION, 77), (media.PREDICTOR, 3)):
+        data = bytearray(whole)
+        for k in range(struct.unpack_from("<H", data, second)[0]):
+            at = second + 2 + 12 * k
+            own, kind = struct.unpack_from("<HH", data, at)
+            if own == tag:
+                struct.pack_into("<H" if kind == 3 else "<I", data, at + 8, value)
+        got = list(media.walked(bytes(data)))
+        assert [p if isinstance(p, str) else p.pixels[0] for p in got][::2] == [1, 3]
+        assert isinstance(got[1], str), tag
+
+
 def test_texts_come_back(spark):
     rows = [(1, "a"), (2, None), (3, ""), (4, "é" * 40), (5, "x" * 64), (6, "ends in zeros\0\0"), (7, "long text " * 30000), (1, "a"), (None, "b")]
     df = spark.createDataFrame([(*r, b"m") for r in rows], "doc_id long, text string, media binary")
