@@ -178,8 +178,19 @@ def document_words(text: bytes) -> list[str]:
     return [*dict.fromkeys(p for w in [*words, *more] if len(w) >= ORDER for p in windows(w))]
 
 
+def nystrom(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the landmarks' subsequences, each one's column, W^(-1/2) times the landmarks' rows): a word's row times the last,
+    transposed, is W^(-1/2) k(word, landmarks)."""
+    ids = np.unique(np.concatenate([np.zeros(1, np.int64), *[i.ravel() for _, i, _ in spectra(landmarks)]]))
+    column = np.full(LETTERS**ORDER, len(ids))
+    column[ids] = np.arange(len(ids))
+    phi = dense(landmarks, column, len(ids))
+    values, vectors = np.linalg.eigh(phi @ phi.T)
+    return ids, column, (vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T) @ phi
+
+
 def machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, float]:
-    """A linear support vector machine with squared hinge loss by full-gradient steps with momentum."""
+    """A linear support vector machine with squared hinge loss by full-gradient steps with momentum; rows of norm 1 at most."""
     w, b = np.zeros(x.shape[1]), 0.0
     vw, vb = np.zeros_like(w), 0.0
     cost = cost / cost.sum()
@@ -228,12 +239,7 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
             chosen.append(w)
     clean_words = sorted(clean, key=lambda w: (-clean[w], w))
     landmarks = [*dict.fromkeys([*chosen, *clean_words[: LANDMARKS // 2]])]
-    ids = np.unique(np.concatenate([np.zeros(1, np.int64), *[i.ravel() for _, i, _ in spectra(landmarks)]]))
-    column = np.full(LETTERS**ORDER, len(ids))
-    column[ids] = np.arange(len(ids))
-    phi = dense(landmarks, column, len(ids))
-    values, vectors = np.linalg.eigh(phi @ phi.T)
-    fold = (vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T) @ phi
+    ids, column, fold = nystrom(landmarks)
     place = {w: k for k, w in enumerate(rank)}
     toxic_bags = [b for b, k in zip(bags, y, strict=True) if k and b]
     sure = {w for w in toxic if leaning[w] > leaning[rank[0]] - NEAR_BEST}

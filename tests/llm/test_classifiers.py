@@ -34,6 +34,67 @@ def test_kernel_against_listing():
             assert got[i, k] == pytest.approx(kernel(a, b) / norm if norm else 0, abs=1e-6)
 
 
+def test_folded_margins_are_those_of_the_nystrom_map():
+    landmarks = ["idiot", "moron", "there", "river", "blockhead", "another"]
+    words = ["id-iot", "idxiot", "moronic", "rivers", "the", "blockheads", "zzz"]
+    ids, column, fold = toxicity.nystrom(landmarks)
+    norm = lambda a, b: kernel(a, b) / ((kernel(a, a) * kernel(b, b)) ** 0.5 or 1)
+    w_matrix = np.array([[norm(a, b) for b in landmarks] for a in landmarks])
+    values, vectors = np.linalg.eigh(w_matrix)
+    root = vectors @ np.diag(values**-0.5) @ vectors.T
+    plain = np.array([root @ [norm(w, b) for b in landmarks] for w in words])
+    got = toxicity.dense(words, column, len(ids)) @ fold.T
+    assert got == pytest.approx(plain, abs=1e-6)
+    y = np.array([1, 1, 1, -1, -1, 1, -1.0])
+    w, b = toxicity.machine(plain, y, np.ones(len(y)))
+    weight = np.zeros(toxicity.LETTERS**3)
+    weight[ids] = w @ fold
+    assert toxicity.Model(weight, b, 1.0, 0.0).margins(words) == pytest.approx(plain @ w + b, abs=1e-6)
+
+
+def test_machine_against_plain_descent():
+    r = np.random.default_rng(3)
+    x, cost = r.normal(size=(60, 4)), r.uniform(0.5, 2, 60)
+    x /= np.linalg.norm(x, axis=1)[:, None]  # Nyström vectors have norm 1 at most
+    y = np.where(x @ [1, -2, 0.5, 0] + 0.3 * r.normal(size=60) > 0.2, 1.0, -1.0)
+
+    def loss(w, b):
+        return float(cost / cost.sum() @ np.maximum(0, 1 - y * (x @ w + b)) ** 2 + 0.5e-4 * w @ w)
+
+    w, b = np.zeros(4), 0.0
+    for _ in range(20000):
+        g = np.array([(loss(w + d, b) - loss(w - d, b)) / 2e-6 for d in np.eye(4) * 1e-6] + [(loss(w, b + 1e-6) - loss(w, b - 1e-6)) / 2e-6])
+        w, b = w - 0.2 * g[:4], b - 0.2 * g[4]
+        if np.abs(g).max() < 1e-5:
+            break
+    assert loss(*toxicity.machine(x, y, cost)) <= loss(w, b) * 1.02 + 1e-6
+
+
+def test_descent_against_differences_of_the_loss():
+    r = np.random.default_rng(4)
+    vectors, layer, bias = r.normal(size=(6, 3)), r.normal(size=(3, 2)), r.normal(size=2)
+    at, part = np.array([1, 3, 4]), np.array([0.5, 0.2, 0.3])
+
+    def loss(v, m, c):
+        z = part @ v[at] @ m + c
+        return float(np.log(np.exp(z).sum()) - z[1])
+
+    def slopes(k):
+        whole = [vectors, layer, bias]
+        out = np.zeros_like(whole[k])
+        for i in np.ndindex(out.shape):
+            up, down = [x.copy() for x in whole], [x.copy() for x in whole]
+            up[k][i] += 1e-5
+            down[k][i] -= 1e-5
+            out[i] = (loss(*up) - loss(*down)) / 2e-5
+        return out
+
+    want = [vectors - 0.1 * 3**0.5 * slopes(0), layer - 0.1 * slopes(1), bias - 0.01 * slopes(2)]
+    quality.descend(vectors, layer, bias, at, part, 1, 0.1)
+    for x, y in zip((vectors, layer, bias), want, strict=True):
+        assert x == pytest.approx(y, abs=1e-7)
+
+
 def toy(seed=4, n=400):
     r = random.Random(seed)
     words = ["".join(r.choices(["th", "er", "on", "an", "re", "in", "ou"], k=r.randint(1, 4))) for _ in range(300)]

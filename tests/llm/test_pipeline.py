@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from stayspark.llm import decontamination, jaccard, quality, toxicity
 
@@ -51,3 +53,28 @@ def test_stages_against_their_operators(spark, tmp_path):
                 assert len(got) == len(set(got))
             out.write.parquet(f"{tmp_path}/{name}")
             now = spark.read.parquet(f"{tmp_path}/{name}")
+
+
+def test_empty_tables_and_clashing_columns(spark, tmp_path):
+    extra = {k: F.lit(7) for k in ("_n", "_copy", "_found", "set_id", "component_id", "score", "predicted", "node", "at", "bucket", "data", "item_id")}
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(k, k % 2, int(k % 3 == 0)) for k in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "one item of the benchmark with quite a few words in it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(k, f"text {k} of a few more plain words that are all alike", "en", "s", 5) for k in range(6)]
+    rows += [(3, "another text under the same id as one above", None, None, None), (3, None, "en", "s", 0), (None, "no id", "en", "s", 0), (None, None, None, None, None), (9, "", "en", "s", 0)]
+    for data in (rows, []):
+        docs = spark.createDataFrame(data, schema).withColumns(extra)
+        for name, stage in corpus_pipeline.STAGES[2:]:
+            out = stage(spark, docs, str(tmp_path))
+            got = [tuple(r) for r in out.collect()]
+            if name == "near_duplicates" and data:
+                ids = [r[0] for r in got]
+                assert ids.count(3) <= 1
+                assert ids.count(None) == 2
+                assert 9 in ids
+            if name != "packing":
+                assert out.columns == docs.columns
+            elif data:
+                assert len(got) >= len(data)
+            if not data:
+                assert got == []
