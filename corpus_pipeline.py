@@ -6,13 +6,14 @@ return the columns of documents. Rows with a null doc_id are judged by the class
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayspark.llm import decontamination, jaccard, packing, quality, toxicity
 from stayspark.llm.common import materialise, table
 
 ORACLE_SQL = None
+COPY, ROW = "corpus pipeline: id", "corpus pipeline: row"  # names that no table is likely to have
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,23 +27,25 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates: that of the least id; documents without shingles have no group and stay."""
+    """One row of each group of near duplicates: that of the least id. Of rows that share an id, whatever their words, one stays
+    (the longest text, then the least text, source and language); rows with a null id all stay."""
     groups = jaccard.near_duplicates(docs)
-    copies = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_copy")).distinct()
-    kept = docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
-    # Rows that share an id and have words are one group too.
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc(F.length("text")), "text", "source", "lang"))
-    several = kept.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    if several.limit(1).count() == 0:
+    copies = materialise(groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(COPY)).distinct(), "copies")
+    kept = docs.join(copies, docs["doc_id"] == copies[COPY], "left_anti")
+    several = materialise(kept.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(COPY)), "repeated")
+    if several.isEmpty():
         return kept
-    repeated = kept.join(several, "doc_id", "left_semi").withColumn("_n", first).where("_n = 1").drop("_n")
-    return kept.join(several, "doc_id", "left_anti").unionByName(repeated.select(*kept.columns))
+    # One row of each repeated id by an aggregate that combines before the shuffle; all columns ride along.
+    order = F.struct((-F.coalesce(F.length("text"), F.lit(-1))).alias("a"), *[F.coalesce(F.col(c), F.lit("")) for c in ("text", "source", "lang") if c in docs.columns])
+    repeated = kept.join(several, kept["doc_id"] == several[COPY], "left_semi")
+    one = repeated.groupBy(F.col("doc_id").alias(COPY)).agg(F.min_by(F.struct(*docs.columns), order).alias(ROW)).select(f"{ROW}.*")
+    return kept.join(several, kept["doc_id"] == several[COPY], "left_anti").unionByName(one)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_found"], "left_anti")
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(COPY)).distinct()
+    return docs.join(found, docs["doc_id"] == found[COPY], "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
