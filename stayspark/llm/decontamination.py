@@ -95,9 +95,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col:
     out = None
     for n in lengths:
         side = windows(item.where(F.size("places") >= window if n == window else F.size("places") == n), ["item_id", "item_slots"], "places", n).withColumnRenamed("at", "item_at")
+        own_side = windows(own, ["doc_id", "doc_slots"], "places", n).withColumnRenamed("at", "doc_at")
         if side.count() <= broadcast_rows:
             side = F.broadcast(side)
-        found = windows(own, ["doc_id", "doc_slots"], "places", n).withColumnRenamed("at", "doc_at").join(side, "hash").drop("hash").withColumn("length", F.lit(n))
+        else:  # rows are shuffled: each takes along the slots of its own window only
+            own_side = own_side.withColumn("doc_slots", F.filter("doc_slots", lambda s, n=n: (s["at"] >= F.col("doc_at")) & (s["at"] < F.col("doc_at") + n)))
+        found = own_side.join(side, "hash").drop("hash").withColumn("length", F.lit(n))
         out = found if out is None else out.unionByName(found)
     return out
 
