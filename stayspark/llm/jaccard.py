@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayspark.llm.common import arrow_rows, discard, materialise, slices, table, texts, with_bytes
@@ -194,6 +194,8 @@ _OWN = [("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("che
 _BLOBS = pa.schema([("bucket", pa.int32()), ("data", pa.binary()), *_OWN])
 _OWN_DDL = "doc_id long, n long, set_id long, check long, even long, odd long, sketch binary"
 SHORT, CROWD = -1, -2  # buckets of sets short of segments, and of members beyond what a task hands on to a signature's bucket
+MARK = -(1 << 63)  # stands among a signature's members where some went their own way
+DEAREST = 1 << 40  # the size of such a group
 
 
 def _lacking(rows: int, names: list[tuple[str, pa.DataType]]) -> dict[str, pa.Array]:
@@ -242,7 +244,9 @@ def indexed(docs: DataFrame, buckets: int, hot: int, seed: int = 0, bits: int =
                 far = rank > hot
                 name = (own[far] % U(buckets)) << U(32) | own[far] >> U(32)
                 yield rows([CROWD - met % buckets], [_blob(name, member[far], 8) + least[far].astype("<i8").tobytes()])
-                sig, ids, bucket = sig[~beyond], ids[~beyond], bucket[~beyond]
+                dear = np.unique(sig[beyond])
+                sig, ids = np.append(sig[~beyond], dear), np.append(ids[~beyond], np.full(len(dear), MARK))
+                bucket = (sig % U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             filled = [b for b in range(buckets) if ends[b] < ends[b + 1]]
@@ -279,32 +283,33 @@ def indexed(docs: DataFrame, buckets: int, hot: int, seed: int = 0, bits: int =
     return with_bytes(docs).mapInArrow(run, f"bucket int, data binary, {_OWN_DDL}")
 
 
-_PAIRS = pa.schema([("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), *_OWN])
+_PAIRS = pa.schema([("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("k", pa.int64()), *_OWN])
 
 
-def _rows(kind: str, a: np.ndarray, b: np.ndarray, most: int = 100_000) -> Iterator[pa.RecordBatch]:
+def _rows(kind: str, a: np.ndarray, b: np.ndarray, count: np.ndarray, most: int = 100_000) -> Iterator[pa.RecordBatch]:
     for k in range(0, len(a), most):
         n = len(a[k : k + most])
-        yield arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar(kind), n), a=a[k : k + most], b=b[k : k + most], **_lacking(n, _OWN))
+        yield arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar(kind), n), a=a[k : k + most], b=b[k : k + most], k=count[k : k + most], **_lacking(n, _OWN))
 
 
 def _pairs_within(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of groups of at most HOT ids, groups of one size at a time."""
-    a, b = [], []
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for n in np.unique(sizes):
         block = ids[starts[sizes == n][:, None] + np.arange(n)]
         i, k = np.triu_indices(n, 1)
         a.append(block[:, i].ravel())
         b.append(block[:, k].ravel())
-    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return np.concatenate(a), np.concatenate(b)
 
 
-def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs and how often each occurs."""
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return a[new], b[new]
+    return a[new], b[new], np.diff(np.append(np.flatnonzero(new), len(a)))
 
 
 def pivots(members: np.ndarray) -> list[int]:
@@ -313,8 +318,9 @@ def pivots(members: np.ndarray) -> list[int]:
 
 
 def gathered(blobs: DataFrame, partitions: int, hot: int = HOT) -> DataFrame:
-    """Rows of kind `pair` (a, b) for pairs of a signature's group of at most `hot` sets, and for pairs of a larger group's
-    sets with its pivots; `hot` (a signature, b set) for larger groups, `set` for every document, and `short`."""
+    """Rows of kind `even` and `odd` for pairs (a, b) that share k signatures of such a band, of groups of at most `hot` sets;
+    `spoke` for pairs of a larger group's sets with its pivots, `hot` for the members of larger groups (a signature, b set, k
+    members), `set` for every document, and `short`."""
 
     def groups(parts: list[bytes], bucket: int) -> Iterator[pa.RecordBatch]:
         sig, ids = (np.concatenate(x) for x in zip(*map(_unblob, parts), strict=True))
@@ -325,31 +331,37 @@ def gathered(blobs: DataFrame, partitions: int, hot: int = HOT) -> DataFrame:
         sig, ids = sig[new], ids[new]
         starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         sizes = np.diff(np.append(starts, len(sig)))
-        some = (sizes > 1) & (sizes <= hot)
-        pairs = [_pairs_within(ids, starts[some], sizes[some])]
+        for kind, half in (("even", sig[starts] >> 31 == 0), ("odd", sig[starts] >> 31 == 1)):
+            some = (sizes > 1) & (sizes <= hot) & half
+            yield from _rows(kind, *_counted(*_pairs_within(ids, starts[some], sizes[some])))
+        spokes = [], []
         for at in np.flatnonzero(sizes > hot):
             members = ids[starts[at] : starts[at] + sizes[at]]
+            dear = members[0] == MARK  # the least of all ids
+            members = members[1:] if dear else members
             name = (bucket << 32) | int(sig[starts[at]])
-            yield from _rows("hot", np.full(len(members), name), members)
+            yield from _rows("hot", np.full(len(members), name), members, np.full(len(members), DEAREST if dear else len(members)))
             for p in pivots(members):
                 other = members[members != p]
-                pairs.append((np.minimum(other, p), np.maximum(other, p)))
-        yield from _rows("pair", *_distinct(*(np.concatenate(x) for x in zip(*pairs, strict=True))))
+                spokes[0].append(np.minimum(other, p))
+                spokes[1].append(np.maximum(other, p))
+        if spokes[0]:
+            yield from _rows("spoke", *_counted(*map(np.concatenate, spokes)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
         for whole in batches:
             own = whole.filter(pc.is_null(whole.column("data")))
             if own.num_rows:
-                yield arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar("set"), own.num_rows), **_lacking(own.num_rows, [("a", pa.int64()), ("b", pa.int64())]), **{k: own.column(k) for k, _ in _OWN})
+                yield arrow_rows(_PAIRS, kind=pa.repeat(pa.scalar("set"), own.num_rows), **_lacking(own.num_rows, [("a", pa.int64()), ("b", pa.int64()), ("k", pa.int64())]), **{k: own.column(k) for k, _ in _OWN})
             batch = whole.filter(pc.is_valid(whole.column("data")))
             for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 if bucket == SHORT:
-                    yield from _rows("short", np.zeros(1, np.int64), np.zeros(1, np.int64))
+                    yield from _rows("short", *np.zeros((3, 1), np.int64))
                 elif bucket <= CROWD:
                     name, member, least = np.frombuffer(data, "<i8").reshape(3, -1)
-                    yield from _rows("hot", name, member)
-                    yield from _rows("pair", *_distinct(least, member))
+                    yield from _rows("hot", name, member, np.full(len(name), DEAREST))
+                    yield from _rows("spoke", *_counted(least, member))
                 else:
                     if bucket != now and parts:
                         yield from groups(parts, now)
@@ -359,7 +371,25 @@ def gathered(blobs: DataFrame, partitions: int, hot: int = HOT) -> DataFrame:
         if parts:
             yield from groups(parts, now)
 
-    return blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, f"kind string, a long, b long, {_OWN_DDL}")
+    return blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, f"kind string, a long, b long, k long, {_OWN_DDL}")
+
+
+def sharing(groups: DataFrame, sets: DataFrame, crowds: DataFrame) -> DataFrame:
+    """Pairs of keys that share enough cheap signatures for a link: of f signatures in a band, linked sets share f - H, all but
+    the dear ones of which were counted. One less is asked for, since 32 bits of two signatures of a set may be equal.
+    crowds: (set_id, evens, odds), the dear signatures of each set."""
+    dear = lambda x: F.coalesce(F.col(x), F.lit(0))
+    asked = sets.join(crowds, "set_id", "left").select("set_id", *[F.when(F.col(room) >= 0, F.col(room) - dear(f"{room}s")).alias(room) for room in ("even", "odd")])
+    asked = asked.groupBy("set_id").agg(F.min("even").alias("even"), F.min("odd").alias("odd"))
+    k = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("k"))), F.lit(0)).alias(f"k_{kind}")
+    # Dealt by one end: the sum and the first join need no other shuffle, and few pairs are left for the second.
+    dealt = groups.where("kind IN ('even', 'odd')").select("kind", "a", "b", "k").repartition("a")
+    found = dealt.groupBy("a", "b").agg(k("even"), k("odd"))
+    enough = lambda x: (F.coalesce(F.col("k_even") >= F.col(f"even_{x}"), F.lit(False)), F.coalesce(F.col("k_odd") >= F.col(f"odd_{x}"), F.lit(False)))
+    of = lambda x: asked.select(F.col("set_id").alias(x), F.col("even").alias(f"even_{x}"), F.col("odd").alias(f"odd_{x}"))
+    (even_a, odd_a), (even_b, odd_b) = enough("a"), enough("b")
+    first = found.join(of("a"), "a").where(even_a | odd_a)
+    return first.join(of("b"), "b").where((even_a & even_b) | (odd_a & odd_b)).select("a", "b")
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, by: str = "node") -> DataFrame:
@@ -447,16 +477,21 @@ def distinct_sets(full: DataFrame) -> DataFrame:
     return sets.select("set_id", "check", "node", "doc_id", "n", "even", "odd", "sketch")
 
 
+def is_odd(signature: str) -> Column:
+    return F.shiftrightunsigned(signature, 31) % 2 == 1
+
+
 def links(docs: DataFrame, groups: DataFrame, sets: DataFrame, bits: int = KEY_BITS) -> DataFrame:
     """(a, b): links between different sets, enough to connect what is connected."""
-    pairs = groups.where("kind = 'pair'").select("a", "b").distinct()
+    large = materialise(groups.where("kind = 'hot'").select(F.col("a").alias("signature"), F.col("b").alias("set_id"), F.col("k").alias("members")).distinct(), "hot")
+    crowds = large.groupBy("set_id").agg(F.count_if(~is_odd("signature")).alias("evens"), F.count_if(is_odd("signature")).alias("odds"))
+    pairs = sharing(groups, sets, crowds).unionByName(groups.where("kind = 'spoke'").select("a", "b").distinct()).distinct()
     near = plausible(pairs, sets, "set_id")
     own = sets.where("node != set_id").select("set_id", "node")
     if not own.isEmpty():
         same = own.select("set_id", F.col("node").alias("a")).join(own.select("set_id", F.col("node").alias("b")), "set_id").where("a < b").select("a", "b")
         near = near.unionByName(same).distinct()
     near = materialise(near, "near")
-    large = materialise(groups.where("kind = 'hot'").select(F.col("a").alias("signature"), F.col("b").alias("set_id")).distinct(), "hot")
     # First one partner for each set; pairs that are connected by then need no look.
     first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     found = checked(docs, first, sets, bits)
@@ -508,16 +543,17 @@ def apart(large: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
     Of a band's signatures a set may skip as many as its room says, the dearest; it needs the other large ones, and so does any
     partner for which no cheaper signature is the same. So what needs a signature is joined with what needs it, nothing else.
     """
-    odd = (F.shiftrightunsigned("signature", 31) % 2).alias("parity")
-    mine = large.groupBy("set_id", odd).agg(F.count("*").alias("k"))
-    room = F.when(F.col("parity") == 1, F.col("odd")).otherwise(F.col("even"))
-    needy = mine.join(sets, (mine["set_id"] == sets["set_id"]) & (F.col("k") > room)).select(mine["set_id"].alias("key"), F.col("parity").alias("side"), (F.col("k") - room).alias("needs"), "node", "n", "sketch")
-    needy = needy.join(at.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").withColumn("component", F.coalesce("component", "node")).drop("own")
-    needy = materialise(needy, "needy")
-    rows = large.select("signature", "set_id", odd).join(needy, (F.col("set_id") == F.col("key")) & (F.col("parity") == F.col("side")))
-    size = large.groupBy("signature").agg(F.count("*").alias("members"))
-    rank = F.row_number().over(Window.partitionBy("node", "side").orderBy("members", "signature"))
-    need = rows.join(size, "signature").withColumn("rank", rank).where("rank <= needs")
+    # A set's own dear signatures are together in a list: it is no longer than the set.
+    own = large.groupBy("set_id").agg(F.collect_list(F.struct("members", "signature")).alias("dear"))
+
+    def needed(parity: int, room: str) -> Column:
+        mine = F.array_sort(F.filter("dear", lambda x: F.shiftrightunsigned(x["signature"], 31) % 2 == parity))
+        return F.slice(mine, 1, F.greatest(F.size(mine) - F.col(room), F.lit(0)).cast("int"))
+
+    # Cheapest first; a set without a band (room -1) has no more than its neighbourhoods there.
+    listed = own.join(sets, "set_id").select("node", "n", "sketch", F.concat(needed(0, "even"), needed(1, "odd")).alias("needs")).where(F.size("needs") > 0)
+    needy = listed.join(at.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").withColumn("component", F.coalesce("component", "node")).drop("own")
+    need = needy.select("node", "n", "sketch", "component", F.explode("needs").alias("need")).withColumn("signature", F.col("need.signature"))
     need = materialise(folded(need), "need")
     x, y = (need.select("signature", *[F.col(k).alias(f"{k}_{s}") for k in need.columns if k != "signature"]) for s in ("x", "y"))
     bits = reduce(lambda p, q: p + q, [F.bit_count(F.col(f"f{k}_x").bitwiseXOR(F.col(f"f{k}_y"))) for k in range(SKETCH // 64)])
