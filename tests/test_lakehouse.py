@@ -154,3 +154,31 @@ def test_stream_into_store_is_idempotent(spark, tmp_path):
     (tmp_path / "in/b.jsonl").write_text(line(hotel_name="B") + "\n")
     streams.into_store(parsed, store, "t", ["record_id"], f"{tmp_path}/c").awaitTermination()
     assert store.read("t").count() == 3
+
+
+def test_merges_with_a_scope_touch_their_own_files_only(spark, tmp_path):
+    s = TableStore(spark, f"{tmp_path}/store")
+    s.create("t", "batch string, k int, v int")
+    rows = lambda *r: spark.createDataFrame(list(r), "batch string, k int, v int")
+    assert s.insert_only("t", rows(("a", 1, 1), ("a", 2, 1), ("a", 2, 1)), ["k"], {"batch": "a"}) == 2
+    assert s.insert_only("t", rows(("b", 3, 1)), ["k"], {"batch": "b"}) == 1
+    assert s.insert_only("t", rows(("a", 2, 9), ("a", 4, 9)), ["k"], {"batch": "a"}) == 1
+    before = set(json.loads(s.files.read(s._pointer("t")))["folders"])
+    s.upsert("t", rows(("b", 3, 7), ("b", 5, 7)), ["k"], scope={"batch": "b"})
+    after = set(json.loads(s.files.read(s._pointer("t")))["folders"])
+    assert len(before - after) == 1
+    assert sorted(tuple(r) for r in s.read("t").collect()) == [("a", 1, 1), ("a", 2, 1), ("a", 4, 9), ("b", 3, 7), ("b", 5, 7)]
+    assert sorted(r["k"] for r in s.read("t", {"batch": "b"}).collect()) == [3, 5]
+    # Files without a scope may hold any batch: a scoped upsert then replaces in the whole table.
+    s.insert_only("t", rows(("a", 6, 1), ("b", 8, 1)), ["k"])
+    s.upsert("t", rows(("b", 8, 2)), ["k"], scope={"batch": "b"})
+    assert sorted((r["k"], r["v"]) for r in s.read("t").collect()) == [(1, 1), (2, 1), (3, 7), (4, 9), (5, 7), (6, 1), (8, 2)]
+
+
+def test_gold_refuses_an_empty_history(spark, tmp_path):
+    lake = house(spark, tmp_path)
+    lake.setup()
+    path = batch(tmp_path / "in", {"a.jsonl": [line()]})
+    with pytest.raises(ValueError, match="empty"):
+        lake.gold(path)
+    assert [(r["layer"], r["status"]) for r in lake.store.read("audit").collect()] == [("gold", "failed")]
