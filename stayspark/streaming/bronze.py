@@ -41,6 +41,12 @@ def into_store(stream: DataFrame, store: TableStore, name: str, keys: list[str],
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def windowed_counts(stream: DataFrame, at: str, keys: list[str], window: str = "1 hour", late: str = "2 hours") -> DataFrame:
-    """Rows by tumbling window and keys, final once the watermark has passed."""
-    return stream.withWatermark(at, late).groupBy(F.window(at, window).alias("window"), *keys).agg(F.count("*").alias("records"))
+def windowed_counts(stream: DataFrame, at: str, keys: list[str], window: str = "1 hour", late: str = "2 hours", slide: str | None = None) -> DataFrame:
+    """Rows by window and keys, final once the watermark has passed: tumbling windows, or with `slide` overlapping ones that
+    begin so far apart."""
+    return stream.withWatermark(at, late).groupBy(F.window(at, window, slide).alias("window"), *keys).agg(F.count("*").alias("records"))
+
+
+def session_counts(stream: DataFrame, at: str, keys: list[str], gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
+    """Rows by session and keys: a session ends where nothing comes for `gap`. A stream needs at least one key."""
+    return stream.withWatermark(at, late).groupBy(F.session_window(at, gap).alias("session"), *keys).agg(F.count("*").alias("records"))

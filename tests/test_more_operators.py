@@ -94,3 +94,8 @@ def test_streams_with_watermarks(spark, tmp_path):
     q = streams.windowed_counts(source, "at", []).writeStream.format("memory").queryName("hours").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     assert [r["records"] for r in spark.table("hours").collect()] == [3]
+    slid = streams.windowed_counts(rows, "at", [], "1 hour", slide="30 minutes").orderBy("window.start").collect()
+    assert [(r["window"]["start"].minute, r["records"]) for r in slid][:3] == [(30, 2), (0, 3), (30, 1)]
+    q = streams.session_counts(source, "at", ["k"], "1 hour").writeStream.format("memory").queryName("sessions").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted((r["k"], r["records"]) for r in spark.table("sessions").collect()) == [("a", 2), ("b", 1)]
