@@ -716,6 +716,65 @@ def card_names(spark, d):
     return table(spark, d, "customer").select("c_custkey", cards.name_from_text(t).alias("name"))
 
 
+# -- splits, keys and sums, row by row
+
+_NONE = lambda *names: ", ".join(f"NULL::varchar AS {n}" for n in names)
+_REST = ("destination", "check_in", "check_out", "collect_status", "record_kind")
+
+
+@query(f"SELECT hotel_name, hotel_url, {_NONE(*_REST, 'listing_property_id')} FROM {HOLES} WHERE coalesce(hotel_url, '') = ''")
+def missing_url_rows(spark, d):
+    return records.without_url(holes(spark, d)).select("hotel_name", "hotel_url", *[F.col(c).cast("string").alias(c) for c in (*_REST, "listing_property_id")])
+
+
+@query(f"SELECT hotel_name, hotel_url, {_NONE(*_REST, 'price_status')}, rating_text FROM {HOLES} WHERE hotel_url <> '' AND coalesce(price_value, '') = ''")
+def missing_price_rows(spark, d):
+    return records.without_price(holes(spark, d)).select("hotel_name", "hotel_url", *[F.col(c).cast("string").alias(c) for c in (*_REST, "price_status")], "rating_text")
+
+
+@query(f"""SELECT hotel_name, hotel_url, price_value, missing FROM (SELECT *, array_to_string(list_filter([CASE WHEN coalesce(hotel_name, '') = '' THEN 'hotel_name' END, CASE WHEN coalesce(hotel_url, '') = '' THEN 'hotel_url' END, CASE WHEN coalesce(price_value, '') = '' THEN 'price_value' END], lambda x: x IS NOT NULL), ',') AS missing FROM {HOLES}) WHERE missing <> ''""")
+def discarded_rows(spark, d):
+    return records.discarded(holes(spark, d)).select("hotel_name", "hotel_url", "price_value", F.array_join("missing_fields", ",").alias("missing"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'partial:' || lower(source) || '|page:' || doc_id % 7 ELSE 'partial:' || doc_id % 7 || ':' || left(sha1(CASE WHEN doc_id % 3 = 1 THEN lang ELSE doc_id::varchar END), 16) || ':' || doc_id END AS partial_key FROM documents")
+def partial_keys(spark, d):
+    k = F.col("doc_id")
+    df = table(spark, d, "documents").select("doc_id", F.when(k % 3 == 0, F.concat(F.lit("  "), "source", F.lit(" "))).alias("n"), F.when(k % 3 != 2, F.col("lang")).alias("t"), (k % 7).alias("p"))
+    return df.select("doc_id", identity.partial_key("n", "t", "p", "doc_id").alias("partial_key"))
+
+
+@query("SELECT user_id, min(event_id) AS event_id FROM events WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'click' AND event_id % 3 = 0) GROUP BY user_id")
+def page_records(spark, d):
+    e = table(spark, d, "events")
+    return identity.page_records(e.select("user_id", "event_id"), e.where("event_type = 'click' AND event_id % 3 = 0"), "user_id", "event_id")
+
+
+@query("SELECT cast(sum(l_linenumber) AS bigint) AS publishable_records FROM lineitem")
+def declared_total(spark, d):
+    manifests = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("publishable_records"))).alias("stays"))
+    return aggregates.declared_total(manifests)
+
+
+@query("SELECT c_custkey, 'run%20' || c_custkey || '%2F%C3%A9%7E_-.' || lower(left(c_mktsegment, 1)) AS folder FROM customer")
+def safe_names(spark, d):
+    return table(spark, d, "customer").select("c_custkey", urls.safe_name(F.concat(F.lit("run "), "c_custkey", F.lit("/\u00e9~_-."), F.lower(F.substring("c_mktsegment", 1, 1)))).alias("folder"))
+
+
+@query("SELECT p_partkey, p_partkey % 3 = 0 OR p_partkey % 4 = 1 OR p_partkey % 5 = 2 AS container, p_size <= 2 AND p_partkey > 20 AS shell FROM part")
+def card_containers(spark, d):
+    k, none = F.col("p_partkey"), F.lit(None).cast("string")
+    df = table(spark, d, "part").select("p_partkey", "p_size", F.when(k % 3 == 0, " Hotel-Item x").alias("data_selenium"), none.alias("data_test_id"), F.when(k % 4 == 1, "Big PropertyCard").alias("class_name"), F.when(k % 5 == 2, "ARTICLE").otherwise("div").alias("tag_name"), none.alias("source_selector"))
+    return df.select("p_partkey", cards.is_container().alias("container"), cards.is_landing_shell(F.col("p_size"), k).alias("shell"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'own' ELSE '500000' END AS price_value, '8.4' AS rating_text, CASE WHEN p_partkey % 3 = 0 THEN '9' ELSE '12' END AS review_count_text, '5 stars' AS star_rating_text FROM part")
+def card_precedence(spark, d):
+    k = F.col("p_partkey")
+    picked = {"price_value": F.when(k % 2 == 0, "own").otherwise(""), "review_count_text": F.when(k % 3 == 0, "9")}
+    return table(spark, d, "part").select("p_partkey", text.card_fields(picked, F.lit("VND 500.000 | 8,4/10 | 12 reviews | 5 stars out of 5")).alias("f")).select("p_partkey", "f.*")
+
+
 def queries() -> dict[str, Builder]:
     return {k: f for k, (f, _) in QUERIES.items()}
 
