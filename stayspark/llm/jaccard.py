@@ -44,7 +44,7 @@ from stayspark.llm.components import components
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 HOT = 48
-SKETCH = 512  # bits of the smallest sketch
+SKETCH = 1024  # bits of the smallest sketch, and of those that joins test
 FLUSH = 500_000  # signatures that a task holds before it hands them on
 SLICE = 1 << 20  # bytes of text that are worked on at once
 KEY_BITS = 64
@@ -558,7 +558,9 @@ def apart(large: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
     x, y = (need.select("signature", *[F.col(k).alias(f"{k}_{s}") for k in need.columns if k != "signature"]) for s in ("x", "y"))
     bits = reduce(lambda p, q: p + q, [F.bit_count(F.col(f"f{k}_x").bitwiseXOR(F.col(f"f{k}_y"))) for k in range(SKETCH // 64)])
     fits = (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y")) & (DENOMINATOR * F.least("n_x", "n_y") >= NUMERATOR * F.greatest("n_x", "n_y")) & (bits * (DENOMINATOR + NUMERATOR) <= (F.col("n_x") + F.col("n_y")) * (DENOMINATOR - NUMERATOR))
-    both = x.join(y.withColumnRenamed("signature", "other"), (F.col("signature") == F.col("other")) & fits)
+    # A pair is looked for in one band only: their own, or the lower of the two, under which the larger set is indexed as well.
+    own_band = F.shiftrightunsigned("signature", 31) % 2 == (F.length(F.bin(F.least("n_x", "n_y"))) + 1) % 2
+    both = x.join(y.withColumnRenamed("signature", "other"), (F.col("signature") == F.col("other")) & own_band & fits)
     return both.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
 
 
