@@ -6,6 +6,9 @@ Chunks are what stands between ASCII white space (0x20 and 0x09 to 0x0D) in the
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -140,16 +143,33 @@ class ChunkValues:
         return self.values[at]
 
 
-_caches: dict[str, tuple[object, ChunkValues]] = {}
+_caches: dict[str, tuple[object, object]] = {}
 
 
-def cached(kind: str, key: object, make) -> ChunkValues:
-    """The cache of this kind in this worker process, made anew when its key (a model's fingerprint) changes."""
+def cached(kind: str, key: object, make):
+    """The cache of this kind in this worker process, made anew when its key (a model's fingerprint) changes. A worker lives
+    through all stages of a pipeline, and holds one cache at a time: that of another kind goes."""
     if _caches.get(kind, (None,))[0] != key:
+        forgotten()
         _caches[kind] = (key, make())
     return _caches[kind][1]
 
 
+def forgotten() -> None:
+    """Drop this worker's cache: what comes needs the memory."""
+    if _caches:
+        _caches.clear()
+        returned()
+
+
+def returned() -> None:
+    """Give freed memory back to the system, where the C library can: workers outlive what they did before."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> list[tuple[bytes, int]]:
     """Texts and labels of at most `most` documents that are labelled and not held out, chosen by a hash of the id.
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayspark.llm.common import arrow_rows, discard, materialise, slices, table, texts, with_bytes
+from stayspark.llm.common import arrow_rows, discard, forgotten, materialise, returned, slices, table, texts, with_bytes
 from stayspark.llm.components import components
 
 SHINGLE = 5
@@ -221,6 +221,7 @@ def indexed(docs: DataFrame, buckets: int, hot: int, seed: int = 0, bits: int =
     MB of input, and a row without blob for every document. A task indexes equal sets that it meets again and again once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forgotten()
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         seen: set[tuple[int, int]] = set()
         met = 0
@@ -279,6 +280,9 @@ def indexed(docs: DataFrame, buckets: int, hot: int, seed: int = 0, bits: int =
                     kept.clear()
         if kept:
             yield from out()
+            kept.clear()
+        seen.clear()
+        returned()
 
     return with_bytes(docs).mapInArrow(run, f"bucket int, data binary, {_OWN_DDL}")
 

@@ -21,14 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayspark.llm.common import Interner, arrow_rows, materialise, slices, table, texts, with_bytes
+from stayspark.llm.common import Interner, arrow_rows, cached, materialise, slices, table, texts, with_bytes
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 ROOM = 4096
 PIECES_A_TASK = 50_000
 OPEN_BINS = PIECES_A_TASK  # long pieces come first and share no bin: fewer open bins would close before short pieces come
-CACHE = 900_000
+CACHE = 600_000
 #: Lower-case Latin words that normalisation leaves as they are, and marks of which a run after such a word is a word of its own.
 ENDINGS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
@@ -84,7 +84,8 @@ class ChunkTokenizer:
         other = [i for i in range(len(words)) if i not in known] if known or not plain else []
         ids, _ = self._encoded([" ".join([words[i] for i in plain[k : k + 50]]) for k in range(0, len(plain), 50)])
         ends = np.flatnonzero(self.final[ids]) + 1
-        assert len(ends) == len(plain)
+        if len(ends) != len(plain):
+            raise ValueError("a plain word has not one end-of-word token: the vocabulary is of another kind")
         _, rest = self._encoded([words[i] for i in other])
         count = np.zeros(len(words), np.int64)
         count[plain] = np.diff(ends, prepend=0)
@@ -136,14 +137,9 @@ class ChunkTokenizer:
         return [flat[i:k] for i, k in zip([0, *last[:-1]], last, strict=True)]
 
 
-_tokenizers: dict[str, ChunkTokenizer] = {}
-
-
 def tokenizer_at(path: str) -> ChunkTokenizer:
     """One per worker process; it is only a cache."""
-    if path not in _tokenizers:
-        _tokenizers[path] = ChunkTokenizer(path)
-    return _tokenizers[path]
+    return cached("tokens", path, lambda: ChunkTokenizer(path))
 
 
 def tokenize(docs: DataFrame, path: str | None = None, room: int = ROOM, end: int = END) -> DataFrame:
