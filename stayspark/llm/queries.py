@@ -11,6 +11,7 @@ from stayspark.llm.audit import op13_filter_interactions
 from stayspark.llm.chat import op2_prefix_target
 from stayspark.llm.decontamination import SQL as OP1_SQL
 from stayspark.llm.decontamination import op1_template_decontamination
+from stayspark.llm.errata import op11_errata_tries
 from stayspark.llm.jaccard import op8_universe_partition
 from stayspark.llm.licenses import op5_patience_licenses
 from stayspark.llm.media import op7_tiff_pages
@@ -22,7 +23,7 @@ from stayspark.llm.toxicity import op6_string_kernel_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_template_decontamination, op2_prefix_target, op3_best_fit_packing, op4_sampled_splitters, op5_patience_licenses, op6_string_kernel_toxicity, op7_tiff_pages, op8_universe_partition, op9_pseudo_likelihood, op10_subword_quality, op13_filter_interactions)}
+    return {f.__name__: f for f in (op1_template_decontamination, op2_prefix_target, op3_best_fit_packing, op4_sampled_splitters, op5_patience_licenses, op6_string_kernel_toxicity, op7_tiff_pages, op8_universe_partition, op9_pseudo_likelihood, op10_subword_quality, op11_errata_tries, op13_filter_interactions)}
 
 
 def oracle_sql() -> dict[str, str]:
