@@ -19,11 +19,12 @@ from stayspark.llm.packing import op3_best_fit_packing
 from stayspark.llm.quality import op10_subword_quality
 from stayspark.llm.scoring import op9_pseudo_likelihood
 from stayspark.llm.sharding import op4_sampled_splitters
+from stayspark.llm.suffixes import op12_suffix_dedup
 from stayspark.llm.toxicity import op6_string_kernel_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_template_decontamination, op2_prefix_target, op3_best_fit_packing, op4_sampled_splitters, op5_patience_licenses, op6_string_kernel_toxicity, op7_tiff_pages, op8_universe_partition, op9_pseudo_likelihood, op10_subword_quality, op11_errata_tries, op13_filter_interactions)}
+    return {f.__name__: f for f in (op1_template_decontamination, op2_prefix_target, op3_best_fit_packing, op4_sampled_splitters, op5_patience_licenses, op6_string_kernel_toxicity, op7_tiff_pages, op8_universe_partition, op9_pseudo_likelihood, op10_subword_quality, op11_errata_tries, op12_suffix_dedup, op13_filter_interactions)}
 
 
 def oracle_sql() -> dict[str, str]:
