@@ -17,6 +17,7 @@ from stayspark.plans.lakehouse import LEDGER, Lakehouse
 from stayspark.plans.store import TableStore
 from stayspark.session import shared_dir
 from stayspark.sources.contract import load_contract
+from stayspark.streaming import rounds
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Builder, str | None]] = {}
@@ -485,6 +486,36 @@ def new_record_count(spark, d):
     return identity.new_records(df.where(odd), df.where(~odd), "k", "property_id", "name", "c_custkey")
 
 
+# -- records that arrive in rounds
+
+ROUNDS = """(SELECT event_id AS t, nullif(p, '') AS property_id, nullif(n, '') AS name, CASE WHEN event_id % 2 = 0 THEN '' || event_id % 1000 END AS price, CASE WHEN event_id % 7 = 0 THEN event_type ELSE '' END AS rating,
+ CASE WHEN event_id % 6 = 0 THEN 'url:' || user_id % 150 WHEN p <> '' THEN 'property:' || p WHEN n <> '' THEN 'partial:' || lower(n) ELSE 'partial:0:' || user_id % 30 || ':' END AS k
+ FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN '' ELSE '' || user_id % 40 END AS p, CASE WHEN event_id % 4 = 0 THEN 'N' || user_id % 60 ELSE '' END AS n FROM events))"""
+ROUND_FIELDS = ["property_id", "name", "price", "rating"]
+
+
+def arrivals(spark, d):
+    n, u = F.col("event_id"), F.col("user_id")
+    e = table(spark, d, "events").withColumns({"p": F.when(n % 3 == 0, "").otherwise((u % 40).cast("string")), "n": F.when(n % 4 == 0, F.concat(F.lit("N"), u % 60)).otherwise("")})
+    key = F.when(n % 6 == 0, F.concat(F.lit("url:"), u % 150)).when(F.col("p") != "", F.concat(F.lit("property:"), "p")).when(F.col("n") != "", F.concat(F.lit("partial:"), F.lower("n"))).otherwise(F.concat(F.lit("partial:0:"), u % 30, F.lit(":")))
+    return e.select(n.alias("at"), F.col("p").alias("property_id"), F.col("n").alias("name"), F.when(n % 2 == 0, (n % 1000).cast("string")).alias("price"), F.when(n % 7 == 0, F.col("event_type")).otherwise("").alias("rating"), key.alias("k"))
+
+
+# The events come as four rounds, one micro-batch each; the state store merges them. SQL looks at all of them at once.
+@query(f"""WITH r AS (SELECT * FROM {ROUNDS}), u AS (SELECT * FROM r WHERE k LIKE 'url:%'),
+ bp AS (SELECT property_id AS p, min(k) AS by_p FROM u WHERE property_id IS NOT NULL GROUP BY 1), bn AS (SELECT lower(name) AS n, min(k) AS by_n FROM u WHERE name IS NOT NULL GROUP BY 1),
+ i AS (SELECT r.*, CASE WHEN k LIKE 'url:%' THEN k ELSE coalesce(by_p, by_n, k) END AS identity, CASE WHEN k LIKE 'url:%' THEN t ELSE t + 1000000000000 END AS o FROM r LEFT JOIN bp ON property_id = p LEFT JOIN bn ON lower(name) = n),
+ m AS (SELECT identity, {", ".join(f"arg_min({f}, o) FILTER (WHERE nullif({f}, '') IS NOT NULL) AS {f}, arg_min(coalesce({f}, ''), o) AS first_{f}" for f in ROUND_FIELDS)}, count(*) AS merged_records FROM i GROUP BY 1)
+ SELECT identity, {", ".join(ROUND_FIELDS)}, merged_records, {" OR ".join(f"({f} IS NOT NULL AND first_{f} = '')" for f in ROUND_FIELDS)} AS changed FROM m""")
+def streamed_rounds(spark, d):
+    df, at = arrivals(spark, d), f"{shared_dir(spark)}/rounds-{uuid.uuid4().hex}"
+    df.repartitionByRange(4, "at").write.parquet(f"{at}/in")
+    log = rounds.merged_rounds(rounds.read_rounds(spark, f"{at}/in", df.schema), "k", "property_id", "name", ROUND_FIELDS, "at")
+    kept = TableStore(spark, f"{at}/store")
+    rounds.into_table(log, kept, "merged", f"{at}/checkpoint").awaitTermination()
+    return kept.read("merged").where("live").select("identity", *ROUND_FIELDS, "merged_records", "changed")
+
+
 # -- ranking and pages
 
 PART = "(SELECT p_partkey, p_name, CASE WHEN p_partkey % 11 <> 0 THEN 'u' || p_partkey END AS hotel_url, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS price_value, CASE WHEN p_partkey % 3 = 0 THEN p_brand END AS rating_text, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_type END AS review_count_text, p_type AS star_rating_text FROM part)"
