@@ -10,7 +10,7 @@ Landmarks are words; with W the landmarks' kernel matrix, W^(-1/2) k(word, landm
 is linear in it, hence in k, and k is an inner product of subsequence counts: so the machine folds into one weight for each
 subsequence, and a word's margin is a weighted sum over its own subsequences. That is exact, and workers cache it.
 
-Defined results: null, empty and letterless texts get the lowest score; repeated rows get equal scores; an empty table gives
+Defined results: null, empty and letterless texts get the lowest score; where the rows of a label have no word, all get the share of toxic rows; repeated rows get equal scores; an empty table gives
 no row; without both labels among the training rows every score is the share of label 1 (or 0); words longer than 24 letters
 are taken in overlapping windows of 24; other columns are ignored.
 """
@@ -222,6 +222,9 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
         return Model(np.zeros(LETTERS**ORDER), 0.0, 0.0, float(np.log(share / (1 - share))))
     bags = [document_words(t) for t, _ in rows]
     toxic, clean = Counter(w for b, k in zip(bags, y, strict=True) if k for w in b), Counter(w for b, k in zip(bags, y, strict=True) if not k for w in b)
+    if not toxic or not clean:  # nothing to compare: every document gets the share of toxic ones
+        return Model(np.zeros(LETTERS**ORDER), 0.0, 0.0, float(np.log(y.mean() / (1 - y.mean()))))
+
     def lean(n_toxic: int, n_clean: int) -> float:
         return float(np.log((n_toxic + 0.5) / (y.sum() + 1)) - np.log((n_clean + 0.5) / (len(y) - y.sum() + 1)))
 

@@ -125,6 +125,11 @@ def test_long_words_are_windowed():
     assert model.score([b"x" * 100 + b"dumbhead" + b"y" * 100])[0] > model.score([b"x" * 100 + b"y" * 100])[0]
 
 
+@pytest.mark.parametrize("rows", [[(b"idiot fool", 1), (b"", 0)], [(b"ab", 1), (b"cd", 0)], [(b"", 1), (b"good words", 0)]])
+def test_a_label_without_words(rows):
+    assert toxicity.fit(rows).score([b"idiot", b"", b"good words"]).tolist() == pytest.approx([0.5] * 3)
+
+
 def test_one_label_only():
     for fit in (toxicity.fit, quality.fit):
         for rows in ([], [(b"a b", 1)], [(b"a b", 0)]):
