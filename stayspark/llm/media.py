@@ -49,9 +49,10 @@ class Page:
     description: str | None = None
 
 
-def unpack_bits(data: bytes) -> bytes:
+def unpack_bits(data: bytes, most: int | None = None) -> bytes:
+    """The bytes of a PackBits part; it stops once there are `most`."""
     out, i = bytearray(), 0
-    while i < len(data):
+    while i < len(data) and (most is None or len(out) < most):
         n = data[i]
         if n < 128:
             out += data[i + 1 : i + 2 + n]
@@ -87,10 +88,11 @@ def pack_bits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def lzw_decode(data: bytes) -> bytes:
+def lzw_decode(data: bytes, most: int | None = None) -> bytes:
     """TIFF's LZW: codes from the high bit on, 9 to 12 bits, widths change one code early; 256 clears, 257 ends.
 
-    A reader knows one word fewer than the writer, so its widths change at 511 words where the writer's do at 512."""
+    A reader knows one word fewer than the writer, so its widths change at 511 words where the writer's do at 512. It stops
+    once there are `most` bytes: a word is a few thousand bytes at most, whatever a damaged part asks for."""
     out, names = bytearray(), []
     last, width, held, bits = None, 9, 0, 0
     for byte in data:
@@ -112,6 +114,8 @@ def lzw_decode(data: bytes) -> bytes:
             word = names[code] if code < len(names) else last + last[:1]
             names.append(last + word[:1])
         out += word
+        if most is not None and len(out) >= most:
+            break
         last = word
         width = 9 if len(names) < 511 else 10 if len(names) < 1023 else 11 if len(names) < 2047 else 12
     return bytes(out)
@@ -162,13 +166,13 @@ def stored(data: bytes, compression: int) -> bytes:
 
 
 def restored(data: bytes, compression: int, most: int | None = None) -> bytes:
-    """The bytes of a part; of a deflated one no more than `most` are made."""
+    """The bytes of a part; no more than about `most` are made."""
     if compression == PLAIN:
         return data
     if compression in (DEFLATE, OLD_DEFLATE):
         return zlib.decompressobj().decompress(data, most or 0)
     if compression in (LZW, PACKBITS):
-        return (lzw_decode if compression == LZW else unpack_bits)(data)
+        return (lzw_decode if compression == LZW else unpack_bits)(data, most)[:most]
     raise ValueError(f"compression {compression}")
 
 
@@ -345,8 +349,10 @@ def pages(files: DataFrame, id_col: str = "doc_id", media_col: str = "media", mo
     return files.select(F.col(id_col).alias("doc_id"), F.col(media_col).alias("media")).mapInArrow(run, PAGES)
 
 
-def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", compression: int = DEFLATE) -> DataFrame:
-    """(doc_id, media): each text's bytes as one grey page, 64 wide, ended with zeros; the description says how many bytes it has."""
+def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", compression: int = DEFLATE, most: int = MOST_SAMPLES) -> DataFrame:
+    """(doc_id, media): each text's bytes as grey pages, 64 wide, ended with zeros; the description says how many bytes it has. A
+    text goes over as many pages of at most `most` samples as it needs."""
+    a_page = max(most // BLOCK, 1)
     schema = pa.schema([("doc_id", pa.int64()), ("media", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +361,8 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 media = []
                 for text in texts(batch):
                     padded = text.ljust(max(BLOCK, -(-len(text) // BLOCK) * BLOCK), b"\0")
-                    media.append(write_tiff([np.frombuffer(padded, np.uint8).reshape(-1, BLOCK)], compression, description=str(len(text))))
+                    lines = np.frombuffer(padded, np.uint8).reshape(-1, BLOCK)
+                    media.append(write_tiff([lines[k : k + a_page] for k in range(0, len(lines), a_page)], compression, description=str(len(text))))
                 yield arrow_rows(schema, doc_id=batch.column("doc_id"), media=media)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, media binary")
@@ -364,21 +371,45 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
+class _Digest:
+    """What is known of a file from its pages so far."""
+
+    def __init__(self, doc: int | None, media: bytes, description: str) -> None:
+        self.head = (doc, int(description))
+        self.media = (len(media), hashlib.sha256(media).hexdigest())
+        self.sha, self.seen, self.rows, self.tail = hashlib.sha256(), np.zeros(256, np.int64), 0, b""
+
+    def add(self, pixels: bytes, height: int) -> None:
+        self.sha.update(pixels)
+        self.seen += np.bincount(np.frombuffer(pixels, np.uint8), minlength=256)
+        self.rows, self.tail = self.rows + height, pixels[-BLOCK:]
+
+    def row(self) -> tuple:
+        seen = [int(x) for x in self.seen]
+        n, total, squares = sum(seen), sum(k * x for k, x in enumerate(seen)), sum(k * k * x for k, x in enumerate(seen))
+        feature = f"rows={self.rows};mean={total * 1000 // n};var={(n * squares - total * total) // (n * n)};values={sum(x > 0 for x in seen)}"
+        return (*self.head, n, self.sha.hexdigest(), zlib.crc32(self.tail), *self.media, feature)
+
+
 def text_digests(read: DataFrame) -> DataFrame:
-    """Digests and a feature of one-page files: rows, mean (in thousandths) and variance of samples, and distinct values."""
+    """Digests and a feature of each file of store_texts over all its pages: rows, mean (in thousandths) and variance of samples, and
+    distinct values. Pages come in the order in which `pages` makes them; a file begins where its media is."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
         for batch in batches:
             rows = []
             for doc, pixels, media, height, description in zip(*[batch.column(k).to_pylist() for k in ("doc_id", "pixels", "media", "height", "description")], strict=True):
-                seen = np.bincount(np.frombuffer(pixels, np.uint8), minlength=256)
-                n = len(pixels)
-                total, squares = int(seen @ np.arange(256)), int(seen @ np.arange(256) ** 2)
-                feature = f"rows={height};mean={total * 1000 // n};var={(n * squares - total * total) // (n * n)};values={int((seen > 0).sum())}"
-                rows.append((doc, int(description), n, hashlib.sha256(pixels).hexdigest(), zlib.crc32(pixels[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), feature))
+                if media is not None:
+                    if now is not None:
+                        rows.append(now.row())
+                    now = _Digest(doc, media, description)
+                now.add(pixels, height)
             if rows:
                 yield arrow_rows(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
+        if now is not None:
+            yield arrow_rows(schema, **dict(zip(schema.names, ([x] for x in now.row()), strict=True)))
 
     return read.where("page >= 0").select("doc_id", "pixels", "media", "height", "description").mapInArrow(run, DIGEST)
 

@@ -108,3 +108,20 @@ def test_pages_column(spark):
     df = spark.createDataFrame([(1, bytearray(two)), (2, None), (3, bytearray(b"junk"))], "doc_id long, media binary")
     got = sorted((r["doc_id"], r["page"], r["width"], r["height"], r["error"] is None) for r in media.pages(df).collect())
     assert got == [(1, 0, 5, 3, True), (1, 1, 2, 2, True), (3, -1, None, None, False)]
+
+
+def test_long_texts_go_over_several_pages(spark):
+    rows = [(k, "é1" * n) for k, n in enumerate([0, 10, 64, 65, 500, 4321])] + [(9, None), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    read = media.pages(media.store_texts(df, most=1000), most=1000).persist()
+    assert read.where("page < 0").count() == 0 and read.groupBy("doc_id").count().agg({"count": "max"}).first()[0] == 14
+    columns = ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32")
+    digests = lambda d: sorted(tuple(r[c] for c in columns) for r in media.text_digests(d).collect())
+    assert digests(read) == digests(media.pages(media.store_texts(df)))
+    assert len(digests(read)) == len(rows)
+
+
+def test_parts_stop_at_their_size():
+    assert len(media.lzw_decode(media.lzw_encode(bytes(3_000_000)), 1000)) < 8000
+    assert len(media.unpack_bits(media.pack_bits(bytes(100_000)), 1000)) < 1200
+    assert media.restored(media.lzw_encode(b"abc" * 99), media.LZW, 100) == (b"abc" * 99)[:100]
