@@ -6,6 +6,7 @@ All take a string Column (or a column's name) and give a Column; text that does
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache, reduce
@@ -57,39 +58,62 @@ def snippet(x: Column | str, length: int = 800) -> Column:
     return F.substring(compact_text(x), 1, length)
 
 
-WIDE = ((0xA0, 0x24F), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x2100, 0x214F), (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
+HANGUL = (0xAC00, 0xD7A3)
+JAMO = tuple("".join(map(chr, range(first, first + n))) for first, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
+_MARK = "\uffff"  # no character: stands for those that decompose into several
 
 
 @lru_cache(1)
-def folds() -> tuple[str, str, tuple[tuple[str, str], ...], str]:
-    """Characters of the basic plane that compatibility decomposition turns into one, marks left out; those of WIDE that it
-    turns into several; and a character class of combining marks. Hangul syllables stay whole."""
+def folds() -> tuple[str, str, dict[str, str], str]:
+    """Compatibility decomposition without combining marks, from Python's Unicode tables: characters that become one, what they
+    become, those that become several or none, and a character class of combining marks. Hangul syllables follow from a rule."""
     one: dict[str, str] = {"đ": "d", "Đ": "D"}
-    several: list[tuple[str, str]] = []
+    several: dict[str, str] = {}
     marks: list[list[int]] = []
-    for code in (c for c in range(0xA0, 0x10000) if not 0xAC00 <= c <= 0xDFFF):
+    for code in (c for c in range(0xA0, sys.maxunicode + 1) if not HANGUL[0] <= c <= 0xDFFF):
         char = chr(code)
         if unicodedata.combining(char):
             if marks and marks[-1][1] == code - 1:
                 marks[-1][1] = code
             else:
                 marks.append([code, code])
-            continue
-        plain = "".join(x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x))
-        if plain != char and char not in one:
-            if len(plain) == 1:
-                one[char] = plain
-            elif any(a <= code <= b for a, b in WIDE):
-                several.append((char, plain))
-    return "".join(one), "".join(one.values()), tuple(several), "[" + "".join(rf"\u{a:04X}-\u{b:04X}" for a, b in marks) + "]+"
-
-
-def ascii_fold(x: Column | str, wide: bool = False) -> Column:
-    """Letters without their accents. `wide` also expands characters that stand for several (ligatures, fractions)."""
-    of, to, several, marks = folds()
-    plain = F.translate(_c(x), of, to)
-    text = F.when(plain.rlike(r"\p{M}"), F.regexp_replace(plain, marks, "")).otherwise(plain)
-    return reduce(lambda c, s: F.replace(c, F.lit(s[0]), F.lit(s[1])), several, text) if wide else text
+        elif unicodedata.decomposition(char):
+            plain = "".join(x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x))
+            if plain != char:
+                (one if len(plain) == 1 else several)[char] = plain
+    return "".join(one), "".join(one.values()), several, "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in marks) + "]+"
+
+
+def constant_map(pairs: dict[str, str]) -> Column:
+    """A map as one literal: the optimizer folds it once, however many pairs it has."""
+    text = "\ue001".join(f"{k}\ue000{v}" for k, v in pairs.items())
+    return F.str_to_map(F.lit(text), F.lit("\ue001"), F.lit("\ue000"))
+
+
+def _jamo(syllable: Column) -> Column:
+    """A Hangul syllable as its two or three letters, by arithmetic."""
+    place = F.ascii(syllable) - HANGUL[0]
+    lead, vowel, tail = F.floor(place / 588), F.floor(place % 588 / 28), place % 28
+    letter = lambda row, i: F.substring(F.lit(row), (i + 1).cast("int"), F.lit(1))
+    return F.concat(letter(JAMO[0], lead), letter(JAMO[1], vowel), F.when(tail > 0, letter(JAMO[2], tail - 1)).otherwise(""))
+
+
+def _expanded(text: Column) -> Column:
+    """Characters that stand for several, one by one; only texts that have such characters are taken apart."""
+    several = folds()[2]
+    keys = "".join(several)
+    marked = lambda c: F.translate(c, keys, _MARK * len(keys))
+    syllable = f"[{chr(HANGUL[0])}-{chr(HANGUL[1])}]"
+    each = F.transform(F.split(text, ""), lambda c: F.when(c < "\u00a0", c).when(marked(c) == _MARK, F.try_element_at(constant_map(several), c)).when(c.between(chr(HANGUL[0]), chr(HANGUL[1])), _jamo(c)).otherwise(c))
+    return F.when(F.contains(marked(text), F.lit(_MARK)) | text.rlike(syllable), F.array_join(each, "")).otherwise(text)
+
+
+def ascii_fold(x: Column | str) -> Column:
+    """Letters without their accents, and every character that is a form of others as these: compatibility decomposition less
+    the combining marks. Common letters take one pass, the others a look-up where a text has any."""
+    of, to, _, marks = folds()
+    bare = lambda t: F.when(t.rlike(r"[\p{M}\p{Cn}]"), F.regexp_replace(t, marks, "")).otherwise(t)  # noqa: E731  Java may know fewer marks
+    return let(F.translate(_c(x), of, to), lambda t: F.when(t.rlike(r"[^\x00-\x7F]"), let(bare(t), _expanded)).otherwise(t))
 
 
 def normalized_destination(x: Column | str) -> Column:

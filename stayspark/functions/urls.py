@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stayspark.functions.text import _c, nights, none_if_empty
+from stayspark.functions.text import _c, constant_map, let, nights, none_if_empty
 
 # Query keys that don't identify a property.
 TRACKING_KEYS = (
@@ -97,18 +98,19 @@ def with_stay(url: Column | str, check_in: Column | str, check_out: Column | str
     return F.concat(F.regexp_extract(_c(url), "^[^?#]*", 0), F.lit("?"), query_text(last))
 
 
-# The named character entities that URLs and their names carry.
-ENTITIES = (("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
 _ESCAPE = r"\\u[0-9a-fA-F]{4}|\\x[0-9a-fA-F]{2}"
-_NUMBER = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_LOST = "\ufffd"
 
 
-def _characters(text: Column, pattern: str, code: Callable[[Column], Column]) -> Column:
-    """text with every match of pattern as the character of its code. Pieces between matches and matches alternate."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    made = F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.decode(code(F.get(found, i)), "UTF-16BE"), F.lit(""))))
-    return F.when(text.rlike(pattern), F.array_join(made, "")).otherwise(text)
+def _replaced(text: Column, pattern: str, made: Callable[[Column], Column]) -> Column:
+    """text with every match of pattern as what `made` makes of it. Pieces between matches and matches alternate."""
+
+    def joined(t: Column) -> Column:
+        pieces = lambda found: F.transform(F.split(t, pattern, -1), lambda p, i: F.concat(p, F.coalesce(let(F.get(found, i), made), F.lit(""))))
+        return F.when(t.rlike(pattern), F.array_join(let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), pieces), "")).otherwise(t)
+
+    return let(text, joined)
 
 
 def _utf16(number: Column) -> Column:
@@ -118,18 +120,44 @@ def _utf16(number: Column) -> Column:
     return F.unhex(F.when(number < 0x10000, F.lpad(F.hex(number), 4, "0")).otherwise(pair))
 
 
+def _character(number: Column) -> Column:
+    """What a numeric reference stands for: the old Windows characters for 0x80 to 0x9F, nothing for controls and noncharacters,
+    a replacement character for what no code point is."""
+    windows = "".join(bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0))
+    bad = number.isNull() | (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    nothing = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127) | number.between(0xFDD0, 0xFDEF) | (number % 0x10000 >= 0xFFFE)
+    return F.when(bad, _LOST).when(number.between(0x80, 0x9F), F.substring(F.lit(windows), (number - 0x7F).cast("int"), F.lit(1))).when(nothing, "").otherwise(F.decode(_utf16(number), "UTF-16BE"))
+
+
+@lru_cache(1)
+def _names() -> tuple[dict[str, str], dict[str, str]]:
+    """The public table of named references, as Python has it; those that also count without a semicolon, by themselves."""
+    return dict(html5), {k: v for k, v in html5.items() if not k.endswith(";")}
+
+
+def _reference(match: Column) -> Column:
+    """One reference: a number, a name, or the longest name that it begins with and what follows; else it stays."""
+    whole, short = _names()
+    digits = F.regexp_extract(match, "[0-9a-fA-F]+", 0)
+    significant = F.regexp_replace(digits, "^0+(?=.)", "")
+    number = F.when(F.length(significant) <= 8, F.when(match.rlike("^&#[xX]"), F.conv(significant, 16, 10)).otherwise(significant).cast("bigint"))
+    name = F.substring(match, F.lit(2), F.length(match))
+    table, loose = constant_map(whole), constant_map(short)
+    most = max(map(len, short))
+    begun = [F.concat(F.try_element_at(loose, F.substring(name, F.lit(1), F.lit(k))), F.substring(name, F.lit(k + 1), F.length(name))) for k in range(most, 1, -1)]
+    return F.when(F.startswith(match, F.lit("&#")), _character(number)).otherwise(F.coalesce(F.try_element_at(table, name), *begun, match))
+
+
 def unescaped(x: Column | str) -> Column:
-    """Character entities, numbered and common named ones, as characters."""
-    digits = lambda m: F.regexp_extract(m, "[0-9a-fA-F]+", 0)
-    number = lambda m: F.when(F.lower(m).startswith("&#x"), F.conv(digits(m), 16, 10)).otherwise(digits(m)).cast("bigint")
-    text = _characters(_c(x), _NUMBER, lambda m: _utf16(number(m)))
-    return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+    """Character references as characters: decimal, hexadecimal and all named ones, as a browser reads them."""
+    text = _c(x)
+    return F.when(F.contains(text, F.lit("&")), _replaced(text, _REFERENCE, _reference)).otherwise(text)
 
 
 def decoded_js_url(x: Column | str) -> Column:
     """A URL out of a script: escaped ampersands and slashes, character entities, then all remaining \\u and \\x escapes."""
     plain = unescaped(F.replace(F.replace(_c(x), F.lit("\\u0026"), F.lit("&")), F.lit("\\/"), F.lit("/")))
-    return _characters(plain, _ESCAPE, lambda m: F.unhex(F.lpad(F.substring(m, 3, 4), 4, "0")))
+    return _replaced(plain, _ESCAPE, lambda m: F.decode(F.unhex(F.lpad(F.substring(m, 3, 4), 4, "0")), "UTF-16BE"))
 
 
 def safe_name(x: Column | str) -> Column:

@@ -1,3 +1,9 @@
+import html
+import random
+import sys
+import unicodedata
+from html.entities import html5
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +21,7 @@ def one(spark, value, f):
         (text.compact_text, " \n ", None),
         (text.compact_text, None, None),
         (text.ascii_fold, "Đà Nẵng tuyệt vời đêm", "Da Nang tuyet voi dem"),
-        (lambda c: text.ascii_fold(c, wide=True), "ﬁne ½ Ａ", "fine 1⁄2 A"),
+        (lambda c: text.ascii_fold(c), "ﬁne ½ Ａ", "fine 1⁄2 A"),
         (text.normalized_destination, " Vũng  Tàu ", "Vung Tau"),
         (text.review_score, "8,7", "8.7"),
         (text.review_score, "4.9", None),
@@ -66,3 +72,24 @@ def test_fallback_and_dates(spark):
     assert one(spark, " , ", lambda c: text.destinations(c, ["z"])) == ["z"]
     flags = spark.createDataFrame([("1", None, None), (None, None, None), (None, "u", "failed"), (None, "u", "skipped"), (None, "u", None)], "p string, u string, s string")
     assert [r[0] for r in flags.select(text.price_status("p", "u", "s")).collect()] == ["present", "missing_no_url", "missing_after_detail_retry", "missing_enrich_skipped", "missing_after_listing"]
+
+
+def test_folding_is_compatibility_decomposition_for_every_code_point(spark):
+    codes = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    plain = lambda t: "".join(x for x in unicodedata.normalize("NFKD", t) if not unicodedata.combining(x)).replace("đ", "d").replace("Đ", "D")
+    groups = ["|".join(map(chr, codes[i : i + 64])) for i in range(0, len(codes), 64)]
+    df = spark.createDataFrame(list(enumerate(groups)), "i int, t string").repartition(4)
+    got = dict(df.select("i", text.ascii_fold("t").alias("x")).collect())
+    assert [i for i, g in enumerate(groups) if got[i] != plain(g)] == []
+
+
+def test_every_named_reference_and_numbers(spark):
+    rng = random.Random(1)
+    names = [n for n in html5]
+    texts = [f"&{n}" for n in names] + [f"a&{n}b &{n[:-1]}= &{n}{n};" for n in names]
+    texts += [f"&#{n};&#x{n:X};&#{n}" for n in [0, 9, 13, 38, 65, 127, 128, 129, 159, 160, 0xD800, 0xFDD0, 0xFFFE, 0x10FFFF, 0x110000, 128512, 99999999, 10**20]]
+    texts += ["&", "&&amp;", "&#;", "&#x;", "&#00065;", "&ampamp;", "&notit; &noti;", "&unknown;", "&#xzz", "a&b=c&lt=d", "&eacute;t&eacute"]
+    texts += ["".join(rng.choice(["&", "amp", ";", "#", "x", "4", "lt", "not", "in", " ", "é", "frac12"]) for _ in range(12)) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    got = dict(df.select("i", urls.unescaped("t").alias("x")).collect())
+    assert [(t, got[i], html.unescape(t)) for i, t in enumerate(texts) if got[i] != html.unescape(t)] == []
