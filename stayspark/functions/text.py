@@ -11,6 +11,7 @@ import unicodedata
 from collections.abc import Callable
 from functools import lru_cache, reduce
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,36 +85,56 @@ def folds() -> tuple[str, str, dict[str, str], str]:
     return "".join(one), "".join(one.values()), several, "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in marks) + "]+"
 
 
-def constant_map(pairs: dict[str, str]) -> Column:
-    """A map as one literal: the optimizer folds it once, however many pairs it has."""
-    text = "\ue001".join(f"{k}\ue000{v}" for k, v in pairs.items())
-    return F.str_to_map(F.lit(text), F.lit("\ue001"), F.lit("\ue000"))
+@lru_cache(64)
+def _constant(gateway: object, text: str) -> Column:
+    return F.lit(text)
 
 
-def _jamo(syllable: Column) -> Column:
-    """A Hangul syllable as its two or three letters, by arithmetic."""
-    place = F.ascii(syllable) - HANGUL[0]
-    lead, vowel, tail = F.floor(place / 588), F.floor(place % 588 / 28), place % 28
-    letter = lambda row, i: F.substring(F.lit(row), (i + 1).cast("int"), F.lit(1))
-    return F.concat(letter(JAMO[0], lead), letter(JAMO[1], vowel), F.when(tail > 0, letter(JAMO[2], tail - 1)).otherwise(""))
+def constant(text: str) -> Column:
+    """A long text as a literal that is made once for each JVM, not for each expression."""
+    return _constant(SparkContext._gateway, text)
 
 
-def _expanded(text: Column) -> Column:
-    """Characters that stand for several, one by one; only texts that have such characters are taken apart."""
-    several = folds()[2]
-    keys = "".join(several)
-    marked = lambda c: F.translate(c, keys, _MARK * len(keys))
-    syllable = f"[{chr(HANGUL[0])}-{chr(HANGUL[1])}]"
-    each = F.transform(F.split(text, ""), lambda c: F.when(c < "\u00a0", c).when(marked(c) == _MARK, F.try_element_at(constant_map(several), c)).when(c.between(chr(HANGUL[0]), chr(HANGUL[1])), _jamo(c)).otherwise(c))
-    return F.when(F.contains(marked(text), F.lit(_MARK)) | text.rlike(syllable), F.array_join(each, "")).otherwise(text)
+def translated(x: Column, of: str, to: str) -> Column:
+    return F.call_function("translate", x, constant(of), constant(to))
+
+
+@lru_cache(8)
+def _table(pairs: tuple[tuple[str, str], ...]) -> tuple[str, int]:
+    return "\ue001" + "".join(f"{k}\ue000{v}\ue001" for k, v in pairs), max(len(v) for _, v in pairs)
+
+
+def looked_up(pairs: dict[str, str], key: Column) -> Column:
+    """The value of a key in a fixed table, null if it has none. The table is one text literal, which a plan carries at little cost."""
+    text, most = _table(tuple(pairs.items()))
+    table = constant(text)
+    probe = F.concat(F.lit("\ue001"), key, F.lit("\ue000"))
+    value = lambda at: F.when(at > 0, F.substring_index(F.substring(table, at + F.length(key) + 2, F.lit(most + 1)), "\ue001", 1))
+    return let(F.call_function("instr", table, probe), value)
+
+
+@lru_cache(2)
+def _unfolded(gateway: object) -> Column:
+    """What is left to do once single characters are translated, as one parsed function (such a plan is built quickly): marks go,
+    and characters that stand for several are looked up one by one, in texts that have any. Hangul goes by arithmetic."""
+    _, _, several, marks = folds()
+    table, most = _table(tuple(several.items()))
+    keys, (first, last) = "".join(several), map(chr, HANGUL)
+    marked = lambda c: f"translate({c}, r'{keys}', r'{_MARK * len(keys)}')"
+    found = f"element_at(transform(array(instr(r'{table}', concat('\ue001', c, '\ue000'))), i -> substring_index(substring(r'{table}', i + 3, {most + 1}), '\ue001', 1)), 1)"
+    place = f"(ascii(c) - {HANGUL[0]})"
+    syllable = f"concat(substring('{JAMO[0]}', cast({place} div 588 + 1 as int), 1), substring('{JAMO[1]}', cast({place} % 588 div 28 + 1 as int), 1), CASE WHEN {place} % 28 > 0 THEN substring('{JAMO[2]}', {place} % 28, 1) ELSE '' END)"
+    each = f"transform(split(s, ''), c -> CASE WHEN c < '\u00a0' THEN c WHEN {marked('c')} = '{_MARK}' THEN {found} WHEN c BETWEEN '{first}' AND '{last}' THEN {syllable} ELSE c END)"
+    expanded = f"s -> CASE WHEN instr({marked('s')}, '{_MARK}') > 0 OR s RLIKE '[{first}-{last}]' THEN array_join({each}, '') ELSE s END"
+    bare = f"CASE WHEN t RLIKE r'[\\p{{M}}\\p{{Cn}}]' THEN regexp_replace(t, r'{marks}', '') ELSE t END"
+    return F.expr(f"t -> CASE WHEN t RLIKE r'[^\\x00-\\x7F]' THEN element_at(transform(array({bare}), {expanded}), 1) ELSE t END")
 
 
 def ascii_fold(x: Column | str) -> Column:
     """Letters without their accents, and every character that is a form of others as these: compatibility decomposition less
     the combining marks. Common letters take one pass, the others a look-up where a text has any."""
-    of, to, _, marks = folds()
-    bare = lambda t: F.when(t.rlike(r"[\p{M}\p{Cn}]"), F.regexp_replace(t, marks, "")).otherwise(t)  # noqa: E731  Java may know fewer marks
-    return let(F.translate(_c(x), of, to), lambda t: F.when(t.rlike(r"[^\x00-\x7F]"), let(bare(t), _expanded)).otherwise(t))
+    of, to, _, _ = folds()
+    return F.element_at(F.call_function("transform", F.array(translated(_c(x), of, to)), _unfolded(SparkContext._gateway)), 1)
 
 
 def normalized_destination(x: Column | str) -> Column:

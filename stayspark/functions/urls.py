@@ -9,7 +9,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stayspark.functions.text import _c, constant_map, let, nights, none_if_empty
+from stayspark.functions.text import _c, let, looked_up, nights, none_if_empty
 
 # Query keys that don't identify a property.
 TRACKING_KEYS = (
@@ -142,16 +142,14 @@ def _reference(match: Column) -> Column:
     significant = F.regexp_replace(digits, "^0+(?=.)", "")
     number = F.when(F.length(significant) <= 8, F.when(match.rlike("^&#[xX]"), F.conv(significant, 16, 10)).otherwise(significant).cast("bigint"))
     name = F.substring(match, F.lit(2), F.length(match))
-    table, loose = constant_map(whole), constant_map(short)
-    most = max(map(len, short))
-    begun = [F.concat(F.try_element_at(loose, F.substring(name, F.lit(1), F.lit(k))), F.substring(name, F.lit(k + 1), F.length(name))) for k in range(most, 1, -1)]
-    return F.when(F.startswith(match, F.lit("&#")), _character(number)).otherwise(F.coalesce(F.try_element_at(table, name), *begun, match))
+    begun = lambda k: F.concat(looked_up(short, F.substring(name, F.lit(1), k)), F.substring(name, k + 1, F.length(name)))
+    longest = F.get(F.filter(F.transform(F.sequence(F.lit(max(map(len, short))), F.lit(2)), begun), lambda x: x.isNotNull()), F.lit(0))
+    return F.when(F.startswith(match, F.lit("&#")), _character(number)).otherwise(F.coalesce(looked_up(whole, name), longest, match))
 
 
 def unescaped(x: Column | str) -> Column:
     """Character references as characters: decimal, hexadecimal and all named ones, as a browser reads them."""
-    text = _c(x)
-    return F.when(F.contains(text, F.lit("&")), _replaced(text, _REFERENCE, _reference)).otherwise(text)
+    return let(_c(x), lambda t: F.when(F.contains(t, F.lit("&")), _replaced(t, _REFERENCE, _reference)).otherwise(t))
 
 
 def decoded_js_url(x: Column | str) -> Column:

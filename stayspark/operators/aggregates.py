@@ -103,10 +103,15 @@ def bottleneck(search: Column, listing: Column, detail: Column) -> Column:
     return F.when((s >= li) & (s >= d), "search").when(li >= d, "listing").otherwise("detail")
 
 
-def timing_rollup(df: DataFrame, keys: tuple[str, ...] = ("destination", "check_in", "total_seconds")) -> DataFrame:
-    """Sums over distinct jobs, their total too, and the stage that took most. A job whose rows differ counts with its largest."""
+def timing_rollup(df: DataFrame, keys: tuple[str, ...] = ("destination", "check_in", "total_seconds"), order: str | None = None) -> DataFrame:
+    """Sums over distinct jobs, their total too, and the stage that took most. Rows without timing (no total) are no job. A job
+    whose rows differ counts with its first by `order`; without an order, with its largest."""
     names = ("search_seconds", "listing_seconds", "detail_seconds")
-    jobs = df.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names])
+    timed = df.where(F.col(keys[-1]).isNotNull())
+    if order is None:
+        jobs = timed.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names])
+    else:
+        jobs = timed.groupBy(*keys).agg(F.min_by(F.struct(*names), order).alias("first")).select(*keys, "first.*")
     sums = jobs.agg(F.count("*").alias("jobs"), *[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in (*names, "total_seconds")])
     return sums.withColumn("bottleneck", bottleneck(*[F.col(n) for n in names])).withColumnRenamed("total_seconds", "job_total_seconds")
 

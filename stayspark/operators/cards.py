@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from stayspark.functions.text import FLAGS, ascii_fold, collect_status, compact_text, let, none_if_empty, parse_review_count, parse_review_score, parse_star_rating, present, price_value, property_id, snippet, textual_fallback
 from stayspark.functions.urls import PATH_MARK, name_from_url, property_url, resolved, unescaped, url_key
+from stayspark.operators import elements
+from stayspark.operators.elements import APART, ATTRIBUTES, UNSEEN, attribute, raw_attribute
 from stayspark.operators.identity import first_value, partial_key
 
 # Marks of cards and of what isn't one, in folded lower case.
@@ -26,6 +28,7 @@ NEW_TAB = r"\b(?:mo|open)\b.{1,160}\b(?:trong the moi|new tab)\b"
 NON_NAME = ("vnd", "reviews", "nhan xet", "danh gia", "per night", "moi dem", "gia", "stars out of", "sao")
 CLEANUP = (r"^Anh truoc cua co so luu tru\s+", r"^Photo of\s+", r"^Mo\s+", r"\s+trong the moi$", r"^Open\s+", r"\s+in new tab$")
 NAME_LENGTH = 120
+PREVIEW = 1000
 
 
 def low(c: str) -> Column:
@@ -134,21 +137,13 @@ def assembled(cards: DataFrame, base_url: str) -> DataFrame:
 
 # -- markup
 
-_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_ANCHOR = rf"(?is)<a(?=[\s/])({_ATTRIBUTES})>(.*?)</a\s*>"
-_UNSEEN = r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>"
-_BREAK = r"(?i)<(?:br|/?(?:p|div|li|ul|ol|h[1-6]|tr|td|th|table|section|article|header|footer|nav))\b[^>]*>"
-
-
-def attribute(tag: Column, name: str) -> Column:
-    """The value of an attribute of a tag, quoted in either way or not at all, entities decoded; null if it is absent."""
-    found = lambda p: none_if_empty(F.regexp_extract(tag, rf"(?is)(?:^|[\s\"'/]){name}\s*=\s*{p}", 1))
-    return unescaped(F.coalesce(found('"([^"]*)"'), found("'([^']*)'"), found("([^\\s\"'>]+)")))
+_ANCHOR = rf"(?is)<a(?=[\s/])({ATTRIBUTES})>(.*?)</a\s*>"
+_BREAK = rf"(?i)</?(?:{'|'.join(APART)})\b[^>]*>"
 
 
 def visible_text(html: Column) -> Column:
     """Text of markup as it is read: no comments and scripts, blocks apart, entities decoded, white space compact."""
-    return compact_text(unescaped(F.regexp_replace(F.regexp_replace(F.regexp_replace(html, _UNSEEN, ""), _BREAK, " "), "<[^>]*>", "")))
+    return compact_text(unescaped(F.regexp_replace(F.regexp_replace(F.regexp_replace(html, UNSEEN, ""), _BREAK, " "), "<[^>]*>", "")))
 
 
 def anchors(html: Column | str, mark: str = "") -> Column:
@@ -217,16 +212,51 @@ def detail_fields(name: Column | str, review: Column | str, stars: Column | str,
     )
 
 
+# Where a property's own page has its fields; the first selector that gives text decides.
+NAME_AT = (elements.named("h1"), elements.equal("data-selenium", "hotel-name"))
+REVIEW_AT = (elements.holding("data-testid", "review-score"), elements.equal("data-selenium", "review-score"), elements.holding("class", "ReviewScore"))
+STARS_AT = (elements.holding("aria-label", "sao", True), elements.holding("aria-label", "star", True))
+PRICE_AT = (elements.equal("data-selenium", "display-price"), elements.equal("data-element-name", "final-price"), elements.holding("data-testid", "price"), elements.holding("class", "price", True))
+
+
 def detail_page(html: Column | str) -> Column:
-    """detail_fields of a page's markup."""
-    page = F.col(html) if isinstance(html, str) else html
-
-    def element(mark: str) -> Column:
-        return visible_text(none_if_empty(F.regexp_extract(page, rf"(?is)<(\w+)\b[^>]*\b{mark}[^>]*>(.*?)</\1\s*>", 2)))
-
-    name = F.coalesce(visible_text(none_if_empty(F.regexp_extract(page, r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1))), element('data-selenium="hotel-name"'))
-    review = F.coalesce(element('data-testid="[^"]*review-score'), element('data-selenium="review-score"'), element('class="[^"]*ReviewScore'))
-    stars = F.coalesce(*[none_if_empty(F.regexp_extract(page, rf'(?is)<\w+\b[^>]*\baria-label="([^"]*{w}[^"]*)"', 1)) for w in ("sao", "star")])
-    price = F.coalesce(element('data-selenium="display-price"'), element('data-element-name="final-price"'), element('data-testid="[^"]*price'), element('class="[^"]*price'))
-    body = visible_text(F.coalesce(none_if_empty(F.regexp_extract(page, r"(?is)<body\b[^>]*>(.*)</body\s*>", 1)), page))
-    return detail_fields(name, review, stars, price, body)
+    """detail_fields of a page's markup. A selected element is whole, elements of its own name inside it too."""
+
+    def fields(tags: Column) -> Column:
+        at = [elements.first_place(tags, x) for x in (*NAME_AT, *REVIEW_AT, *PRICE_AT, elements.named("body"))]
+        found = F.struct(elements.texts_at(tags, [*at, F.lit(0)]).alias("texts"), elements.first_attribute(tags, "aria-label", *STARS_AT).alias("stars"))
+
+        def chosen(x: Column) -> Column:
+            first = lambda start, n: F.get(F.filter(F.slice(x["texts"], start, n), lambda t: t.isNotNull()), F.lit(0))
+            name, review = len(NAME_AT), len(REVIEW_AT)
+            picked = {"name": first(1, name), "review": first(name + 1, review), "stars": x["stars"], "price": first(name + review + 1, len(PRICE_AT)), "body": first(len(at), 2)}
+            return let(F.struct(*[v.alias(k) for k, v in picked.items()]), lambda p: detail_fields(*[p[k] for k in picked]))
+
+        return let(found, chosen)
+
+    return let(elements.scanned(html), fields)
+
+
+def page_cards(pages: DataFrame, html: str, page: str) -> DataFrame:
+    """The cards of listing pages: elements that are marked as cards, and articles; of nested ones each. A card's name is its first
+    heading, else its first link with text."""
+    marked = lambda t: F.exists(F.array(*[F.lit(m) for m in (*CARD_MARKS, "propertycard")]), lambda m: F.contains(F.lower(F.concat_ws(" ", *[raw_attribute(t["head"], a) for a in ("data-selenium", "data-testid", "class")])), m))
+    wanted = lambda t: (t["name"] == "article") | (F.contains(t["head"], F.lit("=")) & ~t["name"].isin("a", "img") & marked(t))
+    tags = pages.select(F.col(page).alias("page"), elements.scanned(html).alias("_tags"))
+    found = tags.select("page", "_tags", F.posexplode(elements.places("_tags", wanted)).alias("card_index", "_at"))
+    inside = found.select("page", "card_index", F.get("_tags", F.col("_at") - 1).alias("_tag"), elements.content(F.col("_tags"), F.col("_at")).alias("_in"))
+    inner = F.col("_in")
+    links = F.filter(inner, lambda t: (t["name"] == "a") & ~t["closes"])
+    head = F.col("_tag.head")
+    heading, link = (elements.first_place(inner, elements.named(*names)) for names in (("h1", "h2", "h3", "h4", "h5", "h6"), ("a",)))
+    inside = inside.withColumn("_texts", elements.texts_at(inner, [heading, link, F.lit(0)]))
+    whole = F.array_join(F.transform(inner, lambda t: F.concat(t["head"], t["after"])), "")
+    card = F.struct(
+        F.filter(F.transform(links, lambda t: attribute(t["head"], "href")), lambda u: u.isNotNull()).alias("urls"),
+        F.coalesce(F.get("_texts", F.lit(0)), F.get("_texts", F.lit(1))).alias("name"), F.get("_texts", F.lit(2)).alias("text"),
+        raw_attribute(head, "data-selenium").alias("data_selenium"), raw_attribute(head, "data-testid").alias("data_test_id"), raw_attribute(head, "class").alias("class_name"),
+        F.col("_tag.name").alias("tag_name"), F.lit(None).cast("string").alias("source_selector"), F.coalesce(raw_attribute(head, "data-hotelid"), raw_attribute(head, "data-property-id")).alias("property_id"),
+        F.substring(whole, 1, PREVIEW).alias("outer_html_preview"),
+    )
+    # A generator: what follows reads these columns and does not compute them again.
+    return inside.select("page", "card_index", F.inline(F.array(card)))

@@ -21,12 +21,13 @@ def needs_enrichment(url: str, fields: tuple[str, ...] = DETAIL_FIELDS, missing_
     return present(url) & ((missing(fields) > 0) if missing_only else F.lit(True))
 
 
-def enrichment_candidates(df: DataFrame, limit: int, name: str, url: str, fields: tuple[str, ...] = DETAIL_FIELDS, critical: tuple[str, ...] | None = None, missing_only: bool = True) -> DataFrame:
-    """Records that need detail pages, those that lack most first; 0 takes all. A limit runs as a top-k in every task."""
+def enrichment_candidates(df: DataFrame, limit: int, name: str, url: str, fields: tuple[str, ...] = DETAIL_FIELDS, critical: tuple[str, ...] | None = None, missing_only: bool = True, arrival: str | None = None) -> DataFrame:
+    """Records that need detail pages, those that lack most first; 0 takes all. A limit runs as a top-k in every task. Of records
+    that are equal in all that the ranking looks at, those that came first by `arrival` are taken."""
     critical = critical or fields
     text = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))
     ranked = df.where(needs_enrichment(url, critical, missing_only)).withColumns({"critical_missing": missing(critical), "fields_missing": missing(fields)})
-    ordered = ranked.orderBy(F.desc("critical_missing"), F.desc("fields_missing"), text(name), text(url))
+    ordered = ranked.orderBy(F.desc("critical_missing"), F.desc("fields_missing"), text(name), text(url), *([F.col(arrival)] if arrival else []))
     return ordered.limit(limit) if limit > 0 else ordered
 
 

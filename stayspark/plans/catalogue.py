@@ -161,6 +161,18 @@ def timing_rollup(spark, d):
     return aggregates.timing_rollup(df)
 
 
+# Rows of one job differ, and every tenth row has no timing: a job counts with its first row.
+@query("""WITH r AS (SELECT event_id, event_type AS destination, user_id % 50 AS k FROM events WHERE event_id % 10 <> 0),
+ j AS (SELECT destination, k, arg_min(event_id, event_id) AS e FROM r GROUP BY 1, 2),
+ s AS (SELECT count(*) AS jobs, sum(cast(k AS double)) AS search_seconds, sum(cast(e % 31 AS double)) AS listing_seconds, sum(cast(e % 17 AS double)) AS detail_seconds, sum(cast(k * 3 AS double)) AS job_total_seconds FROM j)
+ SELECT *, CASE WHEN search_seconds >= listing_seconds AND search_seconds >= detail_seconds THEN 'search' WHEN listing_seconds >= detail_seconds THEN 'listing' ELSE 'detail' END AS bottleneck FROM s""")
+def timing_first_rows(spark, d):
+    e, k = F.col("event_id"), F.col("user_id") % 50
+    timed = lambda c: F.when(e % 10 != 0, c.cast("double"))
+    df = table(spark, d, "events").select("event_id", F.col("event_type").alias("destination"), k.alias("check_in"), timed(k * 3).alias("total_seconds"), timed(k).alias("search_seconds"), timed(e % 31).alias("listing_seconds"), timed(e % 17).alias("detail_seconds"))
+    return aggregates.timing_rollup(df, order="event_id")
+
+
 @query("""SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, list_sort(list(value))[1 + cast(round_even((count(value) - 1) * 50 / 100, 0) AS int)] AS p50, list_sort(list(value))[1 + cast(round_even((count(value) - 1) * 95 / 100, 0) AS int)] AS p95 FROM events WHERE value IS NOT NULL GROUP BY event_type""")
 def nearest_rank_percentiles(spark, d):
     return aggregates.percentiles(table(spark, d, "events"), ["event_type"], "value").withColumn("mean", F.round("mean", 6))
@@ -677,6 +689,45 @@ def detail_page_names(spark, d):
     return table(spark, d, "pages").select("page_id", cards.detail_page("html")["hotel_name"].alias("hotel_name"))
 
 
+@query("SELECT c_custkey, c_name || ' 1⁄2 fi TM ... ' || chr(4352) || chr(4449) || chr(4520) || ' A (a) ' || c_custkey AS folded FROM customer")
+def compatibility_fold(spark, d):
+    return table(spark, d, "customer").select("c_custkey", text.ascii_fold(F.concat("c_name", F.lit(" ½ ﬁ ™ … 각 𝐀 ⒜ "), "c_custkey")).alias("folded"))
+
+
+@query("SELECT page_id, 'café&' || page_id || '<=¬it; €' AS decoded FROM pages")
+def named_references(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.unescaped(F.concat(F.lit("caf&eacute;&amp;"), "page_id", F.lit("&lt=&notit; &#128;"))).alias("decoded"))
+
+
+# The given pages with marked elements that have elements of their own name inside; a plain text with another price goes before.
+NESTED = """<body><p>VND 100.000</p><!-- <h1>no</h1> --><div class="TotalPrice"><div>sale<br></div><b>VND %s</b></div><div class="x ReviewScore"><div>8,4/10</div><div>%s reviews</div></div><i aria-label="%s stars out of 5"></i>"""
+
+
+@query("""SELECT page_id, nullif(trim(regexp_replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')), '') AS hotel_name,
+ '' || (900000 + page_id) AS price_value, '8.4' AS rating_text, '' || (page_id + 1) AS review_count_text, (page_id % 5 + 1) || ' stars' AS star_rating_text FROM pages""")
+def detail_nested(spark, d):
+    k = F.col("page_id")
+    html = F.concat(F.format_string(NESTED, (900000 + k).cast("string"), (k + 1).cast("string"), (k % 5 + 1).cast("string")), "html")
+    return table(spark, d, "pages").select("page_id", cards.detail_page(html).alias("f")).select("page_id", "f.*")
+
+
+# A card for each given page, called as the page is, with a link that several pages share and blocks inside it; other elements stay.
+CARD = """<div data-selenium="hotel-item" data-hotelid="%s"><div class="a"><div><h3>%s</h3></div></div><a href="/hotel/p-%s.html?cid=1"><img src="x"></a><div><div>8,4 / 10</div></div><div>VND %s</div></div>"""
+
+
+@query("""SELECT page_id AS page, '/hotel/p-' || page_id % 40 || '.html?cid=1' AS url, '' || page_id AS property_id, 'hotel-item' AS data_selenium, 'div' AS tag_name,
+ trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS name,
+ trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) || ' 8,4 / 10 VND ' || (100000 + page_id) AS text FROM pages
+ UNION ALL SELECT page_id, NULL, NULL, NULL, 'article', nullif(trim(regexp_replace(replace(regexp_extract(html, '<article>.*?<h1>([^<]*)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')), ''), NULL FROM pages""")
+def page_cards(spark, d):
+    k = F.col("page_id")
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    html = F.concat(F.col("html"), F.format_string(CARD, k.cast("string"), title, (k % 40).cast("string"), (100000 + k).cast("string")))
+    found = cards.page_cards(table(spark, d, "pages").select(k, html.alias("html")), "html", "page_id")
+    marked = F.col("data_selenium").isNotNull()  # an article's text is that of its page, which SQL does not read
+    return found.select("page", F.when(marked, F.get("urls", F.lit(0))).alias("url"), "property_id", "data_selenium", "tag_name", "name", F.when(marked, F.col("text")).alias("text"))
+
+
 @query("SELECT page_id, 'https://x/a/' || page_id || '?b=1&c=\u00e9&d=\u20ac\U0001f600\"' AS url FROM pages")
 def script_urls(spark, d):
     escaped = F.concat(F.lit("https:\\/\\/x\\u002fa/"), "page_id", F.lit("?b=1\\u0026c=\\u00e9&amp;d=&#8364;&#x1F600;&quot;"))

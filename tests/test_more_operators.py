@@ -99,3 +99,17 @@ def test_streams_with_watermarks(spark, tmp_path):
     q = streams.session_counts(source, "at", ["k"], "1 hour").writeStream.format("memory").queryName("sessions").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted((r["k"], r["records"]) for r in spark.table("sessions").collect()) == [("a", 2), ("b", 1)]
+
+
+def test_rows_without_timing_are_no_jobs(spark):
+    rows = [("a", 1, 10.0, 1.0, 2.0, 3.0, 2), ("a", 1, 10.0, 5.0, 1.0, 1.0, 1), ("b", 1, None, None, None, None, 3)]
+    df = spark.createDataFrame(rows, "destination string, check_in int, total_seconds double, search_seconds double, listing_seconds double, detail_seconds double, at int")
+    first = aggregates.timing_rollup(df, order="at").first()
+    assert (first["jobs"], first["search_seconds"], first["listing_seconds"], first["job_total_seconds"]) == (1, 5.0, 1.0, 10.0)
+    assert aggregates.timing_rollup(df).first()["jobs"] == 1
+
+
+def test_ties_of_candidates_go_to_the_first_arrival(spark):
+    df = spark.createDataFrame([("x", "u", None, 3), ("x", "u", None, 1), ("x", "u", None, 2)], "name string, url string, price string, at int")
+    got = ranking.enrichment_candidates(df, 2, "name", "url", fields=("price",), arrival="at").collect()
+    assert [r["at"] for r in got] == [1, 2]
