@@ -137,6 +137,13 @@ def ascii_fold(x: Column | str) -> Column:
     return F.element_at(F.call_function("transform", F.array(translated(_c(x), of, to)), _unfolded(SparkContext._gateway)), 1)
 
 
+def latin_fold(x: Column | str) -> Column:
+    """ascii_fold but for characters that stand for several: enough to look for marks of plain letters, and a small expression."""
+    of, to, _, marks = folds()
+    plain = translated(_c(x), of, to)
+    return F.when(plain.rlike(r"\p{M}"), F.regexp_replace(plain, marks, "")).otherwise(plain)
+
+
 def normalized_destination(x: Column | str) -> Column:
     return compact_text(ascii_fold(x))
 

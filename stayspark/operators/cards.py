@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayspark.functions.text import FLAGS, ascii_fold, collect_status, compact_text, let, none_if_empty, parse_review_count, parse_review_score, parse_star_rating, present, price_value, property_id, snippet, textual_fallback
+from stayspark.functions.text import FLAGS, collect_status, compact_text, latin_fold, let, none_if_empty, parse_review_count, parse_review_score, parse_star_rating, present, price_value, property_id, snippet, textual_fallback
 from stayspark.functions.urls import PATH_MARK, name_from_url, property_url, resolved, unescaped, url_key
 from stayspark.operators import elements
 from stayspark.operators.elements import APART, ATTRIBUTES, UNSEEN, attribute, raw_attribute
@@ -36,7 +36,7 @@ def low(c: str) -> Column:
 
 
 def folded(c: str) -> Column:
-    return F.lower(ascii_fold(F.coalesce(F.col(c), F.lit(""))))
+    return F.lower(latin_fold(F.coalesce(F.col(c), F.lit(""))))
 
 
 def has_any(text: Column, marks: tuple[str, ...]) -> Column:
@@ -94,13 +94,13 @@ def _cutter(pattern: str) -> Callable[[Column], Column]:
 
 
 def _cut(text: Column, pattern: str) -> Column:
-    n = F.length(F.regexp_extract(ascii_fold(text), f"(?i){FLAGS}{pattern}", 0))
+    n = F.length(F.regexp_extract(latin_fold(text), f"(?i){FLAGS}{pattern}", 0))
     return F.substring(text, n + 1, F.length(text)) if pattern[0] == "^" else F.substring(text, F.lit(1), F.length(text) - n)
 
 
 def opened_name(c: Column) -> Column:
     """The name inside `Open ... in new tab`, in the card's own letters."""
-    return let(ascii_fold(c), lambda plain: _opened(c, plain))
+    return let(latin_fold(c), lambda plain: _opened(c, plain))
 
 
 def _opened(c: Column, plain: Column) -> Column:
