@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import shutil
+from collections import Counter
 from datetime import datetime, timedelta
 from pathlib import Path, PurePosixPath
 from typing import Any
@@ -12,62 +14,64 @@ from urllib.parse import quote
 
 from pyspark.sql import SparkSession
 
+from stayspark.sources.checks import Rule, check, counted, filled, one_of, text
+
 MANIFEST = "run_manifest.json"
 POINTER = "completed_attempt.json"
 RECEIPT = "upload_receipt.json"
+BARE = re.compile(r"(?!\.\.?/)[^/]+\.jsonl")
 IDS = ("batch_id", "airflow_dag_id", "airflow_run_id")
 
 
-def _need(ok: object, message: str) -> None:
-    if not ok:
-        raise ValueError(message)
+def _below(root: str) -> tuple[Rule, ...]:
+    """Rules of a manifest's path, split into {"path": ...}."""
+    return (
+        Rule("path", lambda p: p.is_absolute() and ".." not in p.parts, "must be absolute and must not climb"),
+        Rule("path", lambda p: p.is_relative_to(root.rstrip("/") or "/"), f"must lie in {root}"),
+        Rule("path", lambda p: p.name == MANIFEST, f"must end in {MANIFEST}"),
+    )
+
+
+# What a complete manifest says; a stay's file is a bare name beside it, so no path and no wildcard.
+COMPLETE = (
+    Rule("", filled(dict), "must be an object"),
+    Rule("status", one_of("complete"), "must be complete"),
+    *[Rule(key, text, "must be a text") for key in IDS],
+    Rule("airflow_try_number", counted, "must be 1 or more"),
+    Rule("stays", filled(list), "must list some stays"),
+    Rule("stays.*", filled(dict), "must be an object"),
+    Rule("stays.*.output_file", lambda v: isinstance(v, str) and BARE.fullmatch(v), "must be a bare .jsonl name"),
+    Rule("stays.*.publishable_records", counted, "must be 1 or more"),
+    Rule("stays", lambda v: not isinstance(v, list) or max(Counter(str(s.get("output_file")) for s in v if isinstance(s, dict)).values(), default=1) == 1, "must not declare a file twice"),
+)
 
 
 def safe_manifest_path(path: str, root: str) -> PurePosixPath:
-    """An absolute path to a manifest below root, without steps upward."""
+    """A manifest's path, absolute, below root and without steps upward."""
     at = PurePosixPath(path)
-    _need(at.is_absolute() and ".." not in at.parts, "manifest path must be absolute and without '..'")
-    _need(at.is_relative_to(PurePosixPath(root.rstrip("/") or "/")), f"manifest path must lie below {root}")
-    _need(at.name == MANIFEST, f"manifest must be called {MANIFEST}")
+    check({"path": at}, _below(root), "manifest")
     return at
 
 
-def parse_manifest(text: str) -> dict[str, Any]:
+def parse_manifest(source: str) -> dict[str, Any]:
     try:
-        doc = json.loads(text)
+        doc = json.loads(source)
     except json.JSONDecodeError as e:
         raise ValueError(f"manifest is no JSON: {e}") from e
-    _need(isinstance(doc, dict), "manifest must be a JSON object")
+    check(doc, COMPLETE[:1], "manifest")
     return doc
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict[str, Any]:
     """By Spark's reader, so from any store."""
-    rows = spark.read.option("wholetext", True).text(path).limit(1).collect()
-    _need(rows, "manifest is empty")
-    return parse_manifest(rows[0][0])
+    return parse_manifest("".join(r[0] for r in spark.read.option("wholetext", True).text(path).collect()))
 
 
 def declared_counts(manifest: dict[str, Any], path: str | PurePosixPath) -> dict[str, int]:
-    """Every declared file beside the manifest, and its number of records; never a wildcard."""
-    _need(manifest.get("status") == "complete", "manifest is not complete")
-    for key in IDS:
-        _need(isinstance(manifest.get(key), str) and manifest[key].strip(), f"manifest has no {key}")
-    tries = manifest.get("airflow_try_number")
-    _need(isinstance(tries, int) and not isinstance(tries, bool) and tries >= 1, "manifest has no try number")
-    stays = manifest.get("stays")
-    _need(isinstance(stays, list) and stays, "manifest has no stays")
-    out: dict[str, int] = {}
-    for stay in stays:
-        _need(isinstance(stay, dict), "a stay is no object")
-        name, count = stay.get("output_file"), stay.get("publishable_records", 0)
-        _need(isinstance(name, str) and name.endswith(".jsonl"), "a stay names no .jsonl file")
-        _need(PurePosixPath(name).name == name, "a stay's file must be a bare name")
-        _need(isinstance(count, int) and not isinstance(count, bool) and count >= 1, "a stay has no records")
-        file = str(PurePosixPath(path).parent / name)
-        _need(file not in out, "a file is declared twice")
-        out[file] = count
-    return out
+    """Files that a complete manifest declares beside itself, and their numbers of records; all faults are one ValueError."""
+    check(manifest, COMPLETE, "manifest")
+    beside = PurePosixPath(path).parent
+    return {str(beside / stay["output_file"]): stay["publishable_records"] for stay in manifest["stays"]}
 
 
 def _write(path: Path, doc: dict[str, Any]) -> None:
@@ -122,12 +126,14 @@ def validate_local(pointer: Path) -> dict[str, Any]:
     at = json.loads(pointer.read_text())
     path = Path(at["manifest_path"])
     doc = parse_manifest(path.read_text())
-    _need(all(doc.get(k) == at.get(k) for k in (*IDS, "airflow_try_number")), "pointer and manifest disagree")
-    _need(doc.get("status") == "complete", "manifest is not complete")
-    _need(sum(int(s.get("publishable_records", 0)) for s in doc.get("stays", [])) >= 1, "no publishable records")
-    for s in doc["stays"]:
-        file = path.parent / s["output_file"]
-        _need(file.is_file() and file.stat().st_size > 0, f"{file} is missing or empty")
+    holds_data = lambda s: (path.parent / s["output_file"]).is_file() and (path.parent / s["output_file"]).stat().st_size > 0
+    rules = (
+        *[Rule(k, one_of(at.get(k)), "differs from the pointer's") for k in (*IDS, "airflow_try_number")],
+        Rule("status", one_of("complete"), "must be complete"),
+        Rule("stays", lambda v: sum(int(s.get("publishable_records", 0)) for s in v or []) > 0, "must have a publishable record"),
+        Rule("stays.*", holds_data, "has no file, or an empty one"),
+    )
+    check(doc, rules, "manifest")
     return doc
 
 
@@ -169,6 +175,7 @@ def clean_up(root: Path, now: datetime, days: int = 14, current: str | None = No
 
 
 def check_arguments(adults: int, rooms: int, children: int, page_limit: int, fields: tuple[str, ...], known: tuple[str, ...]) -> None:
-    _need(adults >= 1 and rooms >= 1 and children >= 0, "at least one adult and one room, no fewer children than none")
-    _need(page_limit >= 0, "page limit must not be negative")
-    _need(set(fields) <= set(known), f"unknown fields {sorted(set(fields) - set(known))}")
+    """Bounds of a crawl's arguments; page_limit 0 is no limit."""
+    least = {"adults": (adults, 1), "rooms": (rooms, 1), "children": (children, 0), "page_limit": (page_limit, 0)}
+    rules = (Rule("least.*", lambda v: v[0] >= v[1], "is too small"), Rule("fields.*", one_of(*known), "is no known field"))
+    check({"least": least, "fields": list(fields)}, rules, "arguments")

@@ -182,3 +182,21 @@ def test_gold_refuses_an_empty_history(spark, tmp_path):
     with pytest.raises(ValueError, match="empty"):
         lake.gold(path)
     assert [(r["layer"], r["status"]) for r in lake.store.read("audit").collect()] == [("gold", "failed")]
+
+
+def test_all_faults_of_a_document_are_told_at_once():
+    with pytest.raises(ValueError, match="status: .*batch_id: .*stays.1: .*stays.0.output_file: ") as e:
+        control.declared_counts({"status": "running", "batch_id": "", "airflow_dag_id": "d", "airflow_run_id": "r", "airflow_try_number": True, "stays": [{"output_file": "..", "publishable_records": 1}, 3]}, "/v/run_manifest.json")
+    assert "airflow_try_number" in str(e.value)
+    with pytest.raises(ValueError, match="twice"):
+        control.declared_counts({"stays": [{"output_file": "a.jsonl"}] * 2}, "/v/run_manifest.json")
+    with pytest.raises(ValueError, match="object"):
+        control.parse_manifest("[]")
+
+
+@pytest.mark.parametrize(("change", "fault"), [({"adults": 0}, "least.adults"), ({"children": -1}, "least.children"), ({"page_limit": -1}, "least.page_limit"), ({"fields": ("a", "x")}, "fields.1")])
+def test_arguments(change, fault):
+    good = {"adults": 2, "rooms": 1, "children": 0, "page_limit": 0, "fields": ("a",), "known": ("a", "b")}
+    control.check_arguments(**good)
+    with pytest.raises(ValueError, match=fault):
+        control.check_arguments(**{**good, **change})
