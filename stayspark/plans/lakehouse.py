@@ -1,15 +1,15 @@
 """Bronze, silver and gold: declared JSON lines to typed history and summaries, exactly once.
 
 Bronze reads all pending files in one scan, quarantines malformed lines, compares counts with the manifest and admits either
-all files or none. Silver validates the batch's bronze rows, quarantines what fails, and types the rest. Gold rebuilds the
-four summaries. Every layer leaves an audit row, whether it ends well or not; a run that has been loaded is skipped.
+all files or none. Silver validates the batch's bronze rows, quarantines what fails, and types the rest. Gold makes
+the four summaries anew for the check-in dates whose history has changed since. Every layer leaves an audit row, whether it ends well or not; a run that has been loaded is skipped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,8 @@ from stayspark.sources.manifest import declared_counts, read_manifest, safe_mani
 
 PROVENANCE = "batch_id string, airflow_dag_id string, airflow_run_id string, airflow_try_number long"
 MESSAGE = 4000
+DATE = "check_in_date"
+LITERALS = 200
 LEDGER = "batch_id string, file_path string, manifest_path string, target_table string, status string, started_at timestamp, loaded_at timestamp, row_count long, error_message string"
 AUDIT = "batch_id string, airflow_dag_id string, airflow_run_id string, airflow_try_number long, layer string, contract_version string, status string, input_records long, output_records long, quarantined_records long, error_message string, completed_at timestamp"
 QUARANTINE = f"record_id string, {PROVENANCE}, source_file_path string, manifest_path string, raw_record_json string, failed_rules array<string>, failure_reason string, quarantine_layer string, quarantined_at timestamp"
@@ -73,7 +75,7 @@ class Lakehouse:
         self.store.add_columns("bronze", [StructField(f.name, StringType()) for f in new])
         for name, summary in SUMMARIES.items():
             if not self.store.exists(name):
-                self.store.overwrite(name, summary(self.store.read("history")))
+                self._refresh(name, summary)
         return [*tables, *SUMMARIES]
 
     # -- bookkeeping
@@ -95,7 +97,7 @@ class Lakehouse:
         self.store.upsert("ledger", self.spark.createDataFrame(rows, LEDGER), ["batch_id", "file_path"], keep=first_start)
 
     def _quarantine(self, df: DataFrame, layer: str, batch: str) -> int:
-        """Quarantined rows of a batch; a new run replaces that batch's rows and touches no other."""
+        """Quarantined rows of a batch, merged by record id; no other batch's rows are touched."""
         rows = df.withColumns({"quarantine_layer": F.lit(layer), "quarantined_at": F.lit(self.clock())}).dropDuplicates(["record_id"])
         n = rows.count()
         if n:
@@ -155,8 +157,13 @@ class Lakehouse:
         return {"input_records": rows, "output_records": written, "quarantined_records": quarantined, "skipped_files": skipped}
 
     def batch(self, manifest: dict[str, Any], files: list[str]) -> DataFrame:
-        """The batch's bronze rows: folders of other batches are not opened, and both conditions reach the Parquet scan."""
-        return self.store.read("bronze", {"batch_id": manifest["batch_id"]}).where((F.col("batch_id") == manifest["batch_id"]) & F.col("source_file_path").isin(files))
+        """The batch's bronze rows: folders of other batches are not opened, and conditions reach the Parquet scan; more than
+        LITERALS files are a semi-join."""
+        own = self.store.read("bronze", {"batch_id": manifest["batch_id"]}).where(F.col("batch_id") == manifest["batch_id"])
+        if len(files) <= LITERALS:
+            return own.where(F.col("source_file_path").isin(files))
+        declared = self.spark.createDataFrame([(f,) for f in set(files)], "source_file_path string")
+        return own.join(declared, "source_file_path", "left_semi").select(*own.columns)
 
     def silver(self, path: str, root: str = "/") -> dict[str, int]:
         manifest = read_manifest(self.spark, str(safe_manifest_path(path, root)))
@@ -173,7 +180,7 @@ class Lakehouse:
                 if rules.too_many_invalid(rows, bad):
                     raise ValueError(f"too many invalid records: {bad} of {rows}")
                 typed = rules.typed(rules.valid_rows(checked)).withColumns({"bronze_ingested_at": F.col("ingested_at"), "transformed_at": F.lit(self.clock())})
-                written = self.store.insert_only("history", typed, ["record_id"], scope={"batch_id": manifest["batch_id"]})
+                written = self.store.insert_only("history", typed, ["record_id"], scope={"batch_id": manifest["batch_id"]}, by=DATE)
             finally:
                 checked.unpersist()
         except Exception as e:
@@ -182,19 +189,40 @@ class Lakehouse:
         self._audit(manifest, "silver", "success", (rows, rows - bad, bad))
         return {"input_records": rows, "output_records": written, "quarantined_records": bad}
 
+    def changed_dates(self, name: str) -> set[str] | None:
+        """Check-in dates of history folders that a summary has not taken in yet; None if all must be made anew: it has not
+        been made so before, folders that it took in are gone, or a new one is not of a single date."""
+        history, seen = self.store.scopes("history"), self.store.seen(name) if self.store.exists(name) else None
+        new = {f: scope.get(DATE) for f, scope in history.items() if f not in set(seen or [])}
+        if seen is None or set(seen) - history.keys() or None in new.values():
+            return None
+        return set(new.values())
+
+    def history_of(self, dates: set[str]) -> DataFrame:
+        """The history of some dates; other dates' folders are not opened."""
+        folders = [f for f, scope in self.store.scopes("history").items() if scope.get(DATE, next(iter(dates))) in dates]
+        return self.store.of("history", folders).where(F.col(DATE).isin([date.fromisoformat(d) for d in dates]))
+
+    def _refresh(self, name: str, summary: Callable[[DataFrame], DataFrame]) -> None:
+        dates = self.changed_dates(name)
+        if dates is None or dates:
+            rows = self.store.read("history") if dates is None else self.history_of(dates)
+            self.store.replace_parts(name, summary(rows), DATE, dates, seen=list(self.store.scopes("history")))
+
     def gold(self, path: str, root: str = "/") -> dict[str, int]:
-        """Rebuild the summaries from all history, once the manifest has been validated; an empty history is refused."""
+        """Bring the summaries up to all history, once the manifest has been validated; an empty history is refused. What a
+        summary has taken in is kept with it, so dates of a batch whose gold failed are made with the next one."""
         manifest = read_manifest(self.spark, str(safe_manifest_path(path, root)))
         declared_counts(manifest, path)
         self.store.require("history", "audit", *SUMMARIES)
         rows = 0
         try:
-            history = self.store.read("history")
-            rows = history.count()
+            rows = self.store.read("history").count()
             if rows == 0:
                 raise ValueError("history is empty: silver comes first")
-            # Each summary scans the few columns that it needs; nothing of the history is kept in memory.
-            out = {name: self.store.overwrite(name, summary(history)) for name, summary in SUMMARIES.items()}
+            for name, summary in SUMMARIES.items():
+                self._refresh(name, summary)
+            out = {name: self.store.read(name).count() for name in SUMMARIES}
         except Exception as e:
             self._audit(manifest, "gold", "failed", (rows, 0, 0), str(e))
             raise

@@ -4,9 +4,12 @@ A table is a folder of versions and a pointer file that names the current one; t
 version is complete, so a crash between leaves the old version. A version lists its data folders in a manifest, so an append
 adds files and copies none. One writer at a time is assumed. Paths go through Hadoop's file system: any store that Spark knows.
 
-A folder may have a scope: values of some columns that all its rows share (a batch). A merge with a scope looks for keys only in
-folders of that scope and in those without one, and an upsert with a scope rewrites no other folder: its cost follows the batch,
-not the table. The caller vouches that equal keys lie in one scope, as they do where the key is a digest of the batch.
+A folder may have a scope: values of some columns that all its rows share (a batch, a date). A merge with a scope looks for keys
+only in folders whose scope agrees and in those without one. The caller vouches that equal keys lie in one scope, as they do
+where the key is a digest of the batch.
+
+A merge writes a key index (`plans.index`) beside its folder. Later merges open only folders that may hold one of their keys,
+and an upsert rewrites no others: its cost follows the keys, not the table. A renamed column keeps its old name in old files.
 """
 
 from __future__ import annotations
@@ -14,11 +17,18 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from stayspark.plans import index
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed: the folder that Spark gives nulls
+
 
 class Files:
     """Small files by Hadoop's file system."""
@@ -65,6 +75,13 @@ class Files:
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+FEW, MANY = 10_000, 200  # an upsert also takes in folders of fewer rows than FEW once there are MANY of one scope
+
+
+def _agrees(own: dict[str, str], scope: dict[str, str] | None) -> bool:
+    return all(own.get(k, v) == v for k, v in (scope or {}).items())
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
@@ -75,11 +92,14 @@ class TableStore:
     def _state(self, name: str) -> dict:
         if not self.exists(name):
             raise ValueError(f"table {name} does not exist")
-        return json.loads(self.files.read(self._pointer(name)))
+        return {"scopes": {}, "index": {}, "renamed": {}, **json.loads(self.files.read(self._pointer(name)))}
 
-    def _publish(self, name: str, schema: StructType, folders: list[str], version: int, scopes: dict[str, dict[str, str]] | None = None) -> None:
-        kept = {f: s for f, s in (scopes or {}).items() if f in folders}
-        self.files.write(self._pointer(name), json.dumps({"version": version, "schema": schema.jsonValue(), "folders": folders, "scopes": kept}))
+    def _publish(self, name: str, state: dict, **changes: Any) -> None:
+        """The next version: `state` with changes; what is said of a folder goes with it."""
+        new = {**state, **changes, "version": state["version"] + 1}
+        for part in ("scopes", "index", "renamed"):
+            new[part] = {f: v for f, v in new.get(part, {}).items() if f in new["folders"]}
+        self.files.write(self._pointer(name), json.dumps(new))
 
     def exists(self, name: str) -> bool:
         return self.files.exists(self._pointer(name))
@@ -91,7 +111,7 @@ class TableStore:
     def create(self, name: str, schema: StructType | str) -> None:
         """Create an empty table if there is none."""
         if not self.exists(name):
-            self._publish(name, self._typed(schema), [], 0)
+            self._publish(name, {"version": -1, "schema": self._typed(schema).jsonValue(), "folders": []})
 
     def _typed(self, schema: StructType | str) -> StructType:
         return StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -99,19 +119,36 @@ class TableStore:
     def schema(self, name: str) -> StructType:
         return StructType.fromJson(self._state(name)["schema"])
 
+    def scopes(self, name: str) -> dict[str, dict[str, str]]:
+        """Each folder's scope, {} where it has none."""
+        state = self._state(name)
+        return {f: state["scopes"].get(f, {}) for f in state["folders"]}
+
     def read(self, name: str, scope: dict[str, str] | None = None) -> DataFrame:
         """The table, or with a scope the folders that may hold its rows."""
         state = self._state(name)
+        return self.of(name, [f for f in state["folders"] if _agrees(state["scopes"].get(f, {}), scope)])
+
+    def of(self, name: str, folders: list[str]) -> DataFrame:
+        """The rows of some folders."""
+        state = self._state(name)
         schema = StructType.fromJson(state["schema"])
-        folders = self._inside(state, scope)
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{name}/{f}" for f in folders])
+        alike: dict[tuple, list[str]] = {}  # by the names that columns have in the files
+        for f in folders:
+            alike.setdefault(tuple(sorted(state["renamed"].get(f, {}).items())), []).append(f"{self.root}/{name}/{f}")
+        return reduce(DataFrame.unionByName, [self._as_named(schema, dict(old), paths) for old, paths in alike.items()])
 
     @staticmethod
-    def _inside(state: dict, scope: dict[str, str] | None) -> list[str]:
-        scopes = state.get("scopes", {})
-        return [f for f in state["folders"] if not scope or f not in scopes or scopes[f] == scope]
+    def _in_file(column: str, old: dict[str, str | None]) -> str | None:
+        """A column's name in a folder's files; None if what has its name there is another column."""
+        return old[column] if column in old else None if column in old.values() else column
+
+    def _as_named(self, schema: StructType, old: dict[str, str | None], paths: list[str]) -> DataFrame:
+        names = {f: self._in_file(f.name, old) for f in schema}
+        df = self.spark.read.schema(StructType([StructField(n, f.dataType) for f, n in names.items() if n])).parquet(*paths)
+        return df.select(*[(F.col(n) if n else F.lit(None).cast(f.dataType)).alias(f.name) for f, n in names.items()])
 
     def _write(self, name: str, df: DataFrame) -> tuple[str, int]:
         """A new data folder and its number of rows, counted as they are written."""
@@ -119,48 +156,95 @@ class TableStore:
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/{name}/{folder}")
         return folder, int(seen.get["rows"])
 
+    def _write_by(self, name: str, df: DataFrame, column: str) -> dict[str, dict[str, str]]:
+        """A data folder for each value of a column, written in one job, and their scopes. A value with many rows goes over
+        several tasks, small ones share one."""
+        whole, part = f"data-{uuid.uuid4().hex}", "part"
+        while part in df.columns:
+            part += "_"
+        df.withColumn(part, F.col(column).cast("string")).hint("rebalance", column).write.partitionBy(part).parquet(f"{self.root}/{name}/{whole}")
+        values = {f: f.partition("=")[2] for f in self.files.list(f"{self.root}/{name}/{whole}") if f.startswith(f"{part}=")}
+        return {f"{whole}/{f}": {} if v == NO_VALUE else {column: unquote(v)} for f, v in values.items()}
+
     def _fitted(self, name: str, df: DataFrame) -> DataFrame:
         have = set(df.columns)
         return df.select(*[(F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in self.schema(name)])
 
-    def insert_only(self, name: str, df: DataFrame, keys: list[str], scope: dict[str, str] | None = None) -> int:
-        """Append the rows whose key is not there; of equal keys in df one. Of existing files only key columns are read, of the
-        scope only, and nothing is copied."""
+    def touched(self, name: str, df: DataFrame, keys: list[str], scope: dict[str, str] | None = None) -> list[str]:
+        """The folders that may hold one of df's keys: by scope, by the range of each key column, by Bloom filters."""
         state = self._state(name)
-        new = self._fitted(name, df).dropDuplicates(keys).join(self.read(name, scope).select(*keys), keys, "left_anti")
-        folder, rows = self._write(name, new.select(*self.schema(name).names))
+        inside = {f: state["index"].get(f) for f in state["folders"] if _agrees(state["scopes"].get(f, {}), scope)}
+        return index.may_hold(self.spark, f"{self.root}/{name}", inside, df, keys)
+
+    def insert_only(self, name: str, df: DataFrame, keys: list[str], scope: dict[str, str] | None = None, by: str | None = None) -> int:
+        """Append the rows whose key is not there; of equal keys in df one. Of existing files only the key columns of folders
+        that may hold a key are read, and nothing is copied. With `by` the rows go into a folder for each value of that column."""
+        state, source = self._state(name), self._fitted(name, df)
+        old = self.of(name, self.touched(name, source, keys, scope)).select(*keys)
+        new = source.dropDuplicates(keys).join(old, keys, "left_anti").select(*self.schema(name).names)
+        if by:
+            scopes = {f: {**own, **(scope or {})} for f, own in self._write_by(name, new, by).items()}
+            rows = self._count(name, list(scopes))
+        else:
+            folder, rows = self._write(name, new)
+            scopes = {folder: scope or {}}
         if rows:
-            self._publish(name, self.schema(name), [*state["folders"], folder], state["version"] + 1, {**state.get("scopes", {}), **({folder: scope} if scope else {})})
+            self._add(name, state, state["folders"], scopes, keys, rows)
         else:
-            self.files.delete(f"{self.root}/{name}/{folder}")
+            for whole in {f.split("/")[0] for f in scopes}:
+                self.files.delete(f"{self.root}/{name}/{whole}")
         return rows
 
+    def _count(self, name: str, folders: list[str]) -> int:
+        return self.of(name, folders).count()
+
+    def _add(self, name: str, state: dict, left: list[str], scopes: dict[str, dict[str, str]], keys: list[str], rows: int) -> None:
+        """Publish new folders beside those that are left; they share one index."""
+        entry = index.write(self.of(name, list(scopes)), keys, rows, f"{self.root}/{name}")
+        self._publish(name, state, folders=[*left, *scopes], scopes={**state["scopes"], **{f: s for f, s in scopes.items() if s}}, index={**state["index"], **dict.fromkeys(scopes, entry)})
+
     def upsert(self, name: str, df: DataFrame, keys: list[str], keep: Callable[[DataFrame, DataFrame], DataFrame] | None = None, scope: dict[str, str] | None = None) -> int:
         """Replace the rows whose key df has and add the others. A key that df has twice is ambiguous: ValueError.
-        `keep` may carry values of old rows over: it gets (df, old rows). Rows are rewritten, with a scope only its own."""
-        source = self._fitted(name, df)
+        `keep` may carry values of old rows over: it gets (df, old rows that may have its keys). Only folders that may hold a key
+        are rewritten, into one; its scope is what theirs and `scope` have in common. Returns the rows written."""
+        source, state = self._fitted(name, df), self._state(name)
         if source.groupBy(*keys).count().where("count > 1").limit(1).count():
             raise ValueError(f"several source rows for one key of {name}")
-        old, state = self.read(name, scope), self._state(name)
+        gone = self.touched(name, source, keys, scope)
+        common = scope or {}
+        for f in gone:
+            own = state["scopes"].get(f, {})
+            common = {k: v for k, v in common.items() if own.get(k) == v}
+        small = [f for f in state["folders"] if f not in gone and state["scopes"].get(f, {}) == common and state["index"].get(f, {}).get("rows", FEW) < FEW]
+        gone += small if len(small) >= MANY else []
+        old = self.of(name, gone)
         if keep:
             source = self._fitted(name, keep(source, old))
-        inside, scopes = self._inside(state, scope), state.get("scopes", {})
-        if scope:  # folders without a scope hold other batches' rows too: they stay, less what is replaced
-            loose = [f for f in inside if f not in scopes]
-            inside = [f for f in inside if f in scopes]
-            if loose:
-                return self.upsert(name, df, keys, keep)
-        whole = old.join(source.select(*keys), keys, "left_anti").select(*old.columns).unionByName(source)
-        folder, rows = self._write(name, whole)
-        left = [f for f in state["folders"] if f not in inside]
-        self._publish(name, self.schema(name), [*left, folder], state["version"] + 1, {**scopes, **({folder: scope} if scope else {})})
+        folder, rows = self._write(name, old.join(source.select(*keys), keys, "left_anti").select(*old.columns).unionByName(source))
+        self._add(name, state, [f for f in state["folders"] if f not in gone], {folder: common}, keys, rows)
         return rows
 
+    def replace_parts(self, name: str, df: DataFrame, column: str, values: set[str | None] | None = None, seen: list[str] | None = None) -> None:
+        """Replace the rows whose `column` has one of the values (all rows without values) by df, which has no others. The table
+        holds a folder for each value, so others stay as they are. `seen` is kept with the version: what it was made from."""
+        if self.exists(name):
+            state = self._state(name)
+        else:
+            state = {"version": -1, "schema": df.schema.jsonValue(), "folders": [], "scopes": {}}
+        left = [f for f in state["folders"] if values is not None and state["scopes"].get(f, {}).get(column) not in values]
+        if any(f not in state["scopes"] for f in left):
+            raise ValueError(f"{name} has folders of several values of {column}: replace all")
+        scopes = self._write_by(name, df, column)
+        self._publish(name, state, folders=[*left, *scopes], scopes={**state["scopes"], **scopes}, seen=seen)
+
+    def seen(self, name: str) -> list[str] | None:
+        return self._state(name).get("seen")
+
     def overwrite(self, name: str, df: DataFrame) -> int:
         """Replace the table and its schema."""
         version = self._state(name)["version"] if self.exists(name) else 0
         folder, rows = self._write(name, df)
-        self._publish(name, df.schema, [folder], version + 1)
+        self._publish(name, {"version": version, "schema": df.schema.jsonValue(), "folders": [folder]})
         return rows
 
     def add_columns(self, name: str, fields: list[StructField]) -> list[str]:
@@ -168,20 +252,29 @@ class TableStore:
         state, schema = self._state(name), self.schema(name)
         new = [f for f in fields if f.name not in schema.names]
         if new:
-            self._publish(name, StructType([*schema.fields, *new]), state["folders"], state["version"] + 1, state.get("scopes"))
+            self._publish(name, state, schema=StructType([*schema.fields, *new]).jsonValue())
         return [f.name for f in new]
 
     def rename_column(self, name: str, old: str, new: str) -> bool:
-        """Rename a column by rewriting the table; nothing to do if it is gone already."""
-        if old not in self.schema(name).names or new in self.schema(name).names:
+        """Rename a column; nothing to do if it is gone already. Files stay as they are, with scopes and key indices."""
+        state, schema = self._state(name), self.schema(name)
+        if old not in schema.names or new in schema.names:
             return False
-        self.overwrite(name, self.read(name).withColumnRenamed(old, new))
+        changed = lambda c: new if c == old else c
+        self._publish(
+            name, state,
+            schema=StructType([StructField(changed(f.name), f.dataType, f.nullable, f.metadata) for f in schema]).jsonValue(),
+            renamed={f: {**{k: v for k, v in names.items() if k != old}, new: self._in_file(old, names)} for f in state["folders"] for names in [state["renamed"].get(f, {})]},
+            scopes={f: {changed(k): v for k, v in s.items()} for f, s in state["scopes"].items()},
+            index={f: index.renamed(i, changed) for f, i in state["index"].items()},
+        )
         return True
 
     def vacuum(self, name: str) -> int:
-        """Delete data folders that the current version doesn't name."""
-        live = set(self._state(name)["folders"])
-        dead = [f for f in self.files.list(f"{self.root}/{name}") if f.startswith("data-") and f not in live]
+        """Delete data folders and indices that the current version doesn't name."""
+        state = self._state(name)
+        live = {f.split("/")[0] for f in state["folders"]} | {i["path"] for i in state["index"].values()}
+        dead = [f for f in self.files.list(f"{self.root}/{name}") if f.startswith(("data-", "index-")) and f not in live]
         for f in dead:
             self.files.delete(f"{self.root}/{name}/{f}")
         return len(dead)
