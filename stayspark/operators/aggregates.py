@@ -126,19 +126,24 @@ def nearest_rank(values: Column, p: int) -> Column:
     return F.when(n > 0, F.try_element_at(F.array_sort(values), (F.bround((n - 1) * p / F.lit(100.0)) + 1).cast("int"))).otherwise(0.0)
 
 
-RANGES = 64
+NEAR_RANK = 4 / EXACT  # how far about a rank its range reaches, as a share of a key's rows: well beyond the sketch's error
 
 
 def percentiles(df: DataFrame, keys: list[str], value: str, ranks: tuple[int, ...] = (50, 95)) -> DataFrame:
-    """Mean and nearest-rank percentiles by keys, exact. Distinct values of a key are cut into ranges; a first sum over ranges
-    says in which one a rank lies, and only values of such ranges are numbered, so no task holds all values of a large key."""
+    """Mean and nearest-rank percentiles by keys, exact, of any distribution. A quantile sketch of each key gives two splitters
+    about each rank, at most (NEAR_RANK + 1 / EXACT) of its rows away; distinct values are counted by the ranges between them,
+    and only the range in which a rank lies is numbered. A task so sorts at most some 2 * NEAR_RANK of a key's rows, whatever
+    its values; where a rank should not lie in its narrow range (few rows), the counts say which other one holds it."""
     from pyspark.sql import Window
 
     some = df.where(F.col(value).isNotNull())
-    sizes = some.groupBy(*keys).agg(F.count("*").alias("n"), average(value).alias("mean"), F.min(value).cast("double").alias("_low"), F.max(value).cast("double").alias("_high"))
+    about = sorted({min(max(p / 100 + d, 0.0), 1.0) for p in ranks for d in (-NEAR_RANK, NEAR_RANK)})
+    sketch = F.percentile_approx(F.col(value).cast("double"), about, EXACT)
+    sizes = some.groupBy(*keys).agg(F.count("*").alias("n"), average(value).alias("mean"), sketch.alias("_splitters"))
     counts = some.groupBy(*keys, value).agg(F.count("*").alias("_k"))
-    width = (F.col("_high") - F.col("_low")) / RANGES
-    ranged = counts.join(sizes, keys).withColumn("_range", F.when(width > 0, F.least(F.floor((F.col(value).cast("double") - F.col("_low")) / width), F.lit(RANGES - 1))).otherwise(0).cast("int"))
+    # The range of a value: how many splitters lie below it. NaN is the greatest value, for splitters and values alike.
+    below = F.size(F.filter("_splitters", lambda s: s < F.col(value).cast("double")))
+    ranged = counts.join(sizes, keys).withColumn("_range", below).drop("_splitters")
     sums = ranged.groupBy(*keys, "_range").agg(F.sum("_k").alias("_in"))
     before = F.sum("_in").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_in")
     starts = sums.select(*keys, "_range", "_in", before.alias("_before"))

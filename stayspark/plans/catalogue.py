@@ -8,12 +8,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayspark.functions import text, urls
 from stayspark.operators import aggregates, cards, identity, ranking, records, rules
-from stayspark.plans.lakehouse import LEDGER, Lakehouse
+from stayspark.plans.lakehouse import HISTORY, LEDGER, Lakehouse
 from stayspark.plans.store import TableStore
 from stayspark.session import shared_dir
 from stayspark.sources.contract import load_contract
@@ -46,11 +46,11 @@ OBS = """(SELECT cast(date_trunc('month', l_shipdate) AS date) AS check_in_date,
  cast(l_extendedprice AS decimal(18,0)) AS price_amount, cast(l_discount * 100 AS decimal(3,1)) AS rating, cast(l_tax * 50 AS decimal(2,1)) AS star_rating, cast(l_quantity AS bigint) AS review_count, l_shipdate AS crawled_at FROM lineitem)"""
 
 
-def obs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").select(
+def obs(spark: SparkSession, d: str, lines: DataFrame | None = None, more: list[Column] | None = None) -> DataFrame:
+    return (lines or table(spark, d, "lineitem")).select(
         F.date_trunc("month", "l_shipdate").cast("date").alias("check_in_date"), F.col("l_returnflag").alias("destination"), F.concat(F.lit("h-"), "l_partkey").alias("hotel_url"), F.concat(F.lit("Hotel "), "l_partkey").alias("hotel_name"),
         F.col("l_extendedprice").cast("decimal(18,0)").alias("price_amount"), (F.col("l_discount") * 100).cast("decimal(3,1)").alias("rating"), (F.col("l_tax") * 50).cast("decimal(2,1)").alias("star_rating"),
-        F.col("l_quantity").cast("bigint").alias("review_count"), F.col("l_shipdate").alias("crawled_at"),
+        F.col("l_quantity").cast("bigint").alias("review_count"), F.col("l_shipdate").alias("crawled_at"), *(more or []),
     )
 
 
@@ -178,6 +178,15 @@ def nearest_rank_percentiles(spark, d):
     return aggregates.percentiles(table(spark, d, "events"), ["event_type"], "value").withColumn("mean", F.round("mean", 6))
 
 
+# A few values lie far beyond all others.
+@query("""SELECT user_id % 3 AS k, count(v) AS n, list_sort(list(v))[1 + cast(round_even((count(v) - 1) * 5 / 100, 0) AS int)] AS p5, list_sort(list(v))[1 + cast(round_even((count(v) - 1) * 50 / 100, 0) AS int)] AS p50,
+ list_sort(list(v))[1 + cast(round_even((count(v) - 1) * 95 / 100, 0) AS int)] AS p95 FROM (SELECT user_id, CASE event_id % 997 WHEN 1 THEN 1e15 WHEN 2 THEN -1e12 ELSE value END AS v FROM events WHERE value IS NOT NULL) GROUP BY 1""")
+def percentiles_with_outliers(spark, d):
+    v = F.when(F.col("event_id") % 997 == 1, 1e15).when(F.col("event_id") % 997 == 2, -1e12).otherwise(F.col("value"))
+    df = table(spark, d, "events").where("value IS NOT NULL").select((F.col("user_id") % 3).alias("k"), v.alias("v"))
+    return aggregates.percentiles(df, ["k"], "v", (5, 50, 95)).drop("mean")
+
+
 @query(f"""SELECT count(*) AS completed, count(*) FILTER (WHERE status = 'failed') AS failed, max(value) / count(*) AS seconds_each, round(avg(load), 9) AS load_avg, round(avg(round), 9) AS extract_avg,
  list_sort(list(value))[1 + cast(round_even((count(value) - 1) * 50 / 100, 0) AS int)] AS total_p50, list_sort(list(value))[1 + cast(round_even((count(value) - 1) * 95 / 100, 0) AS int)] AS total_p95, cast(sum(round) AS bigint) AS retries FROM {EV} WHERE status <> 'skipped'""")
 def detail_progress(spark, d):
@@ -386,6 +395,40 @@ def merge_upsert(spark, d):
     return s.read("customer")
 
 
+# Folders by status, keys of all in one range; a column is renamed between; then keys of one status change.
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN o_orderpriority || '!' ELSE o_orderpriority END AS priority, o_orderstatus AS origin FROM orders
+ UNION ALL SELECT -o_orderkey AS o_orderkey, 'new' AS priority, NULL AS origin FROM orders WHERE o_orderstatus = 'P'""")
+def merge_by_index(spark, d):
+    orders = table(spark, d, "orders")
+    s = store(spark)
+    s.create("orders", "o_orderkey bigint, o_orderpriority string, origin string")
+    for status in ("F", "O", "P"):
+        s.insert_only("orders", orders.where(F.col("o_orderstatus") == status).withColumn("origin", F.lit(status)), ["o_orderkey"])
+    s.rename_column("orders", "o_orderpriority", "priority")
+    some = orders.where("o_orderstatus = 'P'")
+    changed = some.where("o_orderkey % 2 = 0").select("o_orderkey", F.concat("o_orderpriority", F.lit("!")).alias("priority"), F.lit("P").alias("origin"))
+    new = some.select((-F.col("o_orderkey")).alias("o_orderkey"), F.lit("new").alias("priority"), F.lit(None).cast("string").alias("origin"))
+    s.upsert("orders", changed.unionByName(new), ["o_orderkey"])
+    return s.read("orders")
+
+
+# History comes in three batches, the summary is brought up to it after each.
+YEARLY = f"(SELECT * REPLACE (cast(date_trunc('year', check_in_date) AS date) AS check_in_date) FROM {OBS})"
+
+
+@query(QUERIES["destination_daily_summary"][1].replace(OBS, YEARLY))
+def gold_by_batches(spark, d):
+    lake = Lakehouse(store(spark), load_contract())
+    lake.store.create("history", HISTORY)
+    lines = table(spark, d, "lineitem")
+    for k in range(3):
+        rows = obs(spark, d, lines.where(F.pmod("l_orderkey", F.lit(3)) == k), [text.digest(*[F.col(c).cast("string") for c in lines.columns]).alias("record_id")])
+        rows = rows.withColumns({"check_in_date": F.trunc("check_in_date", "year"), "batch_id": F.lit(str(k))})
+        lake.store.insert_only("history", rows, ["record_id"], scope={"batch_id": str(k)}, by="check_in_date")
+        lake.refresh("daily", aggregates.destination_daily)
+    return lake.store.read("daily")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey IN (1, 2, 3, 5, 8)")
 def batch_slice(spark, d):
     s = store(spark)

@@ -75,7 +75,7 @@ class Lakehouse:
         self.store.add_columns("bronze", [StructField(f.name, StringType()) for f in new])
         for name, summary in SUMMARIES.items():
             if not self.store.exists(name):
-                self._refresh(name, summary)
+                self.refresh(name, summary)
         return [*tables, *SUMMARIES]
 
     # -- bookkeeping
@@ -203,7 +203,8 @@ class Lakehouse:
         folders = [f for f, scope in self.store.scopes("history").items() if scope.get(DATE, next(iter(dates))) in dates]
         return self.store.of("history", folders).where(F.col(DATE).isin([date.fromisoformat(d) for d in dates]))
 
-    def _refresh(self, name: str, summary: Callable[[DataFrame], DataFrame]) -> None:
+    def refresh(self, name: str, summary: Callable[[DataFrame], DataFrame]) -> None:
+        """Bring a summary up to the history."""
         dates = self.changed_dates(name)
         if dates is None or dates:
             rows = self.store.read("history") if dates is None else self.history_of(dates)
@@ -221,7 +222,7 @@ class Lakehouse:
             if rows == 0:
                 raise ValueError("history is empty: silver comes first")
             for name, summary in SUMMARIES.items():
-                self._refresh(name, summary)
+                self.refresh(name, summary)
             out = {name: self.store.read(name).count() for name in SUMMARIES}
         except Exception as e:
             self._audit(manifest, "gold", "failed", (rows, 0, 0), str(e))

@@ -122,3 +122,16 @@ def test_published_records(spark, tmp_path):
     assert '"check_out":null' in line[0][0]
     assert "_debug" not in line[0][0]
     assert records.write_diagnostics(df, f"{tmp_path}/debug") == {"missing_url": 1, "missing_price": 1, "discarded": 2}
+
+
+@pytest.mark.parametrize("shape", ["outlier", "one value", "powers", "nan"])
+def test_percentiles_of_any_distribution(spark, shape):
+    n = 20_000
+    made = {"outlier": lambda i: 1e15 if i == 7 else float(i * 7919 % n), "one value": lambda i: 3.0, "powers": lambda i: 2.0 ** (i % 900), "nan": lambda i: float("nan") if i % 3 == 0 else float(i)}[shape]
+    values = [made(i) for i in range(n)]
+    df = spark.createDataFrame([(0, v) for v in values] + [(1, 5.0), (1, 6.0), (2, None)], "k int, v double")
+    got = {r["k"]: (r["n"], r["p1"], r["p50"], r["p99"]) for r in aggregates.percentiles(df, ["k"], "v", (1, 50, 99)).collect()}
+    values.sort(key=lambda v: (v != v, v))
+    want = (n, *[values[round((n - 1) * p / 100)] for p in (1, 50, 99)])
+    assert [str(x) for x in got.pop(0)] == [str(x) for x in want]
+    assert got == {1: (2, 5.0, 5.0, 6.0)}
