@@ -67,11 +67,46 @@ def in_plan_order(results: DataFrame, plan: DataFrame, keys: list[str], ordinal:
     return results.join(plan.select(*keys, ordinal), keys).orderBy(ordinal)
 
 
+SEGMENTS, DRAWN = 64, 4096
+
+
+def segmented(df: DataFrame, order: str) -> DataFrame:
+    """df plus `_segment`: 0 to SEGMENTS, rising with `order` (nulls in 0) and of near equal sizes, so that a pass over all rows
+    in order is one over each segment and a small one over segments. Its limits are quantiles of the DRAWN values of `order`
+    with the least hashes; equal values share a segment. Only these come to the driver."""
+    drawn = df.select(order).where(F.col(order).isNotNull()).distinct().orderBy(F.xxhash64(order), order).limit(DRAWN)
+    values = sorted(r[0] for r in drawn.collect())
+    limits = sorted({values[i * len(values) // SEGMENTS] for i in range(1, SEGMENTS)}) if values else []
+    if not limits:
+        return df.withColumn("_segment", F.lit(0))
+    at = F.array(*[F.lit(v).cast(df.schema[order].dataType) for v in limits])
+    return df.withColumn("_segment", F.size(F.filter(at, lambda v: v <= F.col(order))))
+
+
+def _with_row_before(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
+    """df plus `_before`, a struct of the columns in the row before, null in the first. The last row of each segment that has
+    rows, at most SEGMENTS + 1 in all, is carried to the next one."""
+    parts, w = segmented(df, order), Window.partitionBy("_segment").orderBy(order)
+    row = F.struct(*columns)
+    filled = sorted(r[0] for r in parts.select("_segment").distinct().collect())
+    following = F.create_map(*[F.lit(x) for pair in zip(filled, filled[1:]) for x in pair]) if len(filled) > 1 else None
+    inside = parts.withColumn("_before", F.lag(row).over(w))
+    if following is None:
+        return inside.drop("_segment")
+    last = parts.groupBy("_segment").agg(F.max_by(row, order).alias("_carried")).select(following[F.col("_segment")].alias("_segment"), "_carried")
+    return inside.join(last.where("_segment IS NOT NULL"), "_segment", "left").withColumn("_before", F.coalesce("_before", "_carried")).drop("_segment", "_carried")
+
+
 def page_change(df: DataFrame, order: str, by: list[str] | None = None) -> DataFrame:
     """Evidence that a page differs from the one before it. Columns: url, active_page_text, first_identity, urls (array),
-    scroll_after, scroll_before (of navigation). A page has changed if two signs show it, one of them in its content."""
-    w = Window.partitionBy(*(by or [])).orderBy(order)
-    before = lambda c: F.lag(c).over(w)
+    scroll_after, scroll_before (of navigation). A page has changed if two signs show it, one of them in its content. Without
+    `by` all rows are one crawl, passed over in segments; `order` then has no nulls and no ties to tell apart."""
+    needed = ["url", "active_page_text", "first_identity", "urls", "scroll_after"]
+    if by:
+        paired = df.withColumn("_before", F.lag(F.struct(*needed)).over(Window.partitionBy(*by).orderBy(order)))
+    else:
+        paired = _with_row_before(df, order, needed)
+    before = lambda c: F.col(f"_before.{c}")
     both = lambda c: (F.coalesce(before(c), F.lit("")) != "") & present(c)
     urls, last = F.array_sort(F.array_distinct("urls")), F.array_sort(F.array_distinct(before("urls")))
     signs = {
@@ -81,20 +116,35 @@ def page_change(df: DataFrame, order: str, by: list[str] | None = None) -> DataF
         "url_set_changed": F.coalesce((F.size(urls) > 0) & (F.size(last) > 0) & (urls != last), F.lit(False)),
         "scroll_reset": F.coalesce(F.col("scroll_before") < F.greatest(F.lit(100), F.floor(before("scroll_after") / 3)), F.lit(False)),
     }
-    seen = F.row_number().over(w) > 1
-    out = df.select("*", *[F.coalesce(v, F.lit(False)).alias(k) for k, v in signs.items()], seen.alias("_seen")).where("_seen").drop("_seen")
+    out = paired.where("_before IS NOT NULL").select(*df.columns, *[F.coalesce(v, F.lit(False)).alias(k) for k, v in signs.items()])
     count = reduce(lambda a, b: a + b, [F.col(k).cast("int") for k in signs])
     content = F.col("url_set_changed") | F.col("first_changed")
     return out.withColumns({"sign_count": count, "content_changed": content, "verified": (count >= 2) & content})
 
 
+def _carried_runs(runs: DataFrame) -> dict[int, int]:
+    """Low pages in a row at the end of all before each segment, from one row for each of at most SEGMENTS + 1 segments."""
+    ends = runs.groupBy("_segment", "_run").agg(F.sum("_low").alias("_lows")).groupBy("_segment").agg(F.max("_run").alias("highs"), F.max_by("_lows", "_run").alias("lows"))
+    carried, out = 0, {}
+    for r in sorted(ends.collect()):
+        out[r["_segment"]] = carried
+        carried = r["lows"] + (0 if r["highs"] else carried)
+    return out
+
+
 def low_yield_stop(df: DataFrame, order: str, new: str, by: list[str] | None = None, least: int = LOW_YIELD, pages: int = LOW_PAGES) -> DataFrame:
-    """df plus how many pages in a row had few new records, and whether the crawl stops there."""
-    w = Window.partitionBy(*(by or [])).orderBy(order)
-    runs = df.withColumn("_run", F.sum(F.when(F.col(new) >= least, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = Window.partitionBy(*(by or []), "_run").orderBy(order)
-    low = F.sum(F.when(F.col(new) < least, 1).otherwise(0)).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    return runs.withColumn("low_pages", low.cast("int")).withColumn("stop", F.col("low_pages") >= pages).drop("_run")
+    """df plus how many pages in a row had few new records, and whether the crawl stops there. Without `by` all rows are one
+    crawl, passed over in segments: a run that began in earlier ones is carried into the next."""
+    keys = by or ["_segment"]
+    upto = lambda keys: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    flag = lambda c: F.when(c, 1).otherwise(0)
+    runs = (df if by else segmented(df, order)).withColumn("_low", flag(F.col(new) < least)).withColumn("_run", F.sum(flag(F.col(new) >= least)).over(upto(keys)))
+    low = F.sum("_low").over(upto([*keys, "_run"]))
+    if not by and (carried := {k: v for k, v in _carried_runs(runs).items() if v}):
+        begun = F.create_map(*[F.lit(x) for pair in carried.items() for x in pair])
+        low = low + F.when(F.col("_run") == 0, F.coalesce(begun[F.col("_segment")], F.lit(0))).otherwise(0)
+    counted = runs.withColumn("low_pages", low.cast("int")).select(*df.columns, "low_pages")
+    return counted.withColumn("stop", F.col("low_pages") >= pages)
 
 
 def scroll_stops(records: Column | str, unchanged: Column | str, no_scroll: Column | str, elapsed: Column | str, stable: int = 3, least: int = 100, cap: float = 240, cap_records: int = 60) -> Column:

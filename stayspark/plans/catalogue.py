@@ -634,6 +634,22 @@ def low_yield_stop(spark, d):
     return ranking.low_yield_stop(first, "day", "new_users").select("day", "new_users", "low_pages", "stop")
 
 
+# All events as the pages of one crawl.
+@query("""SELECT event_id, new, cast(low AS int) AS low_pages, low >= 2 AS stop FROM (SELECT *, sum(CASE WHEN new < 10 THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS low FROM (
+ SELECT *, sum(CASE WHEN new >= 10 THEN 1 ELSE 0 END) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT event_id, CASE WHEN event_id % 5000 < 300 THEN 50 ELSE user_id % 7 END AS new FROM events)))""")
+def low_yield_of_one_crawl(spark, d):
+    df = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 5000 < 300, 50).otherwise(F.col("user_id") % 7).alias("new"))
+    return ranking.low_yield_stop(df, "event_id", "new")
+
+
+@query("""SELECT event_id, url_changed, first_changed, url_set_changed, url_changed::int + first_changed::int + url_set_changed::int AS sign_count, url_changed::int + first_changed::int + url_set_changed::int >= 2 AND (first_changed OR url_set_changed) AS verified FROM (
+ SELECT event_id, event_type IS DISTINCT FROM lag(event_type) OVER w AS url_changed, user_id % 5 <> lag(user_id) OVER w % 5 AS first_changed, user_id % 3 <> lag(user_id) OVER w % 3 AS url_set_changed, row_number() OVER w AS r FROM events WINDOW w AS (ORDER BY event_id)) WHERE r > 1""")
+def page_change_of_one_crawl(spark, d):
+    u = F.col("user_id")
+    df = table(spark, d, "events").select("event_id", F.col("event_type").alias("url"), F.lit(None).cast("string").alias("active_page_text"), (u % 5).cast("string").alias("first_identity"), F.array((u % 3).cast("string")).alias("urls"), F.lit(None).cast("int").alias("scroll_after"), F.lit(1000).alias("scroll_before"))
+    return ranking.page_change(df, "event_id").select("event_id", "url_changed", "first_changed", "url_set_changed", "sign_count", "verified")
+
+
 @query("SELECT event_id, (value >= 240 AND event_id % 150 >= 60) OR (event_id % 6 >= 3 AND (event_id % 150 >= 100 OR event_id % 7 >= 3)) AS stop FROM events")
 def scroll_stop(spark, d):
     k = F.col("event_id")

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from stayspark.functions import text
@@ -113,3 +114,26 @@ def test_ties_of_candidates_go_to_the_first_arrival(spark):
     df = spark.createDataFrame([("x", "u", None, 3), ("x", "u", None, 1), ("x", "u", None, 2)], "name string, url string, price string, at int")
     got = ranking.enrichment_candidates(df, 2, "name", "url", fields=("price",), arrival="at").collect()
     assert [r["at"] for r in got] == [1, 2]
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 500])
+def test_one_long_crawl_in_segments_equals_a_plain_pass(spark, n):
+    import random
+
+    rand = random.Random(n)
+    new = [rand.choice([0, 3, 9, 10, 40, None]) if i % 200 < 100 else rand.choice([1, 2]) for i in range(n)]
+    rows = [(i * 3, new[i], rand.choice("ab"), rand.choice(["", "x", "y"]), [rand.choice("pq")]) for i in range(n)]
+    rand.shuffle(rows)
+    df = spark.createDataFrame(rows, "at int, new int, url string, first_identity string, urls array<string>").withColumns({"active_page_text": F.lit(None).cast("string"), "scroll_after": F.lit(900), "scroll_before": F.lit(200), "one": F.lit(1)})
+    low, want = 0, {}
+    for i, k in enumerate(new):
+        low = low if k is None else 0 if k >= 10 else low + 1
+        want[i * 3] = (low, low >= 2)
+    stops = ranking.low_yield_stop(df, "at", "new")
+    assert {r["at"]: (r["low_pages"], r["stop"]) for r in stops.collect()} == want
+    assert stops.columns == [*df.columns, "low_pages", "stop"]
+    changes, plain = ranking.page_change(df, "at"), ranking.page_change(df, "at", ["one"])
+    assert changes.columns == plain.columns
+    assert sorted(map(tuple, changes.collect())) == sorted(map(tuple, plain.collect()))
+    for out in (stops, changes) if n > 3 else ():
+        assert "SinglePartition" not in out._jdf.queryExecution().toString()
