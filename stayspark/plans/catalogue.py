@@ -17,7 +17,7 @@ from stayspark.plans.lakehouse import HISTORY, LEDGER, Lakehouse
 from stayspark.plans.store import TableStore
 from stayspark.session import shared_dir
 from stayspark.sources.contract import load_contract
-from stayspark.streaming import rounds
+from stayspark.streaming import bronze, rounds
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Builder, str | None]] = {}
@@ -634,6 +634,20 @@ def low_yield_stop(spark, d):
     return ranking.low_yield_stop(first, "day", "new_users").select("day", "new_users", "low_pages", "stop")
 
 
+# Events come in three lots, the stream starts anew for each; rows two days behind all earlier lots are late.
+@query("""WITH e AS (SELECT event_id, ts, event_id % 3 AS lot FROM events), g AS (SELECT l.lot, max(e.ts) - INTERVAL 2 DAY AS mark FROM (SELECT DISTINCT lot FROM e) l JOIN e ON e.lot < l.lot GROUP BY 1)
+ SELECT event_id, coalesce(ts < mark, false) AS late, CASE WHEN ts < mark THEN round(epoch(mark) - epoch(ts), 3) END AS lateness FROM e LEFT JOIN g USING (lot)""")
+def late_events(spark, d):
+    s = store(spark)
+    events = table(spark, d, "events").select("event_id", "ts")
+    for lot in range(3):
+        events.where(F.col("event_id") % 3 == lot).write.mode("append").parquet(f"{s.root}/landed")
+        stream = spark.readStream.schema(events.schema).parquet(f"{s.root}/landed")
+        bronze.on_time_into_store(stream, s, "events", ["event_id"], "ts", f"{s.root}/checkpoint", "2 days").awaitTermination()
+    on_time, late = s.read("events"), s.read("events_late")
+    return on_time.select("event_id", F.lit(False).alias("late"), F.lit(None).cast("double").alias("lateness")).unionByName(late.select("event_id", F.lit(True).alias("late"), F.round("lateness", 3).alias("lateness")))
+
+
 # All events as the pages of one crawl.
 @query("""SELECT event_id, new, cast(low AS int) AS low_pages, low >= 2 AS stop FROM (SELECT *, sum(CASE WHEN new < 10 THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS low FROM (
  SELECT *, sum(CASE WHEN new >= 10 THEN 1 ELSE 0 END) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT event_id, CASE WHEN event_id % 5000 < 300 THEN 50 ELSE user_id % 7 END AS new FROM events)))""")

@@ -200,3 +200,16 @@ def test_arguments(change, fault):
     control.check_arguments(**good)
     with pytest.raises(ValueError, match=fault):
         control.check_arguments(**{**good, **change})
+
+
+def test_late_rows_of_a_stream_go_to_a_table_of_their_own(spark, tmp_path):
+    store = TableStore(spark, f"{tmp_path}/s")
+    lots = [[("a", 100), ("b", 50)], [("c", 60), ("d", 95), ("e", None)], [("f", 400), ("g", 10), ("a", 99)]]
+    for k, lot in enumerate(lots):
+        spark.createDataFrame([(n, None if m is None else NOW + timedelta(minutes=m)) for n, m in lot], "n string, at timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("n string, at timestamp").parquet(f"{tmp_path}/in")
+        for _ in range(1 + (k == 1)):  # a start without news adds nothing
+            streams.on_time_into_store(stream, store, "t", ["n"], "at", f"{tmp_path}/c", "30 minutes").awaitTermination()
+    assert sorted(r["n"] for r in store.read("t").collect()) == ["a", "b", "d", "e", "f"]
+    assert sorted((r["n"], r["lateness"]) for r in store.read("t_late").collect()) == [("c", 600.0), ("g", 3600.0)]
+    assert [(r["batch"], r["on_time"], r["late"]) for r in store.read("t_batches").orderBy("batch").collect()] == [(0, 2, 0), (1, 2, 1), (2, 2, 1)]
