@@ -502,7 +502,7 @@ def fill_missing(spark, d):
 PAGES = "(SELECT page_id, CASE WHEN page_id % 4 = 0 THEN url END AS canonical_url, CASE WHEN page_id % 4 = 1 THEN url END AS hotel_url, CASE WHEN page_id % 4 = 2 AND page_id % 3 <> 0 THEN ' ' || page_id || ' ' END AS property_id, CASE WHEN page_id % 5 <> 0 THEN ' Hotel ' || page_id END AS name FROM pages)"
 
 
-def page_cards(spark, d):
+def keyed_pages(spark, d):
     k = F.col("page_id")
     return table(spark, d, "pages").select("page_id", F.when(k % 4 == 0, F.col("url")).alias("canonical_url"), F.when(k % 4 == 1, F.col("url")).alias("hotel_url"), F.when((k % 4 == 2) & (k % 3 != 0), F.concat(F.lit(" "), k, F.lit(" "))).alias("property_id"), F.when(k % 5 != 0, F.concat(F.lit(" Hotel "), k)).alias("name"))
 
@@ -510,7 +510,7 @@ def page_cards(spark, d):
 @query(f"""SELECT page_id, CASE WHEN canonical_url <> '' THEN 'url:' || canonical_url WHEN hotel_url <> '' THEN 'url:' || lower(rtrim(regexp_extract(hotel_url, '^([^?#]*)', 1), '/')) WHEN trim(coalesce(property_id, '')) <> '' THEN 'property:' || trim(property_id)
  WHEN trim(coalesce(name, '')) <> '' THEN 'partial:' || lower(trim(name)) ELSE 'partial:' || page_id || ':7:text' END AS record_key FROM {PAGES}""")
 def record_key(spark, d):
-    return page_cards(spark, d).select("page_id", identity.record_key("canonical_url", "hotel_url", "property_id", "name", "page_id", F.lit(7), F.lit(" Text ")).alias("record_key"))
+    return keyed_pages(spark, d).select("page_id", identity.record_key("canonical_url", "hotel_url", "property_id", "name", "page_id", F.lit(7), F.lit(" Text ")).alias("record_key"))
 
 
 def promotions(spark, d):
