@@ -137,3 +137,15 @@ def test_one_long_crawl_in_segments_equals_a_plain_pass(spark, n):
     assert sorted(map(tuple, changes.collect())) == sorted(map(tuple, plain.collect()))
     for out in (stops, changes) if n > 3 else ():
         assert "SinglePartition" not in out._jdf.queryExecution().toString()
+
+
+def test_median_of_many_prices_is_exact(spark):
+    """More rows than the sketch is exact for; groups without date or price stay."""
+    from stayspark.operators import aggregates
+
+    n = 60_001
+    rows = spark.range(n).selectExpr("CASE WHEN id % 2 = 0 THEN DATE'2026-06-01' END AS check_in_date", "'A' AS destination", "CAST(4 AS DECIMAL(2,1)) AS star_rating", "CAST(id * 7919 % 60001 AS DECIMAL(18,0)) AS price_amount", "CAST(8 AS DECIMAL(3,1)) AS rating")
+    none = spark.sql("SELECT DATE'2026-06-02' AS check_in_date, 'A' AS destination, CAST(4 AS DECIMAL(2,1)) AS star_rating, CAST(NULL AS DECIMAL(18,0)) AS price_amount, CAST(8 AS DECIMAL(3,1)) AS rating")
+    got = {str(r.check_in_date): (r.observations, r.median_price_amount) for r in aggregates.price_by_star(rows.unionByName(none)).collect()}
+    middle = lambda k: sorted(i * 7919 % n for i in range(n) if i % 2 == k)
+    assert got == {"2026-06-01": (30001, middle(0)[15000]), "None": (30000, middle(1)[14999]), "2026-06-02": (1, None)}
