@@ -9,7 +9,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 ARROW_BYTES = 4 << 20
@@ -43,6 +43,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+TASKS_A_CORE = 3
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df's rows over all cores. For short rows with much work each: a small file is read by one task, whatever its rows cost.
+    Select the columns that are needed before: these are shuffled."""
+    return df.repartition(TASKS_A_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def bounded(spark: SparkSession) -> None:
     """Batches that go to Python hold ARROW_BYTES, however long their rows, unless the session has a bound of its own."""
     if spark.conf.get(_ARROW, None) is None:
