@@ -1,6 +1,8 @@
 """Records merged over rounds as a stream: the rows of `identity.merged_identities`, whatever micro-batches they come in.
 
-Three stateful operators, each keyed by what it decides about:
+The rows of a micro-batch are first summed up in the tasks that read them: one row for each record (its key, property and name) and event
+time, so that the state sees no more than that, however often a record comes. Three stateful operators follow, each keyed by
+what it decides about:
 
 1. a lookup value (a property or a name): the least URL key that has it, and the records without URL that wait for it. A new least
    URL is told to all of them, a new record is told the URL that is there.
@@ -22,6 +24,9 @@ import json
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -32,6 +37,7 @@ from stayspark.plans.store import TableStore
 from stayspark.session import ship
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_SUMMED = "k string, p string, n string, seen timestamp, rows long, at long, present array<boolean>, ats array<long>, fields array<string>"
 _TOLD = "k string, p string, n string, side string, url string, seen timestamp"
 _MOVED = StructType([StructField("identity", StringType()), StructField("part", StringType()), StructField("body", StringType()), StructField("seen", TimestampType())])
 
@@ -45,8 +51,50 @@ def merged(a: dict[str, Any] | None, b: dict[str, Any]) -> dict[str, Any]:
     return {"rows": a["rows"] + b["rows"], "at": first["at"], "first": first["first"], "values": pick}
 
 
-def body_of(at: list, fields: list[str | None]) -> dict[str, Any]:
-    return {"rows": 1, "at": at, "first": [v is not None for v in fields], "values": [None if v is None else [at, v] for v in fields]}
+def body_of(kind: int, r: Row) -> dict[str, Any]:
+    """The body of a row that stands for several (see `summed`)."""
+    return {"rows": r.rows, "at": [kind, r.at], "first": list(r.present), "values": [None if v is None else [[kind, a], v] for a, v in zip(r.ats, r.fields, strict=True)]}
+
+
+AT_ONCE, AT_ONCE_BYTES = 200_000, 32 << 20  # rows, and their bytes, that a task sums up at once
+_SAME = ["k", "p", "n", "seen"]
+
+
+def _sum(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One row for each record and event time: count, first row by `at` and first present value of each field with its place."""
+    rows = pa.Table.from_batches(batches).sort_by("at")
+    columns, how = {c: rows[c] for c in (*_SAME, "at")}, [("at", "count", pc.CountOptions(mode="all")), ("at", "first", pc.ScalarAggregateOptions(skip_nulls=False))]
+    size = batches[0]["fields"].type.num_fields
+    fields = [f"f{i}" for i in range(size)]
+    for i, f in enumerate(fields):
+        columns[f] = pc.struct_field(rows["fields"], [i])
+        columns[f"has_{f}"] = pc.is_valid(columns[f])
+        columns[f"at_{f}"] = pc.if_else(columns[f"has_{f}"], rows["at"], pa.scalar(None, pa.int64()))
+        how += [(f"has_{f}", "first", pc.ScalarAggregateOptions(skip_nulls=False)), *[(c, "first", pc.ScalarAggregateOptions(skip_nulls=True)) for c in (f, f"at_{f}")]]
+    out = pa.table(columns).group_by(_SAME, use_threads=False).aggregate(how).combine_chunks()
+    listed = lambda names, kind: pa.FixedSizeListArray.from_arrays(_interleaved([out[n] for n in names], kind), size).cast(pa.list_(kind))
+    made = [out["k"], out["p"], out["n"], out["seen"], out["at_count"], out["at_first"], listed([f"has_{f}_first" for f in fields], pa.bool_()), listed([f"at_{f}_first" for f in fields], pa.int64()), listed([f"{f}_first" for f in fields], pa.string())]
+    plain = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in made]
+    return pa.RecordBatch.from_arrays(plain, names=[*_SAME, "rows", "at", "present", "ats", "fields"])
+
+
+def _interleaved(columns: list[pa.ChunkedArray], kind: pa.DataType) -> pa.Array:
+    """The columns' values row by row."""
+    n, m = len(columns[0]), len(columns)
+    chained = pa.concat_arrays([c.combine_chunks().cast(kind) for c in columns])
+    return chained.take(pa.array((np.arange(n)[:, None] + np.arange(m)[None, :] * n).ravel()))
+
+
+def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+        if sum(x.num_rows for x in held) >= AT_ONCE or sum(x.nbytes for x in held) >= AT_ONCE_BYTES:
+            yield _sum(held)
+            held = []
+    if held:
+        yield _sum(held)
 
 
 class _Kept(StatefulProcessor):
@@ -123,7 +171,7 @@ class Record(_Kept):
             if r.side is not None:
                 x[r.side] = r.url if x.get(r.side) is None else min(x[r.side], r.url)
             else:
-                body, grown = merged(body, body_of([0 if is_url else 1, r.at], list(r.fields))), True
+                body, grown = merged(body, body_of(0 if is_url else 1, r)), True
         x["body"] = body
         if body is not None:
             x["identity"] = key[0] if is_url else x.get("p") or x.get("n") or key[0]
@@ -191,15 +239,15 @@ def merged_rounds(stream: DataFrame, key: str, property_id: str, name: str, fiel
     idle = spark.range(1).select(F.expr(f"unix_millis(timestamp'2000-01-01 00:00:00' + interval {keep}) - unix_millis(timestamp'2000-01-01 00:00:00')")).first()[0] if keep else None
     rows = stream.select(
         F.col(key).alias("k"), none_if_empty(F.trim(property_id)).alias("p"), none_if_empty(F.lower(F.trim(name))).alias("n"), _ordered(stream, order).alias("at"),
-        F.array(*[none_if_empty(f).cast("string") for f in fields]).alias("fields"), (F.col(at).cast("timestamp") if at else F.lit(None).cast("timestamp")).alias("seen"),
-    )
+        F.struct(*[none_if_empty(f).cast("string").alias(f"f{i}") for i, f in enumerate(fields)]).alias("fields"), (F.col(at).cast("timestamp") if at else F.lit(None).cast("timestamp")).alias("seen"),
+    ).mapInArrow(summed, _SUMMED)
     if keep:
         rows = rows.withWatermark("seen", late)
     event_time = "seen" if keep else ""
     lookup = F.explode(F.array_compact(F.array(F.concat(F.lit("p:"), "p"), F.concat(F.lit("n:"), "n"))))
     links = rows.select(lookup.alias("lookup"), F.col("k").startswith("url:").alias("is_url"), "k", "p", "n", "seen")
     told = links.groupBy("lookup").transformWithState(Lookup(idle), outputStructType=_TOLD, outputMode="Append", timeMode=mode, eventTimeColumnName=event_time)
-    empty = {"at": F.lit(None).cast("long"), "fields": F.lit(None).cast(ArrayType(StringType()))}
+    empty = {c: F.lit(None).cast(kind) for c, kind in (("rows", "long"), ("at", "long"), ("present", "array<boolean>"), ("ats", "array<long>"), ("fields", "array<string>"))}
     own = rows.withColumns({"side": F.lit(None).cast("string"), "url": F.lit(None).cast("string")})
     both = own.unionByName(told.withColumns(empty).select(*own.columns))
     moved = both.groupBy("k", "p", "n").transformWithState(Record(idle), outputStructType=_MOVED, outputMode="Append", timeMode=mode, eventTimeColumnName=event_time)

@@ -56,3 +56,21 @@ def test_idle_state_is_dropped_by_the_watermark(spark, tmp_path):
     assert got["url:z"][4] == 2  # the watermark stood at 39 hours when its second row came
     with pytest.raises(ValueError, match="event time"):
         rounds.merged_rounds(rounds.read_rounds(spark, folder, schema), "k", "property_id", "name", FIELDS, "at", keep="1 hour")
+
+
+def test_rows_of_a_record_are_summed_up_before_the_state():
+    """Many rows of few records leave the reading task as one each, with what their merge gives."""
+    import pyarrow as pa
+
+    rng, fields = random.Random(5), [f"f{i}" for i in range(2)]
+    rows = [{"k": rng.choice(["a", "b"]), "p": rng.choice([None, "1"]), "n": None, "at": i, "fields": {f: rng.choice([None, None, str(i)]) for f in fields}, "seen": None} for i in range(50)]
+    rng.shuffle(rows)
+    schema = pa.schema([("k", pa.string()), ("p", pa.string()), ("n", pa.string()), ("at", pa.int64()), ("fields", pa.struct([(f, pa.string()) for f in fields])), ("seen", pa.timestamp("us", "UTC"))])
+    batches = pa.Table.from_pylist(rows, schema).to_batches(max_chunksize=7)
+    out = [x for b in rounds.summed(iter(batches)) for x in b.to_pylist()]
+    assert len(out) == 4
+    for x in out:
+        own = sorted((r for r in rows if (r["k"], r["p"]) == (x["k"], x["p"])), key=lambda r: r["at"])
+        first = [next((r for r in own if r["fields"][f] is not None), None) for f in fields]
+        assert (x["rows"], x["at"]) == (len(own), own[0]["at"]) and x["present"] == [own[0]["fields"][f] is not None for f in fields]
+        assert x["ats"] == [r and r["at"] for r in first] and x["fields"] == [r and r["fields"][f] for r, f in zip(first, fields, strict=True)]
