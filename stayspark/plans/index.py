@@ -40,11 +40,16 @@ def _ranges(df: DataFrame, keys: list[str]) -> dict[str, list]:
     return {k: [] if row[2 * i] is None else [row[2 * i], row[2 * i + 1]] for i, k in enumerate(ordered)}
 
 
-def _hashed(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Each row's key as a hash and the bits that it sets. Kinds of zero are one key, as they are in a join."""
+def hashes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row's key as a hash. Kinds of zero are one key, as they are in a join."""
     types = {k: df.schema[k].dataType for k in keys}
     same = [F.col(k) + F.lit(0).cast(t) if isinstance(t, FractionalType) else F.col(k) for k, t in types.items()]
-    some = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).select(F.xxhash64(*same).alias("_hash"))
+    return df.select(F.xxhash64(*same).alias("_hash"))
+
+
+def _hashed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row's key as a hash and the bits that it sets."""
+    some = hashes(df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])), keys)
     # The word is taken from the low bits of the hash, the bits in it from a second hash.
     second = F.xxhash64(F.col("_hash"), F.lit(1))
     bit = lambda i: F.expr(f"shiftleft(1L, cast(shiftright(_second, {6 * i}) & 63 AS int))")

@@ -176,12 +176,19 @@ class TableStore:
         inside = {f: state["index"].get(f) for f in state["folders"] if _agrees(state["scopes"].get(f, {}), scope)}
         return index.may_hold(self.spark, f"{self.root}/{name}", inside, df, keys)
 
+    def _one_each(self, df: DataFrame, keys: list[str]) -> DataFrame:
+        """One row of each key. Hashes of the keys are counted before: rows are shuffled whole only where one comes twice."""
+        if index.hashes(df, keys).groupBy("_hash").count().where("count > 1").limit(1).count():
+            return df.dropDuplicates(keys)
+        return df
+
     def insert_only(self, name: str, df: DataFrame, keys: list[str], scope: dict[str, str] | None = None, by: str | None = None) -> int:
         """Append the rows whose key is not there; of equal keys in df one. Of existing files only the key columns of folders
         that may hold a key are read, and nothing is copied. With `by` the rows go into a folder for each value of that column."""
         state, source = self._state(name), self._fitted(name, df)
-        old = self.of(name, self.touched(name, source, keys, scope)).select(*keys)
-        new = source.dropDuplicates(keys).join(old, keys, "left_anti").select(*self.schema(name).names)
+        touched, new = self.touched(name, source, keys, scope), self._one_each(source, keys)
+        if touched:
+            new = new.join(self.of(name, touched).select(*keys), keys, "left_anti").select(*self.schema(name).names)
         if by:
             scopes = {f: {**own, **(scope or {})} for f, own in self._write_by(name, new, by).items()}
             rows = self._count(name, list(scopes))

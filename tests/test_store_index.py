@@ -154,3 +154,14 @@ def test_all_rows_of_another_batch_stay(spark, tmp_path):
     assert sorted(s.get("d", "") for s in store.scopes("t").values()) == ["", "2026-01-01", "2026-01-02"]
     assert store.read("t", {"b": "y"}).count() == 0
     assert sorted(r["k"] for r in store.read("t", {"d": "2026-01-02"}).collect()) == [2, 3]
+
+
+def test_rows_are_shuffled_whole_only_if_a_key_comes_twice(spark, tmp_path, monkeypatch):
+    plans, write = [], TableStore._write
+    monkeypatch.setattr(TableStore, "_write", lambda self, name, df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(self, name, df))
+    s = TableStore(spark, str(tmp_path))
+    s.create("t", "k double, b string, v long")
+    assert s.insert_only("t", spark.range(100).selectExpr("CAST(id AS DOUBLE) AS k", "'x' AS b", "id AS v"), ["k", "b"]) == 100
+    assert "Exchange" not in plans[0]
+    again = spark.createDataFrame([(0.0, "y", 1), (-0.0, "y", 2), (5.0, "x", 3), (None, "y", 4), (None, "y", 5), (7.5, "y", 6)], "k double, b string, v long")
+    assert s.insert_only("t", again, ["k", "b"]) == 3 and s.read("t").count() == 103
