@@ -183,6 +183,7 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> list
 
 def scored(docs: DataFrame, score, threshold: float) -> DataFrame:
     """(doc_id, held_out, score, predicted); `score` turns a list of texts into numbers from 0 to 1."""
+    returned()  # what the driver needed to fit it
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,6 +198,7 @@ def scored(docs: DataFrame, score, threshold: float) -> DataFrame:
 def kept_rows(docs: DataFrame, score, threshold: float, above: bool, text_col: str = "text") -> DataFrame:
     """Rows of docs, with all their columns, whose score is at least the threshold (`above`) or below it. Only the text goes to
     Python, and only a truth value comes back: the other columns stay in the JVM, and nothing is shuffled."""
+    returned()  # what the driver needed to fit `score`
 
     @F.arrow_udf("boolean")
     def keep(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:

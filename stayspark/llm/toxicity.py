@@ -41,6 +41,8 @@ ROUNDS = 4
 EASY = 1000  # clean words at first, and the worst ones added in every round
 MOST_TRAINING = 3000  # the bound of the labelled sample
 THRESHOLD = 0.5
+PLACES = 1 << 18  # places of subsequences that are worked on at once
+A_BLOCK = 64  # words whose rows of all the landmarks' subsequences are held at once
 OUTER = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -95,7 +97,7 @@ def spectra(words: list[str]):
         if size < ORDER:
             continue
         at, weight = places(size)
-        step = max(1, 2_000_000 // len(at))
+        step = max(1, PLACES // len(at))
         for k in range(0, len(members), step):
             part = members[k : k + step]
             codes = np.array([[letter(c) for c in words[i]] for i in part], np.int64)
@@ -115,6 +117,14 @@ def dense(words: list[str], column: np.ndarray, columns: int) -> np.ndarray:
     return out[:, :columns]
 
 
+def nystrom_rows(words: list[str], column: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """The Nyström vectors of words; their wide rows are made a block at a time."""
+    out = np.zeros((len(words), len(fold)))
+    for k in range(0, len(words), A_BLOCK):
+        out[k : k + A_BLOCK] = dense(words[k : k + A_BLOCK], column, fold.shape[1]) @ fold.T
+    return out
+
+
 @dataclass
 class Model:
     weight: np.ndarray  # of each subsequence
@@ -220,7 +230,9 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
     if not len(y) or not 0 < y.sum() < len(y):
         share = min(max(float(y.mean()) if len(y) else 0.0, 1e-3), 1 - 1e-3)
         return Model(np.zeros(LETTERS**ORDER), 0.0, 0.0, float(np.log(share / (1 - share))))
-    bags = [document_words(t) for t, _ in rows]
+    one: dict[str, str] = {}  # documents share their words' strings
+    bags = [[one.setdefault(w, w) for w in document_words(t)] for t, _ in rows]
+    one.clear()
     toxic, clean = Counter(w for b, k in zip(bags, y, strict=True) if k for w in b), Counter(w for b, k in zip(bags, y, strict=True) if not k for w in b)
     if not toxic or not clean:  # nothing to compare: every document gets the share of toxic ones
         return Model(np.zeros(LETTERS**ORDER), 0.0, 0.0, float(np.log(y.mean() / (1 - y.mean()))))
@@ -256,7 +268,7 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
         shown = Counter(witness)
         words, label = [*shown, *hard], np.array([1.0] * len(shown) + [-1.0] * len(hard))
         if new := [w for w in words if w not in vector]:
-            vector |= zip(new, dense(new, column, len(ids)) @ fold.T, strict=True)
+            vector |= zip(new, nystrom_rows(new, column, fold), strict=True)
         cost = np.array([0.5 * n / len(witness) for n in shown.values()] + [0.5 / len(hard)] * len(hard))
         w, b = machine(np.array([vector[u] for u in words]), label, cost)
         weight = np.zeros(LETTERS**ORDER)

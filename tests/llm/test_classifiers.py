@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from itertools import combinations
 
@@ -177,3 +178,19 @@ def test_cache_forgets_without_changing_results():
     for _ in range(50):
         keys = [b"x" * r.randint(0, 40) for _ in range(r.randint(0, 12))]
         assert c.lookup(keys)[:, 0].tolist() == [len(k) for k in keys]
+
+
+def test_fitting_toxicity_holds_blocks_of_its_wide_rows():
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(6, 14))) for _ in range(30)) for _ in range(200)]
+    rows = [(f"{t} idiot{'s' * (k % 3)}".encode() if k % 8 == 0 else t.encode(), int(k % 8 == 0)) for k, t in enumerate(texts)]
+    toxicity.fit(rows[:20])
+    tracemalloc.start()
+    model = toxicity.fit(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 110e6
+    assert (model.score([t for t, _ in rows]) > 0.5).tolist() == [y == 1 for _, y in rows]
+    words = [w for t in texts[:30] for w in t.split()]
+    _, column, fold = toxicity.nystrom(words[:40])
+    assert toxicity.nystrom_rows(words, column, fold) == pytest.approx(toxicity.dense(words, column, fold.shape[1]) @ fold.T, abs=1e-9)
