@@ -19,7 +19,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 from stayspark.llm.common import arrow_rows, materialise, slices, table, texts, unit_hash, with_bytes
 
 RADIUS = 2
-CLASSES, A_CLASS = 32, 32
-OTHER = 64  # buckets for words outside the vocabulary
+CLASSES, A_CLASS = 32, 32  # equal, and powers of two
+OTHER = 64  # buckets for words outside the vocabulary; a power of two
 NEAR = 100_000  # words outside the vocabulary whose shares every task holds
 WORDS = CLASSES * A_CLASS
 EDGE = WORDS  # the input mark beyond the ends
 WIDTH, HIDDEN = 12, 24
+NUMBERS = np.arange((EDGE + 1) * WIDTH).reshape(-1, WIDTH)  # places of each input's vector
 ROUNDS = 3
 STEP = 512
 RATE = 1.0
@@ -90,21 +91,28 @@ def shares_in_buckets(counts: DataFrame, words: dict[bytes, int]) -> tuple[DataF
 
 
 def less_top(z: np.ndarray) -> np.ndarray:
-    """z less the largest of its last axis, whose length is a power of two: halves are compared, which is faster than max()."""
+    """z less the largest along its last axis but one, whose length is a power of two: halves are compared. Whole rows are, so that
+    numpy works on long stretches."""
     top = z
-    while top.shape[-1] > 1:
-        half = top.shape[-1] // 2
-        top = np.maximum(top[..., :half], top[..., half:])
+    while top.shape[-2] > 1:
+        half = top.shape[-2] // 2
+        top = np.maximum(top[..., :half, :], top[..., half:, :])
     return z - top
 
 
 def shares(z: np.ndarray) -> np.ndarray:
-    """Softmax over the last axis."""
-    e = np.exp(less_top(z))
-    e /= (e @ np.ones(z.shape[-1], np.float32))[..., None]
+    """Softmax over the last axis but one."""
+    e = less_top(z)
+    np.exp(e, out=e)
+    e /= (np.ones(z.shape[-2], np.float32) @ e)[..., None, :]
     return e
 
 
+def by_class(kind: np.ndarray) -> np.ndarray:
+    """Positions in the order of their classes."""
+    return np.argsort(kind.astype(np.uint8), kind="stable")  # bytes are sorted by counting
+
+
 class Network:
     def __init__(self, parts: list[np.ndarray] | None = None, seed: int = 3) -> None:
         if parts is None:
@@ -129,23 +137,27 @@ class Network:
         return Network(out)
 
     def hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.embed[around].reshape(len(around), -1)
+        x = self.embed.take(around, axis=0).reshape(len(around), -1)
         return x, np.tanh(x @ self.into + self.into_bias)
 
     def log_prob(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each target given the words around it."""
         _, h = self.hidden(around)
         kind, inside = target % CLASSES, target // CLASSES
-        z = h @ self.classes + self.class_bias
-        z = less_top(z)
-        out = z[np.arange(len(z)), kind] - np.log(np.exp(z) @ np.ones(CLASSES, np.float32))
-        order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        order = by_class(kind)
+        h, kind, inside = h.take(order, axis=0), kind[order], inside[order]
+        z = less_top(self.classes.T @ h.T + self.class_bias[:, None])
+        each = z[kind, np.arange(len(h))]
+        each -= np.log(np.ones(CLASSES, np.float32) @ np.exp(z, out=z))
+        ends = np.searchsorted(kind, np.arange(CLASSES + 1))
         for c in range(CLASSES):
-            at = order[ends[c] : ends[c + 1]]
-            if len(at):
-                z = less_top(h[at] @ self.inner[c] + self.inner_bias[c])
-                out[at] += z[np.arange(len(at)), inside[at]] - np.log(np.exp(z) @ np.ones(A_CLASS, np.float32))
+            i, k = ends[c], ends[c + 1]
+            if i < k:
+                z = less_top(self.inner[c].T @ h[i:k].T + self.inner_bias[c][:, None])
+                each[i:k] += z[inside[i:k], np.arange(k - i)]
+                each[i:k] -= np.log(np.ones(A_CLASS, np.float32) @ np.exp(z, out=z))
+        out = np.empty_like(each)
+        out[order] = each
         return out
 
     def learn(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -153,32 +165,37 @@ class Network:
         n = len(target)
         x, h = self.hidden(around)
         kind, inside = target % CLASSES, target // CLASSES
-        z = h @ self.classes + self.class_bias
-        p = shares(z)
-        p[np.arange(n), kind] -= 1
-        back = p @ self.classes.T
-        d_classes, d_bias = h.T @ p, p.sum(axis=0)
         # One padded block of rows a class, so that all classes are multiplied at once.
         size = np.bincount(kind, minlength=CLASSES)
-        order = np.argsort(kind, kind="stable")
+        order = by_class(kind)
         most = int(size.max())
         row = np.empty(n, np.int64)
         row[order] = np.arange(n) + np.repeat(np.arange(CLASSES) * most - (np.cumsum(size) - size), size)
         own = np.zeros((CLASSES, most, HIDDEN), np.float32)
         own.reshape(-1, HIDDEN)[row] = h
-        q = shares(own @ self.inner + self.inner_bias[:, None])
-        q.reshape(-1, A_CLASS)[row, inside] -= 1
-        q *= (np.arange(most) < size[:, None])[:, :, None]
-        back += (q @ self.inner.transpose(0, 2, 1)).reshape(-1, HIDDEN)[row]
-        self.inner -= rate / n * (own.transpose(0, 2, 1) @ q)
-        self.inner_bias -= rate / n * (np.ones(most, np.float32) @ q)
+        # Both levels' softmax at once, on the real rows only.
+        z = np.empty((2, CLASSES, n), np.float32)
+        np.matmul(self.classes.T, h.T, out=z[0])
+        z[0] += self.class_bias[:, None]
+        z[1] = ((own @ self.inner).reshape(-1, A_CLASS).take(row, axis=0) + self.inner_bias.take(kind, axis=0)).T
+        p, q = shares(z)
+        p[kind, np.arange(n)] -= 1
+        q[inside, np.arange(n)] -= 1
+        padded = np.zeros((CLASSES, most, A_CLASS), np.float32)
+        padded.reshape(-1, A_CLASS)[row] = q.T
+        back = p.T @ self.classes.T
+        back += (padded @ self.inner.transpose(0, 2, 1)).reshape(-1, HIDDEN).take(row, axis=0)
+        ones = np.ones(n, np.float32)
+        d_classes, d_bias = (p @ h).T, p @ ones
+        self.inner -= rate / n * (own.transpose(0, 2, 1) @ padded)
+        self.inner_bias -= rate / n * (np.ones(most, np.float32) @ padded)
         back *= 1 - h * h
         d_x = (back @ self.into.T).reshape(n * 2 * RADIUS, WIDTH)
         self.classes -= rate / n * d_classes
         self.class_bias -= rate / n * d_bias
         self.into -= rate / n * (x.T @ back)
-        self.into_bias -= rate / n * back.sum(axis=0)
-        into = (around.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+        self.into_bias -= rate / n * (ones @ back)
+        into = NUMBERS.take(around.ravel(), axis=0).ravel()
         self.embed -= rate / n * np.bincount(into, d_x.ravel(), self.embed.size).reshape(-1, WIDTH).astype(np.float32)
 
 
@@ -191,8 +208,8 @@ def word_ids(words: dict[bytes, int], batch: list[bytes], near: dict[bytes, floa
     of = np.repeat(np.arange(len(batch)), size)
     ids = np.fromiter(map(words.get, chunks, repeat(-1)), np.int64, len(chunks))
     rare = np.flatnonzero(ids < 0)
-    others = [chunks[k] for k in rare.tolist()]
-    ids[rare] = np.fromiter(map(zlib.crc32, others), np.int64, len(others)) % OTHER
+    others = list(compress(chunks, (ids < 0).tolist()))
+    ids[rare] = np.fromiter(map(zlib.crc32, others), np.int64, len(others)) & (OTHER - 1)
     logs = np.zeros(len(chunks))
     if near is not None:
         logs[rare] = np.fromiter(map(near.get, others, repeat(np.nan)), np.float64, len(others))
@@ -202,7 +219,7 @@ def word_ids(words: dict[bytes, int], batch: list[bytes], near: dict[bytes, floa
 
 
 def windows(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return ids[at[:, None] + np.array([k for k in range(-RADIUS, RADIUS + 1) if k])]
+    return ids.take(at[:, None] + np.array([k for k in range(-RADIUS, RADIUS + 1) if k]))
 
 
 def train(docs: DataFrame, words: dict[bytes, int], rounds: int = ROUNDS) -> np.ndarray:

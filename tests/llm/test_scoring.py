@@ -91,3 +91,43 @@ def test_words_outside_the_vocabulary_have_their_own_probability(spark, monkeypa
         r = got[d, len(own)]
         assert abs(r["log_prob"] - want) < 1e-3 * max(1, abs(want))
         assert r["mean_log_prob"] is None if not own else abs(r["mean_log_prob"] - want / len(own)) < 1e-2
+
+
+def test_a_step_is_that_of_a_plain_softmax():
+    """One target at a time, both levels written out; padding of classes without or with few targets counts nowhere."""
+    r = np.random.default_rng(8)
+    around, target = r.integers(0, scoring.WORDS + 1, (40, 4)), np.append(r.integers(0, scoring.WORDS, 25), np.full(15, 7))
+    net = scoring.Network(seed=4)
+    for p in net.parts:
+        p += r.normal(0, 0.2, p.shape).astype(np.float32)
+    want = [p.astype(np.float64) for p in net.parts]
+    embed, into, into_bias, classes, class_bias, inner, inner_bias = [p.copy() for p in want]
+    softmax = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    logs = []
+    for a, y in zip(around, target, strict=True):
+        c, i = y % scoring.CLASSES, y // scoring.CLASSES
+        x = embed[a].ravel()
+        h = np.tanh(x @ into + into_bias)
+        p, q = softmax(h @ classes + class_bias), softmax(h @ inner[c] + inner_bias[c])
+        logs.append(np.log(p[c]) + np.log(q[i]))
+        p[c] -= 1
+        q[i] -= 1
+        back = (classes @ p + inner[c] @ q) * (1 - h * h)
+        step = 0.5 / len(target)
+        want[3] -= step * np.outer(h, p)
+        want[4] -= step * p
+        want[5][c] -= step * np.outer(h, q)
+        want[6][c] -= step * q
+        want[1] -= step * np.outer(x, back)
+        want[2] -= step * back
+        np.subtract.at(want[0], a, step * (into @ back).reshape(4, -1))
+    assert np.abs(net.log_prob(around, target) - logs).max() < 1e-4
+    net.learn(around, target, 0.5)
+    for p, w in zip(net.parts, want, strict=True):
+        assert np.abs(p - w).max() < 1e-5
+
+
+def test_softmax_goes_along_rows_of_many_positions():
+    z = np.random.default_rng(9).normal(0, 30, (2, 32, 5)).astype(np.float32)
+    assert np.abs(scoring.shares(z).sum(axis=1) - 1).max() < 1e-5
+    assert (scoring.less_top(z).max(axis=1) == 0).all()
